@@ -110,7 +110,7 @@ def domain_bucket(u: str, buckets: Sequence[str]) -> str:
 def remove_dot_segments(p: str) -> str:
     segs = f"string_split({p}, '/')"
     kept = (
-        f"list_reduce({segs}, lambda acc, s: CASE WHEN s = '..' THEN acc[:-1] "
+        f"list_reduce({segs}, lambda acc, s: CASE WHEN s = '..' THEN list_slice(acc, 1, len(acc) - 1) "
         f"WHEN s = '.' THEN acc ELSE list_append(acc, s) END, []::VARCHAR[])"
     )
     kept = f"(CASE WHEN {segs}[-1] IN ('.', '..') THEN list_append({kept}, '') ELSE {kept} END)"

@@ -1 +1,47 @@
-"""Registered queries (see crawlstats.plans.queries)."""
+"""Registered link queries: G1/X1/F15 (page_links), G4 (valid_links), F16+S6 (link_audit)."""
+
+from __future__ import annotations
+
+from crawlstats.functions.text import INVISIBLE_MARKUP
+from crawlstats.operators import links as L
+from crawlstats.plans import oracle as O
+from crawlstats.plans.queries import P, register, resp
+
+
+def page_links_sql() -> str:
+    strip = f"(CASE WHEN starts_with(v, '\"') OR starts_with(v, '''') THEN regexp_extract(v, {O.q(L.QUOTED)}, 1) ELSE v END)"
+    return f"""
+    SELECT DISTINCT page_id, src, link FROM (
+      SELECT page_id, src, {O.resolve_href('src', 'href')} AS link FROM (
+        SELECT page_id, src, {O.decode_entities(strip)} AS href FROM (
+          SELECT page_id, url AS src,
+                 unnest(regexp_extract_all(regexp_replace(html, {O.q(INVISIBLE_MARKUP)}, ' ', 'g'),
+                                           {O.q(L.HREF_VALUE)}, 1)) AS v
+          FROM pages
+        )
+      )
+    ) WHERE NOT contains(link, {O.q(L.ACTION_MARKER)})
+    """
+
+
+def link_audit_sql() -> str:
+    r = O.reject_reason("link", P.domains)
+    return f"SELECT page_id, src, link, {r} AS reason, ({r}) IS NULL AS is_valid FROM ({page_links_sql()})"
+
+
+@register("page_links", page_links_sql())
+def q_page_links(spark, sf_dir):
+    return L.page_links(resp(spark, sf_dir))
+
+
+@register("link_audit", link_audit_sql())
+def q_link_audit(spark, sf_dir):
+    return L.scrape(resp(spark, sf_dir), P.domains, max_len=P.max_url_length)
+
+
+@register(
+    "valid_links",
+    f"SELECT page_id, src, link FROM ({link_audit_sql()}) WHERE is_valid",
+)
+def q_valid_links(spark, sf_dir):
+    return L.valid_links(L.page_links(resp(spark, sf_dir)), P.domains, max_len=P.max_url_length)
