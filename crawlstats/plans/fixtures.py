@@ -156,3 +156,92 @@ def netloc_variants_sql() -> str:
         f"SELECT DISTINCT unnest([{n}, {bare}, 'www.' || {bare}, 'WWW.' || {bare}, "
         f"{bare} || ':8080', 'b.' || {bare}, upper({bare})]) AS netloc FROM pages"
     )
+
+
+# --- crawl state, edges, robots rules ------------------------------------------
+
+def crawl_state(pages: DataFrame) -> DataFrame:
+    """(url_hash, url, completed) over every page.
+
+    The completion flag is the fixture's rule ``page_id % 3 = 0`` (a flag on
+    every row, not a filter); URLs sharing a hash keep the smallest page_id.
+    """
+    from crawlstats.operators.frontier import keyed
+
+    k = keyed(pages.select("page_id", "url")).withColumn("completed", F.col("page_id") % 3 == 0)
+    best = F.min_by(F.struct("url", "completed"), "page_id")
+    return k.groupBy("url_hash").agg(best.alias("b")).select("url_hash", "b.url", "b.completed")
+
+
+def crawl_state_sql() -> str:
+    return f"""
+    SELECT url_hash, arg_min(url, page_id) AS url, arg_min(completed, page_id) AS completed FROM (
+      SELECT page_id, {O.normalize('url')} AS url, {O.url_hash('url')} AS url_hash,
+             page_id % 3 = 0 AS completed
+      FROM pages
+    ) GROUP BY url_hash
+    """
+
+
+def edges(pages: DataFrame) -> DataFrame:
+    """(src, dst): two out-edges per page, ``(7i+1) mod N`` and ``(13i+5) mod N``.
+
+    N is the page count, taken as a scalar subquery; the graph has cycles.
+    """
+    n = pages.select(F.count(F.lit(1))).scalar()
+    i = F.col("page_id")
+    return pages.select(
+        i.alias("src"), F.explode(F.array((i * 7 + 1) % n, (i * 13 + 5) % n)).alias("dst")
+    )
+
+
+def edges_sql() -> str:
+    return """
+    SELECT page_id AS src, unnest([(page_id * 7 + 1) % n, (page_id * 13 + 5) % n]) AS dst
+    FROM pages, (SELECT count(*) AS n FROM pages) c
+    """
+
+
+def seed_pages(pages: DataFrame, buckets) -> DataFrame:
+    """(node): the first page (smallest id) of each politeness bucket."""
+    from crawlstats.functions.urls import domain_bucket
+
+    return (
+        pages.select("page_id", domain_bucket("url", buckets).alias("bucket"))
+        .groupBy("bucket")
+        .agg(F.min("page_id").alias("node"))
+        .select("node")
+    )
+
+
+def seed_pages_sql(buckets) -> str:
+    return f"SELECT min(page_id) AS node FROM pages GROUP BY {O.domain_bucket('url', buckets)}"
+
+
+def robots_rules(pages: DataFrame) -> DataFrame:
+    """(host, path_prefix, allow) derived from the page hosts.
+
+    Hosts starting ``m.`` deny everything; hosts starting ``blog.`` deny
+    ``/fr`` but allow ``/fr/1``; every other host has no rules.
+    """
+    from crawlstats.functions.urls import url_parts
+
+    hosts = pages.select(url_parts("url")["netloc"].alias("host")).distinct()
+    rule = lambda p, a: F.struct(F.lit(p).alias("path_prefix"), F.lit(a).alias("allow"))
+    rules = (
+        F.when(F.col("host").startswith("m."), F.array(rule("/", False)))
+        .when(F.col("host").startswith("blog."), F.array(rule("/fr", False), rule("/fr/1", True)))
+    )
+    return hosts.select("host", F.explode(rules).alias("r")).select("host", "r.path_prefix", "r.allow")
+
+
+def robots_rules_sql() -> str:
+    return f"""
+    SELECT host, r.path_prefix AS path_prefix, r.allow AS allow FROM (
+      SELECT host, unnest(CASE
+        WHEN starts_with(host, 'm.') THEN [{{'path_prefix': '/', 'allow': false}}]
+        WHEN starts_with(host, 'blog.') THEN [{{'path_prefix': '/fr', 'allow': false}}, {{'path_prefix': '/fr/1', 'allow': true}}]
+      END) AS r
+      FROM (SELECT DISTINCT {O.netloc('url')} AS host FROM pages)
+    )
+    """
