@@ -139,6 +139,15 @@ def remove_dot_segments(path: Column) -> Column:
     return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` (a one-element transform).
+
+    Stages that read their input several times (URL parts, resolution steps)
+    would otherwise copy the whole input expression into every reference.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _unsplit_tail(p: Column) -> Column:
     return F.concat(
         F.when(p["params"] != "", F.concat(F.lit(";"), p["params"])).otherwise(""),
@@ -153,14 +162,17 @@ def join_rooted(base, ref) -> Column:
     A network-path ref (``//host/p``) takes only the base scheme; a
     root-relative ref takes scheme and host and has its dot segments removed.
     """
-    b = url_parts(_col(base))
-    r = url_parts(_col(ref))
-    scheme_prefix = F.when(b["scheme"] != "", F.concat(b["scheme"], F.lit(":"))).otherwise("")
-    network = F.concat(scheme_prefix, F.lit("//"), r["netloc"], r["path"], _unsplit_tail(r))
-    rooted = F.concat(scheme_prefix, F.lit("//"), b["netloc"], remove_dot_segments(r["path"]), _unsplit_tail(r))
-    joined = F.when(_col(ref).startswith("//"), network).otherwise(rooted)
-    usable = (F.coalesce(_col(base), F.lit("")) != "") & b["scheme"].isin(*RELATIVE_SCHEMES)
-    return F.when(usable, joined).otherwise(_col(ref))
+    base_c, ref_c = _col(base), _col(ref)
+
+    def with_parts(b: Column, r: Column) -> Column:
+        scheme_prefix = F.when(b["scheme"] != "", F.concat(b["scheme"], F.lit(":"))).otherwise("")
+        network = F.concat(scheme_prefix, F.lit("//"), r["netloc"], r["path"], _unsplit_tail(r))
+        rooted = F.concat(scheme_prefix, F.lit("//"), b["netloc"], remove_dot_segments(r["path"]), _unsplit_tail(r))
+        joined = F.when(ref_c.startswith("//"), network).otherwise(rooted)
+        usable = (F.coalesce(base_c, F.lit("")) != "") & b["scheme"].isin(*RELATIVE_SCHEMES)
+        return F.when(usable, joined).otherwise(ref_c)
+
+    return let(url_parts(base_c), lambda b: let(url_parts(ref_c), lambda r: with_parts(b, r)))
 
 
 def resolve_href(base, href) -> Column:
@@ -173,5 +185,9 @@ def resolve_href(base, href) -> Column:
     """
     h = _col(href)
     h1 = F.when(h.startswith("//"), F.substring(h, 3, 1 << 30)).otherwise(h)
-    h2 = F.when(h1.startswith("/"), join_rooted(base, h1)).otherwise(h1)
-    return F.when(h2.startswith("www."), F.concat(F.lit("https://"), h2)).otherwise(h2)
+
+    def step2(v1: Column) -> Column:
+        h2 = F.when(v1.startswith("/"), join_rooted(base, v1)).otherwise(v1)
+        return let(h2, lambda v2: F.when(v2.startswith("www."), F.concat(F.lit("https://"), v2)).otherwise(v2))
+
+    return let(h1, step2)
