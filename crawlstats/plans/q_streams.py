@@ -1 +1,98 @@
-"""Registered queries (see crawlstats.plans.queries)."""
+"""Registered streaming queries (R1, R2): run to completion, read the sink.
+
+The source folder holds every page of ``pages`` plus a second delivery of
+every page under a new id (``page_id + max + 1``), written as several
+Parquet files by range of id, so the stream sees repeats in later
+micro-batches. The streaming result must equal the batch query over
+``pages``, so the oracle SQL is the batch SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from crawlstats.config import shared_dir
+from crawlstats.functions.urls import url_parts
+from crawlstats.plans import oracle as O
+from crawlstats.plans.q_links import link_audit_sql
+from crawlstats.plans.queries import _ORACLES, P, pages, register
+from crawlstats.streaming import streams as S
+
+SOURCE_FILES = 8
+FILES_PER_TRIGGER = 3
+
+
+def stage_source(spark: SparkSession, sf_dir: str) -> str:
+    """Write the stream's input files (pages plus re-deliveries) to the shared folder."""
+    pg = pages(spark, sf_dir)
+    offset = pg.select(F.max("page_id") + 1).scalar()
+    both = pg.unionByName(pg.withColumn("page_id", F.col("page_id") + offset))
+    path = shared_dir(spark, "stream-src")
+    both.repartitionByRange(SOURCE_FILES, "page_id").write.parquet(path)
+    return path
+
+
+def _run_report(spark, sf_dir, build) -> DataFrame:
+    src = stage_source(spark, sf_dir)
+    out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
+    q = S.write_report(build(S.page_stream(spark, src, FILES_PER_TRIGGER)), out, ckpt)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _stop_words(spark) -> list[str]:
+    from pyspark.ml.feature import StopWordsRemover
+
+    return list(StopWordsRemover.loadDefaultStopWords("english"))
+
+
+@register("stream_top_words")
+def q_stream_top_words(spark, sf_dir):
+    stop = _stop_words(spark)
+    return _run_report(spark, sf_dir, lambda s: S.running_top_words(s, stop))
+
+
+@register("stream_subdomains")
+def q_stream_subdomains(spark, sf_dir):
+    return _run_report(spark, sf_dir, lambda s: S.running_subdomains(s, P.anchor))
+
+
+@register("stream_unique_pages")
+def q_stream_unique_pages(spark, sf_dir):
+    return _run_report(spark, sf_dir, S.running_unique_pages)
+
+
+@register("stream_longest_page")
+def q_stream_longest_page(spark, sf_dir):
+    return _run_report(spark, sf_dir, S.running_longest_page)
+
+
+@register(
+    "stream_new_urls",
+    f"""
+    SELECT DISTINCT {O.url_hash('url', normalized=True)} AS url_hash, {O.netloc('url')} AS netloc,
+           {O.path('url')} AS path, {O.query('url')} AS query
+    FROM (SELECT {O.normalize('link')} AS url FROM ({link_audit_sql()}) WHERE is_valid)
+    """,
+)
+def q_stream_new_urls(spark, sf_dir):
+    src = stage_source(spark, sf_dir)
+    out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
+    q = S.write_appends(S.running_new_urls(S.page_stream(spark, src, FILES_PER_TRIGGER), P), out, ckpt)
+    q.awaitTermination()
+    p = url_parts("url")
+    # Twins differing only in scheme share a hash; the parts below are fixed by it.
+    return spark.read.parquet(out).select(
+        "url_hash", p["netloc"].alias("netloc"), p["path"].alias("path"), p["query"].alias("query")
+    )
+
+
+# The running reports must equal the batch reports: same oracle SQL.
+for _stream, _batch in (
+    ("stream_top_words", "q3_top_words"),
+    ("stream_subdomains", "q4_subdomains"),
+    ("stream_unique_pages", "q1_unique_pages"),
+    ("stream_longest_page", "q2_longest_page"),
+):
+    _ORACLES[_stream] = _ORACLES[_batch]
