@@ -168,7 +168,23 @@ def join_rooted(base, ref) -> Column:
         scheme_prefix = F.when(b["scheme"] != "", F.concat(b["scheme"], F.lit(":"))).otherwise("")
         network = F.concat(scheme_prefix, F.lit("//"), r["netloc"], r["path"], _unsplit_tail(r))
         rooted = F.concat(scheme_prefix, F.lit("//"), b["netloc"], remove_dot_segments(r["path"]), _unsplit_tail(r))
-        joined = F.when(ref_c.startswith("//"), network).otherwise(rooted)
+        # '//' with no host and no path keeps the base path (and its query
+        # unless the ref has one), as urljoin does.
+        query = F.when(r["query"] != "", r["query"]).otherwise(b["query"])
+        base_path = F.concat(
+            scheme_prefix,
+            F.lit("//"),
+            b["netloc"],
+            b["path"],
+            F.when(b["params"] != "", F.concat(F.lit(";"), b["params"])).otherwise(""),
+            F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
+            F.when(r["fragment"] != "", F.concat(F.lit("#"), r["fragment"])).otherwise(""),
+        )
+        joined = (
+            F.when(r["netloc"] != "", network)
+            .when((r["path"] == "") & (r["params"] == ""), base_path)
+            .otherwise(rooted)
+        )
         usable = (F.coalesce(base_c, F.lit("")) != "") & b["scheme"].isin(*RELATIVE_SCHEMES)
         return F.when(usable, joined).otherwise(ref_c)
 

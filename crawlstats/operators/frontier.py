@@ -115,7 +115,9 @@ def rank_in_group(df: DataFrame, group: str, order: str, fanout_hex: int = 3) ->
     sizes = local.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(group, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    on = local[group].eqNullSafe(offsets[group]) & (local["_slice"] == offsets["_slice"])
+    # Null-safe on both keys: an inner equi-join would make Catalyst add an
+    # inferred not-null filter that recomputes the hash expression.
+    on = local[group].eqNullSafe(offsets[group]) & local["_slice"].eqNullSafe(offsets["_slice"])
     ranked = local.join(F.broadcast(offsets), on, "inner").select(
         local["*"], (offsets["_off"] + local["_local"]).cast("long").alias("rn")
     )

@@ -131,7 +131,17 @@ def join_rooted(base: str, ref: str) -> str:
     prefix = f"(CASE WHEN {scheme(base)} <> '' THEN {scheme(base)} || ':' ELSE '' END)"
     network = f"{prefix} || '//' || {netloc(ref)} || {path(ref)} || {_tail(ref)}"
     rooted = f"{prefix} || '//' || {netloc(base)} || {remove_dot_segments(path(ref))} || {_tail(ref)}"
-    joined = f"(CASE WHEN starts_with({ref}, '//') THEN {network} ELSE {rooted} END)"
+    query_ = f"(CASE WHEN {query(ref)} <> '' THEN {query(ref)} ELSE {query(base)} END)"
+    base_path = (
+        f"{prefix} || '//' || {netloc(base)} || {path(base)}"
+        f" || (CASE WHEN {params(base)} <> '' THEN ';' || {params(base)} ELSE '' END)"
+        f" || (CASE WHEN {query_} <> '' THEN '?' || {query_} ELSE '' END)"
+        f" || (CASE WHEN {fragment(ref)} <> '' THEN '#' || {fragment(ref)} ELSE '' END)"
+    )
+    joined = (
+        f"(CASE WHEN {netloc(ref)} <> '' THEN {network} "
+        f"WHEN {path(ref)} = '' AND {params(ref)} = '' THEN {base_path} ELSE {rooted} END)"
+    )
     usable = f"(coalesce({base}, '') <> '' AND {scheme(base)} IN {in_list(urls.RELATIVE_SCHEMES)})"
     return f"(CASE WHEN {usable} THEN {joined} ELSE {ref} END)"
 
