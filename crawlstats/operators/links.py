@@ -40,19 +40,68 @@ def raw_hrefs(html) -> Column:
     return F.regexp_extract_all(visible, F.lit(HREF_VALUE), 1)
 
 
-def link_array(src, html) -> Column:
-    """G1 for one page: distinct resolved links, ``do=`` links removed."""
+def resolved_links(src, hrefs) -> Column:
+    """Resolve an array of href values, drop ``do=`` links, keep each once."""
     base = F.col(src) if isinstance(src, str) else src
-    resolved = F.transform(raw_hrefs(html), lambda v: resolve_href(base, decode_entities(_strip_quotes(v))))
+    resolved = F.transform(hrefs, lambda h: resolve_href(base, h))
     kept = F.filter(resolved, lambda link: ~link.contains(ACTION_MARKER))
     return F.array_distinct(kept)
 
 
-def page_links(resp: DataFrame) -> DataFrame:
-    """G1 + X1: (page_id, src, link), one row per distinct link of a page."""
-    return ok_responses(resp).select(
-        "page_id", F.col("url").alias("src"), F.explode(link_array("url", "html")).alias("link")
-    )
+def link_array(src, html) -> Column:
+    """G1 for one page: distinct resolved links, ``do=`` links removed."""
+    values = F.transform(raw_hrefs(html), lambda v: decode_entities(_strip_quotes(v)))
+    return resolved_links(src, values)
+
+
+def _parsed_hrefs(batches):
+    """Arrow batches of (page_id, url, html) -> (page_id, url, hrefs) via html.parser."""
+    from html.parser import HTMLParser
+
+    import pandas as pd
+
+    class Anchors(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.hrefs = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "a":
+                for k, v in attrs:
+                    if k == "href" and v is not None:
+                        self.hrefs.append(v)
+                        break
+
+    for pdf in batches:
+        out = []
+        for html in pdf["html"]:
+            if html is None:
+                out.append([])
+                continue
+            p = Anchors()
+            p.feed(html)
+            p.close()
+            out.append(p.hrefs)
+        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "hrefs": out})
+
+
+def page_links(resp: DataFrame, parser: str = "regex") -> DataFrame:
+    """G1 + X1: (page_id, src, link), one row per distinct link of a page.
+
+    ``parser='regex'`` (default) stays in the JVM. ``parser='html'`` reads
+    anchors with the standard library's HTML parser in Arrow batches
+    (``mapInPandas``; attribute values holding '>' and every named entity
+    are handled), then resolves in the JVM. Either way the per-page distinct
+    is an array operation on the page's row, so nothing is shuffled.
+    """
+    ok = ok_responses(resp)
+    if parser == "html":
+        parsed = ok.select("page_id", "url", "html").mapInPandas(
+            _parsed_hrefs, "page_id long, url string, hrefs array<string>"
+        )
+        links = resolved_links("url", F.col("hrefs"))
+        return parsed.select("page_id", F.col("url").alias("src"), F.explode(links).alias("link"))
+    return ok.select("page_id", F.col("url").alias("src"), F.explode(link_array("url", "html")).alias("link"))
 
 
 def link_audit(

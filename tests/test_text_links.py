@@ -50,3 +50,16 @@ def test_tokens(spark):
 def test_token_count_null_and_empty(spark):
     got = {r.page_id: r.n for r in _resp(spark).select("page_id", page_token_count("html").alias("n")).collect()}
     assert got[1] == 0 and got[2] == 0 and got[3] == 3
+
+
+def test_html_parser_option_agrees(spark):
+    from conftest import SF001
+
+    resp = responses(spark.read.parquet(f"{SF001}/pages.parquet"))
+    a = page_links(resp).select("page_id", "link")
+    b = page_links(resp, parser="html").select("page_id", "link")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    hard = _resp(spark).where("page_id in (4, 7, 8, 10)")
+    got = {(r.page_id, r.link) for r in page_links(hard, parser="html").collect()}
+    exp = {(r.page_id, r.link) for r in page_links(hard).collect()}
+    assert got == exp
