@@ -66,3 +66,16 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable; returns the root folder."""
     return shared_dir(spark)
+
+
+def spread_small_input(df):
+    """Spread a small input over the cores before per-row heavy work.
+
+    A large table arrives in at least as many splits as there are cores and is
+    returned untouched, so this never reshuffles big data. A table stored as a
+    single file with one row group is otherwise tokenised by one task.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlstats.config import CrawlParams, ensure_checkpoint_dir
-from crawlstats.operators.frontier import keyed, mark_complete, new_urls, seed_state
+from crawlstats.operators.frontier import dedup_by_hash, keyed, seed_state
 from crawlstats.operators.links import Extractor, page_links
 from crawlstats.functions.scope import reject_reason
 
@@ -126,35 +126,66 @@ def crawl(
     """I1 on captured pages: the crawl loop until no unseen valid URL is left.
 
     Each round looks up the pending URLs among the captured responses (J4),
-    extracts and validates their links (G1, G4), adds unseen ones (J1, X2)
-    and marks the fetched ones complete (J5). Returns the final crawl state
-    ``(url_hash, url, completed)``. ``captured`` holds
-    ``(page_id, url, status, error, html)``; seeds bypass the scope rules.
+    extracts and validates their links (G1, G4) and keeps the unseen ones
+    (J1, X2); those are the next round's frontier. ``captured`` holds
+    ``(page_id, url, status, error, html)``; seeds bypass the scope rules;
+    ``state`` resumes an earlier crawl state instead of the seeds.
+
+    Every URL added in round k is fetched in round k+1, so the state is kept
+    as one checkpointed piece per round and never rewritten: a round only
+    shuffles its own frontier and new URLs, and completion (J5) is settled
+    once at the end. Returns the crawl state ``(url_hash, url, completed)``.
     """
     spark = captured.sparkSession
     ensure_checkpoint_dir(spark)
-    extract = extractor or page_links
+    extract_fn = extractor or page_links
+    bmax = params.broadcast_max_rows
     index = captured_index(captured).checkpoint()
-    st = (state if state is not None else seed_state(seeds)).checkpoint()
-    frontier = st.where(~F.col("completed")).select("url_hash", "url").checkpoint()
+    start = (state if state is not None else seed_state(seeds)).select("url_hash", "url", "completed").checkpoint()
+    pieces = [start.select("url_hash", "url")]
+    frontier = start.where(~F.col("completed")).select("url_hash", "url").checkpoint()
     n_frontier = frontier.count()
     rounds = 0
     while n_frontier > 0 and (max_rounds is None or rounds < max_rounds):
         rounds += 1
-        hits = _sized_join(frontier.select("url_hash"), n_frontier, index, "url_hash", "left_semi", params.broadcast_max_rows)
+        hits = _sized_join(frontier.select("url_hash"), n_frontier, index, "url_hash", "left_semi", bmax)
         hits = hits.select("page_id").checkpoint()
-        n_hits = hits.count()
-        fetched = _sized_join(hits, n_hits, captured, "page_id", "left_semi", params.broadcast_max_rows)
-        links = extract(fetched)
+        fetched = _sized_join(hits, hits.count(), captured, "page_id", "left_semi", bmax)
+        links = extract_fn(fetched)
         reason = reject_reason(F.col("link"), params.domains, max_len=params.max_url_length, extra_rules=params.extra_rules)
         valid = links.where(reason.isNull()).select(F.col("link").alias("url"), "page_id")
-        fresh = new_urls(valid, st, params.buckets, order=("page_id",)).select("url_hash", "url")
-        st = mark_complete(st, frontier.select("url")).unionByName(
-            fresh.select("url_hash", "url", F.lit(False).alias("completed"))
-        ).checkpoint()
-        frontier = fresh.checkpoint()
+        cand = dedup_by_hash(keyed(valid), ("page_id",)).checkpoint()
+        n_cand = cand.count()
+        seen = pieces[0].select("url_hash")
+        for p in pieces[1:]:
+            seen = seen.unionByName(p.select("url_hash"))
+        if n_cand <= bmax:
+            # Scan the crawl state once, probing a broadcast of the candidates.
+            known = seen.join(F.broadcast(cand.select("url_hash")), "url_hash", "left_semi")
+            fresh = cand.join(known, "url_hash", "left_anti")
+        else:
+            fresh = cand.join(seen, "url_hash", "left_anti")
+        frontier = fresh.select("url_hash", "url").checkpoint()
         n_frontier = frontier.count()
-    return st
+        if n_frontier > 0:
+            pieces.append(frontier)
+        if len(pieces) > COMPACT_EVERY:
+            merged = pieces[1]
+            for p in pieces[2:]:
+                merged = merged.unionByName(p)
+            pieces = [pieces[0], merged.checkpoint()]
+    # Settle J5 once: the start state's pending URLs were fetched in round 1;
+    # every later piece was fetched in the round after it, except a frontier
+    # left over when max_rounds stopped the loop.
+    out = start.select("url_hash", "url", (F.col("completed") | F.lit(rounds >= 1)).alias("completed"))
+    for p in pieces[1:]:
+        out = out.unionByName(p.select("url_hash", "url", F.lit(True).alias("completed")))
+    if n_frontier > 0 and rounds >= 1 and len(pieces) > 1:
+        leftover = frontier.select("url_hash")
+        out = out.join(leftover.withColumn("_todo", F.lit(True)), "url_hash", "left").select(
+            "url_hash", "url", (F.col("completed") & F.col("_todo").isNull()).alias("completed")
+        )
+    return out
 
 
 def seeds_from(urls: Sequence[str], spark) -> DataFrame:

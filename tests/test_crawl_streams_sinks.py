@@ -63,6 +63,9 @@ def test_crawl_loop_reaches_fixpoint(spark):
         "https://b.example.net/d": True,
         "https://b.example.net/f": True,
     }
+    # A stopped crawl leaves its last frontier uncompleted.
+    one = {r.url: r.completed for r in C.crawl(captured, seeds, P, max_rounds=1).collect()}
+    assert one == {"https://a.example.com": True, "https://a.example.com/b": False, "https://b.example.net/d": False}
     # A pluggable extractor replaces G1.
     only_b = lambda resp: L.page_links(resp).where(F.col("link").endswith("/b"))
     got = {r.url for r in C.crawl(captured, seeds, P, extractor=only_b).collect()}
