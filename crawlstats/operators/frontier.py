@@ -28,7 +28,18 @@ def keyed(df: DataFrame, url_col: str = "url") -> DataFrame:
 
 
 def dedup_by_hash(df: DataFrame, order: Sequence[str] = ("url",)) -> DataFrame:
-    """One row per url_hash, the earliest by ``order`` (then by URL)."""
+    """One row per url_hash, the earliest by ``order`` (then by URL).
+
+    Links repeat heavily (every page of a site links its navigation), so
+    exact repeats are collapsed first by a hash aggregate on (url_hash, url)
+    whose buffer is one number; only the distinct spellings of a hash then
+    meet in the string-valued ``min_by``, which Spark runs sort-based.
+    """
+    order = tuple(c for c in order if c != "url")
+    if len(order) == 1:
+        df = df.groupBy("url_hash", "url").agg(F.min(order[0]).alias(order[0]))
+    elif not order:
+        df = df.select("url_hash", "url").distinct()
     key = F.struct(*[F.col(c) for c in order], F.col("url"))
     return df.groupBy("url_hash").agg(F.min_by("url", key).alias("url"))
 

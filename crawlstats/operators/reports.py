@@ -111,15 +111,19 @@ def subdomain_pages(resp: DataFrame, anchor: str) -> DataFrame:
     rows = ok_responses(resp).select(
         "page_id",
         subdomain(p["netloc"], anchor).alias("subdomain"),
-        nice_link(p["netloc"]).alias("nice_link"),
         page_key("url").alias("key"),
     )
+    # Distinct pages first: a hash aggregate whose buffer is the first page_id
+    # (a page key repeated many times combines map-side); then one row per
+    # subdomain over distinct pages only.
+    pages = rows.where(F.col("subdomain").isNotNull()).groupBy("subdomain", "key").agg(
+        F.min("page_id").alias("first_id")
+    )
     return (
-        rows.where(F.col("subdomain").isNotNull())
-        .groupBy("subdomain")
+        pages.groupBy("subdomain")
         .agg(
-            F.min_by("nice_link", "page_id").alias("nice_link"),
-            F.count_distinct("key").cast("long").alias("n_pages"),
+            F.min_by(nice_link(F.col("key.netloc")), "first_id").alias("nice_link"),
+            F.count(F.lit(1)).alias("n_pages"),
         )
         .orderBy("subdomain")
     )

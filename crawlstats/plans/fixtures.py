@@ -196,9 +196,10 @@ def edges(pages: DataFrame) -> DataFrame:
 
 
 def edges_sql() -> str:
-    return """
-    SELECT page_id AS src, unnest([(page_id * 7 + 1) % n, (page_id * 13 + 5) % n]) AS dst
-    FROM pages, (SELECT count(*) AS n FROM pages) c
+    n = "(SELECT count(*) FROM pages)"
+    return f"""
+    SELECT page_id AS src, unnest([(page_id * 7 + 1) % {n}, (page_id * 13 + 5) % {n}]) AS dst
+    FROM pages
     """
 
 
