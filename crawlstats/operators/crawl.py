@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from crawlstats.config import CrawlParams, ensure_checkpoint_dir
 from crawlstats.operators.frontier import dedup_by_hash, keyed, seed_state
+from crawlstats.operators.gates import robots_gate
 from crawlstats.operators.links import Extractor, page_links
 from crawlstats.functions.scope import reject_reason
 
@@ -122,6 +123,7 @@ def crawl(
     max_rounds: int | None = None,
     extractor: Extractor | None = None,
     state: DataFrame | None = None,
+    robots: DataFrame | None = None,
 ) -> DataFrame:
     """I1 on captured pages: the crawl loop until no unseen valid URL is left.
 
@@ -129,7 +131,9 @@ def crawl(
     extracts and validates their links (G1, G4) and keeps the unseen ones
     (J1, X2); those are the next round's frontier. ``captured`` holds
     ``(page_id, url, status, error, html)``; seeds bypass the scope rules;
-    ``state`` resumes an earlier crawl state instead of the seeds.
+    ``state`` resumes an earlier crawl state instead of the seeds;
+    ``robots`` (host, path_prefix, allow) drops links the rules disallow (J3,
+    off when not given).
 
     Every URL added in round k is fetched in round k+1, so the state is kept
     as one checkpointed piece per round and never rewritten: a round only
@@ -154,6 +158,8 @@ def crawl(
         links = extract_fn(fetched)
         reason = reject_reason(F.col("link"), params.domains, max_len=params.max_url_length, extra_rules=params.extra_rules)
         valid = links.where(reason.isNull()).select(F.col("link").alias("url"), "page_id")
+        if robots is not None:
+            valid = robots_gate(valid, robots, broadcast_max_rows=bmax).where("allowed").drop("allowed")
         cand = dedup_by_hash(keyed(valid), ("page_id",)).checkpoint()
         n_cand = cand.count()
         seen = pieces[0].select("url_hash")

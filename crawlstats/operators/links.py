@@ -141,3 +141,12 @@ def scrape(
 def write_link_audit(audit: DataFrame, path: str) -> None:
     """S6 sink: valid and rejected links land in separate partitions."""
     audit.write.mode("append").partitionBy("is_valid").parquet(path)
+
+
+def write_link_audit_text(audit: DataFrame, valid_path: str, rejected_path: str) -> None:
+    """S6 in the crawler's text layout: one valid link per line; each
+    rejected link preceded by a ``From: <source page>`` line."""
+    audit.where("is_valid").select(F.col("link").alias("value")).write.mode("append").text(valid_path)
+    audit.where(~F.col("is_valid")).select(
+        F.concat(F.lit("From: "), F.col("src"), F.lit("\n"), F.col("link")).alias("value")
+    ).write.mode("append").text(rejected_path)

@@ -2,7 +2,8 @@
 
 J1/X2 frontier_new_urls, J5 state_complete, A7 state_counts, S4
 resume_pending, W1/W2 fetch_list, J4 captured_lookup, F19 size_gate, J3
-robots_gate, I1 crawl_closure.
+robots_gate, I1 crawl_closure (link graph) and crawl_pages (the crawl loop
+over captured pages).
 """
 
 from __future__ import annotations
@@ -202,3 +203,38 @@ def q_crawl_closure(spark, sf_dir):
     pg = pages(spark, sf_dir)
     out = C.reachable(X.seed_pages(pg, P.buckets), X.edges(pg), broadcast_max_rows=P.broadcast_max_rows)
     return out.select("node", F.col("depth").cast("long").alias("depth"))
+
+
+@register(
+    "crawl_pages",
+    f"""
+    WITH seeds AS (
+      SELECT url_hash, min(url) AS url FROM (
+        SELECT {O.normalize('url')} AS url, {O.url_hash('url')} AS url_hash FROM pages
+      ) GROUP BY url_hash
+    ),
+    fetched AS (
+      SELECT min(page_id) AS page_id FROM (SELECT page_id, {O.url_hash('url')} AS h FROM pages) GROUP BY h
+    ),
+    cand AS (
+      SELECT url_hash, arg_min(url, (page_id, url)) AS url FROM (
+        SELECT page_id, url, {O.url_hash('url', normalized=True)} AS url_hash FROM (
+          SELECT page_id, {O.normalize('link')} AS url FROM ({link_audit_sql()})
+          WHERE is_valid AND page_id IN (SELECT page_id FROM fetched)
+        )
+      ) GROUP BY url_hash
+    )
+    SELECT url_hash, url, true AS completed FROM seeds
+    UNION ALL
+    SELECT url_hash, url, true AS completed FROM cand WHERE url_hash NOT IN (SELECT url_hash FROM seeds)
+    """,
+)
+def q_crawl_pages(spark, sf_dir):
+    """I1 over the captured pages, seeded with every captured URL (a re-crawl).
+
+    Round 1 fetches every page and queues the unseen valid links; round 2
+    finds none of them captured (every captured URL is already a seed), so the
+    loop stops with all URLs completed.
+    """
+    pg = pages(spark, sf_dir)
+    return C.crawl(responses(pg), pg.select("url"), P)

@@ -63,6 +63,10 @@ def test_crawl_loop_reaches_fixpoint(spark):
         "https://b.example.net/d": True,
         "https://b.example.net/f": True,
     }
+    # J3 inside the loop: a host whose rules deny everything is never queued.
+    rules = spark.createDataFrame([("b.example.net", "/", False)], "host string, path_prefix string, allow boolean")
+    gated = {r.url for r in C.crawl(captured, seeds, P, robots=rules).collect()}
+    assert gated == {"https://a.example.com", "https://a.example.com/b"}
     # A stopped crawl leaves its last frontier uncompleted.
     one = {r.url: r.completed for r in C.crawl(captured, seeds, P, max_rounds=1).collect()}
     assert one == {"https://a.example.com": True, "https://a.example.com/b": False, "https://b.example.net/d": False}
@@ -135,6 +139,11 @@ def test_sinks_and_formats(spark, tmp_dir):
     K_path = os.path.join(tmp_dir, "audit")
     L.write_link_audit(audit, K_path)
     assert sorted(d for d in os.listdir(K_path) if d.startswith("is_valid=")) == ["is_valid=false", "is_valid=true"]
+    L.write_link_audit_text(audit, os.path.join(tmp_dir, "ok.txt"), os.path.join(tmp_dir, "bad.txt"))
+    bad = [r.value for r in spark.read.text(os.path.join(tmp_dir, "bad.txt")).collect()]
+    ok = spark.read.text(os.path.join(tmp_dir, "ok.txt")).count()
+    assert ok == audit.where("is_valid").count()
+    assert len(bad) == 2 * audit.where("not is_valid").count() and sum(v.startswith("From: ") for v in bad) == len(bad) // 2
     visited = os.path.join(tmp_dir, "visited")
     K.write_visited(resp, visited)
     K.write_visited(resp, visited)
