@@ -75,7 +75,9 @@ def spread_small_input(df):
     returned untouched, so this never reshuffles big data. A table stored as a
     single file with one row group is otherwise tokenised by one task.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the plan as it is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)

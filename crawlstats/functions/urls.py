@@ -9,7 +9,7 @@ absent parts, which the hash needs.
 
 from __future__ import annotations
 
-from urllib.parse import uses_netloc, uses_params, uses_relative
+from urllib.parse import uses_params, uses_relative
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,9 +22,6 @@ PATH_PARAMS = r"^((?:.*/)?[^/;]*)(?:;([^/]*))?$"
 # Schemes whose last path segment may carry ';params' (Python stdlib list).
 PARAM_SCHEMES = tuple(uses_params)
 RELATIVE_SCHEMES = tuple(uses_relative)
-NETLOC_SCHEMES = tuple(uses_netloc)
-
-PART_NAMES = ("scheme", "netloc", "path", "params", "query", "fragment")
 
 
 def _col(c) -> Column:

@@ -11,8 +11,6 @@ Checkpoints cut lineage, so a lost executor recomputes at most one round.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -192,7 +190,3 @@ def crawl(
             "url_hash", "url", (F.col("completed") & F.col("_todo").isNull()).alias("completed")
         )
     return out
-
-
-def seeds_from(urls: Sequence[str], spark) -> DataFrame:
-    return spark.createDataFrame([(u,) for u in urls], "url string")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlstats.config import CrawlParams
@@ -162,7 +162,3 @@ def fetch_list(
     if ordered:
         out = out.orderBy("rn", F.col("bucket").asc_nulls_last())
     return out
-
-
-def bucket_of(url: Column, params: CrawlParams) -> Column:
-    return domain_bucket(url, params.buckets)

@@ -29,6 +29,10 @@ def local_session(cores: int | None = None, app: str = "crawlstats") -> SparkSes
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
+    event_dir = os.environ.get("CRAWLSTATS_EVENT_LOG_DIR")
+    if event_dir:
+        # Stage and task times for later reading; the web UI stays off.
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
