@@ -112,3 +112,16 @@ def test_fetch_list_matches_plain_window(spark):
     assert max(r.rn for r in capped) == 3 and [(r.rn, r.bucket) for r in capped] == sorted(
         (r.rn, r.bucket if r.bucket is not None else 99) for r in capped
     )
+
+
+def test_status_gate_and_approx_q1(spark):
+    rows = [
+        (1, "http://a.example.com/1", 200, None, "<p>one two three</p>"),
+        (2, "http://b.example.com/2", 404, None, "<p>a b c d e f</p>"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, status int, error string, html string")
+    resp = responses(pages)
+    assert R.unique_pages(resp).first().unique_pages == 2  # Q1 takes any status
+    assert R.unique_pages(resp, approx=True).first().unique_pages == 2
+    assert R.longest_page(resp).first().url == "http://a.example.com/1"  # 404 skipped
+    assert [r.subdomain for r in R.subdomain_pages(resp, "example").collect()] == ["a"]
