@@ -33,8 +33,9 @@ class CrawlParams:
     size_limit: int = 1_000_000
     max_url_length: int = 250
     delay: float = 0.5
-    # Broadcast a dimension only when it has at most this many rows.
-    broadcast_max_rows: int = 1_000_000
+    # Broadcast a data-sized side only when it has at most this many rows:
+    # a URL row with its hash is ~170 bytes, so 200k rows stay near 35 MB.
+    broadcast_max_rows: int = 200_000
     extra_rules: tuple = field(default=())
 
 

@@ -23,20 +23,21 @@ def rules_by_host(rules: DataFrame) -> DataFrame:
     return rules.groupBy("host").agg(F.sort_array(F.collect_list(r), asc=False).alias("rules"))
 
 
-def robots_gate(urls: DataFrame, rules: DataFrame, *, url_col: str = "url", broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def robots_gate(urls: DataFrame, rules: DataFrame, *, url_col: str = "url", broadcast_max_rows: int = 200_000) -> DataFrame:
     """Add ``allowed``: the longest matching rule of the URL's host decides;
     a host without rules, or a path no rule matches, is allowed.
 
     The rules are grouped per host and joined on the host, so each URL row
     meets at most one small array and picks its rule with array functions.
-    The grouped rules are broadcast when the host count is within the bound
+    The grouped rules are broadcast when the rule count is within the bound
     (checked with a bounded count), else both sides shuffle on the host; a
     host with a third of all URLs is then split by AQE's skew handling.
     """
     p = url_parts(url_col)
     keyed = urls.withColumn("_host", p["netloc"]).withColumn("_path", p["path"])
     grouped = rules_by_host(rules).withColumnRenamed("host", "_host")
-    small = grouped.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+    # Bound the rules themselves (the broadcast carries every rule).
+    small = rules.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
     side = F.broadcast(grouped) if small else grouped
     joined = keyed.join(side, "_host", "left")
     matched = F.filter(F.col("rules"), lambda r: F.col("_path").startswith(r["prefix"]))

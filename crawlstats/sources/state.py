@@ -1,49 +1,40 @@
 """Durable crawl state (S5, R3 for batch): a versioned Parquet table.
 
-Each committed round writes a new ``v=<n>`` folder; readers take the latest
-complete version, so a round that dies half-written is never read and the
-crawl resumes from the last commit. Restarting from the seeds writes a new
+Each committed round writes a new ``v=<n>`` folder and then appends its
+number to a small ``commits`` table. Readers take the highest committed
+version, so a round that dies half-written is never read and the crawl
+resumes from the last commit. Restarting from the seeds commits a new
 version holding only the seeds (older versions stay as history).
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from crawlstats.operators.frontier import STATE_COLUMNS, seed_state
 
-_VERSION = re.compile(r"^v=(\d+)$")
-_DONE = "_SUCCESS"
-
 
 class StateStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _fs(self):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _commits(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema("version int").parquet(f"{self.root}/commits")
+        except AnalysisException:
+            return None
 
     def versions(self) -> list[int]:
-        """Committed versions (folders with a success marker), ascending."""
-        path, fs = self._fs()
-        if not fs.exists(path):
-            return []
-        jvm = self.spark._jvm
-        out = []
-        for st in fs.listStatus(path):
-            m = _VERSION.match(st.getPath().getName())
-            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), _DONE)):
-                out.append(int(m.group(1)))
-        return sorted(out)
+        """Committed versions, ascending."""
+        c = self._commits()
+        return [] if c is None else sorted(r.version for r in c.distinct().collect())
 
     def latest(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
+        c = self._commits()
+        return None if c is None else c.agg(F.max("version")).first()[0]
 
     def read(self, version: int | None = None) -> DataFrame:
         v = self.latest() if version is None else version
@@ -52,10 +43,11 @@ class StateStore:
         return self.spark.read.parquet(f"{self.root}/v={v:06d}")
 
     def commit(self, state: DataFrame) -> int:
-        """Write ``state`` as the next version; returns its number."""
+        """Write ``state`` as the next version, then record the commit."""
         latest = self.latest()
         v = 0 if latest is None else latest + 1
         state.select(*STATE_COLUMNS).write.mode("overwrite").parquet(f"{self.root}/v={v:06d}")
+        self.spark.createDataFrame([(v,)], "version int").write.mode("append").parquet(f"{self.root}/commits")
         return v
 
     def start(self, seeds: DataFrame, restart: bool = False) -> DataFrame:
