@@ -45,10 +45,12 @@ def page_token_counts(resp: DataFrame) -> DataFrame:
 def longest_page(resp: DataFrame) -> DataFrame:
     """A3 / Q2: the page with most tokens; ties go to the smallest page_id.
 
+    Pages without a body are not candidates.
+
     One ``max_by`` aggregate: a partial max per task and a one-row final,
     no sort and no shuffle of pages.
     """
-    counts = page_token_counts(resp)
+    counts = page_token_counts(resp.where(F.col("html").isNotNull()))  # D8: no body, no entry
     best = F.max_by(F.struct("url", "n_tokens"), F.struct(F.col("n_tokens"), -F.col("page_id")))
     return (
         counts.agg(best.alias("b"))

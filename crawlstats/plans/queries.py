@@ -73,6 +73,7 @@ def q1_unique_pages(spark, sf_dir):
     f"""
     SELECT url, n_tokens FROM (
       SELECT page_id, url, {O.token_count(O.visible_text('html'))} AS n_tokens FROM pages
+      WHERE html IS NOT NULL
     ) ORDER BY n_tokens DESC, page_id LIMIT 1
     """,
 )

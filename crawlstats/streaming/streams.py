@@ -53,7 +53,9 @@ def running_unique_pages(pages: DataFrame) -> DataFrame:
 
 def running_longest_page(pages: DataFrame) -> DataFrame:
     """The longest page so far (status-200 captures)."""
-    counts = distinct_captures(pages).select("page_id", "url", page_token_count("html").alias("n_tokens"))
+    counts = distinct_captures(pages).where(F.col("html").isNotNull()).select(
+        "page_id", "url", page_token_count("html").alias("n_tokens")
+    )
     best = F.max_by(F.struct("url", "n_tokens"), F.struct(F.col("n_tokens"), -F.col("page_id")))
     return counts.agg(best.alias("b")).select(F.col("b.url").alias("url"), F.col("b.n_tokens").alias("n_tokens"))
 

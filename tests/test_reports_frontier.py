@@ -23,6 +23,12 @@ def test_q2_tie_goes_to_smallest_id(spark):
     assert (r.url, r.n_tokens) == ("http://a.example.com/2", 2)
 
 
+def test_q2_null_body_is_not_a_candidate(spark):
+    rows = [(1, "http://a.example.com/1", None), (2, "http://a.example.com/2", "")]
+    r = R.longest_page(_resp(spark, rows)).first()
+    assert (r.url, r.n_tokens) == ("http://a.example.com/2", 0)
+
+
 def test_q2_skips_large_pages(spark):
     rows = [(1, "http://a.example.com/1", "a " * 10), (2, "http://a.example.com/2", "b c")]
     resp = responses(spark.createDataFrame(rows, "page_id long, url string, html string"), size_limit=10)
