@@ -92,8 +92,11 @@ def page_links(resp: DataFrame, parser: str = "regex") -> DataFrame:
     ``parser='regex'`` (default) stays in the JVM. ``parser='html'`` reads
     anchors with the standard library's HTML parser in Arrow batches
     (``mapInPandas``; attribute values holding '>' and every named entity
-    are handled), then resolves in the JVM. Either way the per-page distinct
-    is an array operation on the page's row, so nothing is shuffled.
+    are handled), then resolves in the JVM; set
+    ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB in the local
+    session) so a batch of large bodies stays small in the Python worker.
+    Either way the per-page distinct is an array operation on the page's row,
+    so nothing is shuffled.
     """
     ok = spread_small_input(ok_responses(resp).select("page_id", "url", "html"))
     if parser == "html":

@@ -25,6 +25,8 @@ def local_session(cores: int | None = None, app: str = "crawlstats") -> SparkSes
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Arrow batches sized by bytes as well as rows: HTML bodies are large.
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
         .config("spark.driver.memory", os.environ.get("CRAWLSTATS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
