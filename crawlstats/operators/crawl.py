@@ -11,17 +11,18 @@ Checkpoints cut lineage, so a lost executor recomputes at most one round.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlstats.config import CrawlParams, ensure_checkpoint_dir
+from crawlstats.config import CrawlParams, ensure_checkpoint_dir, shared_dir
 from crawlstats.operators.frontier import dedup_by_hash, keyed, seed_state
 from crawlstats.operators.gates import robots_gate
 from crawlstats.operators.links import Extractor, page_links
 from crawlstats.functions.scope import reject_reason
 
 NOT_CAPTURED = "not captured"
-COMPACT_EVERY = 16
 
 
 def _sized_join(small: DataFrame, n_small: int, big: DataFrame, on: str, how: str, max_rows: int) -> DataFrame:
@@ -57,60 +58,85 @@ def lookup_captured(frontier: DataFrame, captured: DataFrame, index: DataFrame |
     )
 
 
+class _BucketedTable:
+    """A table in the shared folder, bucketed on ``key`` (and optionally
+    partitioned): joins on ``key`` read it in place and shuffle only the other
+    side into the same buckets. Written files survive executor loss like a
+    checkpoint does."""
+
+    def __init__(self, spark, prefix: str, key: str, buckets: int, partition: str | None = None):
+        self.spark, self.key, self.buckets, self.partition = spark, key, buckets, partition
+        self.name = f"crawlstats_{prefix}_{uuid.uuid4().hex[:12]}"
+        self.path = shared_dir(spark, self.name)
+
+    def append(self, df: DataFrame) -> None:
+        w = df.write.mode("append").option("path", self.path)
+        if self.partition:
+            w = w.partitionBy(self.partition)
+        w.bucketBy(self.buckets, self.key).sortBy(self.key).saveAsTable(self.name)
+        self.spark.catalog.refreshTable(self.name)
+
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+
 def reachable(
     seeds: DataFrame,
     edges: DataFrame,
     *,
     max_rounds: int | None = None,
     broadcast_max_rows: int = 1_000_000,
+    buckets: int | None = None,
 ) -> DataFrame:
     """I1 on a graph: every node reachable from the seeds, with its depth.
 
     Semi-naive breadth-first rounds: only the nodes found in the previous
     round are expanded, and only unseen ones are kept. Runs to a fixpoint
     unless ``max_rounds`` is given.
+
+    The visited set is a table partitioned by depth (the next frontier is a
+    pruned read of one partition) and bucketed by node. A small round
+    broadcasts its frontier and candidates, so edges and visited nodes are
+    scanned in place; a large round joins against the bucketed visited table
+    and a bucketed copy of the edges (written once, when first needed), so
+    again only the round's own rows are shuffled.
     """
     spark = seeds.sparkSession
     ensure_checkpoint_dir(spark)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     edges = edges.select("src", "dst")
-    visited = seeds.select("node").distinct().withColumn("depth", F.lit(0)).checkpoint()
-    pieces = [visited]
-    frontier, n_frontier = visited.select("node"), visited.count()
+    edges_by_src: DataFrame | None = None
+    visited = _BucketedTable(spark, "visited", "node", n, partition="depth")
+    visited.append(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
+    frontier = visited.table().where(F.col("depth") == 0).select("node")
+    n_frontier = frontier.count()
     depth = 0
     while n_frontier > 0 and (max_rounds is None or depth < max_rounds):
         depth += 1
-        step = _sized_join(
-            frontier.withColumnRenamed("node", "src"), n_frontier, edges, "src", "left_semi", broadcast_max_rows
-        )
-        # left_semi keeps edge rows whose src is on the frontier
+        src = frontier.withColumnRenamed("node", "src")
+        if n_frontier <= broadcast_max_rows:
+            step = edges.join(F.broadcast(src), "src", "left_semi")
+        else:
+            if edges_by_src is None:
+                bucketed = _BucketedTable(spark, "edges", "src", n)
+                bucketed.append(edges)
+                edges_by_src = bucketed.table()
+            step = edges_by_src.join(src, "src", "left_semi")
         cand = step.select(F.col("dst").alias("node")).distinct().checkpoint()
         n_cand = cand.count()
         if n_cand == 0:
             break
-        seen_all = pieces[0].select("node")
-        for p in pieces[1:]:
-            seen_all = seen_all.unionByName(p.select("node"))
+        seen_all = visited.table().select("node")
         if n_cand <= broadcast_max_rows:
             # Scan the visited set once, probing a broadcast of the candidates.
             seen = seen_all.join(F.broadcast(cand), "node", "left_semi")
             fresh = cand.join(seen, "node", "left_anti")
         else:
             fresh = cand.join(seen_all, "node", "left_anti")
-        fresh = fresh.withColumn("depth", F.lit(depth)).checkpoint()
-        n_frontier = fresh.count()
-        if n_frontier == 0:
-            break
-        pieces.append(fresh)
-        frontier = fresh.select("node")
-        if len(pieces) > COMPACT_EVERY:
-            merged = pieces[0]
-            for p in pieces[1:]:
-                merged = merged.unionByName(p)
-            pieces = [merged.checkpoint()]
-    out = pieces[0]
-    for p in pieces[1:]:
-        out = out.unionByName(p)
-    return out
+        visited.append(fresh.withColumn("depth", F.lit(depth)))
+        frontier = visited.table().where(F.col("depth") == depth).select("node")
+        n_frontier = frontier.count()
+    return visited.table().select("node", "depth")
 
 
 def crawl(
@@ -133,19 +159,22 @@ def crawl(
     ``robots`` (host, path_prefix, allow) drops links the rules disallow (J3,
     off when not given).
 
-    Every URL added in round k is fetched in round k+1, so the state is kept
-    as one checkpointed piece per round and never rewritten: a round only
-    shuffles its own frontier and new URLs, and completion (J5) is settled
-    once at the end. Returns the crawl state ``(url_hash, url, completed)``.
+    Every URL added in round k is fetched in round k+1, so the state is one
+    table, partitioned by round and bucketed on url_hash, that is only ever
+    appended to: a round reads its frontier from one partition, shuffles only
+    its own candidates, and completion (J5) is settled by one projection at
+    the end. Returns the crawl state ``(url_hash, url, completed)``.
     """
     spark = captured.sparkSession
     ensure_checkpoint_dir(spark)
     extract_fn = extractor or page_links
     bmax = params.broadcast_max_rows
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = captured_index(captured).checkpoint()
-    start = (state if state is not None else seed_state(seeds)).select("url_hash", "url", "completed").checkpoint()
-    pieces = [start.select("url_hash", "url")]
-    frontier = start.where(~F.col("completed")).select("url_hash", "url").checkpoint()
+    start = state if state is not None else seed_state(seeds)
+    table = _BucketedTable(spark, "crawl_state", "url_hash", n, partition="round")
+    table.append(start.select("url_hash", "url", "completed").withColumn("round", F.lit(0)))
+    frontier = table.table().where((F.col("round") == 0) & ~F.col("completed")).select("url_hash", "url")
     n_frontier = frontier.count()
     rounds = 0
     while n_frontier > 0 and (max_rounds is None or rounds < max_rounds):
@@ -160,33 +189,25 @@ def crawl(
             valid = robots_gate(valid, robots, broadcast_max_rows=bmax).where("allowed").drop("allowed")
         cand = dedup_by_hash(keyed(valid), ("page_id",)).checkpoint()
         n_cand = cand.count()
-        seen = pieces[0].select("url_hash")
-        for p in pieces[1:]:
-            seen = seen.unionByName(p.select("url_hash"))
+        seen = table.table().select("url_hash")
         if n_cand <= bmax:
             # Scan the crawl state once, probing a broadcast of the candidates.
             known = seen.join(F.broadcast(cand.select("url_hash")), "url_hash", "left_semi")
             fresh = cand.join(known, "url_hash", "left_anti")
         else:
+            # The state is bucketed on url_hash: only the candidates shuffle.
             fresh = cand.join(seen, "url_hash", "left_anti")
-        frontier = fresh.select("url_hash", "url").checkpoint()
+        table.append(fresh.select("url_hash", "url", F.lit(False).alias("completed"), F.lit(rounds).alias("round")))
+        frontier = table.table().where(F.col("round") == rounds).select("url_hash", "url")
         n_frontier = frontier.count()
-        if n_frontier > 0:
-            pieces.append(frontier)
-        if len(pieces) > COMPACT_EVERY:
-            merged = pieces[1]
-            for p in pieces[2:]:
-                merged = merged.unionByName(p)
-            pieces = [pieces[0], merged.checkpoint()]
-    # Settle J5 once: the start state's pending URLs were fetched in round 1;
-    # every later piece was fetched in the round after it, except a frontier
-    # left over when max_rounds stopped the loop.
-    out = start.select("url_hash", "url", (F.col("completed") | F.lit(rounds >= 1)).alias("completed"))
-    for p in pieces[1:]:
-        out = out.unionByName(p.select("url_hash", "url", F.lit(True).alias("completed")))
-    if n_frontier > 0 and rounds >= 1 and len(pieces) > 1:
-        leftover = frontier.select("url_hash")
-        out = out.join(leftover.withColumn("_todo", F.lit(True)), "url_hash", "left").select(
-            "url_hash", "url", (F.col("completed") & F.col("_todo").isNull()).alias("completed")
-        )
-    return out
+    # Settle J5 once: the start state's pending URLs were fetched in round 1
+    # and every later round's URLs in the round after, except a frontier left
+    # over when max_rounds stopped the loop.
+    leftover = n_frontier > 0 and rounds >= 1
+    r = F.col("round")
+    completed = (
+        F.when(r == 0, F.col("completed") | F.lit(rounds >= 1))
+        .when((r == rounds) & F.lit(leftover), F.lit(False))
+        .otherwise(F.lit(True))
+    )
+    return table.table().select("url_hash", "url", completed.alias("completed"))

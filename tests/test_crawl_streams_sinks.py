@@ -63,6 +63,11 @@ def test_crawl_loop_reaches_fixpoint(spark):
         "https://b.example.net/d": True,
         "https://b.example.net/f": True,
     }
+    # Shuffle path (nothing broadcast, bucketed state): same result.
+    from dataclasses import replace
+
+    big = {r.url: r.completed for r in C.crawl(captured, seeds, replace(P, broadcast_max_rows=0)).collect()}
+    assert big == got
     # J3 inside the loop: a host whose rules deny everything is never queued.
     rules = spark.createDataFrame([("b.example.net", "/", False)], "host string, path_prefix string, allow boolean")
     gated = {r.url for r in C.crawl(captured, seeds, P, robots=rules).collect()}
