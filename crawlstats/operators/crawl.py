@@ -1,12 +1,14 @@
 """Crawl rounds: captured-page lookup (J4), link-graph closure and the crawl loop.
 
-A round is one DataFrame plan. Between rounds the driver only reads a row
-count of data already written by ``checkpoint()`` (reliable, in the folder
-``spark.checkpoint.dir`` names), which both ends the loop at a true fixpoint
-and sizes the next joins: a side at most ``broadcast_max_rows`` rows is
-broadcast so the big side (edges, visited set, captured pages) is scanned in
-place instead of shuffled; beyond that bound the join shuffles both sides.
-Checkpoints cut lineage, so a lost executor recomputes at most one round.
+A round is one DataFrame plan. Between rounds the driver only reads row
+counts, which both end the loop at a true fixpoint and size the next joins:
+a side of at most ``broadcast_max_rows`` rows is broadcast so the big side
+(edges, captured pages, the visited set or crawl state) is scanned in place.
+The visited set and the crawl state are tables in the folder
+``spark.checkpoint.dir`` names, partitioned by round and bucketed on the join
+key, so larger rounds join against them without shuffling them. Round
+candidates are written with ``checkpoint()`` (reliable); written data cuts
+lineage, so a lost executor recomputes at most one round.
 """
 
 from __future__ import annotations
@@ -17,10 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlstats.config import CrawlParams, ensure_checkpoint_dir, shared_dir
+from crawlstats.functions.scope import reject_reason
 from crawlstats.operators.frontier import dedup_by_hash, keyed, seed_state
 from crawlstats.operators.gates import robots_gate
 from crawlstats.operators.links import Extractor, page_links
-from crawlstats.functions.scope import reject_reason
 
 NOT_CAPTURED = "not captured"
 
