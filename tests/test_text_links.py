@@ -63,3 +63,19 @@ def test_html_parser_option_agrees(spark):
     got = {(r.page_id, r.link) for r in page_links(hard, parser="html").collect()}
     exp = {(r.page_id, r.link) for r in page_links(hard).collect()}
     assert got == exp
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+TEXT = st.text(alphabet="ab1É.,'; \n\t-é?#&<>\"*()", max_size=40)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=30))
+def test_token_count_equals_token_array_size(spark, texts):
+    from crawlstats.functions.text import token_count, tokens
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", token_count("t").alias("n"), F.size(tokens("t")).alias("m")).collect():
+        assert r.n == r.m, r.t
