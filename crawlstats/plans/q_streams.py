@@ -49,8 +49,13 @@ def _stop_words(spark) -> list[str]:
 
 @register("stream_top_words")
 def q_stream_top_words(spark, sf_dir):
+    """Q3 kept current in update mode: each trigger re-ranks changed words only."""
     stop = _stop_words(spark)
-    return _run_report(spark, sf_dir, lambda s: S.running_top_words(s, stop))
+    src = stage_source(spark, sf_dir)
+    out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
+    counts = S.running_word_counts(S.page_stream(spark, src, FILES_PER_TRIGGER), stop)
+    S.write_top_k_updates(counts, out, ckpt).awaitTermination()
+    return spark.read.parquet(out)
 
 
 @register("stream_subdomains")

@@ -129,6 +129,19 @@ def test_stream_stops_and_resumes_to_batch_result(spark, tmp_dir):
     assert got == exp
 
 
+def test_stream_top_k_updates_resume(spark, tmp_dir):
+    pages = spark.read.parquet(f"{SF0001}/pages.parquet")
+    src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("src3", "out3", "ckpt3"))
+    stop = R.english_stop_words(spark).rdd.map(lambda r: r.token).collect()
+    pages.where("page_id < 20").write.parquet(src)
+    S.write_top_k_updates(S.running_word_counts(S.page_stream(spark, src), stop), out, ckpt, k=20).awaitTermination()
+    pages.where("page_id >= 20").repartition(3).write.mode("append").parquet(src)
+    S.write_top_k_updates(S.running_word_counts(S.page_stream(spark, src), stop), out, ckpt, k=20).awaitTermination()
+    got = {(r.token, r.n) for r in spark.read.parquet(out).collect()}
+    exp = {(r.token, r.n) for r in R.top_page_words(spark, responses(pages), k=20).collect()}
+    assert got == exp
+
+
 def test_stream_new_urls_append(spark, tmp_dir):
     pages = spark.read.parquet(f"{SF0001}/pages.parquet")
     src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("src2", "out2", "ckpt2"))
