@@ -60,7 +60,16 @@ def q_stream_top_words(spark, sf_dir):
 
 @register("stream_subdomains")
 def q_stream_subdomains(spark, sf_dir):
-    return _run_report(spark, sf_dir, lambda s: S.running_subdomains(s, P.anchor))
+    """Q4 as two running aggregates over one source (page counts after dedup,
+    first host over all rows); the report joins their small result tables."""
+    src = stage_source(spark, sf_dir)
+    outs = []
+    for build in (S.running_subdomain_counts, S.running_subdomain_links):
+        out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
+        S.write_report(build(S.page_stream(spark, src, FILES_PER_TRIGGER), P.anchor), out, ckpt).awaitTermination()
+        outs.append(spark.read.parquet(out))
+    counts, links = outs
+    return links.join(counts, "subdomain").select("subdomain", "nice_link", "n_pages")
 
 
 @register("stream_unique_pages")

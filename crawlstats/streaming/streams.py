@@ -55,8 +55,12 @@ def running_unique_pages(pages: DataFrame) -> DataFrame:
 
 
 def running_longest_page(pages: DataFrame) -> DataFrame:
-    """The longest page so far (status-200 captures)."""
-    counts = distinct_captures(pages).where(F.col("html").isNotNull()).select(
+    """The longest page so far (status-200 captures).
+
+    No dedup: a re-delivery has the same URL and length and a larger id, so
+    the max (ties to the smallest id) is the same whatever the arrival order.
+    """
+    counts = pages.where(F.col("html").isNotNull()).select(
         "page_id", "url", page_token_count("html").alias("n_tokens")
     )
     best = F.max_by(F.struct("url", "n_tokens"), F.struct(F.col("n_tokens"), -F.col("page_id")))
@@ -114,24 +118,34 @@ def write_top_k_updates(
     return w.start()
 
 
-def running_subdomains(pages: DataFrame, anchor: str) -> DataFrame:
-    """Unique pages per subdomain so far.
-
-    ``count_distinct`` is not allowed on a stream, so pages are deduplicated
-    on their fragment-free key first and then counted.
-    """
+def _subdomain_rows(pages: DataFrame, anchor: str) -> DataFrame:
     p = url_parts("url")
-    rows = pages.select(
+    return pages.select(
         "page_id",
         subdomain(p["netloc"], anchor).alias("subdomain"),
         nice_link(p["netloc"]).alias("nice_link"),
         F.to_json(page_key("url")).alias("key"),
     ).where(F.col("subdomain").isNotNull())
-    return (
-        rows.dropDuplicates(["key"])
-        .groupBy("subdomain")
-        .agg(F.min_by("nice_link", "page_id").alias("nice_link"), F.count(F.lit(1)).alias("n_pages"))
-    )
+
+
+def running_subdomain_counts(pages: DataFrame, anchor: str) -> DataFrame:
+    """Unique pages per subdomain so far.
+
+    ``count_distinct`` is not allowed on a stream, so page keys are
+    deduplicated first and then counted.
+    """
+    rows = _subdomain_rows(pages, anchor).select("subdomain", "key")
+    return rows.dropDuplicates(["key"]).groupBy("subdomain").agg(F.count(F.lit(1)).alias("n_pages"))
+
+
+def running_subdomain_links(pages: DataFrame, anchor: str) -> DataFrame:
+    """Host of the first page (smallest id) of each subdomain so far.
+
+    Taken over every row rather than after the dedup, so it does not depend on
+    which delivery of a page arrived first.
+    """
+    rows = _subdomain_rows(pages, anchor)
+    return rows.groupBy("subdomain").agg(F.min_by("nice_link", "page_id").alias("nice_link"))
 
 
 def running_new_urls(pages: DataFrame, params: CrawlParams) -> DataFrame:
