@@ -108,7 +108,9 @@ def state_counts(state: DataFrame, params: CrawlParams, revalidate: bool = True)
     )
 
 
-def rank_in_group(df: DataFrame, group: str, order: str, fanout_hex: int = 3) -> DataFrame:
+def rank_in_group(
+    df: DataFrame, group: str, order: str, fanout_hex: int = 3, tiebreak: Sequence[str] = ()
+) -> DataFrame:
     """``row_number() over (partition by group order by order)`` without one
     task per group.
 
@@ -121,7 +123,7 @@ def rank_in_group(df: DataFrame, group: str, order: str, fanout_hex: int = 3) ->
     """
     sliced = df.withColumn("_slice", F.substring(F.col(order), 1, fanout_hex))
     local = sliced.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(group, "_slice").orderBy(order))
+        "_local", F.row_number().over(Window.partitionBy(group, "_slice").orderBy(order, *tiebreak))
     )
     sizes = local.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -144,13 +146,15 @@ def fetch_list(
 ) -> DataFrame:
     """W1 + W2: a domain-balanced, polite fetch list.
 
-    ``rn`` numbers the URLs of each bucket in hash order; reading by
+    ``rn`` numbers the URLs of each bucket in hash order (then URL); reading by
     ``(rn, bucket)`` takes one URL per bucket in turn. ``earliest_s`` is the
     earliest start (seconds) keeping one fetch per bucket per ``delay``.
     ``cap`` bounds the list per bucket (the job's stated size), ``ordered``
     adds the global read order (a range-partitioned sort).
     """
-    ranked = rank_in_group(frontier.select("url_hash", "url", "bucket"), "bucket", "url_hash", fanout_hex)
+    ranked = rank_in_group(
+        frontier.select("url_hash", "url", "bucket"), "bucket", "url_hash", fanout_hex, tiebreak=("url",)
+    )
     out = ranked.select(
         "url",
         "bucket",

@@ -123,7 +123,7 @@ def q_state_complete(spark, sf_dir):
     "fetch_list",
     f"""
     SELECT url, bucket, rn, CAST((rn - 1) * {P.delay} AS DOUBLE) AS earliest_s FROM (
-      SELECT url, bucket, row_number() OVER (PARTITION BY bucket ORDER BY url_hash) AS rn
+      SELECT url, bucket, row_number() OVER (PARTITION BY bucket ORDER BY url_hash, url) AS rn
       FROM ({_frontier_sql()})
     )
     """,
