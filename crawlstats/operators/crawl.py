@@ -1,14 +1,12 @@
 """Crawl rounds: captured-page lookup (J4), link-graph closure and the crawl loop.
 
-A round is one DataFrame plan. Between rounds the driver only reads row
-counts, which both end the loop at a true fixpoint and size the next joins:
-a side of at most ``broadcast_max_rows`` rows is broadcast so the big side
-(edges, captured pages, the visited set or crawl state) is scanned in place.
-The visited set and the crawl state are tables in the folder
-``spark.checkpoint.dir`` names, partitioned by round and bucketed on the join
-key, so larger rounds join against them without shuffling them. Round
-candidates are written with ``checkpoint()`` (reliable); written data cuts
-lineage, so a lost executor recomputes at most one round.
+A round is one DataFrame plan that appends its new rows to a table in the
+folder ``spark.checkpoint.dir`` names; the driver then reads one row count,
+which ends the loop at a true fixpoint and sizes the next round's frontier
+join (broadcast when at most ``broadcast_max_rows`` rows). The visited set and
+the crawl state are partitioned by round and bucketed on the join key, so a
+round's anti join reads them in place and shuffles only its candidates.
+Written rounds cut lineage, so a lost executor recomputes at most one round.
 """
 
 from __future__ import annotations
@@ -97,11 +95,10 @@ def reachable(
     unless ``max_rounds`` is given.
 
     The visited set is a table partitioned by depth (the next frontier is a
-    pruned read of one partition) and bucketed by node. A small round
-    broadcasts its frontier and candidates, so edges and visited nodes are
-    scanned in place; a large round joins against the bucketed visited table
-    and a bucketed copy of the edges (written once, when first needed), so
-    again only the round's own rows are shuffled.
+    pruned read of one partition) and bucketed by node, so the anti join
+    against it shuffles only the round's candidates. A frontier within the
+    bound is broadcast against the edges; a larger one joins a copy of the
+    edges bucketed by ``src`` (written once, when first needed).
     """
     spark = seeds.sparkSession
     ensure_checkpoint_dir(spark)
@@ -124,17 +121,10 @@ def reachable(
                 bucketed.append(edges)
                 edges_by_src = bucketed.table()
             step = edges_by_src.join(src, "src", "left_semi")
-        cand = step.select(F.col("dst").alias("node")).distinct().checkpoint()
-        n_cand = cand.count()
-        if n_cand == 0:
-            break
-        seen_all = visited.table().select("node")
-        if n_cand <= broadcast_max_rows:
-            # Scan the visited set once, probing a broadcast of the candidates.
-            seen = seen_all.join(F.broadcast(cand), "node", "left_semi")
-            fresh = cand.join(seen, "node", "left_anti")
-        else:
-            fresh = cand.join(seen_all, "node", "left_anti")
+        cand = step.select(F.col("dst").alias("node")).distinct()
+        # The visited table is bucketed on node: the anti join reads it in
+        # place and moves only the candidates.
+        fresh = cand.join(visited.table().select("node"), "node", "left_anti")
         visited.append(fresh.withColumn("depth", F.lit(depth)))
         frontier = visited.table().where(F.col("depth") == depth).select("node")
         n_frontier = frontier.count()
@@ -189,16 +179,10 @@ def crawl(
         valid = links.where(reason.isNull()).select(F.col("link").alias("url"), "page_id")
         if robots is not None:
             valid = robots_gate(valid, robots, broadcast_max_rows=bmax).where("allowed").drop("allowed")
-        cand = dedup_by_hash(keyed(valid), ("page_id",)).checkpoint()
-        n_cand = cand.count()
-        seen = table.table().select("url_hash")
-        if n_cand <= bmax:
-            # Scan the crawl state once, probing a broadcast of the candidates.
-            known = seen.join(F.broadcast(cand.select("url_hash")), "url_hash", "left_semi")
-            fresh = cand.join(known, "url_hash", "left_anti")
-        else:
-            # The state is bucketed on url_hash: only the candidates shuffle.
-            fresh = cand.join(seen, "url_hash", "left_anti")
+        cand = dedup_by_hash(keyed(valid), ("page_id",))
+        # The state is bucketed on url_hash: the anti join reads it in place
+        # and moves only the candidates, already hash-partitioned by the dedup.
+        fresh = cand.join(table.table().select("url_hash"), "url_hash", "left_anti")
         table.append(fresh.select("url_hash", "url", F.lit(False).alias("completed"), F.lit(rounds).alias("round")))
         frontier = table.table().where(F.col("round") == rounds).select("url_hash", "url")
         n_frontier = frontier.count()
