@@ -3,10 +3,12 @@
 A round is one DataFrame plan that appends its new rows to a table in the
 folder ``spark.checkpoint.dir`` names; the driver then reads one row count,
 which ends the loop at a true fixpoint and sizes the next round's frontier
-join (broadcast when at most ``broadcast_max_rows`` rows). The visited set and
-the crawl state are partitioned by round and bucketed on the join key, so a
-round's anti join reads them in place and shuffles only its candidates.
-Written rounds cut lineage, so a lost executor recomputes at most one round.
+join (broadcast when at most ``broadcast_max_rows`` rows). The crawl loop
+reads the captured HTML once, into an edges table bucketed by the hash of the
+URL each page answers. The visited set and the crawl state are partitioned by
+round and bucketed on the join key, so a round's anti join reads them in
+place and shuffles only its candidates. Written rounds cut lineage, so a lost
+executor recomputes at most one round.
 """
 
 from __future__ import annotations
@@ -25,12 +27,6 @@ from crawlstats.operators.links import Extractor, page_links
 NOT_CAPTURED = "not captured"
 
 
-def _sized_join(small: DataFrame, n_small: int, big: DataFrame, on: str, how: str, max_rows: int) -> DataFrame:
-    """``big`` joined with ``small``; broadcast ``small`` only below the bound."""
-    side = F.broadcast(small) if n_small <= max_rows else small
-    return big.join(side, on, how)
-
-
 def captured_index(captured: DataFrame) -> DataFrame:
     """(url_hash, page_id): one captured page per URL hash, the smallest id.
 
@@ -131,6 +127,32 @@ def reachable(
     return visited.table().select("node", "depth")
 
 
+def crawl_edges(
+    captured: DataFrame,
+    params: CrawlParams,
+    *,
+    extractor: Extractor | None = None,
+    robots: DataFrame | None = None,
+) -> DataFrame:
+    """(src_hash, url_hash, url, page_id): the valid out-links of the page that
+    answers each URL hash (G1, G4, F16, optional J3), from one pass over the
+    captured pages.
+
+    Every captured page is fetched at most once in a crawl, so its HTML is read
+    once here instead of once per round; only the (small) link rows are
+    shuffled, to keep the links of the page each hash is answered by
+    (``captured_index``: the smallest page_id).
+    """
+    extract_fn = extractor or page_links
+    links = extract_fn(captured)
+    reason = reject_reason(F.col("link"), params.domains, max_len=params.max_url_length, extra_rules=params.extra_rules)
+    valid = links.where(reason.isNull()).select("page_id", F.col("link").alias("url"))
+    if robots is not None:
+        valid = robots_gate(valid, robots, broadcast_max_rows=params.broadcast_max_rows).where("allowed").drop("allowed")
+    answering = captured_index(captured).withColumnRenamed("url_hash", "src_hash")
+    return keyed(valid).join(answering, "page_id").select("src_hash", "url_hash", "url", "page_id")
+
+
 def crawl(
     captured: DataFrame,
     seeds: DataFrame,
@@ -143,48 +165,48 @@ def crawl(
 ) -> DataFrame:
     """I1 on captured pages: the crawl loop until no unseen valid URL is left.
 
-    Each round looks up the pending URLs among the captured responses (J4),
-    extracts and validates their links (G1, G4) and keeps the unseen ones
-    (J1, X2); those are the next round's frontier. ``captured`` holds
-    ``(page_id, url, status, error, html)``; seeds bypass the scope rules;
-    ``state`` resumes an earlier crawl state instead of the seeds;
-    ``robots`` (host, path_prefix, allow) drops links the rules disallow (J3,
-    off when not given).
-
-    Every URL added in round k is fetched in round k+1, so the state is one
-    table, partitioned by round and bucketed on url_hash, that is only ever
-    appended to: a round reads its frontier from one partition, shuffles only
-    its own candidates, and completion (J5) is settled by one projection at
-    the end. Returns the crawl state ``(url_hash, url, completed)``.
+    Each round fetches the pending URLs from the captured responses (J4),
+    takes the valid links of the fetched pages (G1, G4) and keeps the unseen
+    ones (J1, X2, earliest by page_id then URL); those are the next round's
+    frontier. ``captured`` holds ``(page_id, url, status, error, html)``;
+    seeds bypass the scope rules; ``state`` resumes an earlier crawl state
+    instead of the seeds; ``robots`` (host, path_prefix, allow) drops links the
+    rules disallow (J3, off when not given).
+
+    The HTML is read once: ``crawl_edges`` turns the captured pages into link
+    rows keyed by the hash of the URL that fetches them, stored bucketed on
+    that hash. Every URL added in round k is fetched in round k+1, so the
+    state is one table, partitioned by round and bucketed on url_hash, that is
+    only ever appended to. A round reads its frontier from one partition, joins
+    it to the edges (broadcast within the bound, else into the edge buckets),
+    shuffles only its candidates into the state's buckets, and completion (J5)
+    is settled by one projection at the end. Returns the crawl state
+    ``(url_hash, url, completed)``.
     """
     spark = captured.sparkSession
     ensure_checkpoint_dir(spark)
-    extract_fn = extractor or page_links
     bmax = params.broadcast_max_rows
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = captured_index(captured).checkpoint()
+    edges_table = _BucketedTable(spark, "crawl_edges", "src_hash", n)
+    edges_table.append(crawl_edges(captured, params, extractor=extractor, robots=robots))
+    edges = edges_table.table()
     start = state if state is not None else seed_state(seeds)
     table = _BucketedTable(spark, "crawl_state", "url_hash", n, partition="round")
     table.append(start.select("url_hash", "url", "completed").withColumn("round", F.lit(0)))
-    frontier = table.table().where((F.col("round") == 0) & ~F.col("completed")).select("url_hash", "url")
+    frontier = table.table().where((F.col("round") == 0) & ~F.col("completed")).select("url_hash")
     n_frontier = frontier.count()
     rounds = 0
     while n_frontier > 0 and (max_rounds is None or rounds < max_rounds):
         rounds += 1
-        hits = _sized_join(frontier.select("url_hash"), n_frontier, index, "url_hash", "left_semi", bmax)
-        hits = hits.select("page_id").checkpoint()
-        fetched = _sized_join(hits, hits.count(), captured, "page_id", "left_semi", bmax)
-        links = extract_fn(fetched)
-        reason = reject_reason(F.col("link"), params.domains, max_len=params.max_url_length, extra_rules=params.extra_rules)
-        valid = links.where(reason.isNull()).select(F.col("link").alias("url"), "page_id")
-        if robots is not None:
-            valid = robots_gate(valid, robots, broadcast_max_rows=bmax).where("allowed").drop("allowed")
-        cand = dedup_by_hash(keyed(valid), ("page_id",))
+        src = frontier.withColumnRenamed("url_hash", "src_hash")
+        side = F.broadcast(src) if n_frontier <= bmax else src
+        found = edges.join(side, "src_hash", "left_semi").select("url_hash", "url", "page_id")
+        cand = dedup_by_hash(found, ("page_id",))
         # The state is bucketed on url_hash: the anti join reads it in place
         # and moves only the candidates, already hash-partitioned by the dedup.
         fresh = cand.join(table.table().select("url_hash"), "url_hash", "left_anti")
         table.append(fresh.select("url_hash", "url", F.lit(False).alias("completed"), F.lit(rounds).alias("round")))
-        frontier = table.table().where(F.col("round") == rounds).select("url_hash", "url")
+        frontier = table.table().where(F.col("round") == rounds).select("url_hash")
         n_frontier = frontier.count()
     # Settle J5 once: the start state's pending URLs were fetched in round 1
     # and every later round's URLs in the round after, except a frontier left
