@@ -4,7 +4,6 @@ from urllib.parse import urljoin, urlparse
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from crawlstats.functions import urls as U
 
