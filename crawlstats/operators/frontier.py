@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlstats.config import CrawlParams
+from crawlstats.config import CrawlParams, ensure_checkpoint_dir
 from crawlstats.functions.scope import reject_reason
 from crawlstats.functions.urls import domain_bucket, normalize, url_hash
 
@@ -44,21 +44,42 @@ def dedup_by_hash(df: DataFrame, order: Sequence[str] = ("url",)) -> DataFrame:
     return df.groupBy("url_hash").agg(F.min_by("url", key).alias("url"))
 
 
+def _small(df: DataFrame, broadcast_max_rows: int | None) -> tuple[DataFrame, bool]:
+    """Write ``df`` once and tell whether it is within the broadcast bound.
+
+    Without a bound the plan stays lazy and joins shuffle both sides.
+    """
+    if broadcast_max_rows is None:
+        return df, False
+    ensure_checkpoint_dir(df.sparkSession)
+    done = df.checkpoint()
+    return done, done.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+
+
 def new_urls(
     candidates: DataFrame,
     state: DataFrame,
     buckets: Sequence[str],
     order: Sequence[str] = (),
+    *,
+    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """J1 + X2: candidate URLs whose hash the state has never seen.
 
     Candidates are normalised, hashed and deduplicated first (keeping the
-    earliest by ``order``); the anti join against the state then reuses the
-    aggregate's hash partitioning on ``url_hash``, so only the state side
-    is exchanged.
+    earliest by ``order``). By default the anti join against the state then
+    reuses the aggregate's hash partitioning on ``url_hash``, so only the
+    state's hash column is exchanged. With ``broadcast_max_rows``, the deduped
+    candidates are written once and, when within the bound, broadcast: the
+    state is scanned for the hashes it already knows and never shuffled.
     """
     fresh = dedup_by_hash(keyed(candidates.select("url", *order)), order)
-    unseen = fresh.join(state.select("url_hash"), "url_hash", "left_anti")
+    fresh, small = _small(fresh, broadcast_max_rows)
+    if small:
+        known = state.select("url_hash").join(F.broadcast(fresh.select("url_hash")), "url_hash", "left_semi")
+        unseen = fresh.join(known, "url_hash", "left_anti")
+    else:
+        unseen = fresh.join(state.select("url_hash"), "url_hash", "left_anti")
     return unseen.select("url_hash", "url", domain_bucket("url", buckets).alias("bucket"))
 
 
@@ -68,15 +89,28 @@ def seed_state(seeds: DataFrame) -> DataFrame:
     return fresh.select("url_hash", "url", F.lit(False).alias("completed"))
 
 
-def mark_complete(state: DataFrame, done: DataFrame) -> DataFrame:
+def mark_complete(state: DataFrame, done: DataFrame, *, broadcast_max_rows: int | None = None) -> DataFrame:
     """Set ``completed`` for fetched URLs, inserting unseen ones.
 
-    A full outer join on url_hash: the fetched URL replaces the stored one,
-    as an update by key would.
+    The fetched URL replaces the stored one, as an update by key would. By
+    default this is a full outer join on url_hash. With
+    ``broadcast_max_rows``, the fetched set is written once and, when within
+    the bound, broadcast: the state is updated in place by a broadcast join
+    (no shuffle of the state) and the unseen fetched URLs are appended.
     """
     d = dedup_by_hash(keyed(done.select("url"))).withColumn("done", F.lit(True))
+    d, small = _small(d, broadcast_max_rows)
     s = state.select("url_hash", F.col("url").alias("old_url"), F.col("completed").alias("old_completed"))
-    joined = s.join(d, "url_hash", "full_outer")
+    if small:
+        updated = s.join(F.broadcast(d), "url_hash", "left")
+        known = s.select("url_hash").join(F.broadcast(d.select("url_hash")), "url_hash", "left_semi")
+        inserted = d.join(known, "url_hash", "left_anti").select(
+            "url_hash", "url", "done", F.lit(None).cast("string").alias("old_url"),
+            F.lit(None).cast("boolean").alias("old_completed"),
+        )
+        joined = updated.unionByName(inserted)
+    else:
+        joined = s.join(d, "url_hash", "full_outer")
     return joined.select(
         "url_hash",
         F.coalesce("url", "old_url").alias("url"),

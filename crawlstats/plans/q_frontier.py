@@ -32,7 +32,7 @@ def _new(spark, sf_dir, st=None):
     st = st if st is not None else X.crawl_state(pg)
     valid = L.valid_links(L.page_links(responses(pg)), P.domains, max_len=P.max_url_length)
     cand = valid.select("page_id", F.col("link").alias("url")).unionByName(X.scheme_twins(pg))
-    return FR.new_urls(cand, st, P.buckets, order=("page_id",))
+    return FR.new_urls(cand, st, P.buckets, order=("page_id",), broadcast_max_rows=P.broadcast_max_rows)
 
 
 def _frontier(spark, sf_dir):
@@ -116,7 +116,7 @@ def q_state_complete(spark, sf_dir):
     done = _new(spark, sf_dir, st).select("url").unionByName(
         FR.pending(st, P).where(F.col("bucket") == 0).select("url")
     )
-    return FR.mark_complete(st, done)
+    return FR.mark_complete(st, done, broadcast_max_rows=P.broadcast_max_rows)
 
 
 @register(

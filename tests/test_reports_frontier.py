@@ -71,14 +71,17 @@ def test_new_urls_dedup_and_anti_join(spark):
         [(1, "http://a.example.com/2"), (2, "https://a.example.com/3/"), (3, "http://a.example.com/3"), (4, "https://b.example.net/x")],
         "page_id long, url string",
     )
-    got = {r.url: r.bucket for r in FR.new_urls(cand, st, P.buckets, order=("page_id",)).collect()}
-    assert got == {"https://a.example.com/3": 0, "https://b.example.net/x": 1}
+    for bmax in (None, 0, 100):  # lazy shuffle join, written + shuffle, written + broadcast
+        got = {r.url: r.bucket for r in FR.new_urls(cand, st, P.buckets, order=("page_id",), broadcast_max_rows=bmax).collect()}
+        assert got == {"https://a.example.com/3": 0, "https://b.example.net/x": 1}
 
 
 def test_mark_complete_upserts(spark):
     st = _state(spark)
     done = spark.createDataFrame([("https://a.example.com/2",), ("https://c.example.com/new",)], "url string")
-    got = {r.url: r.completed for r in FR.mark_complete(st, done).collect()}
+    results = [{r.url: r.completed for r in FR.mark_complete(st, done, broadcast_max_rows=b).collect()} for b in (None, 0, 100)]
+    assert results[0] == results[1] == results[2]
+    got = results[0]
     assert got == {
         "https://a.example.com/1": True,
         "https://a.example.com/2": True,
