@@ -36,14 +36,31 @@ def captured_index(captured: DataFrame) -> DataFrame:
     return k.groupBy("url_hash").agg(F.min("page_id").alias("page_id"))
 
 
-def lookup_captured(frontier: DataFrame, captured: DataFrame, index: DataFrame | None = None) -> DataFrame:
+def lookup_captured(
+    frontier: DataFrame,
+    captured: DataFrame,
+    index: DataFrame | None = None,
+    *,
+    broadcast_max_rows: int | None = None,
+) -> DataFrame:
     """The captured response of each frontier URL (the re-aimed fetch).
 
-    Frontier rows without a captured page get status null and an error.
+    Frontier rows without a captured page get status null and an error. With
+    ``broadcast_max_rows``, a frontier within the bound (written once and
+    counted) is broadcast into the index and the captured pages, which are
+    then scanned instead of shuffled; only the matching rows meet the frontier.
     """
     idx = index if index is not None else captured_index(captured)
-    hit = frontier.join(idx, "url_hash", "left")
     cap = captured.select("page_id", "status", "error")
+    small = False
+    if broadcast_max_rows is not None:
+        ensure_checkpoint_dir(frontier.sparkSession)
+        frontier = frontier.checkpoint()
+        small = frontier.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+    if small:
+        idx = idx.join(F.broadcast(frontier.select("url_hash")), "url_hash", "left_semi")
+        cap = cap.join(F.broadcast(idx.select("page_id")), "page_id", "left_semi")
+    hit = frontier.join(idx, "url_hash", "left")
     out = hit.join(cap, "page_id", "left")
     return out.select(
         "url_hash",

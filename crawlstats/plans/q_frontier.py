@@ -152,7 +152,7 @@ def q_fetch_list(spark, sf_dir):
 )
 def q_captured_lookup(spark, sf_dir):
     captured = resp(spark, sf_dir, P.size_limit)
-    return C.lookup_captured(_frontier(spark, sf_dir), captured)
+    return C.lookup_captured(_frontier(spark, sf_dir), captured, broadcast_max_rows=P.broadcast_max_rows)
 
 
 @register(

@@ -86,9 +86,10 @@ def test_lookup_captured(spark):
 
     captured = responses(spark.createDataFrame(PAGES, "page_id long, url string, html string"), size_limit=40)
     fr = keyed(spark.createDataFrame([("http://a.example.com/b",), ("https://q.example.com/x",)], "url string"))
-    got = {r.url: (r.page_id, r.status, r.error) for r in C.lookup_captured(fr, captured).collect()}
-    assert got["http://a.example.com/b"] == (2, 606, "FILE TOO LARGE !")
-    assert got["https://q.example.com/x"] == (None, None, C.NOT_CAPTURED)
+    for bmax in (None, 0, 100):
+        got = {r.url: (r.page_id, r.status, r.error) for r in C.lookup_captured(fr, captured, broadcast_max_rows=bmax).collect()}
+        assert got["http://a.example.com/b"] == (2, 606, "FILE TOO LARGE !")
+        assert got["https://q.example.com/x"] == (None, None, C.NOT_CAPTURED)
 
 
 def test_robots_gate(spark):
