@@ -4,6 +4,12 @@ J1/X2 frontier_new_urls, J5 state_complete, A7 state_counts, S4
 resume_pending, W1/W2 fetch_list, J4 captured_lookup, F19 size_gate, J3
 robots_gate, I1 crawl_closure (link graph) and crawl_pages (the crawl loop
 over captured pages).
+
+The fixture state here is derived from the same pages as the candidates, so
+it is no larger than them; J1, J4 and J5 therefore run their default lazy
+plans. Their ``broadcast_max_rows`` option (write the small side once, then
+broadcast it) pays off when the state dwarfs a round's candidates, as in a
+long crawl, and is tested on every path in pytest.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ def _new(spark, sf_dir, st=None):
     st = st if st is not None else X.crawl_state(pg)
     valid = L.valid_links(L.page_links(responses(pg)), P.domains, max_len=P.max_url_length)
     cand = valid.select("page_id", F.col("link").alias("url")).unionByName(X.scheme_twins(pg))
-    return FR.new_urls(cand, st, P.buckets, order=("page_id",), broadcast_max_rows=P.broadcast_max_rows)
+    return FR.new_urls(cand, st, P.buckets, order=("page_id",))
 
 
 def _frontier(spark, sf_dir):
@@ -116,7 +122,7 @@ def q_state_complete(spark, sf_dir):
     done = _new(spark, sf_dir, st).select("url").unionByName(
         FR.pending(st, P).where(F.col("bucket") == 0).select("url")
     )
-    return FR.mark_complete(st, done, broadcast_max_rows=P.broadcast_max_rows)
+    return FR.mark_complete(st, done)
 
 
 @register(
@@ -152,7 +158,7 @@ def q_fetch_list(spark, sf_dir):
 )
 def q_captured_lookup(spark, sf_dir):
     captured = resp(spark, sf_dir, P.size_limit)
-    return C.lookup_captured(_frontier(spark, sf_dir), captured, broadcast_max_rows=P.broadcast_max_rows)
+    return C.lookup_captured(_frontier(spark, sf_dir), captured)
 
 
 @register(
