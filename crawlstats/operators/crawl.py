@@ -86,7 +86,7 @@ class _BucketedTable:
         w = df.write.mode("append").option("path", self.path)
         if self.partition:
             w = w.partitionBy(self.partition)
-        w.bucketBy(self.buckets, self.key).sortBy(self.key).saveAsTable(self.name)
+        w.bucketBy(self.buckets, self.key).saveAsTable(self.name)
         self.spark.catalog.refreshTable(self.name)
 
     def table(self) -> DataFrame:
