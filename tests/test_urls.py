@@ -78,7 +78,12 @@ ROOTED = st.text(alphabet="ab./;?#=", max_size=14).map(lambda s: "/" + s)
 @settings(max_examples=25, deadline=None)
 @given(st.lists(ROOTED, min_size=1, max_size=20))
 def test_join_rooted_matches_urljoin(spark, refs):
-    bases = ["http://h.example.com/en/1?z", "http://h.example.com"]
+    bases = [
+        "http://h.example.com/en/1?z",
+        "http://h.example.com",
+        "https://h.example.com/a/b/c;p?q=1#f",
+        "http://h.example.com:8080/",
+    ]
     rows = [(b, r) for b in bases for r in refs + ["//", "//?x", "//#f", "///a"]]
     df = spark.createDataFrame(rows, "base string, ref string")
     got = df.select("base", "ref", U.join_rooted("base", "ref").alias("j")).collect()
