@@ -69,16 +69,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return shared_dir(spark)
 
 
+# Inputs in at most this many splits are small enough to reshuffle cheaply
+# (64 splits of 256 MB = 16 GB); anything larger keeps its scan partitions.
+SMALL_INPUT_SPLITS = 64
+
+
 def spread_small_input(df):
     """Spread a small input over the cores before per-row heavy work.
 
-    A large table arrives in at least as many splits as there are cores and is
-    returned untouched, so this never reshuffles big data. A table stored as a
-    single file with one row group is otherwise tokenised by one task.
+    A table stored as one file with one row group is otherwise tokenised by
+    a single task. Only inputs with fewer splits than cores *and* at most
+    ``SMALL_INPUT_SPLITS`` splits are round-robin repartitioned; a large or
+    medium table is returned untouched, so big data is never reshuffled.
     """
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access: leave the plan as it is
         return df
-    return df if have >= want else df.repartition(want)
+    return df.repartition(want) if have < want and have <= SMALL_INPUT_SPLITS else df
