@@ -10,6 +10,7 @@ from conftest import SF0001
 FAST = [
     "q1_unique_pages", "q2_longest_page", "q3_top_words", "q4_subdomains", "url_reject_reason",
     "href_resolve", "page_links", "frontier_new_urls", "fetch_list", "robots_gate", "crawl_closure",
+    "crawl_pages", "state_complete", "captured_lookup", "q3_top_words_documents",
 ]
 
 
@@ -27,7 +28,8 @@ def test_registry_shapes():
 @pytest.mark.parametrize("name", FAST)
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF0001}/pages.parquet')")
+    for t in ("pages", "documents"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
     df = E.queries()[name](spark, SF0001)
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
