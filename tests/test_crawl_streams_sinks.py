@@ -199,3 +199,19 @@ def test_url_file_scan(spark, tmp_dir):
         f.write("https://a.example.com/x\nftp://a.example.com/x\nhttps://a.example.com/x#f\n")
     got = [(r.url, r.reason) for r in url_file_scan(spark, path, P.domains).collect()]
     assert got == [("https://a.example.com/x", None), ("ftp://a.example.com/x", "scheme"), ("https://a.example.com/x#f", "fragment")]
+
+
+def test_state_store_ignores_uncommitted_version(spark, tmp_dir):
+    store = StateStore(spark, os.path.join(tmp_dir, "state2"))
+    seeds = seed_urls(spark, "https://a.example.com/")
+    store.start(seeds)
+    # A round that died after writing its data but before its commit row.
+    store.read().write.parquet(os.path.join(store.root, "v=000007"))
+    assert store.latest() == 0 and store.versions() == [0]
+
+
+def test_size_gate_prefers_stored_length(spark):
+    rows = [(1, "http://a.example.com/1", "<p>x</p>", 10), (2, "http://a.example.com/2", "<p>y</p>", 5_000_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_bytes long")
+    got = {r.page_id: (r.status, r.error) for r in responses(pages, size_limit=1_000_000).collect()}
+    assert got == {1: (200, None), 2: (606, "FILE TOO LARGE !")}
