@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from crawlstats.config import spread_small_input
 from crawlstats.functions.text import clean_token, page_token_count, split_words, visible_text
-from crawlstats.functions.urls import nice_link, page_key, subdomain, url_parts
+from crawlstats.functions.urls import nice_link, normalize, page_key, subdomain, url_parts
 from crawlstats.sources.pages import ok_responses
 
 TOP_WORDS = 50
@@ -30,8 +30,12 @@ def english_stop_words(spark: SparkSession) -> DataFrame:
 
 
 def unique_pages(resp: DataFrame, approx: bool = False) -> DataFrame:
-    """A1 / Q1: distinct fragment-free URLs among processed pages (any status)."""
-    key = page_key("url")
+    """A1 / Q1: distinct fragment-free URLs among processed pages (any status).
+
+    A page is known by the URL the crawler requested, which is always the
+    normalised one (U2), so ``.../x/`` and ``.../x`` are one page.
+    """
+    key = page_key(normalize("url"))
     agg = F.approx_count_distinct(key) if approx else F.count_distinct(key)
     return resp.select("url").agg(agg.cast("long").alias("unique_pages"))
 
@@ -55,7 +59,7 @@ def longest_page(resp: DataFrame) -> DataFrame:
     return (
         counts.agg(best.alias("b"))
         .where(F.col("b").isNotNull())
-        .select(F.col("b.url").alias("url"), F.col("b.n_tokens").alias("n_tokens"))
+        .select(normalize(F.col("b.url")).alias("url"), F.col("b.n_tokens").alias("n_tokens"))
     )
 
 
@@ -113,7 +117,7 @@ def subdomain_pages(resp: DataFrame, anchor: str) -> DataFrame:
     rows = ok_responses(resp).select(
         "page_id",
         subdomain(p["netloc"], anchor).alias("subdomain"),
-        page_key("url").alias("key"),
+        page_key(normalize("url")).alias("key"),
     )
     # Distinct pages first: a hash aggregate whose buffer is the first page_id
     # (a page key repeated many times combines map-side); then one row per

@@ -61,7 +61,7 @@ def resp(spark: SparkSession, sf_dir: str, size_limit: int | None = None) -> Dat
 
 @register(
     "q1_unique_pages",
-    f"SELECT count(DISTINCT {O.page_key('url')}) AS unique_pages FROM pages",
+    f"SELECT count(DISTINCT {O.page_key(O.normalize('url'))}) AS unique_pages FROM pages",
 )
 def q1_unique_pages(spark, sf_dir):
     return reports.unique_pages(resp(spark, sf_dir))
@@ -70,7 +70,7 @@ def q1_unique_pages(spark, sf_dir):
 @register(
     "q2_longest_page",
     f"""
-    SELECT url, n_tokens FROM (
+    SELECT {O.normalize('url')} AS url, n_tokens FROM (
       SELECT page_id, url, {O.token_count(O.visible_text('html'))} AS n_tokens FROM pages
       WHERE html IS NOT NULL
     ) ORDER BY n_tokens DESC, page_id LIMIT 1
@@ -115,7 +115,7 @@ def q3_top_words_documents(spark, sf_dir):
     "q4_subdomains",
     f"""
     WITH s AS (
-      SELECT page_id, {O.netloc('url')} AS netloc, {O.page_key('url')} AS key,
+      SELECT page_id, {O.netloc('url')} AS netloc, {O.page_key(O.normalize('url'))} AS key,
              {O.subdomain(O.netloc('url'), P.anchor)} AS subdomain
       FROM pages
     )

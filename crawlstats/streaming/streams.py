@@ -50,7 +50,7 @@ def distinct_captures(pages: DataFrame) -> DataFrame:
 
 def running_unique_pages(pages: DataFrame) -> DataFrame:
     """Distinct fragment-free URLs so far (dedup, then count)."""
-    keyed = pages.select(F.to_json(page_key("url")).alias("key")).dropDuplicates(["key"])
+    keyed = pages.select(F.to_json(page_key(normalize("url"))).alias("key")).dropDuplicates(["key"])
     return keyed.agg(F.count(F.lit(1)).alias("unique_pages"))
 
 
@@ -64,7 +64,9 @@ def running_longest_page(pages: DataFrame) -> DataFrame:
         "page_id", "url", page_token_count("html").alias("n_tokens")
     )
     best = F.max_by(F.struct("url", "n_tokens"), F.struct(F.col("n_tokens"), -F.col("page_id")))
-    return counts.agg(best.alias("b")).select(F.col("b.url").alias("url"), F.col("b.n_tokens").alias("n_tokens"))
+    return counts.agg(best.alias("b")).select(
+        normalize(F.col("b.url")).alias("url"), F.col("b.n_tokens").alias("n_tokens")
+    )
 
 
 def running_word_counts(pages: DataFrame, stop_words: Sequence[str]) -> DataFrame:
@@ -124,7 +126,7 @@ def _subdomain_rows(pages: DataFrame, anchor: str) -> DataFrame:
         "page_id",
         subdomain(p["netloc"], anchor).alias("subdomain"),
         nice_link(p["netloc"]).alias("nice_link"),
-        F.to_json(page_key("url")).alias("key"),
+        F.to_json(page_key(normalize("url"))).alias("key"),
     ).where(F.col("subdomain").isNotNull())
 
 

@@ -17,6 +17,14 @@ def test_q1_fragments_collapse(spark):
     assert R.unique_pages(_resp(spark, rows)).first().unique_pages == 1
 
 
+def test_reports_use_the_normalised_requested_url(spark):
+    rows = [(1, "http://a.example.com/x/", "a b c"), (2, "http://a.example.com/x", "d"), (3, "http://a.example.com//", "")]
+    resp = _resp(spark, rows)
+    assert R.unique_pages(resp).first().unique_pages == 2  # x/ and x are one page
+    assert R.longest_page(resp).first().url == "http://a.example.com/x"
+    assert [(r.subdomain, r.n_pages) for r in R.subdomain_pages(resp, "example").collect()] == [("a", 2)]
+
+
 def test_q2_tie_goes_to_smallest_id(spark):
     rows = [(5, "http://a.example.com/5", "a b"), (2, "http://a.example.com/2", "c d"), (9, "http://a.example.com/9", "e")]
     r = R.longest_page(_resp(spark, rows)).first()
