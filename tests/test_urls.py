@@ -132,3 +132,27 @@ def test_domain_bucket_order(spark):
     )
     got = [r.b for r in df.select(U.domain_bucket("url", ["informatics.x", "ics.x"]).alias("b")).collect()]
     assert got == [0, 1, None]
+
+
+def _subdomain_spec(netloc: str, anchor: str):
+    """U5 as SURVEY §2 states it: drop a leading www label (any case), then the
+    label just before the first label equal to the anchor, if any."""
+    labels = netloc.split(".")
+    if labels[0].lower() == "www":
+        labels = labels[1:]
+    for i, label in enumerate(labels):
+        if label == anchor:
+            return labels[i - 1] if i >= 1 else None
+    return None
+
+
+LABELS = st.sampled_from(["www", "WWW", "a", "b-c", "example", "Example", "com", "com:8080", ""])
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(LABELS, min_size=1, max_size=5).map(".".join), min_size=1, max_size=30))
+def test_subdomain_matches_spec(spark, netlocs):
+    df = spark.createDataFrame([(n,) for n in netlocs], "netloc string")
+    got = {r.netloc: r.s for r in df.select("netloc", U.subdomain("netloc", "example").alias("s")).collect()}
+    for n in netlocs:
+        assert got[n] == _subdomain_spec(n, "example"), n
