@@ -156,3 +156,20 @@ def test_subdomain_matches_spec(spark, netlocs):
     got = {r.netloc: r.s for r in df.select("netloc", U.subdomain("netloc", "example").alias("s")).collect()}
     for n in netlocs:
         assert got[n] == _subdomain_spec(n, "example"), n
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="ab/:;?#.%=x1", min_size=1, max_size=24).map(lambda s: "http://" + s), min_size=1, max_size=30))
+def test_normalize_and_hash_match_stdlib(spark, urls):
+    from hashlib import sha256
+
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {r.url: (r.n, r.h) for r in df.select("url", U.normalize("url").alias("n"), U.url_hash("url").alias("h")).collect()}
+    for u in urls:
+        n = u.rstrip("/") if u.endswith("/") else u
+        try:
+            p = urlparse(n)
+        except ValueError:
+            continue
+        expect = sha256(f"{p.netloc}/{p.path}/{p.params}/{p.query}/{p.fragment}".encode()).hexdigest()
+        assert got[u] == (n, expect), u
