@@ -173,3 +173,13 @@ def test_normalize_and_hash_match_stdlib(spark, urls):
             continue
         expect = sha256(f"{p.netloc}/{p.path}/{p.params}/{p.query}/{p.fragment}".encode()).hexdigest()
         assert got[u] == (n, expect), u
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.text(alphabet="abcxyz.:/", min_size=0, max_size=16), min_size=1, max_size=30))
+def test_domain_bucket_is_first_contained(spark, urls):
+    buckets = ["b.c", "c", "xy"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {r.url: r.b for r in df.select("url", U.domain_bucket("url", buckets).alias("b")).collect()}
+    for u in urls:
+        assert got[u] == next((i for i, b in enumerate(buckets) if b in u), None), u
