@@ -3,12 +3,13 @@
 No global SparkSession: every job takes the session or DataFrames it works
 on. ``shared_dir`` returns the folder the cluster names in
 ``spark.checkpoint.dir`` (shared storage reachable from every executor); a
-local folder is only created when the setting is absent, as in tests.
+local folder is only created on a local master that leaves it unset.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -42,21 +43,22 @@ class CrawlParams:
 # Parameters used by the registered queries and tests (FIXTURES.md §2).
 TEST_PARAMS = CrawlParams(size_limit=6000)
 
-_LOCAL_ROOT: dict[int, str] = {}
+_LOCAL_ROOT: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage; when it is unset (local
-    tests) a temporary folder is created and registered once.
+    The setting names storage that every executor reaches. Only a local
+    master (one machine, as in tests) may leave it unset: a temporary folder
+    is then made once per application. Any other master raises.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None) or _LOCAL_ROOT.get(id(sc))
+    root = sc.getConf().get("spark.checkpoint.dir", None) or _LOCAL_ROOT.get(sc.applicationId)
     if not root:
-        # Only reached when the session names no shared folder (local tests).
-        root = tempfile.mkdtemp(prefix="crawlstats-ckpt-")
-        _LOCAL_ROOT[id(sc)] = root
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _LOCAL_ROOT[sc.applicationId] = tempfile.mkdtemp(prefix="crawlstats-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     if name is None:
@@ -67,24 +69,3 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable; returns the root folder."""
     return shared_dir(spark)
-
-
-# Inputs in at most this many splits are small enough to reshuffle cheaply
-# (64 splits of 256 MB = 16 GB); anything larger keeps its scan partitions.
-SMALL_INPUT_SPLITS = 64
-
-
-def spread_small_input(df):
-    """Spread a small input over the cores before per-row heavy work.
-
-    A table stored as one file with one row group is otherwise tokenised by
-    a single task. Only inputs with fewer splits than cores *and* at most
-    ``SMALL_INPUT_SPLITS`` splits are round-robin repartitioned; a large or
-    medium table is returned untouched, so big data is never reshuffled.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the plan as it is
-        return df
-    return df.repartition(want) if have < want and have <= SMALL_INPUT_SPLITS else df

@@ -83,7 +83,8 @@ class _BucketedTable:
         self.path = shared_dir(spark, self.name)
 
     def append(self, df: DataFrame) -> None:
-        w = df.write.mode("append").option("path", self.path)
+        # One file a bucket at most: without the shuffle every task writes all buckets.
+        w = df.repartition(self.buckets, self.key).write.mode("append").option("path", self.path)
         if self.partition:
             w = w.partitionBy(self.partition)
         w.bucketBy(self.buckets, self.key).saveAsTable(self.name)
@@ -97,15 +98,13 @@ def reachable(
     seeds: DataFrame,
     edges: DataFrame,
     *,
-    max_rounds: int | None = None,
     broadcast_max_rows: int = 1_000_000,
     buckets: int | None = None,
 ) -> DataFrame:
     """I1 on a graph: every node reachable from the seeds, with its depth.
 
     Semi-naive breadth-first rounds: only the nodes found in the previous
-    round are expanded, and only unseen ones are kept. Runs to a fixpoint
-    unless ``max_rounds`` is given.
+    round are expanded, and only unseen ones are kept, up to the fixpoint.
 
     The visited set is a table partitioned by depth (the next frontier is a
     pruned read of one partition) and bucketed by node, so the anti join
@@ -123,7 +122,7 @@ def reachable(
     frontier = visited.table().where(F.col("depth") == 0).select("node")
     n_frontier = frontier.count()
     depth = 0
-    while n_frontier > 0 and (max_rounds is None or depth < max_rounds):
+    while n_frontier > 0:
         depth += 1
         src = frontier.withColumnRenamed("node", "src")
         if n_frontier <= broadcast_max_rows:
@@ -175,7 +174,6 @@ def crawl(
     seeds: DataFrame,
     params: CrawlParams,
     *,
-    max_rounds: int | None = None,
     extractor: Extractor | None = None,
     state: DataFrame | None = None,
     robots: DataFrame | None = None,
@@ -213,7 +211,7 @@ def crawl(
     frontier = table.table().where((F.col("round") == 0) & ~F.col("completed")).select("url_hash")
     n_frontier = frontier.count()
     rounds = 0
-    while n_frontier > 0 and (max_rounds is None or rounds < max_rounds):
+    while n_frontier > 0:
         rounds += 1
         src = frontier.withColumnRenamed("url_hash", "src_hash")
         side = F.broadcast(src) if n_frontier <= bmax else src
@@ -225,14 +223,5 @@ def crawl(
         table.append(fresh.select("url_hash", "url", F.lit(False).alias("completed"), F.lit(rounds).alias("round")))
         frontier = table.table().where(F.col("round") == rounds).select("url_hash")
         n_frontier = frontier.count()
-    # Settle J5 once: the start state's pending URLs were fetched in round 1
-    # and every later round's URLs in the round after, except a frontier left
-    # over when max_rounds stopped the loop.
-    leftover = n_frontier > 0 and rounds >= 1
-    r = F.col("round")
-    completed = (
-        F.when(r == 0, F.col("completed") | F.lit(rounds >= 1))
-        .when((r == rounds) & F.lit(leftover), F.lit(False))
-        .otherwise(F.lit(True))
-    )
-    return table.table().select("url_hash", "url", completed.alias("completed"))
+    # Settle J5 once: every URL of a round was fetched in the round after.
+    return table.table().select("url_hash", "url", F.lit(True).alias("completed"))

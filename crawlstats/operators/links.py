@@ -15,7 +15,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlstats.config import spread_small_input
 from crawlstats.functions.scope import Rule, reject_reason
 from crawlstats.functions.text import INVISIBLE_MARKUP, decode_entities
 from crawlstats.functions.urls import resolve_href
@@ -98,7 +97,7 @@ def page_links(resp: DataFrame, parser: str = "regex") -> DataFrame:
     Either way the per-page distinct is an array operation on the page's row,
     so nothing is shuffled.
     """
-    ok = spread_small_input(ok_responses(resp).select("page_id", "url", "html"))
+    ok = ok_responses(resp).select("page_id", "url", "html")
     if parser == "html":
         parsed = ok.select("page_id", "url", "html").mapInPandas(
             _parsed_hrefs, "page_id long, url string, hrefs array<string>"

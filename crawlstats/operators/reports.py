@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlstats.config import spread_small_input
+from crawlstats.functions.stop_words import ENGLISH_STOP_WORDS
 from crawlstats.functions.text import clean_token, page_token_count, split_words, visible_text
 from crawlstats.functions.urls import nice_link, normalize, page_key, subdomain, url_parts
 from crawlstats.sources.pages import ok_responses
@@ -22,11 +22,8 @@ TOP_WORDS = 50
 
 
 def english_stop_words(spark: SparkSession) -> DataFrame:
-    """Spark ML's default English stop-word list (181 words) as a table."""
-    from pyspark.ml.feature import StopWordsRemover
-
-    words = StopWordsRemover.loadDefaultStopWords("english")
-    return spark.createDataFrame([(w,) for w in words], "token string")
+    """The fixed English stop-word list (181 words) as a table."""
+    return spark.createDataFrame([(w,) for w in ENGLISH_STOP_WORDS], "token string")
 
 
 def unique_pages(resp: DataFrame, approx: bool = False) -> DataFrame:
@@ -42,7 +39,7 @@ def unique_pages(resp: DataFrame, approx: bool = False) -> DataFrame:
 
 def page_token_counts(resp: DataFrame) -> DataFrame:
     """A2: tokens per status-200 page (before stop words); null body gives 0."""
-    pages = spread_small_input(ok_responses(resp).select("page_id", "url", "html"))
+    pages = ok_responses(resp).select("page_id", "url", "html")
     return pages.select("page_id", "url", page_token_count("html").alias("n_tokens"))
 
 
@@ -72,7 +69,7 @@ def word_counts(texts: DataFrame, text_col: str = "text", html: bool = False) ->
     concentrate in one task.
     """
     text = visible_text(text_col) if html else F.col(text_col)
-    raw = spread_small_input(texts).select(F.explode(split_words(text)).alias("raw"))
+    raw = texts.select(F.explode(split_words(text)).alias("raw"))
     toks = raw.select(clean_token("raw").alias("token")).where(F.col("token").isNotNull())
     return toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 

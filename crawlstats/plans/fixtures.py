@@ -57,22 +57,22 @@ HREFS = (
 )
 # ---------------------------------------------------------------------------
 
-_VARIANT_BASE = "url NOT LIKE '%?%' AND url NOT LIKE '%#%' AND regexp_matches(url, '[/0-9]$')"
+STEM_END = "[?#].*$"
 
 
 def url_variants(pages: DataFrame) -> DataFrame:
     """(page_id, url, expected): page URLs, suffix variants and other schemes.
 
-    Suffix variants come from page URLs without query or fragment that end
-    in '/' or a digit; ``ftp:`` twins of https pages must fail the scheme
-    rule; a stray '[' in the host must be malformed.
+    Suffix variants are made from every page URL with its query, fragment
+    and trailing slashes taken off; ``ftp:`` twins of https pages must fail
+    the scheme rule; a stray '[' in the host must be malformed.
     """
     u = F.col("url")
-    base = pages.where(~u.contains("?") & ~u.contains("#") & u.rlike("[/0-9]$"))
     suffix = F.explode(
         F.array(*[F.struct(F.lit(s).alias("s"), F.lit(r).cast("string").alias("r")) for s, r in SUFFIXES])
     )
-    variants = base.select("page_id", normalize(u).alias("stem"), suffix.alias("v")).select(
+    stem = normalize(F.regexp_replace(u, STEM_END, ""))
+    variants = pages.select("page_id", stem.alias("stem"), suffix.alias("v")).select(
         "page_id", F.concat("stem", "v.s").alias("url"), F.col("v.r").alias("expected")
     )
     originals = pages.select("page_id", "url", F.lit(None).cast("string").alias("expected"))
@@ -92,8 +92,8 @@ def url_variants_sql() -> str:
     return f"""
     SELECT page_id, url, NULL::VARCHAR AS expected FROM pages
     UNION ALL
-    SELECT page_id, {O.normalize('url')} || v.s AS url, v.r AS expected
-    FROM (SELECT page_id, url, unnest([{structs}]) AS v FROM pages WHERE {_VARIANT_BASE})
+    SELECT page_id, {O.normalize(f"regexp_replace(url, {O.q(STEM_END)}, '')")} || v.s AS url, v.r AS expected
+    FROM (SELECT page_id, url, unnest([{structs}]) AS v FROM pages)
     UNION ALL
     SELECT page_id, 'ftp:' || substr(url, 7) AS url, 'scheme' AS expected FROM pages WHERE starts_with(url, 'https:')
     UNION ALL

@@ -9,12 +9,10 @@ lists) with the Spark side, never the Spark code.
 from __future__ import annotations
 
 import re
-import zipfile
 from collections.abc import Sequence
-from functools import lru_cache
-from pathlib import Path
 
 from crawlstats.functions import scope, text, urls
+from crawlstats.functions.stop_words import ENGLISH_STOP_WORDS
 
 
 def q(s: str) -> str:
@@ -228,20 +226,8 @@ def token_count(t: str) -> str:
 
 # --- stop words --------------------------------------------------------------
 
-@lru_cache(maxsize=1)
-def spark_stop_words() -> tuple[str, ...]:
-    """Spark ML's English stop words, read from the installed Spark jar."""
-    import pyspark
-
-    jars = Path(pyspark.__file__).parent / "jars"
-    jar = next(p for p in jars.glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        words = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
-    return tuple(words)
-
-
 def stop_words_values() -> str:
-    return "(VALUES " + ", ".join(f"({q(w)})" for w in spark_stop_words()) + ") AS stop(token)"
+    return "(VALUES " + ", ".join(f"({q(w)})" for w in ENGLISH_STOP_WORDS) + ") AS stop(token)"
 
 
 def squash(sql: str) -> str:

@@ -17,6 +17,7 @@ from crawlstats.functions.urls import url_parts
 from crawlstats.plans import oracle as O
 from crawlstats.plans.q_links import link_audit_sql
 from crawlstats.plans.queries import _ORACLES, P, pages, register
+from crawlstats.functions.stop_words import ENGLISH_STOP_WORDS
 from crawlstats.streaming import streams as S
 
 SOURCE_FILES = 8
@@ -41,19 +42,12 @@ def _run_report(spark, sf_dir, build) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def _stop_words(spark) -> list[str]:
-    from pyspark.ml.feature import StopWordsRemover
-
-    return list(StopWordsRemover.loadDefaultStopWords("english"))
-
-
 @register("stream_top_words")
 def q_stream_top_words(spark, sf_dir):
     """Q3 kept current in update mode: each trigger re-ranks changed words only."""
-    stop = _stop_words(spark)
     src = stage_source(spark, sf_dir)
     out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
-    counts = S.running_word_counts(S.page_stream(spark, src, FILES_PER_TRIGGER), stop)
+    counts = S.running_word_counts(S.page_stream(spark, src, FILES_PER_TRIGGER), ENGLISH_STOP_WORDS)
     S.write_top_k_updates(counts, out, ckpt).awaitTermination()
     return spark.read.parquet(out)
 

@@ -19,6 +19,22 @@ def test_entry_runs(spark):
     assert df.columns == ["token", "n"] and df.count() == 50
 
 
+def test_import_opens_no_jar(tmp_path):
+    """The entry imports where Spark's jar folder is not beside pyspark."""
+    import pathlib
+    import subprocess
+    import sys
+
+    code = (
+        "import pathlib, zipfile\n"
+        "def gone(*a, **k): raise FileNotFoundError('no jars here')\n"
+        "pathlib.Path.glob = gone; zipfile.ZipFile.__init__ = gone\n"
+        "import __spark_entry__ as e; assert len(e.queries()) >= 32 and len(e.oracle_sql()) >= 32"
+    )
+    root = str(pathlib.Path(__file__).resolve().parents[1])
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
 def test_registry_shapes():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs) and len(qs) >= 31
