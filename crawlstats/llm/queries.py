@@ -20,6 +20,8 @@ _ORACLES: dict[str, str] = {}
 #: Longest training sequence, in tokens, that a document may fill.
 SEQUENCE_TOKENS = 1024
 TOKEN_LIMIT = 512
+#: The id that ends a document in a training sequence.
+END_TOKEN = 2
 
 
 def register(name: str, sql: str | None = None):
@@ -51,3 +53,12 @@ def op3_token_counts(spark, sf_dir):
     from crawlstats.llm.token_counts import over_limit, token_counts
 
     return over_limit(token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")), TOKEN_LIMIT)
+
+
+@register("op4_best_fit_packing")
+def op4_best_fit_packing(spark, sf_dir):
+    from crawlstats.llm.best_fit_packing import best_fit_packing
+
+    docs, path = table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")
+    packed = best_fit_packing(docs, path, END_TOKEN, SEQUENCE_TOKENS, carry="crc32")
+    return packed.withColumn("length", F.col("length").cast("long"))
