@@ -62,3 +62,23 @@ def op4_best_fit_packing(spark, sf_dir):
     docs, path = table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")
     packed = best_fit_packing(docs, path, END_TOKEN, SEQUENCE_TOKENS, carry="crc32")
     return packed.withColumn("length", F.col("length").cast("long"))
+
+
+#: A text as exact duplicates compare it.
+_SPACED = "regexp_replace(coalesce(text, ''), '[ \\t-\\r]+', ' ', 'g')"
+
+
+@register(
+    "op8_exact_dedup",
+    f"""
+    WITH t AS (SELECT doc_id, sha256({_SPACED}) AS text_sha256 FROM documents)
+    SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           doc_id = min(doc_id) OVER same AS kept, text_sha256
+    FROM t WINDOW same AS (PARTITION BY text_sha256)
+    """,
+)
+def op8_exact_dedup(spark, sf_dir):
+    from crawlstats.llm.exact_dedup import exact_dedup
+
+    found = exact_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
