@@ -82,3 +82,12 @@ def op8_exact_dedup(spark, sf_dir):
 
     found = exact_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@register("op2_simhash_near_dedup")
+def op2_simhash_near_dedup(spark, sf_dir):
+    from crawlstats.llm.simhash import near_duplicates
+
+    near = near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return near.select("doc_id", digits.alias("fingerprint"), "component_id")
