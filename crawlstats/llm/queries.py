@@ -91,3 +91,10 @@ def op2_simhash_near_dedup(spark, sf_dir):
     near = near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return near.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@register("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    from crawlstats.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
