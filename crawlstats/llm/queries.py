@@ -98,3 +98,32 @@ def op9_toxicity(spark, sf_dir):
     from crawlstats.llm.toxicity import toxicity
 
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Queries of the search: every row whose id this divides.
+SEARCH_EVERY = 100
+
+
+@register(
+    "op10_top_k_search",
+    f"""
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+      SELECT a.vec_id AS query_id, b.vec_id,
+             CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.vec_id % {SEARCH_EVERY} = 0
+    ), r AS (
+      SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+      FROM s
+    )
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+)
+def op10_top_k_search(spark, sf_dir):
+    from crawlstats.llm.top_k import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % SEARCH_EVERY == 0, 10)
