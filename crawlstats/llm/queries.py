@@ -127,3 +127,30 @@ def op10_top_k_search(spark, sf_dir):
     from crawlstats.llm.top_k import top_k
 
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % SEARCH_EVERY == 0, 10)
+
+
+#: Base32 of the 40 bits from hex digit {at} of a SHA-1.
+_BITS40 = "CAST('0x' || substr(h, {at}, 10) AS BIGINT)"
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((({_BITS40.format(at=at)} >> {shift}) & 31) + 1 AS INTEGER), 1)"
+    for at in (1, 11, 21, 31)
+    for shift in range(35, -1, -5)
+)
+
+
+@register(
+    "op7_warc",
+    f"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+    f AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
+    SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+           CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM f
+    """,
+)
+def op7_warc(spark, sf_dir):
+    from crawlstats.llm.warc import archive_and_index
+
+    index = archive_and_index(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
