@@ -100,7 +100,8 @@ def collisions(staged: DataFrame, states: DataFrame) -> DataFrame:
     suspects = written(staged.join(held, "digest").select("digest", "content", (F.col("locator") == F.col("keep.locator")).alias("first")), "suspects")
     first = suspects.where("first").select("digest", F.col("content").alias("first_content"))
     hits = suspects.where("not first").select("digest", "content")
-    return hits.join(first, (hits["digest"] == first["digest"]) & (hits["content"] != first["first_content"])).select(hits["digest"]).distinct()
+    unlike = hits.join(first, (hits["digest"] == first["digest"]) & (hits["content"] != first["first_content"])).select(hits["digest"])
+    return written(unlike, "unlike").distinct()  # written first, so that the join may split a frequent digest
 
 
 def classify(staged: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:

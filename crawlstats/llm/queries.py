@@ -154,3 +154,11 @@ def op7_warc(spark, sf_dir):
 
     index = archive_and_index(table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op5_substring_dedup")
+def op5_substring_dedup(spark, sf_dir):
+    from crawlstats.llm.substring_dedup import remove_repeats
+
+    left = remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
