@@ -162,3 +162,10 @@ def op5_substring_dedup(spark, sf_dir):
 
     left = remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -227,6 +227,13 @@ def near_links(fps: DataFrame) -> DataFrame:
     return map_batches(by_cell, join, "u long, v long")
 
 
+def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input's rows, of each component only the one with the smallest id; rows with a null id stay."""
+    near = near_duplicates(docs, id_col=id_col, text_col=text_col)
+    gone = written(near.where("doc_id <> component_id").select(F.col("doc_id").alias("near_copy_id")), "near-copies")
+    return docs.join(gone, docs[id_col].cast("long") == gone["near_copy_id"], "left_anti")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp, component_id, n_near): each row with the smallest id it reaches; n_near rows share its component."""
     own = written(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words), "fingerprints")

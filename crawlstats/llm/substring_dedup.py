@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crawlstats.llm.common import documents, map_batches, words, written
 from crawlstats.llm.suffix_automaton import SuffixAutomaton
@@ -92,9 +93,7 @@ def snippets(own: list[bytes], powers: Powers, window: int = WINDOW, anchor: int
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """Documents with (k, h), which tell rows apart but for repeated ones."""
-    return docs.select(
-        "doc_id", "text", F.coalesce("doc_id", F.lit(0)).alias("k"), F.xxhash64("text").alias("h")
-    )
+    return docs.withColumns({"k": F.coalesce("doc_id", F.lit(0)), "h": F.xxhash64("text")})
 
 
 def anchors(docs: DataFrame, window: int) -> DataFrame:
@@ -219,12 +218,30 @@ def removed(n_words: int, own: list[dict], window: int) -> np.ndarray:
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(doc_id, text, kept, n_words, n_removed): ``kept`` is what is left, its words joined by one space."""
     d = documents(docs, id_col, text_col)
-    joined = _keyed(d).join(repeated_windows(d, window), ["k", "h"], "left").select("doc_id", "text", "own")
+    return _without(d, repeated_windows(d, window), window).select("doc_id", "text", "kept", "n_words", "n_removed")
+
+
+def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """The input's rows and columns; texts that lose words become what is left, the others stay as they are."""
+    d = documents(docs, id_col, text_col)
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("input")
+    carried = docs.select(
+        own, F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
+    )
+    left = _without(carried, repeated_windows(d, window), window)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    return left.select(*[text.alias(c) if c == text_col else F.col(f"input.`{c}`") for c in docs.columns])
+
+
+def _without(docs: DataFrame, repeated: DataFrame, window: int) -> DataFrame:
+    """``docs`` with kept, n_words and n_removed."""
+    joined = _keyed(docs).join(repeated, ["k", "h"], "left").select(*docs.columns, "own")
+    at = docs.columns.index("text")
 
     def run(batches):
         for b in batches:
             kept, total, gone = [], [], []
-            for t, own in zip(b.column(1).cast(pa.binary()), b.column(2)):
+            for t, own in zip(b.column(at).cast(pa.binary()), b.column(b.num_columns - 1)):
                 w = words(t.as_py())
                 total.append(len(w))
                 if own.is_valid:
@@ -234,9 +251,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 else:
                     gone.append(0)
                 kept.append(b" ".join(w))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
-                ["doc_id", "text", "kept", "n_words", "n_removed"],
-            )
+            found = [pa.array(kept, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())]
+            names = [*b.schema.names[:-1], "kept", "n_words", "n_removed"]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *found], names)
 
-    return map_batches(joined, run, "doc_id long, text string, kept string, n_words long, n_removed long")
+    more = [T.StructField("kept", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
+    schema = T.StructType([*docs.schema, *more])
+    return map_batches(joined, run, schema)

@@ -210,12 +210,31 @@ def learn(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held: int = 0)
     return Classifier(terms, fit_linear(start, feature, target, width), model)
 
 
+def _learned(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int):
+    known = pick(labels, doc_id=id_col, label=label_col)
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
+    found = learn(documents(docs, id_col, text_col), known, folds=folds, held=held)
+    return docs.sparkSession.sparkContext.broadcast(found)
+
+
+def non_toxic(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held: int = 0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """The input's rows and columns, without the rows predicted toxic."""
+    shared = _learned(docs, labels, id_col, text_col, label_col, folds, held)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        score = shared.value.scorer()
+        for b in batches:
+            texts = (t.as_py() or "" for t in b.column(at))
+            yield b.filter(pa.array([score(t) < 0.5 for t in texts], pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held: int = 0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
     d = documents(docs, id_col, text_col)
-    known = pick(labels, doc_id=id_col, label=label_col)
-    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
-    shared = docs.sparkSession.sparkContext.broadcast(learn(d, known, folds=folds, held=held))
+    shared = _learned(docs, labels, id_col, text_col, label_col, folds, held)
 
     def run(batches):
         score = shared.value.scorer()
