@@ -169,3 +169,11 @@ def pipeline(spark, sf_dir):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@register("op6_sentencepiece")
+def op6_sentencepiece(spark, sf_dir):
+    from crawlstats.llm.sentencepiece_coding import encode
+
+    coded = encode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "round_trip")
