@@ -177,3 +177,10 @@ def op6_sentencepiece(spark, sf_dir):
 
     coded = encode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
     return coded.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "round_trip")
+
+
+@register("op1_lm_scoring")
+def op1_lm_scoring(spark, sf_dir):
+    from crawlstats.llm.lm_scoring import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"))
