@@ -14,7 +14,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
@@ -69,3 +69,10 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable; returns the root folder."""
     return shared_dir(spark)
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, for results that are read more than once."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

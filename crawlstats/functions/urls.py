@@ -15,9 +15,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # RFC 3986 appendix B split: scheme, authority, path, query, fragment.
-URL_SPLIT = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+URL_SPLIT = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+# Not part of a URL: controls and spaces at its start, tabs and line ends anywhere.
+URL_NOISE = r"^[\x00-\x20]+|[\t\r\n]"
 # Params live on the last path segment, after its first ';'.
-PATH_PARAMS = r"^((?:.*/)?[^/;]*)(?:;([^/]*))?$"
+PATH_PARAMS = r"(?s)^((?:.*/)?[^/;]*)(?:;([^/]*))?$"
 
 # Schemes whose last path segment may carry ';params' (Python stdlib list).
 PARAM_SCHEMES = tuple(uses_params)
@@ -32,9 +34,10 @@ def url_parts(url) -> Column:
     """struct<scheme, netloc, path, params, query, fragment>.
 
     Scheme is lower-cased, everything else keeps its case; absent parts are
-    ``''`` (null only for a null URL).
+    ``''`` (null only for a null URL). Leading controls and spaces, tabs and
+    line ends are left out, as ``urlparse`` does.
     """
-    u = _col(url)
+    u = F.regexp_replace(_col(url), URL_NOISE, "")
     scheme = F.lower(F.regexp_extract(u, URL_SPLIT, 1))
     full_path = F.regexp_extract(u, URL_SPLIT, 3)
     has_params = scheme.isin(*PARAM_SCHEMES)

@@ -15,13 +15,18 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawlstats.config import written_once
 from crawlstats.functions.scope import Rule, reject_reason
-from crawlstats.functions.text import INVISIBLE_MARKUP, decode_entities
+from crawlstats.functions.text import BLANK, INVISIBLE_MARKUP, TAG_REST, decode_entities
 from crawlstats.functions.urls import resolve_href
 from crawlstats.sources.pages import ok_responses
 
-# An anchor tag's href value: double-quoted, single-quoted or bare.
-HREF_VALUE = r"""(?i)<a\s+(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# An anchor tag: group 1 is what follows its name.
+ANCHOR = rf"(?i)<a(?:{BLANK}|/)({TAG_REST})>"
+# An attribute: its name, and a value that is quoted or bare.
+ATTRIBUTE = rf"""[^ \t\n\f\r"'>/=]+(?:{BLANK}*={BLANK}*(?:"[^"]*"|'[^']*'|[^ \t\n\f\r>"'][^ \t\n\f\r>]*))?"""
+# The attribute that holds the link; group 1 is its value.
+HREF = rf"(?is)^href{BLANK}*={BLANK}*(.*)$"
 QUOTED = r"(?s)^.(.*).$"
 ACTION_MARKER = "do="
 
@@ -37,7 +42,10 @@ def raw_hrefs(html) -> Column:
     """Href values of anchor tags outside comments, scripts and styles."""
     h = F.col(html) if isinstance(html, str) else html
     visible = F.regexp_replace(h, INVISIBLE_MARKUP, " ")
-    return F.regexp_extract_all(visible, F.lit(HREF_VALUE), 1)
+    tags = F.regexp_extract_all(visible, F.lit(ANCHOR), 1)
+    attribute = lambda t: F.filter(F.regexp_extract_all(t, F.lit(ATTRIBUTE), 0), lambda a: a.rlike(HREF))
+    first = F.transform(tags, lambda t: F.regexp_extract(F.try_element_at(attribute(t), F.lit(1)), HREF, 1))
+    return F.filter(first, lambda v: v.isNotNull())
 
 
 def resolved_links(src, hrefs) -> Column:
@@ -54,56 +62,14 @@ def link_array(src, html) -> Column:
     return resolved_links(src, values)
 
 
-def _parsed_hrefs(batches):
-    """Arrow batches of (page_id, url, html) -> (page_id, url, hrefs) via html.parser."""
-    from html.parser import HTMLParser
-
-    import pandas as pd
-
-    class Anchors(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.hrefs = []
-
-        def handle_starttag(self, tag, attrs):
-            if tag == "a":
-                for k, v in attrs:
-                    if k == "href" and v is not None:
-                        self.hrefs.append(v)
-                        break
-
-    for pdf in batches:
-        out = []
-        for html in pdf["html"]:
-            if html is None:
-                out.append([])
-                continue
-            p = Anchors()
-            p.feed(html)
-            p.close()
-            out.append(p.hrefs)
-        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "hrefs": out})
-
-
-def page_links(resp: DataFrame, parser: str = "regex") -> DataFrame:
+def page_links(resp: DataFrame) -> DataFrame:
     """G1 + X1: (page_id, src, link), one row per distinct link of a page.
 
-    ``parser='regex'`` (default) stays in the JVM. ``parser='html'`` reads
-    anchors with the standard library's HTML parser in Arrow batches
-    (``mapInPandas``; attribute values holding '>' and every named entity
-    are handled), then resolves in the JVM; set
-    ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB in the local
-    session) so a batch of large bodies stays small in the Python worker.
-    Either way the per-page distinct is an array operation on the page's row,
-    so nothing is shuffled.
+    The first ``href`` of an anchor counts; a ``>`` or ``href=`` inside a
+    quoted value is part of that value. The per-page distinct is an array
+    operation on the page's row, so nothing is shuffled.
     """
     ok = ok_responses(resp).select("page_id", "url", "html")
-    if parser == "html":
-        parsed = ok.select("page_id", "url", "html").mapInPandas(
-            _parsed_hrefs, "page_id long, url string, hrefs array<string>"
-        )
-        links = resolved_links("url", F.col("hrefs"))
-        return parsed.select("page_id", F.col("url").alias("src"), F.explode(links).alias("link"))
     return ok.select("page_id", F.col("url").alias("src"), F.explode(link_array("url", "html")).alias("link"))
 
 
@@ -148,6 +114,7 @@ def write_link_audit(audit: DataFrame, path: str) -> None:
 def write_link_audit_text(audit: DataFrame, valid_path: str, rejected_path: str) -> None:
     """S6 in the crawler's text layout: one valid link per line; each
     rejected link preceded by a ``From: <source page>`` line."""
+    audit = written_once(audit, "link-audit")  # pages are parsed once for both files
     audit.where("is_valid").select(F.col("link").alias("value")).write.mode("append").text(valid_path)
     audit.where(~F.col("is_valid")).select(
         F.concat(F.lit("From: "), F.col("src"), F.lit("\n"), F.col("link")).alias("value")

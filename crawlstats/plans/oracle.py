@@ -26,16 +26,20 @@ def in_list(values: Sequence[str]) -> str:
 
 # --- U1-U8 -----------------------------------------------------------------
 
+def _part(u: str, group: int) -> str:
+    return f"regexp_extract(regexp_replace({u}, {q(urls.URL_NOISE)}, '', 'g'), {q(urls.URL_SPLIT)}, {group})"
+
+
 def scheme(u: str) -> str:
-    return f"lower(regexp_extract({u}, {q(urls.URL_SPLIT)}, 1))"
+    return f"lower({_part(u, 1)})"
 
 
 def netloc(u: str) -> str:
-    return f"regexp_extract({u}, {q(urls.URL_SPLIT)}, 2)"
+    return _part(u, 2)
 
 
 def _full_path(u: str) -> str:
-    return f"regexp_extract({u}, {q(urls.URL_SPLIT)}, 3)"
+    return _part(u, 3)
 
 
 def path(u: str) -> str:
@@ -55,11 +59,11 @@ def params(u: str) -> str:
 
 
 def query(u: str) -> str:
-    return f"regexp_extract({u}, {q(urls.URL_SPLIT)}, 4)"
+    return _part(u, 4)
 
 
 def fragment(u: str) -> str:
-    return f"regexp_extract({u}, {q(urls.URL_SPLIT)}, 5)"
+    return _part(u, 5)
 
 
 def parts_select(u: str, prefix: str = "") -> str:
@@ -197,19 +201,40 @@ def reject_reason(u: str, domains: Sequence[str], profile: str = "full") -> str:
 
 # --- G2, G3, A2 ----------------------------------------------------------------
 
+def _entity_text(e: str) -> str:
+    keys, values = zip(*text.ENTITY_NAMES.items())
+    names = f"map([{', '.join(map(q, keys))}], [{', '.join(map(q, values))}])"
+    c1 = f"map([{', '.join(map(str, text.C1))}], [{', '.join(map(q, text.C1.values()))}])"
+    n = (
+        f"(CASE WHEN lower({e}[3]) = 'x' THEN CAST('0x' || regexp_extract({e}, '[xX]([0-9A-Fa-f]+);', 1) AS INTEGER)"
+        f" ELSE CAST(regexp_extract({e}, '([0-9]+);', 1) AS INTEGER) END)"
+    )
+    bad = q(text.REPLACEMENT)
+    number = (
+        f"(CASE WHEN {n} = 0 OR {n} > 1114111 OR {n} BETWEEN 55296 AND 57343 THEN {bad}"
+        f" WHEN {n} BETWEEN 128 AND 159 THEN coalesce({c1}[{n}], {bad}) ELSE chr({n}) END)"
+    )
+    return f"(CASE WHEN {e}[2] <> '#' THEN coalesce({names}[{e}], {e}) ELSE {number} END)"
+
+
 def decode_entities(t: str) -> str:
-    out = t
-    for ent, ch in text.ENTITIES:
-        out = f"replace({out}, {q(ent)}, {q(ch)})"
-    return out
+    between, found = f"regexp_split_to_array({t}, {q(text.ENTITY)})", f"regexp_extract_all({t}, {q(text.ENTITY)})"
+    piece = f"lambda p: p[1] || coalesce(CASE WHEN p[2] IS NULL THEN '' ELSE {_entity_text('p[2]')} END, '')"
+    joined = f"array_to_string(list_transform(list_zip({between}, {found}), {piece}), '')"
+    return f"(CASE WHEN contains({t}, '&') THEN {joined} ELSE {t} END)"
 
 
 def visible_text(html: str) -> str:
     return decode_entities(f"regexp_replace({html}, {q(text.MARKUP)}, ' ', 'g')")
 
 
+def spaced(t: str) -> str:
+    commas = f"regexp_replace({t}, {q(text.COMMA_COLON)}, ' \\1', 'g')"
+    return f"regexp_replace({commas}, {q(text.NEGATION)}, '\\1 \\2\\3', 'g')"
+
+
 def raw_pieces(t: str) -> str:
-    return f"regexp_split_to_array({t}, {q(text.SEPARATORS)})"
+    return f"regexp_split_to_array({spaced(t)}, {q(text.SEPARATORS)})"
 
 
 def clean_token(raw: str) -> str:

@@ -42,8 +42,8 @@ def test_links(spark):
 def test_tokens(spark):
     df = _resp(spark).where("page_id = 9").select(page_tokens("html").alias("t"), page_token_count("html").alias("n"))
     row = df.first()
-    # &amp;lt; decodes once; éclair is dropped whole; inner apostrophes stay
-    assert row.t == ["t", "lt", "x", "e-mail", "2021", "0", "end", "don't"]
+    # &amp;lt; decodes once; éclair is dropped whole; n't is a token
+    assert row.t == ["t", "lt", "x", "e-mail", "2021", "0", "end", "do", "n't"]
     assert row.n == len(row.t)
 
 
@@ -52,17 +52,52 @@ def test_token_count_null_and_empty(spark):
     assert got[1] == 0 and got[2] == 0 and got[3] == 3
 
 
-def test_html_parser_option_agrees(spark):
-    from conftest import SF001
+HARD = [
+    (1, BASE, '<a class="b"href="/x1">1</a><a title="a>b" href="/x2">2</a><a title="see href=/bad" href="/x4">4</a>'),
+    (2, BASE, "<a href='/one' href='/two'>x</a><a\nhref = /three>y</a><a/href=/four>z</a><abbr href=/no>n</abbr>"),
+    (3, BASE, '<a title=don\'t href="/q">it\'s</a><a href>none</a><a name=x>none</a><a href="">empty</a>'),
+    (4, BASE, '<a href="/&eacute;?a=1&amp;b=&#50;">e</a>'),
+]
+
+
+def test_anchors_on_ordinary_html(spark):
+    resp = responses(spark.createDataFrame(HARD, "page_id long, url string, html string"))
+    got = {}
+    for r in page_links(resp).collect():
+        got.setdefault(r.page_id, set()).add(r.link.replace("https://a.example.com", ""))
+    assert got == {1: {"/x1", "/x2", "/x4"}, 2: {"/one", "/three", "/four"}, 3: {"/q", ""}, 4: {"/\u00e9?a=1&b=2"}}
+
+
+HARD_TEXTS = [
+    ("don&rsquo;t &#8217; caf&eacute; a&ndash;b &#x41;&#66;", ["don", "t", "caf\u00e9", "a\u2013b", "ab"]),
+    ("\u201chello\u201d he said", ["hello", "he", "said"]),
+    ("foo\u00a0bar&nbsp;baz\u2003qux", ["foo", "bar", "baz", "qux"]),
+    ("1,000 at 10:30, a,b: c", ["1,000", "at", "10:30", "a", "b", "c"]),
+    ("don't John's they're I'll dogs' end.", ["do", "n't", "john", "they", "i", "dogs", "end"]),
+    ("&amp;lt;x &#38;lt;y &unknown;z &#0;&#x110000;&#146;k &#55296;", ["lt", "x", "lt", "y", "unknown", "z", "k"]),
+    ('<p title="a>b" id=x>in</p> 1 < 2 <b>out', ["in", "1", "2", "out"]),
+]
+
 
-    resp = responses(spark.read.parquet(f"{SF001}/pages.parquet"))
-    a = page_links(resp).select("page_id", "link")
-    b = page_links(resp, parser="html").select("page_id", "link")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    hard = _resp(spark).where("page_id in (4, 7, 8, 10)")
-    got = {(r.page_id, r.link) for r in page_links(hard, parser="html").collect()}
-    exp = {(r.page_id, r.link) for r in page_links(hard).collect()}
-    assert got == exp
+def test_tokens_of_ordinary_html(spark):
+    from crawlstats.functions.text import page_token_count
+
+    df = spark.createDataFrame(list(enumerate(t for t, _ in HARD_TEXTS)), "i long, html string")
+    rows = {r.i: r for r in df.select("i", page_tokens("html").alias("t"), page_token_count("html").alias("n")).collect()}
+    for i, (text, exp) in enumerate(HARD_TEXTS):
+        assert rows[i].t == exp, text
+        assert rows[i].n == len(exp), text
+
+
+def test_entities_match_the_standard_library(spark):
+    from html import unescape
+
+    from crawlstats.functions.text import ENTITY_NAMES, decode_entities
+
+    texts = [f"x{e}y" for e in ENTITY_NAMES if e != "&nbsp;"] + [f"&#{n};" for n in (33, 65, 130, 146, 160, 8364, 128512)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", decode_entities("t").alias("d")).collect():
+        assert r.d == unescape(r.t), r.t
 
 
 from hypothesis import given, settings  # noqa: E402

@@ -41,7 +41,7 @@ def test_url_parts_match_urlparse(spark):
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.lists(st.text(alphabet="abc/:;?#.%@[]xy1 ", max_size=20), min_size=1, max_size=20))
+@given(st.lists(st.text(alphabet="abc/:;?#.%@[]xy1 \t\n\r\x00\x1f", max_size=20), min_size=1, max_size=20))
 def test_url_parts_property(spark, urls):
     got = _parts(spark, urls)
     for u in urls:
@@ -49,8 +49,6 @@ def test_url_parts_property(spark, urls):
             exp = urlparse(u)
         except ValueError:
             continue  # malformed in Python; our rules name it 'malformed'
-        if any(c in u for c in "\t\r\n") or u != u.strip():
-            continue
         assert tuple(got[u]) == tuple(exp), u
 
 
