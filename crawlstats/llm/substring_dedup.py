@@ -118,7 +118,7 @@ def anchors(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(a, q, n, text, windows): the words of each wanted snippet; windows holds their digests for large shards."""
+    """(a, q, n, text, i, w): the words of each wanted snippet; for large shards the digest of each of its windows."""
     by_doc = wanted.groupBy("k", "h").agg(F.collect_list(F.struct("a", "q", "n", "place", "large")).alias("own"))
     joined = _keyed(docs).join(by_doc, ["k", "h"]).select("text", "own")
 
@@ -130,14 +130,17 @@ def _texts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 for s in own.as_py():
                     first, n = s["place"] >> PLACE_BITS, s["place"] & ((1 << PLACE_BITS) - 1)
                     text = w[first : first + n + window - 1]
-                    digests = [xxhash.xxh3_128_digest(b" ".join(text[i : i + window])) for i in range(n)] if s["large"] else None
-                    out.append((s["a"], s["q"], s["n"], None if s["large"] else b" ".join(text), digests))
+                    if not s["large"]:
+                        out.append((s["a"], s["q"], s["n"], b" ".join(text), None, None))
+                        continue
+                    for i in range(n):
+                        out.append((s["a"], s["q"], s["n"], None, i, xxhash.xxh3_128_digest(b" ".join(text[i : i + window]))))
             if out:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary()))
-                names = ["a", "q", "n", "text", "windows"]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
+                names = ["a", "q", "n", "text", "i", "w"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
-    return written(map_batches(joined, run, "a long, q long, n long, text binary, windows array<binary>"), "snippets")
+    return written(map_batches(joined, run, "a long, q long, n long, text binary, i int, w binary"), "snippets")
 
 
 def _by_automaton(texts: DataFrame, window: int) -> DataFrame:
@@ -175,7 +178,7 @@ def _by_automaton(texts: DataFrame, window: int) -> DataFrame:
 
 def _by_count(texts: DataFrame) -> DataFrame:
     """(a, q, mask) of snippets in large shards, by their windows' digests."""
-    each = texts.where("windows is not null").select("a", "q", "n", F.posexplode("windows").alias("i", "w"))
+    each = texts.where("w is not null")
     twice = written(each.groupBy("a", "w").agg(F.sum("n").alias("n")).where("n >= 2").select("a", "w"), "repeated-windows")
     hit = each.select("a", "w", "q", "i").join(twice, ["a", "w"]).select("a", "q", "i")
     bit = F.expr("shiftleft(1L, i)")
