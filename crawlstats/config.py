@@ -37,7 +37,12 @@ class CrawlParams:
     # Broadcast a data-sized side only when it has at most this many rows:
     # a URL row with its hash is ~170 bytes, so 200k rows stay near 35 MB.
     broadcast_max_rows: int = 200_000
+    # Broadcasts are bounded by bytes as well as by rows.
+    broadcast_max_bytes: int = 64 << 20
+    # (name, predicate) pairs that reject URLs after the built-in rules.
     extra_rules: tuple = field(default=())
+    # Match the allow-list against the host alone instead of the whole URL.
+    host_only: bool = False
 
 
 # Parameters used by the registered queries and tests (FIXTURES.md §2).

@@ -18,7 +18,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from crawlstats.functions.urls import url_parts
+from crawlstats.functions.urls import let, url_parts
 
 # ---------------------------------------------------------------------------
 # These must equal the original rule set for identical results.
@@ -85,10 +85,10 @@ def domain_pattern(domains: Sequence[str], guarded: bool = True) -> str:
 def repeating_directory(url: Column) -> Column:
     """some directory repeats (``/a/x/a/``, ``/a/a/``) or slashes loop.
 
-    Same verdict as the back-reference pattern ``(/.+?/).*?\\1|/(.+?/)\\2``
-    without back-references: a repeated group holding any non-slash char
-    holds a complete segment (between two slashes) that then occurs twice;
-    groups made of slashes only are the slash-run pattern.
+    The rule is usually written with back-references; this needs none. A
+    repeated stretch that holds any character but a slash holds a whole
+    segment between two slashes, which then occurs twice; stretches of
+    slashes alone are the slash-run pattern.
     """
     segs = F.split(url, "/", -1)
     closed = F.slice(segs, 2, F.greatest(F.size(segs) - 2, F.lit(0)))
@@ -96,12 +96,18 @@ def repeating_directory(url: Column) -> Column:
     return (F.size(closed) != F.size(F.array_distinct(closed))) | url.rlike(SLASH_LOOP_PATTERN)
 
 
-def _builtin_rules(domains: Sequence[str], max_len: int, profile: str) -> list[Rule]:
+def host_in_scope(netloc: Column, domains: Sequence[str]) -> Column:
+    """Whether the host is one of the allowed hosts or below one; path prefixes are not looked at."""
+    hosts = "|".join(sorted({re.escape(d.split("/")[0].lower()) for d in domains}))
+    return F.lower(netloc).rlike(rf"^(?:[^@]*@)?(?:[^@:]*\.)?(?:{hosts})(?::[0-9]*)?$")
+
+
+def _builtin_rules(domains: Sequence[str], max_len: int, profile: str, host_only: bool = False) -> list[Rule]:
     dom = domain_pattern(domains, guarded=(profile == "full"))
     malformed = lambda u, p: u.isNull() | (p["netloc"].contains("[") != p["netloc"].contains("]"))
     scheme = lambda u, p: ~p["scheme"].isin("http", "https")
     path_ext = lambda u, p: F.lower(p["path"]).rlike(EXTENSION_PATTERN)
-    domain = lambda u, p: ~u.rlike(dom)
+    domain = (lambda u, p: ~host_in_scope(p["netloc"], domains)) if host_only else (lambda u, p: ~u.rlike(dom))
     fragment = lambda u, p: p["fragment"] != ""
     if profile == "basic":
         return [
@@ -144,16 +150,18 @@ def reject_reason(
     max_len: int = MAX_URL_LENGTH,
     profile: str = "full",
     extra_rules: Sequence[Rule] = (),
+    host_only: bool = False,
 ) -> Column:
     """Name of the first rule that rejects ``url``; null if valid.
 
     ``profile='full'`` is the crawler's rule chain, ``'basic'`` the looser
-    scope check (scheme, path extension, unguarded domain, fragment).
+    scope check (scheme, path extension, unguarded domain, fragment). With
+    ``host_only`` the domain rule looks at the host alone. The URL is split
+    once for all rules.
     """
     u = F.col(url) if isinstance(url, str) else url
-    parts = url_parts(u)
-    rules = _builtin_rules(domains, max_len, profile) + list(extra_rules)
-    return F.coalesce(*[F.when(pred(u, parts), F.lit(name)) for name, pred in rules])
+    rules = _builtin_rules(domains, max_len, profile, host_only) + list(extra_rules)
+    return let(url_parts(u), lambda p: F.coalesce(*[F.when(pred(u, p), F.lit(name)) for name, pred in rules]))
 
 
 def is_valid(url, domains: Sequence[str], **kw) -> Column:

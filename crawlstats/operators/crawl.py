@@ -1,26 +1,25 @@
 """Crawl rounds: captured-page lookup (J4), link-graph closure and the crawl loop.
 
-A round is one DataFrame plan that appends its new rows to a table in the
-folder ``spark.checkpoint.dir`` names; the driver then reads one row count,
-which ends the loop at a true fixpoint and sizes the next round's frontier
-join (broadcast when at most ``broadcast_max_rows`` rows). The crawl loop
-reads the captured HTML once, into an edges table bucketed by the hash of the
-URL each page answers. The visited set and the crawl state are partitioned by
-round and bucketed on the join key, so a round's anti join reads them in
-place and shuffles only its candidates. Written rounds cut lineage, so a lost
-executor recomputes at most one round.
+A round is one DataFrame plan that writes its new rows as a folder of a
+rounds table and then commits them with their number and size, which the
+write itself counts; the size ends the loop at a true fixpoint and decides
+whether the next frontier is broadcast (within bounds of rows and bytes) or
+shuffled. The crawl loop reads the captured HTML once, into a table of links
+keyed by the hash of the URL each page answers. Written rounds cut lineage, so
+a lost executor recomputes at most one round, and a lost driver resumes after
+the last committed one.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from crawlstats.config import CrawlParams, ensure_checkpoint_dir, shared_dir
-from crawlstats.functions.scope import reject_reason
-from crawlstats.operators.frontier import dedup_by_hash, keyed, seed_state
+from crawlstats.operators.frontier import STATE_COLUMNS, dedup_by_hash, keyed, pending, scope_rule, seed_state
 from crawlstats.operators.gates import robots_gate
 from crawlstats.operators.links import Extractor, page_links
 
@@ -71,27 +70,46 @@ def lookup_captured(
     )
 
 
-class _BucketedTable:
-    """A table in the shared folder, bucketed on ``key`` (and optionally
-    partitioned): joins on ``key`` read it in place and shuffle only the other
-    side into the same buckets. Written files survive executor loss like a
-    checkpoint does."""
+class Rounds:
+    """A table of rounds under ``root``, only ever appended to.
 
-    def __init__(self, spark, prefix: str, key: str, buckets: int, partition: str | None = None):
-        self.spark, self.key, self.buckets, self.partition = spark, key, buckets, partition
-        self.name = f"crawlstats_{prefix}_{uuid.uuid4().hex[:12]}"
-        self.path = shared_dir(spark, self.name)
+    Round k is a folder of its own, committed by a row in ``commits`` that
+    holds its size, so a round that dies half-written is written again and
+    never read. Sizes come from the write itself.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: str):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+
+    def _commits(self) -> dict[int, tuple[int, int]]:
+        try:
+            rows = self.spark.read.schema("round int, n long, bytes long").parquet(f"{self.root}/commits").collect()
+        except AnalysisException:  # nothing committed yet
+            return {}
+        return {r["round"]: (r["n"], r["bytes"]) for r in rows}  # one row a round
+
+    def last(self) -> int | None:
+        return max(self._commits(), default=None)
+
+    def size(self, k: int) -> tuple[int, int]:
+        """Rows of round k, and the bytes of its key."""
+        return self._commits()[k]
 
-    def append(self, df: DataFrame) -> None:
-        # One file a bucket at most: without the shuffle every task writes all buckets.
-        w = df.repartition(self.buckets, self.key).write.mode("append").option("path", self.path)
-        if self.partition:
-            w = w.partitionBy(self.partition)
-        w.bucketBy(self.buckets, self.key).saveAsTable(self.name)
-        self.spark.catalog.refreshTable(self.name)
+    def commit(self, k: int, df: DataFrame, key: str) -> tuple[int, int]:
+        seen = Observation()
+        size = F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))
+        df = df.observe(seen, F.count(F.lit(1)).alias("n"), size.alias("bytes"))
+        df.write.mode("overwrite").parquet(f"{self.root}/rounds/round={k}")
+        n, size = seen.get["n"], seen.get["bytes"]
+        self.spark.createDataFrame([(k, n, size)], "round int, n long, bytes long").coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        return n, size
 
-    def table(self) -> DataFrame:
-        return self.spark.table(self.name)
+    def read(self, upto: int) -> DataFrame:
+        """All rows of the rounds up to ``upto``, with their round."""
+        return self.spark.read.schema(f"{self.schema}, round int").parquet(f"{self.root}/rounds").where(F.col("round") <= upto)
+
+    def one(self, k: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/rounds/round={k}")
 
 
 def reachable(
@@ -99,48 +117,37 @@ def reachable(
     edges: DataFrame,
     *,
     broadcast_max_rows: int = 1_000_000,
-    buckets: int | None = None,
+    broadcast_max_bytes: int = 64 << 20,
+    root: str | None = None,
 ) -> DataFrame:
     """I1 on a graph: every node reachable from the seeds, with its depth.
 
     Semi-naive breadth-first rounds: only the nodes found in the previous
     round are expanded, and only unseen ones are kept, up to the fixpoint.
-
-    The visited set is a table partitioned by depth (the next frontier is a
-    pruned read of one partition) and bucketed by node, so the anti join
-    against it shuffles only the round's candidates. A frontier within the
-    bound is broadcast against the edges; a larger one joins a copy of the
-    edges bucketed by ``src`` (written once, when first needed).
+    Rounds are committed under ``root``; a later call with the same root goes
+    on after the last one. A frontier within both bounds is broadcast against
+    the edges; a larger one shuffles, where Spark can split the edges of a hub.
     """
     spark = seeds.sparkSession
     ensure_checkpoint_dir(spark)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     edges = edges.select("src", "dst")
-    edges_by_src: DataFrame | None = None
-    visited = _BucketedTable(spark, "visited", "node", n, partition="depth")
-    visited.append(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
-    frontier = visited.table().where(F.col("depth") == 0).select("node")
-    n_frontier = frontier.count()
-    depth = 0
-    while n_frontier > 0:
+    kind = dict(seeds.dtypes)["node"]
+    table = Rounds(spark, root or shared_dir(spark, "visited"), f"node {kind}")
+    depth = table.last()
+    if depth is None:
+        table.commit(0, seeds.select("node").distinct(), "node")
+        depth = 0
+    while True:
+        n, size = table.size(depth)
+        if not n:
+            break
+        src = table.one(depth).withColumnRenamed("node", "src")
+        small = n <= broadcast_max_rows and size <= broadcast_max_bytes
+        step = edges.join(F.broadcast(src) if small else src, "src", "left_semi")
+        fresh = step.select(F.col("dst").alias("node")).distinct().join(table.read(depth).select("node"), "node", "left_anti")
         depth += 1
-        src = frontier.withColumnRenamed("node", "src")
-        if n_frontier <= broadcast_max_rows:
-            step = edges.join(F.broadcast(src), "src", "left_semi")
-        else:
-            if edges_by_src is None:
-                bucketed = _BucketedTable(spark, "edges", "src", n)
-                bucketed.append(edges)
-                edges_by_src = bucketed.table()
-            step = edges_by_src.join(src, "src", "left_semi")
-        cand = step.select(F.col("dst").alias("node")).distinct()
-        # The visited table is bucketed on node: the anti join reads it in
-        # place and moves only the candidates.
-        fresh = cand.join(visited.table().select("node"), "node", "left_anti")
-        visited.append(fresh.withColumn("depth", F.lit(depth)))
-        frontier = visited.table().where(F.col("depth") == depth).select("node")
-        n_frontier = frontier.count()
-    return visited.table().select("node", "depth")
+        table.commit(depth, fresh, "node")
+    return table.read(depth).select("node", F.col("round").alias("depth"))
 
 
 def crawl_edges(
@@ -161,22 +168,68 @@ def crawl_edges(
     """
     extract_fn = extractor or page_links
     links = extract_fn(captured)
-    reason = reject_reason(F.col("link"), params.domains, max_len=params.max_url_length, extra_rules=params.extra_rules)
+    reason = scope_rule(params, "link")
     valid = links.where(reason.isNull()).select("page_id", F.col("link").alias("url"))
     if robots is not None:
-        valid = robots_gate(valid, robots, broadcast_max_rows=params.broadcast_max_rows).where("allowed").drop("allowed")
+        valid = robots_gate(valid, robots).where("allowed").drop("allowed")
     answering = captured_index(captured).withColumnRenamed("url_hash", "src_hash")
     return keyed(valid).join(answering, "page_id").select("src_hash", "url_hash", "url", "page_id")
 
 
+def crawl_rounds(
+    captured: DataFrame,
+    seeds: DataFrame,
+    params: CrawlParams,
+    *,
+    root: str,
+    extractor: Extractor | None = None,
+    state: DataFrame | None = None,
+    robots: DataFrame | None = None,
+    revalidate: bool = True,
+) -> Iterator[int]:
+    """The crawl loop, one committed round at a time; yields each round's number.
+
+    All state is under ``root``: the link table of the captured pages, and the
+    rounds. A call with a root that has rounds goes on after the last one; with
+    ``revalidate`` its pending URLs pass the scope rules again first (S4), as
+    do those of a given ``state``.
+    """
+    spark = captured.sparkSession
+    table = Rounds(spark, root, "url_hash string, url string, completed boolean")
+    links = Rounds(spark, f"{root.rstrip('/')}/links", "src_hash string, url_hash string, url string, page_id long")
+    if links.last() is None:
+        links.commit(0, crawl_edges(captured, params, extractor=extractor, robots=robots), "src_hash")
+    edges = links.one(0)
+    k = table.last()
+    resumed = k is not None or state is not None
+    if k is None:
+        k = 0
+        table.commit(0, state.select(*STATE_COLUMNS) if state is not None else seed_state(seeds), "url_hash")
+        yield 0
+    while table.size(k)[0]:
+        todo = table.one(k).where(~F.col("completed"))
+        if resumed and revalidate:
+            todo, resumed = pending(todo, params), False
+        src = todo.select(F.col("url_hash").alias("src_hash"))
+        n, size = table.size(k)
+        small = n <= params.broadcast_max_rows and size <= params.broadcast_max_bytes
+        found = edges.join(F.broadcast(src) if small else src, "src_hash", "left_semi").select("url_hash", "url", "page_id")
+        fresh = dedup_by_hash(found, ("page_id",)).join(table.read(k).select("url_hash"), "url_hash", "left_anti")
+        k += 1
+        table.commit(k, fresh.select("url_hash", "url", F.lit(False).alias("completed")), "url_hash")
+        yield k
+
+
 def crawl(
     captured: DataFrame,
     seeds: DataFrame,
     params: CrawlParams,
     *,
+    root: str | None = None,
     extractor: Extractor | None = None,
     state: DataFrame | None = None,
     robots: DataFrame | None = None,
+    revalidate: bool = True,
 ) -> DataFrame:
     """I1 on captured pages: the crawl loop until no unseen valid URL is left.
 
@@ -185,43 +238,25 @@ def crawl(
     ones (J1, X2, earliest by page_id then URL); those are the next round's
     frontier. ``captured`` holds ``(page_id, url, status, error, html)``;
     seeds bypass the scope rules; ``state`` resumes an earlier crawl state
-    instead of the seeds; ``robots`` (host, path_prefix, allow) drops links the
-    rules disallow (J3, off when not given).
+    instead of the seeds; ``root`` keeps the crawl, and resumes one that
+    stopped there (see ``crawl_rounds``); ``robots`` (host, path_prefix, allow)
+    drops links the rules disallow (J3, off when not given).
 
     The HTML is read once: ``crawl_edges`` turns the captured pages into link
-    rows keyed by the hash of the URL that fetches them, stored bucketed on
-    that hash. Every URL added in round k is fetched in round k+1, so the
-    state is one table, partitioned by round and bucketed on url_hash, that is
-    only ever appended to. A round reads its frontier from one partition, joins
-    it to the edges (broadcast within the bound, else into the edge buckets),
-    shuffles only its candidates into the state's buckets, and completion (J5)
-    is settled by one projection at the end. Returns the crawl state
-    ``(url_hash, url, completed)``.
+    rows keyed by the hash of the URL that fetches them. Every URL added in
+    round k is fetched in round k+1, so rounds are only ever appended, and
+    completion (J5) is settled by one projection at the end: all are completed
+    but a given state's URLs that ``revalidate`` dropped. Returns the crawl
+    state ``(url_hash, url, completed)``.
     """
     spark = captured.sparkSession
     ensure_checkpoint_dir(spark)
-    bmax = params.broadcast_max_rows
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges_table = _BucketedTable(spark, "crawl_edges", "src_hash", n)
-    edges_table.append(crawl_edges(captured, params, extractor=extractor, robots=robots))
-    edges = edges_table.table()
-    start = state if state is not None else seed_state(seeds)
-    table = _BucketedTable(spark, "crawl_state", "url_hash", n, partition="round")
-    table.append(start.select("url_hash", "url", "completed").withColumn("round", F.lit(0)))
-    frontier = table.table().where((F.col("round") == 0) & ~F.col("completed")).select("url_hash")
-    n_frontier = frontier.count()
-    rounds = 0
-    while n_frontier > 0:
-        rounds += 1
-        src = frontier.withColumnRenamed("url_hash", "src_hash")
-        side = F.broadcast(src) if n_frontier <= bmax else src
-        found = edges.join(side, "src_hash", "left_semi").select("url_hash", "url", "page_id")
-        cand = dedup_by_hash(found, ("page_id",))
-        # The state is bucketed on url_hash: the anti join reads it in place
-        # and moves only the candidates, already hash-partitioned by the dedup.
-        fresh = cand.join(table.table().select("url_hash"), "url_hash", "left_anti")
-        table.append(fresh.select("url_hash", "url", F.lit(False).alias("completed"), F.lit(rounds).alias("round")))
-        frontier = table.table().where(F.col("round") == rounds).select("url_hash")
-        n_frontier = frontier.count()
-    # Settle J5 once: every URL of a round was fetched in the round after.
-    return table.table().select("url_hash", "url", F.lit(True).alias("completed"))
+    root = root or shared_dir(spark, "crawl")
+    for _ in crawl_rounds(captured, seeds, params, root=root, extractor=extractor, state=state, robots=robots, revalidate=revalidate):
+        pass
+    table = Rounds(spark, root, "url_hash string, url string, completed boolean")
+    rows = table.read(table.last())
+    done = F.lit(True)
+    if state is not None and revalidate:
+        done = (F.col("round") > 0) | F.col("completed") | scope_rule(params).isNull()
+    return rows.select("url_hash", "url", done.alias("completed"))

@@ -118,6 +118,13 @@ def mark_complete(state: DataFrame, done: DataFrame, *, broadcast_max_rows: int
     )
 
 
+def scope_rule(params: CrawlParams, url: str = "url"):
+    """The first rule of the crawl, its own ones included, that a URL fails."""
+    return reject_reason(
+        url, params.domains, max_len=params.max_url_length, extra_rules=params.extra_rules, host_only=params.host_only
+    )
+
+
 def pending(state: DataFrame, params: CrawlParams, revalidate: bool = True) -> DataFrame:
     """Uncompleted URLs to resume, with their bucket.
 
@@ -127,7 +134,7 @@ def pending(state: DataFrame, params: CrawlParams, revalidate: bool = True) -> D
     """
     todo = state.where(~F.col("completed"))
     if revalidate:
-        todo = todo.where(reject_reason("url", params.domains, max_len=params.max_url_length).isNull())
+        todo = todo.where(scope_rule(params).isNull())
     return todo.select("url_hash", "url", domain_bucket("url", params.buckets).alias("bucket"))
 
 
@@ -135,7 +142,7 @@ def state_counts(state: DataFrame, params: CrawlParams, revalidate: bool = True)
     """Total URLs in the state and how many are still to fetch."""
     todo = ~F.col("completed")
     if revalidate:
-        todo = todo & reject_reason("url", params.domains, max_len=params.max_url_length).isNull()
+        todo = todo & scope_rule(params).isNull()
     return state.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(todo).alias("pending"),
@@ -150,8 +157,8 @@ def rank_in_group(
 
     ``order`` is a hex hash (uniform), so its first ``fanout_hex`` digits cut
     every group into 16**fanout_hex even slices. Rows are numbered within a
-    slice, slice sizes are counted (at most groups x 16**fanout_hex rows, a
-    proven bound, so that table is broadcast) and each slice is shifted by
+    slice, slice sizes are counted (at most groups x 16**fanout_hex rows; Spark
+    broadcasts them where their size allows) and each slice is shifted by
     the sizes of the slices before it. A group holding a third of all rows
     still spreads over thousands of tasks.
     """
@@ -165,7 +172,7 @@ def rank_in_group(
     # Null-safe on both keys: an inner equi-join would make Catalyst add an
     # inferred not-null filter that recomputes the hash expression.
     on = local[group].eqNullSafe(offsets[group]) & local["_slice"].eqNullSafe(offsets["_slice"])
-    ranked = local.join(F.broadcast(offsets), on, "inner").select(
+    ranked = local.join(offsets, on, "inner").select(
         local["*"], (offsets["_off"] + local["_local"]).cast("long").alias("rn")
     )
     return ranked.drop("_slice", "_local")

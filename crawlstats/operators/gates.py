@@ -10,36 +10,26 @@ from pyspark.sql import functions as F
 from crawlstats.functions.urls import url_parts
 
 
-def rules_by_host(rules: DataFrame) -> DataFrame:
-    """(host, rules): each host's rules, longest prefix first, allow first on ties.
-
-    One robots file holds a bounded number of lines, so each array is small.
-    """
-    r = F.struct(
-        F.length("path_prefix").alias("len"),
-        F.col("allow").alias("allow"),
-        F.col("path_prefix").alias("prefix"),
-    )
-    return rules.groupBy("host").agg(F.sort_array(F.collect_list(r), asc=False).alias("rules"))
-
-
-def robots_gate(urls: DataFrame, rules: DataFrame, *, url_col: str = "url", broadcast_max_rows: int = 200_000) -> DataFrame:
-    """Add ``allowed``: the longest matching rule of the URL's host decides;
-    a host without rules, or a path no rule matches, is allowed.
-
-    The rules are grouped per host and joined on the host, so each URL row
-    meets at most one small array and picks its rule with array functions.
-    The grouped rules are broadcast when the rule count is within the bound
-    (checked with a bounded count), else both sides shuffle on the host; a
-    host with a third of all URLs is then split by AQE's skew handling.
+def robots_gate(urls: DataFrame, rules: DataFrame, *, url_col: str = "url") -> DataFrame:
+    """Add ``allowed``: the longest matching rule of the URL's host decides
+    (allow on ties); a host without rules, or a URL no rule matches, is allowed.
+
+    A rule matches the start of path and query (``/search?q=``); a rule
+    without a path, as an empty ``Disallow:`` line, matches nothing. Each
+    distinct host and path is cut at the lengths that its host's rules have
+    and the cuts meet the rules in a plain equi-join on (host, prefix), so no
+    host's rules or URLs gather in one task, whatever their number.
     """
     p = url_parts(url_col)
-    keyed = urls.withColumn("_host", p["netloc"]).withColumn("_path", p["path"])
-    grouped = rules_by_host(rules).withColumnRenamed("host", "_host")
-    # Bound the rules themselves (the broadcast carries every rule).
-    small = rules.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
-    side = F.broadcast(grouped) if small else grouped
-    joined = keyed.join(side, "_host", "left")
-    matched = F.filter(F.col("rules"), lambda r: F.col("_path").startswith(r["prefix"]))
-    allowed = F.coalesce(F.try_element_at(matched, F.lit(1))["allow"], F.lit(True))
-    return joined.withColumn("allowed", allowed).drop("_host", "_path", "rules")
+    query = F.when(p["query"] != "", F.concat(F.lit("?"), p["query"])).otherwise("")
+    keyed = urls.withColumn("_host", p["netloc"]).withColumn("_path", F.concat(p["path"], query))
+    rules = rules.where("path_prefix <> ''").select(F.col("host").alias("_host"), F.col("path_prefix").alias("_prefix"), "allow")
+    lengths = rules.select("_host", F.length("_prefix").alias("_len")).distinct()
+    paths = keyed.select("_host", "_path").distinct()
+    cuts = paths.join(lengths, "_host").where(F.length("_path") >= F.col("_len"))
+    cuts = cuts.withColumn("_prefix", F.substring("_path", F.lit(1), F.col("_len")))
+    hits = cuts.join(rules, ["_host", "_prefix"])
+    verdict = hits.groupBy("_host", "_path").agg(F.max(F.struct("_len", "allow")).alias("_best"))
+    same = (keyed["_host"] == verdict["_host"]) & (keyed["_path"] == verdict["_path"])
+    joined = keyed.join(verdict, same, "left")
+    return joined.select(*[keyed[c] for c in urls.columns], F.coalesce(F.col("_best.allow"), F.lit(True)).alias("allowed"))

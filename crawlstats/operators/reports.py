@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from crawlstats.functions.stop_words import ENGLISH_STOP_WORDS
 from crawlstats.functions.text import clean_token, page_token_count, split_words, visible_text
-from crawlstats.functions.urls import nice_link, normalize, page_key, subdomain, url_parts
+from crawlstats.functions.urls import nice_link, normalize, page_key, subdomain, url_hash, url_parts
 from crawlstats.sources.pages import ok_responses
 
 TOP_WORDS = 50
@@ -77,10 +77,10 @@ def word_counts(texts: DataFrame, text_col: str = "text", html: bool = False) ->
 def remove_stop_words(counts: DataFrame, stop_words: DataFrame) -> DataFrame:
     """Drop stop words from the per-token counts.
 
-    Done after A4, so the anti join touches distinct words only; the stop
-    list is a fixed 181-row table, safe to broadcast.
+    Done after A4, so the anti join touches distinct words only. Spark
+    broadcasts the list where its size allows, as that of the default one does.
     """
-    return counts.join(F.broadcast(stop_words.select("token")), "token", "left_anti")
+    return counts.join(stop_words.select("token"), "token", "left_anti")
 
 
 def top_words(counts: DataFrame, k: int = TOP_WORDS) -> DataFrame:
@@ -88,10 +88,23 @@ def top_words(counts: DataFrame, k: int = TOP_WORDS) -> DataFrame:
     return counts.orderBy(F.col("n").desc(), F.col("token").asc()).limit(k)
 
 
+def first_captures(resp: DataFrame) -> DataFrame:
+    """One status-200 response of each URL hash, the one with the smallest page_id.
+
+    Only ids and URLs are shuffled to find the later captures; these are few
+    beside the pages, and an anti join drops them.
+    """
+    ok = ok_responses(resp)
+    ids = ok.select("page_id", url_hash("url").alias("url_hash"))
+    first = ids.groupBy("url_hash").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    later = ids.join(first, "url_hash").where("page_id <> first").select("page_id")
+    return ok.join(later, "page_id", "left_anti")
+
+
 def top_page_words(spark: SparkSession, resp: DataFrame, k: int = TOP_WORDS, stop_words: DataFrame | None = None) -> DataFrame:
     """Q3 over HTML pages: status 200, visible text, stop words removed."""
     stop = stop_words if stop_words is not None else english_stop_words(spark)
-    counts = word_counts(ok_responses(resp).select("html"), "html", html=True)
+    counts = word_counts(first_captures(resp).select("html"), "html", html=True)
     return top_words(remove_stop_words(counts, stop), k)
 
 
@@ -140,6 +153,7 @@ __all__: Sequence[str] = (
     "word_counts",
     "remove_stop_words",
     "top_words",
+    "first_captures",
     "top_page_words",
     "top_text_words",
     "subdomain_pages",

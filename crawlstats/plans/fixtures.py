@@ -82,7 +82,8 @@ def url_variants(pages: DataFrame) -> DataFrame:
     bad_host = pages.select(
         "page_id", F.regexp_replace(u, "://", "://[").alias("url"), F.lit("malformed").alias("expected")
     )
-    return originals.unionByName(variants).unionByName(ftp).unionByName(bad_host)
+    noisy = pages.select("page_id", F.concat(F.lit(" \t"), u, F.lit("\n#a\r\nb")).alias("url"), F.lit("fragment").alias("expected"))
+    return originals.unionByName(variants).unionByName(ftp).unionByName(bad_host).unionByName(noisy)
 
 
 def url_variants_sql() -> str:
@@ -98,9 +99,44 @@ def url_variants_sql() -> str:
     SELECT page_id, 'ftp:' || substr(url, 7) AS url, 'scheme' AS expected FROM pages WHERE starts_with(url, 'https:')
     UNION ALL
     SELECT page_id, replace(url, '://', '://[') AS url, 'malformed' AS expected FROM pages
+    UNION ALL
+    SELECT page_id, ' ' || chr(9) || url || chr(10) || '#a' || chr(13) || chr(10) || 'b' AS url, 'fragment' AS expected FROM pages
     """
 
 
+# What ordinary web HTML holds beyond the supplied pages.
+HTML_TAIL = (
+    '<p title="a>b">don&rsquo;t John&#39;s caf&eacute; a&ndash;b &#8217;t 1,000 at 10:30, x,y: z\u201cquoted\u201d foo\u00a0bar can&apos;t</p>'
+    '<a class="b"href="/v1">1</a><a title="a>b" href="/v2">2</a><a title="see href=/bad" href="/v3">3</a>'
+    "<a href='/v4' href='/v5'>4</a><a\thref = /v6?a=1&amp;b=&#50;>6</a><a name=x>none</a>"
+)
+
+
+def html_variants(pages: DataFrame) -> DataFrame:
+    """(page_id, url, html): every page with the hard tail after its HTML."""
+    return pages.select("page_id", "url", F.concat("html", F.lit(HTML_TAIL)).alias("html"))
+
+
+def html_variants_sql() -> str:
+    return f"(SELECT page_id, url, html || {O.q(HTML_TAIL)} AS html FROM pages)"
+
+
+def with_status(pages: DataFrame) -> DataFrame:
+    """Pages with a status: of ten ids in a row one is a 404 and one a 606 without body."""
+    i = F.col("page_id") % 10
+    status = F.when(i == 3, 404).when(i == 7, 606).otherwise(200).cast("int")
+    return pages.select(
+        "page_id", "url", status.alias("status"),
+        F.when(i == 7, F.lit("FILE TOO LARGE !")).alias("error"),
+        F.when(i != 7, F.col("html")).alias("html"),
+    )
+
+
+def with_status_sql() -> str:
+    """The rows that count for Q2-Q4."""
+    return "(SELECT page_id, url, html FROM pages WHERE page_id % 10 NOT IN (3, 7))"
+
+
 def scheme_twins(pages: DataFrame) -> DataFrame:
     """(page_id, url): each page URL, its http/https twin and a '/'-suffixed copy."""
     u = F.col("url")
@@ -223,7 +259,9 @@ def robots_rules(pages: DataFrame) -> DataFrame:
     """(host, path_prefix, allow) derived from the page hosts.
 
     Hosts starting ``m.`` deny everything; hosts starting ``blog.`` deny
-    ``/fr`` but allow ``/fr/1``; every other host has no rules.
+    ``/fr`` but allow ``/fr/1``, and deny what a query starting ``?page`` asks
+    of English pages; hosts starting ``www.`` have an empty rule; every other
+    host has no rules.
     """
     from crawlstats.functions.urls import url_parts
 
@@ -231,7 +269,8 @@ def robots_rules(pages: DataFrame) -> DataFrame:
     rule = lambda p, a: F.struct(F.lit(p).alias("path_prefix"), F.lit(a).alias("allow"))
     rules = (
         F.when(F.col("host").startswith("m."), F.array(rule("/", False)))
-        .when(F.col("host").startswith("blog."), F.array(rule("/fr", False), rule("/fr/1", True)))
+        .when(F.col("host").startswith("blog."), F.array(rule("/fr", False), rule("/fr/1", True), rule("/en/1?page", False)))
+        .when(F.col("host").startswith("www."), F.array(rule("", False)))
     )
     return hosts.select("host", F.explode(rules).alias("r")).select("host", "r.path_prefix", "r.allow")
 
@@ -241,7 +280,9 @@ def robots_rules_sql() -> str:
     SELECT host, r.path_prefix AS path_prefix, r.allow AS allow FROM (
       SELECT host, unnest(CASE
         WHEN starts_with(host, 'm.') THEN [{{'path_prefix': '/', 'allow': false}}]
-        WHEN starts_with(host, 'blog.') THEN [{{'path_prefix': '/fr', 'allow': false}}, {{'path_prefix': '/fr/1', 'allow': true}}]
+        WHEN starts_with(host, 'blog.') THEN [{{'path_prefix': '/fr', 'allow': false}}, {{'path_prefix': '/fr/1', 'allow': true}},
+                                                 {{'path_prefix': '/en/1?page', 'allow': false}}]
+        WHEN starts_with(host, 'www.') THEN [{{'path_prefix': '', 'allow': false}}]
       END) AS r
       FROM (SELECT DISTINCT {O.netloc('url')} AS host FROM pages)
     )

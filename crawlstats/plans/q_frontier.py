@@ -178,10 +178,14 @@ def q_size_gate(spark, sf_dir):
     "robots_gate",
     f"""
     WITH r AS ({X.robots_rules_sql()}),
-    u AS (SELECT page_id, url, {O.netloc('url')} AS host, {O.path('url')} AS path FROM pages),
+    u AS (
+      SELECT page_id, url, {O.netloc('url')} AS host,
+             {O.path('url')} || CASE WHEN {O.query('url')} <> '' THEN '?' || {O.query('url')} ELSE '' END AS path
+      FROM pages
+    ),
     m AS (
       SELECT u.page_id, u.url, r.allow, length(r.path_prefix) AS len
-      FROM u LEFT JOIN r ON r.host = u.host AND starts_with(u.path, r.path_prefix)
+      FROM u LEFT JOIN r ON r.host = u.host AND r.path_prefix <> '' AND starts_with(u.path, r.path_prefix)
     )
     SELECT page_id, url, coalesce(arg_max(allow, (len, allow)), true) AS allowed
     FROM m GROUP BY page_id, url
@@ -189,7 +193,7 @@ def q_size_gate(spark, sf_dir):
 )
 def q_robots_gate(spark, sf_dir):
     pg = pages(spark, sf_dir)
-    return G.robots_gate(pg.select("page_id", "url"), X.robots_rules(pg), broadcast_max_rows=P.broadcast_max_rows)
+    return G.robots_gate(pg.select("page_id", "url"), X.robots_rules(pg))
 
 
 @register(

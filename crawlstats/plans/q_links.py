@@ -8,7 +8,7 @@ from crawlstats.plans import oracle as O
 from crawlstats.plans.queries import P, register, resp
 
 
-def page_links_sql() -> str:
+def page_links_sql(pages: str = "pages") -> str:
     strip = f"(CASE WHEN starts_with(v, '\"') OR starts_with(v, '''') THEN regexp_extract(v, {O.q(L.QUOTED)}, 1) ELSE v END)"
     attributes = f"regexp_extract_all(t, {O.q(L.ATTRIBUTE)})"
     first = f"list_filter({attributes}, lambda a: regexp_matches(a, {O.q(L.HREF)}))[1]"
@@ -20,7 +20,7 @@ def page_links_sql() -> str:
             SELECT page_id, url AS src,
                    unnest(regexp_extract_all(regexp_replace(html, {O.q(INVISIBLE_MARKUP)}, ' ', 'g'),
                                              {O.q(L.ANCHOR)}, 1)) AS t
-            FROM pages
+            FROM {pages}
           ) WHERE {first} IS NOT NULL
         )
       )
@@ -28,8 +28,9 @@ def page_links_sql() -> str:
     """
 
 
-def link_audit_sql() -> str:
-    r = O.reject_reason("link", P.domains)
+def link_audit_sql(extra: str = "") -> str:
+    """``extra``: WHEN branches after those of the built-in rules."""
+    r = O.reject_reason("link", P.domains)[: -len("END)")] + f"{extra} END)"
     return f"SELECT page_id, src, link, {r} AS reason, ({r}) IS NULL AS is_valid FROM ({page_links_sql()})"
 
 

@@ -1,10 +1,9 @@
 """Registered streaming queries (R1, R2): run to completion, read the sink.
 
-The source folder holds every page of ``pages`` plus a second delivery of
-every page under a new id (``page_id + max + 1``), written as several
-Parquet files by range of id, so the stream sees repeats in later
-micro-batches. The streaming result must equal the batch query over
-``pages``, so the oracle SQL is the batch SQL.
+The source folder holds every page of ``pages`` and, in files written later,
+a second delivery of every page under a new id (``page_id + max + 1``), so the
+stream sees repeats in later micro-batches. The streaming result must equal
+the batch query over ``pages``, so the oracle SQL is the batch SQL.
 """
 
 from __future__ import annotations
@@ -13,50 +12,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlstats.config import shared_dir
+from crawlstats.functions.stop_words import ENGLISH_STOP_WORDS
 from crawlstats.functions.urls import url_parts
 from crawlstats.plans import oracle as O
 from crawlstats.plans.q_links import link_audit_sql
 from crawlstats.plans.queries import _ORACLES, P, pages, register
-from crawlstats.functions.stop_words import ENGLISH_STOP_WORDS
 from crawlstats.streaming import streams as S
 
-SOURCE_FILES = 8
-FILES_PER_TRIGGER = 3
+FILES_PER_TRIGGER = 64
 
 
-def stage_source(spark: SparkSession, sf_dir: str) -> str:
-    """Write the stream's input files (pages plus re-deliveries) to the shared folder."""
-    pg = pages(spark, sf_dir)
+def stage_source(spark: SparkSession, pg: DataFrame) -> str:
+    """Write the stream's input (pages, then re-deliveries) to the shared folder, a file a split."""
     offset = pg.select(F.max("page_id") + 1).scalar()
-    both = pg.unionByName(pg.withColumn("page_id", F.col("page_id") + offset))
     path = shared_dir(spark, "stream-src")
-    both.repartitionByRange(SOURCE_FILES, "page_id").write.parquet(path)
+    pg.write.parquet(path)
+    pg.withColumn("page_id", F.col("page_id") + offset).write.mode("append").parquet(path)
     return path
 
 
-def _run_report(spark, sf_dir, build) -> DataFrame:
-    src = stage_source(spark, sf_dir)
+def run_report(spark, pg, build) -> DataFrame:
+    src = stage_source(spark, pg)
     out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
     q = S.write_report(build(S.page_stream(spark, src, FILES_PER_TRIGGER)), out, ckpt)
     q.awaitTermination()
     return spark.read.parquet(out)
 
 
-@register("stream_top_words")
-def q_stream_top_words(spark, sf_dir):
+def run_top_words(spark, pg) -> DataFrame:
     """Q3 kept current in update mode: each trigger re-ranks changed words only."""
-    src = stage_source(spark, sf_dir)
+    src = stage_source(spark, pg)
     out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
     counts = S.running_word_counts(S.page_stream(spark, src, FILES_PER_TRIGGER), ENGLISH_STOP_WORDS)
     S.write_top_k_updates(counts, out, ckpt).awaitTermination()
-    return spark.read.parquet(out)
+    return S.read_top_k(spark, out)
 
 
-@register("stream_subdomains")
-def q_stream_subdomains(spark, sf_dir):
+def run_subdomains(spark, pg) -> DataFrame:
     """Q4 as two running aggregates over one source (page counts after dedup,
     first host over all rows); the report joins their small result tables."""
-    src = stage_source(spark, sf_dir)
+    src = stage_source(spark, pg)
     outs = []
     for build in (S.running_subdomain_counts, S.running_subdomain_links):
         out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
@@ -66,14 +61,24 @@ def q_stream_subdomains(spark, sf_dir):
     return links.join(counts, "subdomain").select("subdomain", "nice_link", "n_pages")
 
 
+@register("stream_top_words")
+def q_stream_top_words(spark, sf_dir):
+    return run_top_words(spark, pages(spark, sf_dir))
+
+
+@register("stream_subdomains")
+def q_stream_subdomains(spark, sf_dir):
+    return run_subdomains(spark, pages(spark, sf_dir))
+
+
 @register("stream_unique_pages")
 def q_stream_unique_pages(spark, sf_dir):
-    return _run_report(spark, sf_dir, S.running_unique_pages)
+    return run_report(spark, pages(spark, sf_dir), S.running_unique_pages)
 
 
 @register("stream_longest_page")
 def q_stream_longest_page(spark, sf_dir):
-    return _run_report(spark, sf_dir, S.running_longest_page)
+    return run_report(spark, pages(spark, sf_dir), S.running_longest_page)
 
 
 @register(
@@ -85,7 +90,7 @@ def q_stream_longest_page(spark, sf_dir):
     """,
 )
 def q_stream_new_urls(spark, sf_dir):
-    src = stage_source(spark, sf_dir)
+    src = stage_source(spark, pages(spark, sf_dir))
     out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
     q = S.write_appends(S.running_new_urls(S.page_stream(spark, src, FILES_PER_TRIGGER), P), out, ckpt)
     q.awaitTermination()

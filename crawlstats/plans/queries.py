@@ -46,7 +46,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from crawlstats.plans import q_frontier, q_links, q_streams, q_urls  # noqa: F401
+    from crawlstats.plans import q_frontier, q_links, q_sources, q_streams, q_urls  # noqa: F401
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,15 +67,16 @@ def q1_unique_pages(spark, sf_dir):
     return reports.unique_pages(resp(spark, sf_dir))
 
 
-@register(
-    "q2_longest_page",
-    f"""
+def longest_page_sql(table: str = "pages") -> str:
+    return f"""
     SELECT {O.normalize('url')} AS url, n_tokens FROM (
-      SELECT page_id, url, {O.token_count(O.visible_text('html'))} AS n_tokens FROM pages
+      SELECT page_id, url, {O.token_count(O.visible_text('html'))} AS n_tokens FROM {table}
       WHERE html IS NOT NULL
     ) ORDER BY n_tokens DESC, page_id LIMIT 1
-    """,
-)
+    """
+
+
+@register("q2_longest_page", longest_page_sql())
 def q2_longest_page(spark, sf_dir):
     return reports.longest_page(resp(spark, sf_dir))
 
@@ -101,7 +102,13 @@ def _top_words_sql(table: str, text_sql: str) -> str:
     """
 
 
-@register("q3_top_words", _top_words_sql("pages", O.visible_text("html")))
+def page_words_sql(table: str = "pages") -> str:
+    """Q3 over the first capture of each URL hash."""
+    first = f"SELECT min(page_id) FROM {table} GROUP BY {O.url_hash('url')}"
+    return _top_words_sql(f"(SELECT html FROM {table} WHERE page_id IN ({first}))", O.visible_text("html"))
+
+
+@register("q3_top_words", page_words_sql())
 def q3_top_words(spark, sf_dir):
     return reports.top_page_words(spark, resp(spark, sf_dir))
 
@@ -111,18 +118,19 @@ def q3_top_words_documents(spark, sf_dir):
     return reports.top_text_words(spark, read_table(spark, sf_dir, "documents"))
 
 
-@register(
-    "q4_subdomains",
-    f"""
+def subdomains_sql(table: str = "pages") -> str:
+    return f"""
     WITH s AS (
       SELECT page_id, {O.netloc('url')} AS netloc, {O.page_key(O.normalize('url'))} AS key,
              {O.subdomain(O.netloc('url'), P.anchor)} AS subdomain
-      FROM pages
+      FROM {table}
     )
     SELECT subdomain, arg_min('http://' || netloc, page_id) AS nice_link,
            count(DISTINCT key) AS n_pages
     FROM s WHERE subdomain IS NOT NULL GROUP BY subdomain ORDER BY subdomain
-    """,
-)
+    """
+
+
+@register("q4_subdomains", subdomains_sql())
 def q4_subdomains(spark, sf_dir):
     return reports.subdomain_pages(resp(spark, sf_dir), P.anchor)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawlstats.functions.scope import reject_reason
+from crawlstats.functions.scope import Rule, reject_reason
 
 PAGES_SCHEMA = T.StructType(
     [
@@ -28,17 +28,34 @@ RESPONSES_SCHEMA = T.StructType(
     ]
 )
 
+# Columns that a table of captures may also have.
+OPTIONAL_FIELDS = (
+    T.StructField("status", T.IntegerType()),
+    T.StructField("error", T.StringType()),
+    T.StructField("n_bytes", T.LongType()),
+)
+
+# ---------------------------------------------------------------------------
+# What the crawler records for a body over the size limit.
 TOO_LARGE_STATUS = 606
 TOO_LARGE_ERROR = "FILE TOO LARGE !"
+# ---------------------------------------------------------------------------
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def capture_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The page columns, and those of ``status``, ``error`` and ``n_bytes`` that the files hold."""
+    there = spark.read.parquet(path).schema
+    kept = [T.StructField(f.name, there[f.name].dataType) for f in OPTIONAL_FIELDS if f.name in there.names]
+    return T.StructType([*PAGES_SCHEMA, *kept])
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Captured pages with an explicit schema (no inference)."""
-    return spark.read.schema(PAGES_SCHEMA).parquet(path)
+    """Captured pages, with their status, error and stored length where the table has them."""
+    return spark.read.schema(capture_schema(spark, path)).parquet(path)
 
 
 def responses(pages: DataFrame, size_limit: int | None = None) -> DataFrame:
@@ -81,13 +98,18 @@ def seed_urls(spark: SparkSession, seeds: str | Sequence[str]) -> DataFrame:
     Seeds bypass the scope rules (the crawler adds them unchecked).
     """
     csv = seeds if isinstance(seeds, str) else ",".join(seeds)
-    return spark.range(1).select(F.explode(F.split(F.lit(csv), ",")).alias("url")).where(
-        F.col("url") != ""
-    )
+    return seed_lines(spark.range(1).select(F.lit(csv).alias("seeds")))
+
+
+def seed_lines(lines: DataFrame, col: str = "seeds") -> DataFrame:
+    """S2 over a table of comma-separated seed lists: one row per URL."""
+    return lines.select(F.explode(F.split(F.col(col), ",")).alias("url")).where(F.col("url") != "")
 
 
-def url_file_scan(spark: SparkSession, path: str, domains: Sequence[str], profile: str = "basic") -> DataFrame:
+def url_file_scan(
+    spark: SparkSession, path: str, domains: Sequence[str], profile: str = "basic", extra_rules: Sequence[Rule] = ()
+) -> DataFrame:
     """S3 + F17: one URL per line of a text file, with its verdict."""
     lines = spark.read.text(path).select(F.col("value").alias("url"))
-    reason = reject_reason(F.col("url"), domains, profile=profile)
+    reason = reject_reason(F.col("url"), domains, profile=profile, extra_rules=extra_rules)
     return lines.select("url", reason.isNull().alias("is_valid"), reason.alias("reason"))

@@ -1,10 +1,11 @@
-"""Durable crawl state (S5, R3 for batch): a versioned Parquet table.
+"""Durable crawl state (S5, R3 for batch): an append-only Parquet table.
 
-Each committed round writes a new ``v=<n>`` folder and then appends its
-number to a small ``commits`` table. Readers take the highest committed
-version, so a round that dies half-written is never read and the crawl
-resumes from the last commit. Restarting from the seeds commits a new
-version holding only the seeds (older versions stay as history).
+A commit writes the rows that changed as a new ``v=<n>`` folder and then
+appends its number to a small ``commits`` table, with the version that the
+crawl started from. The state is the last row of each URL hash from there on.
+A commit that dies half-written is never read, and the crawl resumes from the
+one before. Restarting from the seeds starts a new base (older versions stay
+as history).
 """
 
 from __future__ import annotations
@@ -21,33 +22,44 @@ class StateStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _commits(self) -> DataFrame | None:
+    def _commits(self) -> dict[int, int]:
+        """version -> base; one small row a commit."""
         try:
-            return self.spark.read.schema("version int").parquet(f"{self.root}/commits")
-        except AnalysisException:
-            return None
+            rows = self.spark.read.schema("version int, base int").parquet(f"{self.root}/commits").collect()
+        except AnalysisException:  # nothing committed yet
+            return {}
+        return {r.version: r.base for r in rows}
 
     def versions(self) -> list[int]:
         """Committed versions, ascending."""
-        c = self._commits()
-        return [] if c is None else sorted(r.version for r in c.distinct().collect())
+        return sorted(self._commits())
 
     def latest(self) -> int | None:
-        c = self._commits()
-        return None if c is None else c.agg(F.max("version")).first()[0]
+        return max(self._commits(), default=None)
 
     def read(self, version: int | None = None) -> DataFrame:
-        v = self.latest() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"no committed crawl state under {self.root}")
-        return self.spark.read.parquet(f"{self.root}/v={v:06d}")
+        """The state as of a version (default: the latest)."""
+        commits = self._commits()
+        v = max(commits, default=None) if version is None else version
+        if v not in commits:
+            raise FileNotFoundError(f"no committed crawl state {v} under {self.root}")
+        own = [n for n in commits if commits[v] <= n <= v]
+        paths = [f"{self.root}/v={n:06d}" for n in sorted(own)]
+        schema = "url_hash string, url string, completed boolean, v int"
+        rows = self.spark.read.schema(schema).option("basePath", self.root).parquet(*paths)
+        if len(paths) == 1:
+            return rows.select(*STATE_COLUMNS)
+        last = F.max_by(F.struct("url", "completed"), "v")
+        return rows.groupBy("url_hash").agg(last.alias("s")).select("url_hash", "s.url", "s.completed")
 
-    def commit(self, state: DataFrame) -> int:
-        """Write ``state`` as the next version, then record the commit."""
-        latest = self.latest()
-        v = 0 if latest is None else latest + 1
-        state.select(*STATE_COLUMNS).write.mode("overwrite").parquet(f"{self.root}/v={v:06d}")
-        self.spark.createDataFrame([(v,)], "version int").write.mode("append").parquet(f"{self.root}/commits")
+    def commit(self, changes: DataFrame, *, base: bool = False) -> int:
+        """Append the rows that are new or changed, then record the commit; ``base`` starts a new state."""
+        commits = self._commits()
+        last = max(commits, default=None)
+        v = 0 if last is None else last + 1
+        changes.select(*STATE_COLUMNS).write.mode("overwrite").parquet(f"{self.root}/v={v:06d}")
+        row = [(v, v if base or last is None else commits[last])]
+        self.spark.createDataFrame(row, "version int, base int").coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
         return v
 
     def start(self, seeds: DataFrame, restart: bool = False) -> DataFrame:
@@ -60,5 +72,5 @@ class StateStore:
             state = self.read()
             if not state.isEmpty():
                 return state
-        self.commit(seed_state(seeds))
+        self.commit(seed_state(seeds), base=True)
         return self.read()

@@ -24,28 +24,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from crawlstats.config import CrawlParams
 from crawlstats.functions.scope import reject_reason
 from crawlstats.functions.text import clean_token, page_token_count, split_words, visible_text
 from crawlstats.functions.urls import nice_link, normalize, page_key, subdomain, url_hash, url_parts
 from crawlstats.operators.links import link_array
-from crawlstats.sources.pages import PAGES_SCHEMA
+from crawlstats.sources.pages import capture_schema, ok_responses, responses
 
 
-def page_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Captured pages as a file stream (explicit schema, no inference)."""
-    return (
-        spark.readStream.schema(PAGES_SCHEMA)
+def page_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1, size_limit: int | None = None) -> DataFrame:
+    """Responses (S1, F19) as a file stream, with the status that the first files have."""
+    files = (
+        spark.readStream.schema(capture_schema(spark, path))
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .parquet(path)
     )
+    return responses(files, size_limit)
 
 
 def distinct_captures(pages: DataFrame) -> DataFrame:
-    """Drop re-delivered captures of a URL (streaming dedup on the URL)."""
-    return pages.dropDuplicates(["url"])
+    """One status-200 capture of a page: a later one of the same URL hash is dropped."""
+    ok = ok_responses(pages).withColumn("url_hash", url_hash("url"))
+    return ok.dropDuplicates(["url_hash"]).drop("url_hash")
 
 
 def running_unique_pages(pages: DataFrame) -> DataFrame:
@@ -60,7 +61,7 @@ def running_longest_page(pages: DataFrame) -> DataFrame:
     No dedup: a re-delivery has the same URL and length and a larger id, so
     the max (ties to the smallest id) is the same whatever the arrival order.
     """
-    counts = pages.where(F.col("html").isNotNull()).select(
+    counts = ok_responses(pages).where(F.col("html").isNotNull()).select(
         "page_id", "url", page_token_count("html").alias("n_tokens")
     )
     best = F.max_by(F.struct("url", "n_tokens"), F.struct(F.col("n_tokens"), -F.col("page_id")))
@@ -100,26 +101,44 @@ def write_top_k_updates(
     updated rows. The new top k is the top k of (current table with updated
     words replaced) and the updates: each trigger ranks its changed words and
     k stored rows instead of the whole vocabulary. Updated rows carry
-    absolute counts, so a replayed trigger leaves the same table. Only the k
-    result rows reach the driver, to be rewritten in place.
+    absolute counts, so a replayed trigger leaves the same table.
+
+    Two slots take turns: trigger i writes slot i mod 2 and reads the other,
+    which it never touches, so a driver that dies while it writes loses
+    nothing. Rows carry their trigger's number; a slot that is not the one of
+    the trigger before is an error, never an empty history. Read the result
+    with ``read_top_k``.
     """
     spark = counts.sparkSession
     order = [F.col("n").desc(), F.col("token").asc()]
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        try:
-            current = spark.read.schema("token string, n long").parquet(out_path)
-            merged = current.join(batch.select("token"), "token", "left_anti").unionByName(batch)
-        except AnalysisException:  # first trigger: no table yet
-            merged = batch
-        top = merged.orderBy(*order).limit(k).collect()
-        spark.createDataFrame(top, "token string, n long").coalesce(1).write.mode("overwrite").parquet(out_path)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        merged = batch.select("token", "n")
+        if batch_id:
+            stored = spark.read.schema(_TOP_SCHEMA).parquet(f"{out_path}/slot={(batch_id - 1) % 2}")
+            if stored.where(F.col("batch") == batch_id - 1).isEmpty():
+                raise RuntimeError(f"the top words of trigger {batch_id - 1} are not in {out_path}")
+            current = stored.where("token is not null").select("token", "n")
+            merged = current.join(merged.select("token"), "token", "left_anti").unionByName(merged)
+        mark = spark.range(1).select(F.lit(None).cast("string").alias("token"), F.lit(0).cast("long").alias("n"))
+        top = merged.orderBy(*order).limit(k).unionByName(mark).withColumn("batch", F.lit(batch_id).cast("long"))
+        top.coalesce(1).write.mode("overwrite").parquet(f"{out_path}/slot={batch_id % 2}")
 
     w = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(merge)
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
 
 
+_TOP_SCHEMA = "token string, n long, batch long"
+
+
+def read_top_k(spark: SparkSession, out_path: str) -> DataFrame:
+    """(token, n): the top words after the last trigger that ended."""
+    rows = spark.read.schema(_TOP_SCHEMA + ", slot int").parquet(out_path)
+    last = rows.agg(F.max("batch").alias("last"))
+    return rows.join(F.broadcast(last), F.col("batch") == F.col("last")).where("token is not null").select("token", "n")
+
+
 def _subdomain_rows(pages: DataFrame, anchor: str) -> DataFrame:
     p = url_parts("url")
     return pages.select(
@@ -136,7 +155,7 @@ def running_subdomain_counts(pages: DataFrame, anchor: str) -> DataFrame:
     ``count_distinct`` is not allowed on a stream, so page keys are
     deduplicated first and then counted.
     """
-    rows = _subdomain_rows(pages, anchor).select("subdomain", "key")
+    rows = _subdomain_rows(ok_responses(pages), anchor).select("subdomain", "key")
     return rows.dropDuplicates(["key"]).groupBy("subdomain").agg(F.count(F.lit(1)).alias("n_pages"))
 
 
@@ -146,14 +165,16 @@ def running_subdomain_links(pages: DataFrame, anchor: str) -> DataFrame:
     Taken over every row rather than after the dedup, so it does not depend on
     which delivery of a page arrived first.
     """
-    rows = _subdomain_rows(pages, anchor)
+    rows = _subdomain_rows(ok_responses(pages), anchor)
     return rows.groupBy("subdomain").agg(F.min_by("nice_link", "page_id").alias("nice_link"))
 
 
 def running_new_urls(pages: DataFrame, params: CrawlParams) -> DataFrame:
     """R2: every valid discovered URL once, keyed by its hash (append mode)."""
     links = distinct_captures(pages).select(F.explode(link_array("url", "html")).alias("link"))
-    reason = reject_reason(F.col("link"), params.domains, max_len=params.max_url_length)
+    reason = reject_reason(
+        F.col("link"), params.domains, max_len=params.max_url_length, extra_rules=params.extra_rules, host_only=params.host_only
+    )
     valid = links.where(reason.isNull()).select(normalize("link").alias("url"))
     keyed = valid.withColumn("url_hash", url_hash(F.col("url"), normalized=True))
     return keyed.dropDuplicates(["url_hash"])
