@@ -57,9 +57,22 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+#: Bytes of rows that a Python worker gets at a time, at most (a single longer row comes alone).
+BATCH_BYTES = 16 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """``mapInArrow``; rows never leave their task."""
-    ship(df.sparkSession)
+    """``mapInArrow``; rows never leave their task.
+
+    Bounds the session's Arrow batches by bytes, since a count of rows does not
+    bound the memory that long texts take.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    now = spark.conf.get(BATCH_CONF, "").rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES or int(now) <= 0:
+        spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
     return df.mapInArrow(fn, schema)
 
 

@@ -3,18 +3,23 @@
 A symbol's vector is its input to the three gates. The output is factored:
 first the class of the next token, then, in a head class, the token within
 it; tokens of other classes have fixed shares of their class, which the caller
-adds. Documents run side by side, one in a lane, in windows of a few steps;
-the state is carried from window to window, and gradients stop at a window's
-start (truncated backpropagation).
+adds. Documents run side by side in lanes, in windows of a few steps; a lane
+takes one document after the other, from state zero, so that all lanes are
+busy to about the same step. The state is carried from window to window, and
+gradients stop at a window's start (truncated backpropagation) and at a
+document's.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
 
-LANES, STEPS = 1024, 16
+LANES = 512
+#: Tokens of a window, and the bounds of its steps: few lanes take longer windows.
+WINDOW, STEPS = 1 << 13, (16, 256)
 RATE = 0.08
 
 
@@ -45,10 +50,14 @@ class Gru:
 
     # --- one window ----------------------------------------------------------------
 
-    def states(self, x: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """The states after each step of ``x`` (steps x lanes), from state ``h``."""
+    def states(self, x: np.ndarray, first: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
+        """The states after each step of ``x`` (steps x lanes), from state ``h``; zero before a ``first`` token."""
         n, out = self.hidden, np.empty((len(x), *h.shape), np.float32)
         for t, symbols in enumerate(x):
+            new_docs = np.flatnonzero(first[t])
+            if len(new_docs):
+                h = h.copy()
+                h[new_docs] = 0
             gx, gh = self.emb[symbols], h @ self.rec
             gates = gx[:, : 2 * n] + gh[:, : 2 * n]
             np.negative(gates, out=gates)
@@ -91,11 +100,11 @@ class Gru:
 
     # --- learning --------------------------------------------------------------------
 
-    def learn(self, x: np.ndarray, h0: np.ndarray, kind: np.ndarray, place: np.ndarray, live: np.ndarray, memory: dict) -> np.ndarray:
+    def learn(self, x, first, h0, kind, place, live, memory: dict) -> np.ndarray:
         """One update on a window (all arrays steps x lanes); returns the state after it."""
         steps, lanes, n = *x.shape, self.hidden
         keep: list = []
-        hs = self.states(x, h0, keep)
+        hs = self.states(x, first, h0, keep)
         h, kind, place, live = hs.reshape(-1, n), kind.ravel(), place.ravel(), live.ravel()
         d = h @ self.out + self.out_bias
         self._softmax(d, kind)
@@ -114,17 +123,30 @@ class Gru:
             tok[own], tok_bias[own] = e.T @ part, e.sum(axis=0)
         grads |= {"tok": tok, "tok_bias": tok_bias}
         dh = dh.reshape(steps, lanes, n)
-        gate_x, gate_h = np.empty((2, steps, lanes, 3 * n), np.float32)
-        back = np.zeros((lanes, n), np.float32)
+        # What a step's gradient is multiplied by on its way to the gates.
+        h, z, r, own, new = (np.stack(k) for k in zip(*keep))
+        to_new = 1 - new * new
+        to_new *= 1 - z
+        to_z = (h - new) * z
+        to_z *= 1 - z
+        to_r = own * r
+        to_r *= 1 - r
+        gate_h = np.empty((steps, lanes, 3 * n), np.float32)
+        gate_x = np.empty((steps, lanes, 3 * n), np.float32)
+        back, rec_t = np.zeros((lanes, n), np.float32), np.ascontiguousarray(self.rec.T)
         for t in range(steps - 1, -1, -1):
-            h, z, r, own, new = keep[t]
             g = dh[t] + back
-            d_new = g * (1 - z) * (1 - new * new)
-            gate_x[t, :, :n] = gate_h[t, :, :n] = g * (h - new) * z * (1 - z)
-            gate_x[t, :, n : 2 * n] = gate_h[t, :, n : 2 * n] = d_new * own * r * (1 - r)
-            gate_x[t, :, 2 * n :], gate_h[t, :, 2 * n :] = d_new, d_new * r
-            back = g * z + gate_h[t] @ self.rec.T
-        grads["rec"] = np.concatenate([k[0] for k in keep]).T @ gate_h.reshape(-1, 3 * n)
+            d_new = g * to_new[t]
+            gh = gate_h[t]
+            np.multiply(g, to_z[t], out=gh[:, :n])
+            np.multiply(d_new, to_r[t], out=gh[:, n : 2 * n])
+            np.multiply(d_new, r[t], out=gh[:, 2 * n :])
+            gate_x[t, :, 2 * n :] = d_new
+            back = gh @ rec_t
+            back += g * z[t]
+            back[first[t]] = 0
+        gate_x[:, :, : 2 * n] = gate_h[:, :, : 2 * n]
+        grads["rec"] = h.reshape(-1, n).T @ gate_h.reshape(-1, 3 * n)
         for name, g in grads.items():
             self._step(getattr(self, name), g, memory.setdefault(name, np.full_like(g, 1e-2)), slice(None))
         order = np.argsort(x.ravel(), kind="stable")
@@ -140,17 +162,32 @@ class Gru:
         p[rows] -= RATE * g / np.sqrt(m[rows])
 
 
-def lanes(length: np.ndarray, width: int) -> Iterator[np.ndarray]:
-    """Documents that run together: of like length, the longest first in each group."""
-    order = np.argsort(-length, kind="stable")
-    for at in range(0, len(order), width):
-        yield order[at : at + width]
-
-
-def windows(start: np.ndarray, length: np.ndarray, steps: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(step, lanes still running, places in the flat tokens, live) of the windows over a group of lanes."""
-    for t in range(0, int(length[0]), steps):
-        on = int(np.searchsorted(-length, -t))  # lanes longer than t
-        step = t + np.arange(min(steps, int(length[0]) - t))[:, None]
-        live = step < length[:on]
-        yield t, on, start[:on] + np.minimum(step, length[:on] - 1), live
+def lanes(length: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(documents in the order of their lanes, tokens of each lane), the longest lane first.
+
+    The longest documents are dealt first, each to the shortest lane.
+    """
+    order = np.argsort(-length, kind="stable").tolist()
+    own: list[list[int]] = [[] for _ in range(min(width, len(order)))]
+    load = [(0, i) for i in range(len(own))]
+    for d in order:
+        n, i = load[0]
+        own[i].append(d)
+        heapq.heapreplace(load, (n + int(length[d]), i))
+    total = np.zeros(len(own), dtype=np.int64)
+    for n, i in load:
+        total[i] = n
+    by_total = np.argsort(-total, kind="stable")
+    return np.concatenate([np.array(own[i], dtype=np.int64) for i in by_total]), total[by_total]
+
+
+def windows(total: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(lanes still running, places in the lanes' tokens, live) of one window after the other."""
+    start, t, end = np.cumsum(total) - total, 0, int(total[0])
+    while t < end:
+        on = int(np.searchsorted(-total, -t))  # lanes longer than t
+        steps = min(max(WINDOW // on, STEPS[0]), STEPS[1], end - t)
+        step = t + np.arange(steps)[:, None]
+        live = step < total[:on]
+        yield on, start[:on] + np.minimum(step, total[:on] - 1), live
+        t += steps

@@ -6,11 +6,12 @@
    such a class a word's share is its smoothed count, and unknown words share
    one place. A dictionary of at most ``DICTIONARY`` frequent words is
    broadcast; rarer words meet their counts in a join.
-2. The network (``gru``) starts as the unigram model. All training documents
+2. Documents are encoded once, as symbols of the network, in a written table.
+3. The network (``gru``) starts as the unigram model. All training documents
    are dealt to ``ROUNDS`` rounds; in a round each task trains a copy on its
    documents by truncated backpropagation, and the copies are averaged, by
    tokens, in two steps of a shuffle by parameter block.
-3. Every whole document is scored: its state is carried across windows from
+4. Every whole document is scored: its state is carried across windows from
    its first word to its end.
 
 Gathered from the corpus: all counts, and parameters trained on all training
@@ -38,15 +39,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlstats.llm.common import documents, fold, map_batches, words, written
-from crawlstats.llm.gru import LANES, STEPS, Gru, lanes, windows
+from crawlstats.llm.gru import LANES, Gru, lanes, windows
 
-HEADS, SIZE, TAILS, HIDDEN = 16, 64, 64, 24
+HEADS, SIZE, TAILS, HIDDEN = 16, 64, 64, 16
 HEAD = HEADS * SIZE
 END = HEAD + TAILS  # the symbol that ends a document, and begins it
 DICTIONARY = 1 << 17
 ROUNDS = 3
-#: Tokens of documents that a task trains on at a time.
-TRAIN_TOKENS = 1 << 20
+#: Training reads longer documents as several, so that lanes end together; scoring never does.
+STRETCH = 4096
+#: Tokens of documents that a task runs through the network at a time.
+GATHERED = 3 << 19
 #: Distinct words that a task counts before it passes them on.
 COUNTED = 500_000
 #: Parameters in a block, and parts of the first averaging step.
@@ -58,6 +61,10 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(word.rstrip(OUTER)[-2:] or word[-2:]) % TAILS
 
 
+def blank() -> Gru:
+    return Gru(END + 1, HEADS + TAILS + 1, HEADS, SIZE, HIDDEN)
+
+
 class Vocabulary:
     """The dictionary in order of frequency, and the totals; bounded, so it may be broadcast."""
 
@@ -85,7 +92,7 @@ class Vocabulary:
 
     def unigram(self) -> Gru:
         """The network that gives what the counts give."""
-        g = Gru(END + 1, HEADS + TAILS + 1, HEADS, SIZE, HIDDEN)
+        g = blank()
         head = self.head + 1e-3  # places without a word stay possible, barely
         by_class = head.reshape(HEADS, SIZE)
         if self.docs:
@@ -141,57 +148,57 @@ def vocabulary(counts: DataFrame, n_docs: int) -> tuple[Vocabulary, int]:
 
 
 class Flat:
-    """Documents as one run of tokens."""
-
-    def __init__(self, texts, v: Vocabulary, scored: bool):
-        get = v.index.get
-        ids, start, length, self.rare = [], [], [], []
-        at = 0
-        for t in texts:
-            own = tokens(t)
-            found = np.fromiter((get(w, -1) for w in own), np.int64, len(own))
-            unknown = np.flatnonzero(found < 0)
-            rare = [own[i] for i in unknown.tolist()]
-            symbol = v.symbol[found] if len(v.symbol) else np.zeros(len(own), dtype=np.int64)
-            symbol[unknown] = [HEAD + tail_class(w) for w in rare]
-            if scored:
-                self.rare.append(Counter(rare))
-            ids.append((found, symbol))
-            start.append(at)
-            length.append(len(own) + 1)
-            at += len(own) + 1
-        self.start, self.length = np.array(start, dtype=np.int64), np.array(length, dtype=np.int64)
-        self.symbol, self.found = np.full(at, END, dtype=np.int64), np.full(at, -1, dtype=np.int64)
-        for s, (found, symbol) in zip(start, ids):
-            self.symbol[s : s + len(found)] = symbol
-            self.found[s : s + len(found)] = found
-        self.input = np.roll(self.symbol, 1)
-        self.input[self.start] = END
+    """Documents, given as symbols that end with ``END``, as one run of tokens."""
+
+    def __init__(self, docs: list[np.ndarray]):
+        self.length = np.fromiter(map(len, docs), np.int64, len(docs))
+        self.start = np.cumsum(self.length) - self.length
+        self.symbol = np.concatenate(docs)
         head = self.symbol < HEAD
-        self.kind = np.where(head, self.symbol // SIZE, np.where(self.symbol < END, HEADS + self.symbol - HEAD, HEADS + TAILS))
-        self.place = np.where(head, self.symbol % SIZE, 0)
+        self.kind = np.where(head, self.symbol // SIZE, np.where(self.symbol < END, HEADS + self.symbol - HEAD, HEADS + TAILS)).astype(np.int16)
+        self.place = np.where(head, self.symbol % SIZE, 0).astype(np.int16)
+
+    def in_lanes(self, stretch: int = 0):
+        """(place of each token in lane order, input, first of its document, kind, place in its class, tokens of each lane).
+
+        With ``stretch`` a longer document is several of at most so many tokens.
+        """
+        start, length = self.start, self.length
+        if stretch:
+            parts = -(-length // stretch)
+            nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+            start = np.repeat(start, parts) + nth * stretch
+            length = np.minimum(np.repeat(length, parts) - nth * stretch, stretch)
+        order, total = lanes(length, LANES)
+        size = length[order]
+        begin = np.cumsum(size) - size
+        at = np.repeat(start[order] - begin, size) + np.arange(int(size.sum()))
+        first = np.zeros(len(at), dtype=bool)
+        first[begin] = True
+        before = self.symbol[at - 1]
+        before[np.isin(at, self.start, assume_unique=True)] = END
+        return at, before, first, self.kind[at], self.place[at], total
 
 
 def train_on(g: Gru, flat: Flat, memory: dict) -> None:
-    groups = list(lanes(flat.length, LANES))
-    for i in np.random.default_rng(len(groups)).permutation(len(groups)):
-        own = groups[i]
-        h = np.zeros((len(own), g.hidden), np.float32)
-        for _, on, at, live in windows(flat.start[own], flat.length[own], STEPS):
-            h = g.learn(flat.input[at], h[:on], flat.kind[at], flat.place[at], live.astype(np.float32), memory)
+    _, before, first, kind, place, total = flat.in_lanes(STRETCH)
+    h = np.zeros((len(total), g.hidden), np.float32)
+    for on, at, live in windows(total):
+        h = g.learn(before[at], first[at] & live, h[:on], kind[at], place[at], live.astype(np.float32), memory)
 
 
 def log10_scores(g: Gru, flat: Flat) -> np.ndarray:
     """Per document the network's part of log10 probability."""
-    total = np.zeros(len(flat.length))
-    for own in lanes(flat.length, LANES):
-        h = np.zeros((len(own), g.hidden), np.float32)
-        for _, on, at, live in windows(flat.start[own], flat.length[own], STEPS):
-            hs = g.states(flat.input[at], h[:on])
-            h = hs[-1]
-            lp = g.log_probs(hs.reshape(-1, g.hidden), flat.kind[at].ravel(), flat.place[at].ravel())
-            total[own[:on]] += np.where(live, lp.reshape(live.shape), 0).sum(axis=0, dtype=np.float64)
-    return total / math.log(10)
+    where, before, first, kind, place, total = flat.in_lanes()
+    lp = np.zeros(len(where), np.float32)
+    h = np.zeros((len(total), g.hidden), np.float32)
+    for on, at, live in windows(total):
+        hs = g.states(before[at], first[at] & live, h[:on])
+        h = hs[-1]
+        lp[at[live]] = g.log_probs(hs.reshape(-1, g.hidden), kind[at].ravel(), place[at].ravel()).reshape(live.shape)[live]
+    by_token = np.zeros(len(where))
+    by_token[where] = lp
+    return np.add.reduceat(by_token, flat.start) / math.log(10)
 
 
 def averaged(copies: DataFrame) -> np.ndarray | None:
@@ -215,32 +222,50 @@ def averaged(copies: DataFrame) -> np.ndarray | None:
     return np.concatenate([np.frombuffer(r.v, dtype=np.float64) / r.n for r in sorted(total, key=lambda r: r.block)]) if total else None
 
 
-def train(docs: DataFrame, v: Vocabulary) -> Gru:
-    """The network after ``ROUNDS`` rounds over ``docs`` (doc_id, text)."""
-    spark, g = docs.sparkSession, v.unigram()
+class Gathered:
+    """Documents held back until they fill the lanes; long ones wait for each other, as a lane is as long as its longest."""
+
+    def __init__(self, use):
+        self.use, self.held = use, ([], [])
+        self.tokens = [0, 0]
+
+    def add(self, key, symbols: np.ndarray) -> list:
+        kind = int(len(symbols) > STRETCH)
+        self.held[kind].append((key, symbols))
+        self.tokens[kind] += len(symbols)
+        return self._flush(kind) if self.tokens[kind] >= GATHERED else []
+
+    def _flush(self, kind: int) -> list:
+        if not self.held[kind]:
+            return []
+        keys, docs = zip(*self.held[kind])
+        self.held[kind].clear()
+        self.tokens[kind] = 0
+        return [(keys, self.use(Flat(list(docs))))]
+
+    def end(self) -> list:
+        return self._flush(0) + self._flush(1)
+
+
+def train(encoded: DataFrame, v: Vocabulary) -> Gru:
+    """The network after ``ROUNDS`` rounds over the ``symbols`` of ``encoded``."""
+    spark, g = encoded.sparkSession, v.unigram()
     size = len(g.vector())
     state = np.concatenate([g.vector(), np.full(size, 1e-2)]).astype(np.float32)  # parameters, then their step memory
-    words_shared = spark.sparkContext.broadcast(v)
 
     def learner(shared):
         def run(batches):
-            vocabulary, state = words_shared.value, shared.value
-            g = vocabulary.unigram().set_vector(state[:size])
-            m = vocabulary.unigram().set_vector(state[size:])
+            state = shared.value
+            g, m = (blank().set_vector(s) for s in (state[:size], state[size:]))
             memory = {n: getattr(m, n) for n in g.NAMES}
-            seen, held, held_bytes = 0, [], 0
+            seen = 0
+            gathered = Gathered(lambda flat: train_on(g, flat, memory))
             for b in batches:
-                for t in b.column(0).cast(pa.binary()):
-                    held.append(t.as_py())
-                    held_bytes += len(held[-1])
-                    if held_bytes >= 6 * TRAIN_TOKENS:
-                        flat = Flat(held, vocabulary, scored=False)
-                        train_on(g, flat, memory)
-                        seen, held, held_bytes = seen + len(flat.symbol), [], 0
-            if held:
-                flat = Flat(held, vocabulary, scored=False)
-                train_on(g, flat, memory)
-                seen += len(flat.symbol)
+                for s in b.column(0):
+                    own = np.frombuffer(s.as_py(), dtype=np.int16)
+                    seen += len(own)
+                    gathered.add(None, own)
+            gathered.end()
             if seen:
                 out = np.concatenate([g.vector(), *[memory[n].ravel() for n in g.NAMES]]).astype(np.float64) * seen
                 salt = TaskContext.get().partitionId() % SALTS
@@ -251,7 +276,7 @@ def train(docs: DataFrame, v: Vocabulary) -> Gru:
         return run
 
     for r in range(ROUNDS):
-        own = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == r).select("text")
+        own = encoded.where(F.pmod(F.xxhash64("doc_id", "row"), F.lit(ROUNDS)) == r).select("symbols")
         shared = spark.sparkContext.broadcast(state)
         mean = averaged(map_batches(own, learner(shared), "block int, salt int, n long, v binary"))
         if mean is not None:
@@ -259,56 +284,82 @@ def train(docs: DataFrame, v: Vocabulary) -> Gru:
     return g.set_vector(state[:size])
 
 
+def encode(docs: DataFrame, v: Vocabulary) -> DataFrame:
+    """Written, by document: row, doc_id, what the dictionary gives of the results, rare words, symbols."""
+    shared = docs.sparkSession.sparkContext.broadcast(v)
+    rare_kind = pa.list_(pa.struct([("word", pa.binary()), ("kind", pa.int32()), ("n", pa.int64())]))
+
+    def run(batches):
+        v = shared.value
+        get, known_end = v.index.get, int(v.docs > 0)
+        for b in batches:
+            out = []
+            for doc, t in zip(b.column(0), b.column(1).cast(pa.binary())):
+                own = tokens(t.as_py())
+                found = np.fromiter((get(w, -1) for w in own), np.int64, len(own))
+                unknown = np.flatnonzero(found < 0)
+                rare = [own[i] for i in unknown.tolist()]
+                symbol = np.full(len(own) + 1, END, dtype=np.int16)
+                if len(v.symbol):
+                    symbol[:-1] = v.symbol[found]
+                symbol[unknown] = [HEAD + tail_class(w) for w in rare]
+                there = found[found >= 0]
+                rows = [{"word": w, "kind": tail_class(w), "n": n} for w, n in Counter(rare).items()]
+                out.append((doc.as_py(), len(symbol), len(there) + known_end, v.base[there].sum() + v.base_end, v.share[there].sum(), rows, symbol.tobytes()))
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare_kind, pa.binary())
+                names = ["doc_id", "n_tokens", "n_known", "base", "share", "rare", "symbols"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    kind = "doc_id long, n_tokens long, n_known long, base double, share double, rare array<struct<word: binary, kind: int, n: bigint>>, symbols binary"
+    return written(map_batches(docs, run, kind).withColumn("row", F.monotonically_increasing_id()), "encoded")
+
+
+def network_scores(encoded: DataFrame, g: Gru) -> DataFrame:
+    """(row, lp): the network's part of each document's log10 probability."""
+    shared = encoded.sparkSession.sparkContext.broadcast(g.vector())
+
+    def run(batches):
+        g = blank().set_vector(shared.value)
+        gathered = Gathered(lambda flat: log10_scores(g, flat))
+
+        def out(done):
+            for rows, lp in done:
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(lp)], ["row", "lp"])
+
+        for b in batches:
+            for row, s in zip(b.column(0), b.column(1)):
+                yield from out(gathered.add(row.as_py(), np.frombuffer(s.as_py(), dtype=np.int16)))
+        yield from out(gathered.end())
+
+    return map_batches(encoded.select("row", "symbols"), run, "row long, lp double")
+
+
 def lm_scores(docs: DataFrame, *, folds: int = 5, held: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    spark = docs.sparkSession
     d = documents(docs, id_col, text_col)
     held_out = fold("doc_id", folds) == held
     known = d.where(~held_out)
     counts = word_counts(known)
     v, least = vocabulary(counts, known.count())
-    shared = spark.sparkContext.broadcast((v, train(known, v)))
-
-    def run(batches):
-        v, g = shared.value
-        for b in batches:
-            flat = Flat((t.as_py() for t in b.column(1).cast(pa.binary())), v, scored=True)
-            if not len(flat.start):
-                continue
-            in_words, last = flat.found >= 0, flat.symbol == END
-            at = np.where(in_words, flat.found, 0)
-            pick = lambda values, end: np.where(in_words, values[at] if len(values) else 0.0, np.where(last, end, 0.0))
-            total = lambda x: np.add.reduceat(x, flat.start)
-            rare = [[{"word": w, "kind": tail_class(w), "n": n} for w, n in c.items()] for c in flat.rare]
-            columns = (
-                b.column(0),
-                pa.array(flat.length),
-                pa.array(total((in_words | (last & (v.docs > 0))).astype(np.int64))),
-                pa.array(total(pick(v.base, v.base_end))),
-                pa.array(log10_scores(g, flat) + total(pick(v.share, 0.0))),
-                pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("kind", pa.int32()), ("n", pa.int64())]))),
-            )
-            yield pa.RecordBatch.from_arrays(list(columns), ["doc_id", "n_tokens", "n_known", "base", "score", "rare"])
-
-    kind = "doc_id long, n_tokens long, n_known long, base double, score double, rare array<struct<word: binary, kind: int, n: bigint>>"
-    scored = written(map_batches(d, run, kind).withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("row", F.inline("rare")).withColumnRenamed("n", "times")
+    encoded = encode(d, v)
+    scored = network_scores(encoded, train(encoded.where(~held_out), v))
+    rare = encoded.select("row", F.inline("rare")).withColumnRenamed("n", "times")
     met = rare.join(counts.where(F.col("n") < least).select("word", "n"), "word", "left")
     c = F.coalesce("n", F.lit(0))
     below = F.element_at(F.array(*[F.lit(float(x)) for x in np.log10(v.tail_mass)]), F.col("kind") + 1)
     more = met.groupBy("row").agg(
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("known_more"),
         F.sum(F.col("times") * (F.log10(c + 0.5) - F.lit(v.base_below))).alias("base_more"),
-        F.sum(F.col("times") * (F.log10(c + 0.5) - below)).alias("score_more"),
+        F.sum(F.col("times") * (F.log10(c + 0.5) - below)).alias("share_more"),
     )
-    out = scored.drop("rare").join(more, "row", "left")
-    add = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
+    out = encoded.drop("rare", "symbols").join(scored, "row").join(more, "row", "left")
     return out.select(
         "doc_id",
         held_out.alias("held_out"),
         "n_tokens",
-        add("n_known", "known_more"),
+        (F.col("n_known") + F.coalesce("known_more", F.lit(0))).alias("n_known"),
         F.lit(v.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("base_more", F.lit(0.0))).alias("base_score"),
-        add("score", "score_more"),
+        (F.col("lp") + F.col("share") + F.coalesce("share_more", F.lit(0.0))).alias("score"),
     )
