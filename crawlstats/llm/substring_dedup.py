@@ -123,9 +123,18 @@ def _texts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     joined = _keyed(docs).join(by_doc, ["k", "h"]).select("text", "own")
 
     def run(batches):
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
+        names = ["a", "q", "n", "text", "i", "w"]
+        out: list[tuple] = []
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+
         for b in batches:
-            out = []
             for t, own in zip(b.column(0).cast(pa.binary()), b.column(1)):
+                if len(out) >= 1 << 14:
+                    yield batch()
+                    out.clear()
                 w = words(t.as_py())
                 for s in own.as_py():
                     first, n = s["place"] >> PLACE_BITS, s["place"] & ((1 << PLACE_BITS) - 1)
@@ -135,10 +144,8 @@ def _texts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                         continue
                     for i in range(n):
                         out.append((s["a"], s["q"], s["n"], None, i, xxhash.xxh3_128_digest(b" ".join(text[i : i + window]))))
-            if out:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
-                names = ["a", "q", "n", "text", "i", "w"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+        if out:
+            yield batch()
 
     return written(map_batches(joined, run, "a long, q long, n long, text binary, i int, w binary"), "snippets")
 
