@@ -3,6 +3,7 @@
 import os
 from collections import deque
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
@@ -96,15 +97,23 @@ def test_robots_gate(spark):
         [("http://a.example.com/x",), ("http://b.example.com/fr/2",), ("http://b.example.com/fr/12",), ("http://b.example.com/en",), ("http://c.example.com/",)],
         "url string",
     )
-    for bmax in (10, 0):
-        got = {r.url: r.allowed for r in G.robots_gate(urls, rules, broadcast_max_rows=bmax).collect()}
-        assert got == {
-            "http://a.example.com/x": False,
-            "http://b.example.com/fr/2": False,
-            "http://b.example.com/fr/12": True,
-            "http://b.example.com/en": True,
-            "http://c.example.com/": True,
-        }
+    got = {r.url: r.allowed for r in G.robots_gate(urls, rules).collect()}
+    assert got == {
+        "http://a.example.com/x": False,
+        "http://b.example.com/fr/2": False,
+        "http://b.example.com/fr/12": True,
+        "http://b.example.com/en": True,
+        "http://c.example.com/": True,
+    }
+
+
+def test_robots_gate_query_and_empty_rule(spark):
+    rules = [("a.example.com", "/search?q=", False), ("b.example.com", "", False), ("c.example.com", "/x", False), ("c.example.com", "/x", True)]
+    urls = ["http://a.example.com/search?q=1", "http://a.example.com/search", "http://b.example.com/y", "http://c.example.com/x", None]
+    r = spark.createDataFrame(rules, "host string, path_prefix string, allow boolean")
+    u = spark.createDataFrame([(i, x) for i, x in enumerate(urls)] + [(0, urls[0])], "i int, url string")
+    got = sorted((x.i, x.allowed) for x in G.robots_gate(u, r).collect())
+    assert got == [(0, False), (0, False), (1, True), (2, True), (3, True), (4, True)]
 
 
 def test_stream_stops_and_resumes_to_batch_result(spark, tmp_dir):
@@ -133,11 +142,83 @@ def test_stream_top_k_updates_resume(spark, tmp_dir):
     S.write_top_k_updates(S.running_word_counts(S.page_stream(spark, src), stop), out, ckpt, k=20).awaitTermination()
     pages.where("page_id >= 20").repartition(3).write.mode("append").parquet(src)
     S.write_top_k_updates(S.running_word_counts(S.page_stream(spark, src), stop), out, ckpt, k=20).awaitTermination()
-    got = {(r.token, r.n) for r in spark.read.parquet(out).collect()}
+    got = {(r.token, r.n) for r in S.read_top_k(spark, out).collect()}
     exp = {(r.token, r.n) for r in R.top_page_words(spark, responses(pages), k=20).collect()}
     assert got == exp
 
 
+def test_stream_top_k_survives_a_crash_while_writing(spark, tmp_dir):
+    """A driver that dies inside a trigger leaves that trigger's slot broken; the replay gives the batch result."""
+    import shutil
+
+    pages = spark.read.parquet(f"{SF0001}/pages.parquet")
+    src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("src5", "out5", "ckpt5"))
+    stop = R.english_stop_words(spark).rdd.map(lambda r: r.token).collect()
+    run = lambda: S.write_top_k_updates(S.running_word_counts(S.page_stream(spark, src), stop), out, ckpt, k=20).awaitTermination()
+    pages.where("page_id < 15").coalesce(1).write.parquet(src)
+    run()
+    pages.where("page_id >= 15 and page_id < 30").coalesce(1).write.mode("append").parquet(src)
+    run()
+    # The third trigger (2) was writing slot 0 when it died: the slot is gone, its commit is missing.
+    pages.where("page_id >= 30").coalesce(1).write.mode("append").parquet(src)
+    shutil.rmtree(os.path.join(out, "slot=0"))
+    run()
+    got = {(r.token, r.n) for r in S.read_top_k(spark, out).collect()}
+    assert got == {(r.token, r.n) for r in R.top_page_words(spark, responses(pages), k=20).collect()}
+    # A missing history is an error, not an empty one.
+    shutil.rmtree(os.path.join(out, "slot=0"))
+    pages.withColumn("url", F.concat("url", F.lit("/again"))).coalesce(1).write.mode("append").parquet(src)
+    with pytest.raises(Exception):
+        run()
+
+
+def test_recaptures_count_once(spark, tmp_dir):
+    rows = [(1, "http://a.example.com/1", "<p>word</p>"), (2, "http://a.example.com/1", "<p>word</p>"), (3, "https://a.example.com/1/", "<p>word</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("src6", "out6", "ckpt6"))
+    pages.write.parquet(src)
+    S.write_top_k_updates(S.running_word_counts(S.page_stream(spark, src), []), out, ckpt).awaitTermination()
+    for got in (R.top_page_words(spark, responses(pages)), S.read_top_k(spark, out)):
+        assert [(r.token, r.n) for r in got.collect()] == [("word", 1)]
+
+
+def test_status_survives_the_reader(spark, tmp_dir):
+    from crawlstats.sources.pages import ok_responses, read_pages
+
+    path = os.path.join(tmp_dir, "with-status")
+    rows = [(1, "http://a.example.com/1", 200, "<p>a</p>"), (2, "http://a.example.com/2", 404, "<p>b</p>")]
+    spark.createDataFrame(rows, "page_id long, url string, status int, html string").write.parquet(path)
+    assert [r.page_id for r in ok_responses(responses(read_pages(spark, path))).collect()] == [1]
+
+
+def test_crawl_resumes_after_a_stop(spark, tmp_dir):
+    captured = responses(spark.createDataFrame(PAGES, "page_id long, url string, html string"))
+    seeds = seed_urls(spark, "https://a.example.com/")
+    whole = {r.url for r in C.crawl(captured, seeds, P).collect()}
+    root = os.path.join(tmp_dir, "crawl")
+    rounds = C.crawl_rounds(captured, seeds, P, root=root)
+    assert [next(rounds), next(rounds)] == [0, 1]
+    rounds.close()
+    assert {r.url for r in C.crawl(captured, seeds, P, root=root).collect()} == whole
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("crawlstats")]
+    # A given state: pending URLs that the rules reject are not fetched, and stay pending.
+    from crawlstats.operators.frontier import keyed
+
+    state = keyed(spark.createDataFrame([("ftp://evil.test/x",), ("https://a.example.com/b",)], "url string"))
+    state = state.select("url_hash", "url", F.lit(False).alias("completed"))
+    got = {r.url: r.completed for r in C.crawl(captured, seeds, P, state=state).collect()}
+    assert got["ftp://evil.test/x"] is False and got["https://a.example.com/b"] is True
+
+
+def test_host_only_scope(spark):
+    from crawlstats.functions.scope import is_valid
+
+    urls = ["https://a.example.com", "https://a.example.com:8080", "https://example.com/x", "https://evil.test/.example.com/", "https://notexample.com/x"]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = [r.v for r in df.select(is_valid("url", P.domains, host_only=True).alias("v")).collect()]
+    assert got == [True, True, True, False, False]
+
+
 def test_stream_new_urls_append(spark, tmp_dir):
     pages = spark.read.parquet(f"{SF0001}/pages.parquet")
     src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("src2", "out2", "ckpt2"))

@@ -6,13 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF0001
-
-FAST = [
-    "q1_unique_pages", "q2_longest_page", "q3_top_words", "q4_subdomains", "url_reject_reason",
-    "href_resolve", "page_links", "frontier_new_urls", "fetch_list", "robots_gate", "crawl_closure",
-    "crawl_pages", "state_complete", "captured_lookup", "q3_top_words_documents",
-]
-
+from crawlstats.plans import queries as registry
 
 def test_entry_runs(spark):
     df = E.entry(spark)
@@ -37,11 +31,12 @@ def test_import_opens_no_jar(tmp_path):
 
 def test_registry_shapes():
     qs, sql = E.queries(), E.oracle_sql()
-    assert set(sql) <= set(qs) and len(qs) >= 31
+    assert set(sql) <= set(qs) and len(registry.queries()) >= 48
+    assert set(registry.oracle_sql()) == set(registry.queries())
     assert all(callable(f) for f in qs.values())
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in ("pages", "documents"):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from conftest import SF0001
 from crawlstats.operators import links as L
+from crawlstats.plans import queries as registry
 from crawlstats.sources.pages import responses
 
 
@@ -25,6 +26,7 @@ def test_reports_read_only_needed_columns(spark):
         reads = re.findall(r"ReadSchema: (struct<[^>]*>)", _final_plan(q[name](spark, SF0001)))
         assert reads and all("html" not in r for r in reads), (name, reads)
     reads = re.findall(r"ReadSchema: (struct<[^>]*>)", _final_plan(q["q3_top_words"](spark, SF0001)))
+    # Without later captures of a URL the anti join goes at run time, and so do ids and URLs.
     assert reads == ["struct<html:string>"]
 
 
@@ -35,7 +37,7 @@ def test_stop_words_join_is_broadcast_after_aggregate(spark):
 
 
 def test_no_python_in_batch_queries(spark):
-    for name, fn in E.queries().items():
+    for name, fn in registry.queries().items():
         if name.startswith("stream_") or name.startswith("crawl_"):
             continue
         plan = _final_plan(fn(spark, SF0001))
@@ -48,16 +50,23 @@ def test_links_do_not_shuffle_on_split_input(spark):
     assert _exchanges(plan) == 1
 
 
-def test_bucketed_anti_join_reads_table_in_place(spark):
-    from crawlstats.operators.crawl import _BucketedTable
+def test_round_joins_shuffle_both_sides_beyond_the_bounds(spark):
+    """A frontier over the byte bound is not broadcast: a hub's edges then come from a plain shuffle, which Spark can split."""
+    from crawlstats.operators.crawl import reachable
 
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        t = _BucketedTable(spark, "plantest", "node", 8, partition="depth")
-        t.append(spark.range(1000).select(F.col("id").alias("node"), F.lit(0).alias("depth")))
-        cand = spark.range(0, 3000, 7).select(F.col("id").alias("node")).distinct()
-        plan = _final_plan(cand.join(t.table().select("node"), "node", "left_anti"))
-        assert "Bucketed: true" in plan
-        assert _exchanges(plan) == 1  # the candidates only
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    edges = spark.range(200).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst"))
+    seeds = spark.createDataFrame([(0,)], "node long")
+    got = {r.node: r.depth for r in reachable(seeds, edges, broadcast_max_bytes=0).collect()}
+    assert got == {i: min(i, 1) for i in range(200)}
+
+
+def test_rounds_keep_their_sizes_and_ignore_the_uncommitted(spark, tmp_dir):
+    from crawlstats.operators.crawl import Rounds
+
+    t = Rounds(spark, tmp_dir + "/rounds", "node long")
+    assert t.last() is None
+    assert t.commit(0, spark.range(5).select(F.col("id").alias("node")), "node") == (5, 5)
+    spark.range(9).select(F.col("id").alias("node")).write.parquet(tmp_dir + "/rounds/rounds/round=1")  # died before its commit
+    assert t.last() == 0 and t.read(0).count() == 5
+    assert t.commit(1, spark.range(2).select(F.col("id").alias("node")), "node") == (2, 2)
+    assert t.read(1).count() == 7 and t.one(1).count() == 2
