@@ -76,6 +76,33 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(fn, schema)
 
 
+#: Folders that operators made in the shared folder, by application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared folder for data that is only needed on the way to a result."""
+    path = shared_dir(spark, name)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the scratch folders of this application.
+
+    Only for callers that have written their results: results are lazy and
+    read their scratch data until then.
+    """
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can reach it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again.
 
@@ -83,7 +110,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     reach the folder that ``spark.checkpoint.dir`` names.
     """
     spark = df.sparkSession
-    path = shared_dir(spark, name)
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -25,8 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlstats.config import shared_dir
-from crawlstats.llm.common import SPACE_CLASS, written
+from crawlstats.llm.common import SPACE_CLASS, scratch, written
 
 #: Bytes of staged files that one micro-batch reads.
 BATCH_BYTES = 512 << 20
@@ -59,7 +58,7 @@ def stage(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column]
 def digest_states(staged: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """(digest, keep, n): the state of every digest at the end of the stream."""
     spark = staged.sparkSession
-    out, checkpoint = shared_dir(spark, "states"), shared_dir(spark, "states-checkpoint")
+    out, checkpoint = scratch(spark, "states"), scratch(spark, "states-checkpoint")
     kind = dict(staged.dtypes)["digest"]
     source = sorted({f.rpartition("/")[0] for f in staged.inputFiles()})
     before = {k: spark.conf.get(k, None) for k in STREAM_CONF}

@@ -35,8 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlstats.config import shared_dir
-from crawlstats.llm.common import map_batches, pick, written
+from crawlstats.llm.common import map_batches, pick, scratch, written
 
 END = "\r\n"
 RECORDS_PER_FILE = 4096
@@ -312,6 +311,6 @@ def merge_runs(runs: DataFrame) -> DataFrame:
 def archive_and_index(pages: DataFrame, path: str | None = None, **columns) -> DataFrame:
     """Writes the archives (to ``path``, or a new shared folder), reads them back, returns their merged index."""
     spark = pages.sparkSession
-    path = path or shared_dir(spark, "archives")
+    path = path or scratch(spark, "archives")
     write_archives(pages, path, **columns)
     return merge_runs(read_runs(spark, path))
