@@ -70,8 +70,8 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     """
     spark = df.sparkSession
     ship(spark)
-    now = spark.conf.get(BATCH_CONF, "").rstrip("b")
-    if not now.isdigit() or int(now) > BATCH_BYTES or int(now) <= 0:
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_CONF))
+    if not 0 < now <= BATCH_BYTES:
         spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
     return df.mapInArrow(fn, schema)
 
