@@ -149,10 +149,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_id
     def search(batches):
         for b in batches:
             for dims, ids, x, query_ids, q in zip(*b.columns):
-                lists = SortedLists(
-                    np.frombuffer(ids.as_py(), dtype=np.int64), np.frombuffer(x.as_py(), dtype=np.int64).reshape(-1, dims.as_py())
-                )
-                asked = np.array(q.as_py(), dtype=np.int64).reshape(-1, dims.as_py())
+                ids, dims, asked = np.frombuffer(ids.as_py(), dtype=np.int64), dims.as_py(), q.as_py()
+                lists = SortedLists(ids, np.frombuffer(x.as_py(), dtype=np.int64).reshape(len(ids), dims))
+                asked = np.array(asked, dtype=np.int64).reshape(len(asked), dims)
                 for at in range(0, len(asked), QUERY_BLOCK):
                     found = lists.top(np.array(query_ids.as_py()[at : at + QUERY_BLOCK], dtype=np.int64), asked[at : at + QUERY_BLOCK], k)
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
