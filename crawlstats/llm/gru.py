@@ -21,6 +21,8 @@ LANES = 512
 #: Tokens of a window, and the bounds of its steps: few lanes take longer windows.
 WINDOW, STEPS = 1 << 13, (16, 256)
 RATE = 0.08
+#: Logits beyond this are shifted before their exponentials are taken.
+LARGEST = 60.0
 
 
 class Gru:
@@ -72,15 +74,30 @@ class Gru:
             out[t] = h
         return out
 
-    def _softmax(self, logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural-log probabilities of the targets; ``logits`` become the gradient's probabilities."""
-        logits -= logits.max(axis=1, keepdims=True)
-        rows = np.arange(len(target))
-        at = logits[rows, target]
+    @staticmethod
+    def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
+        """Makes ``logits`` their exponentials; returns the rows' sums, and what was taken off before.
+
+        Rows are shifted by their maximum only where some logit is large.
+        """
+        off: np.ndarray | float = 0.0
+        if logits.size and max(logits.max(), -logits.min()) > LARGEST:
+            off = logits.max(axis=1)
+            logits -= off[:, None]
         np.exp(logits, out=logits)
-        total = logits.sum(axis=1)
-        logits /= total[:, None]
-        return at - np.log(total)
+        return logits @ np.ones(logits.shape[1], logits.dtype), off
+
+    def _log_prob(self, logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Natural-log probabilities of the targets; overwrites ``logits``."""
+        at = logits[np.arange(len(target)), target]
+        total, off = self._exp(logits)
+        return at - off - np.log(total)
+
+    def _error(self, logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """The gradient at the logits: probabilities less the target's one; overwrites ``logits``."""
+        logits /= self._exp(logits)[0][:, None]
+        logits[np.arange(len(target)), target] -= 1
+        return logits
 
     def _by_class(self, kind: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         head = np.flatnonzero(kind < self.heads)
@@ -92,10 +109,10 @@ class Gru:
 
     def log_probs(self, h: np.ndarray, kind: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Natural-log probabilities of tokens by class and place in a head class, given states."""
-        lp = self._softmax(h @ self.out + self.out_bias, kind)
+        lp = self._log_prob(h @ self.out + self.out_bias, kind)
         for c, rows in self._by_class(kind):
             own = slice(c * self.size, (c + 1) * self.size)
-            lp[rows] += self._softmax(h[rows] @ self.tok[own].T + self.tok_bias[own], place[rows])
+            lp[rows] += self._log_prob(h[rows] @ self.tok[own].T + self.tok_bias[own], place[rows])
         return lp
 
     # --- learning --------------------------------------------------------------------
@@ -106,9 +123,7 @@ class Gru:
         keep: list = []
         hs = self.states(x, first, h0, keep)
         h, kind, place, live = hs.reshape(-1, n), kind.ravel(), place.ravel(), live.ravel()
-        d = h @ self.out + self.out_bias
-        self._softmax(d, kind)
-        d[np.arange(len(kind)), kind] -= 1
+        d = self._error(h @ self.out + self.out_bias, kind)
         d *= live[:, None]
         dh = d @ self.out.T
         grads = {"out": h.T @ d, "out_bias": d.sum(axis=0)}
@@ -116,9 +131,7 @@ class Gru:
         for c, rows in self._by_class(np.where(live > 0, kind, self.heads)):
             own = slice(c * self.size, (c + 1) * self.size)
             part = h[rows]
-            e = part @ self.tok[own].T + self.tok_bias[own]
-            self._softmax(e, place[rows])
-            e[np.arange(len(rows)), place[rows]] -= 1
+            e = self._error(part @ self.tok[own].T + self.tok_bias[own], place[rows])
             dh[rows] += e @ self.tok[own]
             tok[own], tok_bias[own] = e.T @ part, e.sum(axis=0)
         grads |= {"tok": tok, "tok_bias": tok_bias}

@@ -31,6 +31,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,10 @@ from pyspark.sql import functions as F
 from crawlstats.llm.common import documents, fold, map_batches, words, written
 from crawlstats.llm.gru import LANES, Gru, lanes, windows
 
-HEADS, SIZE, TAILS, HIDDEN = 16, 64, 64, 16
+HEADS, SIZE, TAILS, HIDDEN = 8, 64, 64, 16
 HEAD = HEADS * SIZE
 END = HEAD + TAILS  # the symbol that ends a document, and begins it
-DICTIONARY = 1 << 17
+DICTIONARY = 1 << 18
 ROUNDS = 3
 #: Training reads longer documents as several, so that lanes end together; scoring never does.
 STRETCH = 4096
@@ -223,14 +224,14 @@ def averaged(copies: DataFrame) -> np.ndarray | None:
 
 
 class Gathered:
-    """Documents held back until they fill the lanes; long ones wait for each other, as a lane is as long as its longest."""
+    """Documents held back until they fill the lanes; of whole ones long ones wait for each other, as lanes end with the longest."""
 
-    def __init__(self, use):
-        self.use, self.held = use, ([], [])
+    def __init__(self, use, whole: bool):
+        self.use, self.whole, self.held = use, whole, ([], [])
         self.tokens = [0, 0]
 
     def add(self, key, symbols: np.ndarray) -> list:
-        kind = int(len(symbols) > STRETCH)
+        kind = int(self.whole and len(symbols) > STRETCH)
         self.held[kind].append((key, symbols))
         self.tokens[kind] += len(symbols)
         return self._flush(kind) if self.tokens[kind] >= GATHERED else []
@@ -259,7 +260,7 @@ def train(encoded: DataFrame, v: Vocabulary) -> Gru:
             g, m = (blank().set_vector(s) for s in (state[:size], state[size:]))
             memory = {n: getattr(m, n) for n in g.NAMES}
             seen = 0
-            gathered = Gathered(lambda flat: train_on(g, flat, memory))
+            gathered = Gathered(lambda flat: train_on(g, flat, memory), whole=False)
             for b in batches:
                 for s in b.column(0):
                     own = np.frombuffer(s.as_py(), dtype=np.int16)
@@ -287,29 +288,37 @@ def train(encoded: DataFrame, v: Vocabulary) -> Gru:
 def encode(docs: DataFrame, v: Vocabulary) -> DataFrame:
     """Written, by document: row, doc_id, what the dictionary gives of the results, rare words, symbols."""
     shared = docs.sparkSession.sparkContext.broadcast(v)
-    rare_kind = pa.list_(pa.struct([("word", pa.binary()), ("kind", pa.int32()), ("n", pa.int64())]))
 
     def run(batches):
         v = shared.value
-        get, known_end = v.index.get, int(v.docs > 0)
+        index, known_end = v.index, int(v.docs > 0)
         for b in batches:
-            out = []
-            for doc, t in zip(b.column(0), b.column(1).cast(pa.binary())):
+            if not b.num_rows:
+                continue
+            out, rare_words, rare_kinds, rare_n, rare_stop = [], [], [], [], [0]
+            for t in b.column(1).cast(pa.binary()):
                 own = tokens(t.as_py())
-                found = np.fromiter((get(w, -1) for w in own), np.int64, len(own))
+                found = np.fromiter(map(index.get, own, repeat(-1)), np.int64, len(own))
                 unknown = np.flatnonzero(found < 0)
-                rare = [own[i] for i in unknown.tolist()]
                 symbol = np.full(len(own) + 1, END, dtype=np.int16)
                 if len(v.symbol):
                     symbol[:-1] = v.symbol[found]
-                symbol[unknown] = [HEAD + tail_class(w) for w in rare]
-                there = found[found >= 0]
-                rows = [{"word": w, "kind": tail_class(w), "n": n} for w, n in Counter(rare).items()]
-                out.append((doc.as_py(), len(symbol), len(there) + known_end, v.base[there].sum() + v.base_end, v.share[there].sum(), rows, symbol.tobytes()))
-            if out:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare_kind, pa.binary())
-                names = ["doc_id", "n_tokens", "n_known", "base", "share", "rare", "symbols"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                if len(unknown):
+                    rare = [own[i] for i in unknown.tolist()]
+                    count = Counter(rare)
+                    kind = {w: tail_class(w) for w in count}
+                    symbol[unknown] = [HEAD + kind[w] for w in rare]
+                    rare_words += kind
+                    rare_kinds += kind.values()
+                    rare_n += count.values()
+                    found = found[found >= 0]
+                rare_stop.append(len(rare_words))
+                out.append((len(symbol), len(found) + known_end, v.base[found].sum() + v.base_end, v.share[found].sum(), symbol.tobytes()))
+            size, known, base, share, symbols = zip(*out)
+            words_ = [pa.array(rare_words, pa.binary()), pa.array(rare_kinds, pa.int32()), pa.array(rare_n, pa.int64())]
+            rare = pa.ListArray.from_arrays(pa.array(rare_stop, pa.int32()), pa.StructArray.from_arrays(words_, ["word", "kind", "n"]))
+            columns = [b.column(0), pa.array(size, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(share, pa.float64()), rare, pa.array(symbols, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "n_known", "base", "share", "rare", "symbols"])
 
     kind = "doc_id long, n_tokens long, n_known long, base double, share double, rare array<struct<word: binary, kind: int, n: bigint>>, symbols binary"
     return written(map_batches(docs, run, kind).withColumn("row", F.monotonically_increasing_id()), "encoded")
@@ -321,7 +330,7 @@ def network_scores(encoded: DataFrame, g: Gru) -> DataFrame:
 
     def run(batches):
         g = blank().set_vector(shared.value)
-        gathered = Gathered(lambda flat: log10_scores(g, flat))
+        gathered = Gathered(lambda flat: log10_scores(g, flat), whole=True)
 
         def out(done):
             for rows, lp in done:
