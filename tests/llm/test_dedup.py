@@ -1,0 +1,238 @@
+"""op2, op5, op8 and components, against brute force."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import SF0001
+from crawlstats.llm import exact_dedup as X
+from crawlstats.llm import simhash as S
+from crawlstats.llm import substring_dedup as D
+from crawlstats.llm.components import components
+from crawlstats.llm.suffix_automaton import SuffixAutomaton
+
+SPLIT = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def roots(pairs, nodes):
+    up = {n: n for n in nodes}
+
+    def find(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+# --- SimHash -------------------------------------------------------------------------
+
+def plain_fingerprint(text):
+    own = SPLIT.findall(bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode()))
+    if not own:
+        return 0
+    shingles = [b" ".join(own[i : i + 3]) for i in range(max(1, len(own) - 2))]
+    ones = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s, 42)
+        for b in range(64):
+            ones[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="abAB É中 \t\n\x0b\x1c ", max_size=60))
+def test_fingerprint(text):
+    assert S.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
+def test_fingerprint_of_a_long_text_in_blocks(monkeypatch):
+    text = " ".join(f"w{i * i % 101}" for i in range(1000))
+    monkeypatch.setattr(S, "BLOCK", 64)
+    assert S.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 2**64 - 1), st.integers(0, 2**64 - 1))
+def test_manhattan_bounds_the_bits(a, b):
+    x, y = np.array([a], dtype=np.uint64), np.array([b], dtype=np.uint64)
+    bits = lambda v: [bin(v >> (2 * i) & 3).count("1") for i in range(32)]
+    d = S.manhattan(S.counts(x), S.counts(y))[0]
+    assert d == sum(abs(p - q) for p, q in zip(bits(a), bits(b))) <= bin(a ^ b).count("1")
+
+
+@pytest.mark.parametrize("large", [S.LARGE, 2])
+def test_near_links_connect_exactly(monkeypatch, large):
+    """A dense cluster, chains and lone values; both ways of settling a cell."""
+    monkeypatch.setattr(S, "LARGE", large)
+    r = random.Random(3)
+    values = {r.getrandbits(64) for _ in range(300)}
+    for centre in list(values)[:4]:
+        x = centre
+        for _ in range(60):
+            x ^= 1 << r.randrange(64)
+            values.add(x)  # a chain
+            y = centre
+            for _ in range(r.randrange(1, 7)):
+                y ^= 1 << r.randrange(12)
+            values.add(y)  # a dense cluster
+    fp = np.array(sorted(values), dtype=np.uint64)
+    cell, row, probe = S.cells(fp)
+    order = np.lexsort((probe, cell))
+    u, v = S.link_cells(cell[order], fp[row[order]], probe[order])
+    values = sorted(values)
+    near = [(a, b) for i, a in enumerate(values) for b in values[:i] if bin(a ^ b).count("1") <= 3]
+    assert roots(zip(u.tolist(), v.tolist()), values) == roots(near, values)
+
+
+def test_near_duplicates(spark, hard_documents, no_documents):
+    rows = S.near_duplicates(hard_documents).collect()
+    docs = hard_documents.collect()
+    fps = {i: plain_fingerprint(d.text or "") for i, d in enumerate(docs)}
+    near = [(i, j) for i in fps for j in fps if j < i and bin(fps[i] ^ fps[j]).count("1") <= 3]
+    root, least = roots(near, fps), defaultdict(list)
+    for i, d in enumerate(docs):
+        least[root[i]].append(d.doc_id)
+    exp = Counter()
+    for i, d in enumerate(docs):
+        known = [x for x in least[root[i]] if x is not None]
+        exp[d.doc_id, fps[i], min(known, default=None), len(least[root[i]])] += 1
+    assert Counter((r.doc_id, r.fp % 2**64, r.component_id, r.n_near) for r in rows) == exp
+    assert S.near_duplicates(no_documents).collect() == []
+    stay = [r.doc_id for r in S.one_per_group(hard_documents).collect()]
+    assert 7 not in stay and 2 in stay and 3 not in stay and stay.count(None) == 2
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    r = random.Random(1)
+    pairs = [(i, i + 1) for i in range(200)] + [(500, i) for i in range(501, 560)] + [(7000, 7000)]
+    pairs += [(r.randrange(1000, 1100), r.randrange(1000, 1100)) for _ in range(60)]
+    r.shuffle(pairs)
+    got = {x.u: x.v for x in components(spark.createDataFrame(pairs, "u long, v long")).collect()}
+    nodes = {n for a, b in pairs if a != b for n in (a, b)}
+    pairs = [(a, b) for a, b in pairs if a != b]
+    assert got == {n: v for n, v in roots(pairs, nodes).items() if n != v}
+    assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+# --- repeated passages -------------------------------------------------------------------
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.sampled_from("ab"), max_size=12), st.integers(1, 3)), max_size=5), st.integers(1, 4))
+def test_automaton_counts(texts, size):
+    sam, count = SuffixAutomaton(), Counter()
+    for t, n in texts:
+        sam.add(t, n)
+        for i in range(len(t) - size + 1):
+            count[tuple(t[i : i + size])] += n
+    sam.finish()
+    for t in [t for t, _ in texts] + [list("abba"), list("caab"), list("bbbbbb")]:
+        assert sam.windows(t, size) == [count[tuple(t[i : i + size])] for i in range(len(t) - size + 1)]
+
+
+def repeated(texts, size):
+    """(words, removed, kept) of each text."""
+    split = [SPLIT.findall(t.encode()) for t in texts]
+    count = Counter(tuple(w[i : i + size]) for w in split for i in range(len(w) - size + 1))
+    out = []
+    for w in split:
+        gone = [False] * len(w)
+        for i in range(len(w) - size + 1):
+            if count[tuple(w[i : i + size])] > 1:
+                gone[i : i + size] = [True] * size
+        out.append((len(w), sum(gone), b" ".join(x for x, g in zip(w, gone) if not g).decode()))
+    return out
+
+
+@pytest.mark.parametrize("shard", [256, 1])
+def test_repeated_passages(spark, hard_documents, no_documents, monkeypatch, shard):
+    monkeypatch.setattr(D, "SHARD", shard)
+    docs = hard_documents.collect()
+    exp = Counter((d.doc_id, *r) for d, r in zip(docs, repeated([d.text or "" for d in docs], 35)))
+    rows = D.remove_repeats(hard_documents).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in rows) == exp
+    assert D.remove_repeats(no_documents).collect() == []
+
+
+@pytest.mark.parametrize("shard", [256, 1])
+def test_overlapping_passages_by_brute_force(spark, monkeypatch, shard):
+    """Shared pieces cut at many places, periodic texts, blocks smaller than texts."""
+    monkeypatch.setattr(D, "SHARD", shard)
+    monkeypatch.setattr(D, "BLOCK", 50)
+    r = random.Random(5)
+    passages = [" ".join(f"p{k}w{i}" for i in range(r.randrange(30, 80))) for k in range(4)]
+    texts = []
+    for i in range(60):
+        parts = []
+        for _ in range(r.randrange(1, 4)):
+            w = r.choice(passages).split()
+            a = r.randrange(0, len(w) - 20)
+            parts += w[a : r.randrange(a + 10, len(w) + 1)] + [f"u{r.randrange(10**6)}" for _ in range(r.randrange(0, 30))]
+        texts.append(" ".join(parts))
+    texts += ["z " * 90, "z " * 34, "z y " * 40, " ".join(texts[0].split() * 2)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {x.doc_id: (x.n_words, x.n_removed, x.kept) for x in D.remove_repeats(df).collect()}
+    assert got == dict(enumerate(repeated(texts, 35)))
+
+
+def test_documents_keep_their_columns(spark, hard_documents):
+    left = D.without_repeats(hard_documents)
+    assert left.columns == hard_documents.columns
+    texts = {r.doc_id: r.text for r in hard_documents.collect()}
+    for r in left.where("doc_id in (1, 8, -11, 10)").collect():
+        if r.doc_id in (1, 8):  # untouched, white space and all
+            assert r.text == texts[r.doc_id]
+        assert r.own == "clash"
+    assert left.count() == hard_documents.count()
+
+
+# --- exact copies --------------------------------------------------------------------------
+
+def classes(docs):
+    groups = defaultdict(list)
+    for d in docs:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", d.text or "")].append(d.doc_id)
+    return groups
+
+
+@pytest.mark.parametrize("digest", [X.sha256, lambda c: F.substring(X.sha256(c), 1, 1), lambda c: F.lit("same")])
+def test_exact_copies(spark, hard_documents, no_documents, digest):
+    """Also with digests that collide: full contents decide."""
+    rows = X.exact_dedup(hard_documents, digest=digest, batch_bytes=1).collect()
+    exp, kept = Counter(), Counter()
+    for text, ids in classes(hard_documents.collect()).items():
+        keep = None if None in ids else min(ids)
+        kept[keep, len(ids)] += 1
+        exp.update((i, keep, len(ids)) for i in ids)
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in rows) == exp
+    assert Counter((r.doc_id, r.group_size) for r in rows if r.kept) == kept
+    assert X.exact_dedup(no_documents, digest=digest).collect() == []
+
+
+def test_distinct_documents(spark, hard_documents):
+    left = X.distinct_documents(hard_documents)
+    assert left.columns == hard_documents.columns
+    assert left.count() == len(classes(hard_documents.collect()))
+    digests = {hashlib.sha256(re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "").encode()).digest() for r in left.collect()}
+    assert len(digests) == left.count()
+
+
+def test_state_is_kept_across_batches_and_conf_is_restored(spark):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
+    both = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 10_000)).repartition(6)
+    rows = X.exact_dedup(both, batch_bytes=1).collect()  # a file a batch
+    assert all(r.keep_id < 10_000 and r.group_size % 2 == 0 for r in rows) and len(rows) == 2 * docs.count()
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
