@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from crawlstats.config import CrawlParams, ensure_checkpoint_dir, shared_dir
-from crawlstats.operators.frontier import STATE_COLUMNS, dedup_by_hash, keyed, pending, scope_rule, seed_state
+from crawlstats.operators.frontier import STATE_COLUMNS, dedup_by_hash, keyed, pending, scope_rule, seed_state, small_enough
 from crawlstats.operators.gates import robots_gate
 from crawlstats.operators.links import Extractor, page_links
 
@@ -51,11 +51,7 @@ def lookup_captured(
     """
     idx = index if index is not None else captured_index(captured)
     cap = captured.select("page_id", "status", "error")
-    small = False
-    if broadcast_max_rows is not None:
-        ensure_checkpoint_dir(frontier.sparkSession)
-        frontier = frontier.checkpoint()
-        small = frontier.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+    frontier, small = small_enough(frontier, broadcast_max_rows)
     if small:
         idx = idx.join(F.broadcast(frontier.select("url_hash")), "url_hash", "left_semi")
         cap = cap.join(F.broadcast(idx.select("page_id")), "page_id", "left_semi")

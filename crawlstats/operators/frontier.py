@@ -44,8 +44,12 @@ def dedup_by_hash(df: DataFrame, order: Sequence[str] = ("url",)) -> DataFrame:
     return df.groupBy("url_hash").agg(F.min_by("url", key).alias("url"))
 
 
-def _small(df: DataFrame, broadcast_max_rows: int | None) -> tuple[DataFrame, bool]:
-    """Write ``df`` once and tell whether it is within the broadcast bound.
+# Bytes of URLs and hashes that a broadcast side may have, whatever its rows.
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def small_enough(df: DataFrame, broadcast_max_rows: int | None) -> tuple[DataFrame, bool]:
+    """Write ``df`` once and tell whether it is within the bounds of rows and bytes.
 
     Without a bound the plan stays lazy and joins shuffle both sides.
     """
@@ -53,7 +57,9 @@ def _small(df: DataFrame, broadcast_max_rows: int | None) -> tuple[DataFrame, bo
         return df, False
     ensure_checkpoint_dir(df.sparkSession)
     done = df.checkpoint()
-    return done, done.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+    size = F.sum(F.octet_length("url_hash") + F.octet_length("url"))
+    n, size = done.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return done, n <= broadcast_max_rows and size <= BROADCAST_MAX_BYTES
 
 
 def new_urls(
@@ -74,7 +80,7 @@ def new_urls(
     state is scanned for the hashes it already knows and never shuffled.
     """
     fresh = dedup_by_hash(keyed(candidates.select("url", *order)), order)
-    fresh, small = _small(fresh, broadcast_max_rows)
+    fresh, small = small_enough(fresh, broadcast_max_rows)
     if small:
         known = state.select("url_hash").join(F.broadcast(fresh.select("url_hash")), "url_hash", "left_semi")
         unseen = fresh.join(known, "url_hash", "left_anti")
@@ -99,7 +105,7 @@ def mark_complete(state: DataFrame, done: DataFrame, *, broadcast_max_rows: int
     (no shuffle of the state) and the unseen fetched URLs are appended.
     """
     d = dedup_by_hash(keyed(done.select("url"))).withColumn("done", F.lit(True))
-    d, small = _small(d, broadcast_max_rows)
+    d, small = small_enough(d, broadcast_max_rows)
     s = state.select("url_hash", F.col("url").alias("old_url"), F.col("completed").alias("old_completed"))
     if small:
         updated = s.join(F.broadcast(d), "url_hash", "left")
