@@ -192,3 +192,20 @@ def test_registered():
     for n in range(1, 11):
         assert [q for q in names if q.startswith(f"op{n}_")], n
     assert "pipeline" in names
+
+
+def test_stages_take_hard_and_empty_tables(spark, hard_documents, no_documents):
+    import corpus_pipeline as C
+
+    for df in (hard_documents, no_documents):
+        docs = df.withColumn("near_copy_id", F.lit("clash")).withColumn("sequence_id", F.lit("clash"))
+        for name, stage in C.STAGES:
+            path = shared_dir(spark, f"hard-stage-{name}")
+            done = stage(spark, docs, SF0001)
+            done.write.parquet(path)
+            after = spark.read.schema(done.schema).parquet(path)
+            if name != "best_fit_packing":
+                assert after.columns == docs.columns
+                docs = after
+        assert (docs.count() == 0) == (df is no_documents)
+        assert {r.doc_id for r in after.collect()} == {r.doc_id for r in docs.collect()}
