@@ -52,14 +52,16 @@ class Gru:
 
     # --- one window ----------------------------------------------------------------
 
-    def states(self, x: np.ndarray, first: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """The states after each step of ``x`` (steps x lanes), from state ``h``; zero before a ``first`` token."""
+    def states(self, x: np.ndarray, first: np.ndarray, h: np.ndarray, keep: tuple | None = None) -> np.ndarray:
+        """The states after each step of ``x`` (steps x lanes), from state ``h``; zero before a ``first`` token.
+
+        ``keep`` takes, per step, the state before it, both gates, the candidate's recurrent part and the candidate.
+        """
         n, out = self.hidden, np.empty((len(x), *h.shape), np.float32)
+        begins = first.any(axis=1).tolist()
         for t, symbols in enumerate(x):
-            new_docs = np.flatnonzero(first[t])
-            if len(new_docs):
-                h = h.copy()
-                h[new_docs] = 0
+            if begins[t]:
+                h = np.where(first[t][:, None], np.float32(0), h)
             gx, gh = self.emb[symbols], h @ self.rec
             gates = gx[:, : 2 * n] + gh[:, : 2 * n]
             np.negative(gates, out=gates)
@@ -67,11 +69,15 @@ class Gru:
             gates += 1
             np.reciprocal(gates, out=gates)
             z, r, own = gates[:, :n], gates[:, n:], gh[:, 2 * n :]
-            new = np.tanh(gx[:, 2 * n :] + r * own)
+            new = r * own
+            new += gx[:, 2 * n :]
+            np.tanh(new, out=new)
             if keep is not None:
-                keep.append((h, z, r, own, new))
-            h = new + z * (h - new)
-            out[t] = h
+                for array, value in zip(keep, (h, z, r, own, new)):
+                    array[t] = value
+            h = np.subtract(h, new, out=out[t])
+            h *= z
+            h += new
         return out
 
     @staticmethod
@@ -120,24 +126,26 @@ class Gru:
     def learn(self, x, first, h0, kind, place, live, memory: dict) -> np.ndarray:
         """One update on a window (all arrays steps x lanes); returns the state after it."""
         steps, lanes, n = *x.shape, self.hidden
-        keep: list = []
+        h, z, r, own, new = keep = tuple(np.empty((5, steps, lanes, n), np.float32))
         hs = self.states(x, first, h0, keep)
-        h, kind, place, live = hs.reshape(-1, n), kind.ravel(), place.ravel(), live.ravel()
-        d = self._error(h @ self.out + self.out_bias, kind)
-        d *= live[:, None]
+        before = h.reshape(-1, n)
+        flat, kind, place, live = hs.reshape(-1, n), kind.ravel(), place.ravel(), live.ravel()
+        d = self._error(flat @ self.out + self.out_bias, kind)
+        if not live.all():
+            d *= live[:, None]
+            kind = np.where(live > 0, kind, self.heads)
         dh = d @ self.out.T
-        grads = {"out": h.T @ d, "out_bias": d.sum(axis=0)}
+        grads = {"out": flat.T @ d, "out_bias": np.ones(len(d), d.dtype) @ d}
         tok, tok_bias = np.zeros_like(self.tok), np.zeros_like(self.tok_bias)
-        for c, rows in self._by_class(np.where(live > 0, kind, self.heads)):
-            own = slice(c * self.size, (c + 1) * self.size)
-            part = h[rows]
-            e = self._error(part @ self.tok[own].T + self.tok_bias[own], place[rows])
-            dh[rows] += e @ self.tok[own]
-            tok[own], tok_bias[own] = e.T @ part, e.sum(axis=0)
+        for c, rows in self._by_class(kind):
+            members = slice(c * self.size, (c + 1) * self.size)
+            part = flat[rows]
+            e = self._error(part @ self.tok[members].T + self.tok_bias[members], place[rows])
+            dh[rows] += e @ self.tok[members]
+            tok[members], tok_bias[members] = e.T @ part, e.sum(axis=0)
         grads |= {"tok": tok, "tok_bias": tok_bias}
         dh = dh.reshape(steps, lanes, n)
         # What a step's gradient is multiplied by on its way to the gates.
-        h, z, r, own, new = (np.stack(k) for k in zip(*keep))
         to_new = 1 - new * new
         to_new *= 1 - z
         to_z = (h - new) * z
@@ -159,7 +167,7 @@ class Gru:
             back += g * z[t]
             back[first[t]] = 0
         gate_x[:, :, : 2 * n] = gate_h[:, :, : 2 * n]
-        grads["rec"] = h.reshape(-1, n).T @ gate_h.reshape(-1, 3 * n)
+        grads["rec"] = before.T @ gate_h.reshape(-1, 3 * n)
         for name, g in grads.items():
             self._step(getattr(self, name), g, memory.setdefault(name, np.full_like(g, 1e-2)), slice(None))
         order = np.argsort(x.ravel(), kind="stable")
