@@ -156,7 +156,30 @@ def op7_warc(spark, sf_dir):
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@register("op5_substring_dedup")
+#: Window of the repeated passages, in words.
+_WINDOW = 35
+
+
+@register(
+    "op5_substring_dedup",
+    rf"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+      FROM documents
+    ),
+    starts AS (SELECT r, w, unnest(range(1, len(w) - {_WINDOW - 2})) AS i FROM d WHERE len(w) >= {_WINDOW}),
+    windows AS (SELECT r, i, sha256(array_to_string(w[i : i + {_WINDOW - 1}], ' ')) AS h FROM starts),
+    again AS (SELECT r, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+    gone AS (SELECT DISTINCT r, unnest(range(i, i + {_WINDOW})) AS j FROM again),
+    each AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+    kept AS (
+      SELECT r, string_agg(word, ' ' ORDER BY j) AS text, count(*) AS n
+      FROM each ANTI JOIN gone USING (r, j) GROUP BY r
+    )
+    SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept ON d.r = kept.r
+    """,
+)
 def op5_substring_dedup(spark, sf_dir):
     from crawlstats.llm.substring_dedup import remove_repeats
 
