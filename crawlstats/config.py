@@ -81,3 +81,9 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
     spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store Spark reaches it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -48,10 +48,10 @@ SEPARATORS = (
 )
 # ',' and ':' that separate: no digit follows. The next character is group 1.
 COMMA_COLON = r"[,:]+([^0-9,:]|$)"
-# "n't" at the end of a word; groups: the letter before, it, what follows.
-NEGATION = r"([A-Za-z])(n't|N'T)([^A-Za-z0-9']|$)"
+# "n't" at the end of a word; groups: it, what follows.
+NEGATION = r"(n't|N'T)([^A-Za-z0-9']|$)"
 TOKEN_START = r"^[A-Za-z0-9]"
-TRAILING = r"(?:'(?:[sSmMdD]|ll|LL|re|RE|ve|VE))?[.']*$"
+TRAILING = r"(?:'(?:[sSmMdD]|ll|LL|re|RE|ve|VE)[.']*|[.']+)$"
 
 
 def _col(c) -> Column:
@@ -96,7 +96,8 @@ def visible_text(html) -> Column:
 def spaced(text) -> Column:
     """The text with separating commas and colons gone and ``n't`` set apart."""
     t = F.regexp_replace(_col(text), COMMA_COLON, " $1")
-    return F.regexp_replace(t, NEGATION, "$1 $2$3")
+    apart = F.regexp_replace(t, NEGATION, " $1$2")
+    return F.when(t.contains("n't") | t.contains("N'T"), apart).otherwise(t)
 
 
 def split_words(text) -> Column:

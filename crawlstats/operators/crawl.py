@@ -16,9 +16,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from crawlstats.config import CrawlParams, ensure_checkpoint_dir, shared_dir
+from crawlstats.config import CrawlParams, ensure_checkpoint_dir, path_exists, shared_dir
 from crawlstats.operators.frontier import STATE_COLUMNS, dedup_by_hash, keyed, pending, scope_rule, seed_state, small_enough
 from crawlstats.operators.gates import robots_gate
 from crawlstats.operators.links import Extractor, page_links
@@ -78,11 +77,11 @@ class Rounds:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
     def _commits(self) -> dict[int, tuple[int, int]]:
-        try:
-            rows = self.spark.read.schema("round int, n long, bytes long").parquet(f"{self.root}/commits").collect()
-        except AnalysisException:  # nothing committed yet
+        path = f"{self.root}/commits"
+        if not path_exists(self.spark, path):
             return {}
-        return {r["round"]: (r["n"], r["bytes"]) for r in rows}  # one row a round
+        rows = self.spark.read.schema("round int, n long, bytes long").parquet(path).collect()  # one row a round
+        return {r["round"]: (r["n"], r["bytes"]) for r in rows}
 
     def last(self) -> int | None:
         return max(self._commits(), default=None)
@@ -131,18 +130,17 @@ def reachable(
     table = Rounds(spark, root or shared_dir(spark, "visited"), f"node {kind}")
     depth = table.last()
     if depth is None:
-        table.commit(0, seeds.select("node").distinct(), "node")
         depth = 0
-    while True:
+        n, size = table.commit(0, seeds.select("node").distinct(), "node")
+    else:
         n, size = table.size(depth)
-        if not n:
-            break
+    while n:
         src = table.one(depth).withColumnRenamed("node", "src")
         small = n <= broadcast_max_rows and size <= broadcast_max_bytes
         step = edges.join(F.broadcast(src) if small else src, "src", "left_semi")
         fresh = step.select(F.col("dst").alias("node")).distinct().join(table.read(depth).select("node"), "node", "left_anti")
         depth += 1
-        table.commit(depth, fresh, "node")
+        n, size = table.commit(depth, fresh, "node")
     return table.read(depth).select("node", F.col("round").alias("depth"))
 
 
@@ -200,19 +198,20 @@ def crawl_rounds(
     resumed = k is not None or state is not None
     if k is None:
         k = 0
-        table.commit(0, state.select(*STATE_COLUMNS) if state is not None else seed_state(seeds), "url_hash")
+        n, size = table.commit(0, state.select(*STATE_COLUMNS) if state is not None else seed_state(seeds), "url_hash")
         yield 0
-    while table.size(k)[0]:
+    else:
+        n, size = table.size(k)
+    while n:
         todo = table.one(k).where(~F.col("completed"))
         if resumed and revalidate:
             todo, resumed = pending(todo, params), False
         src = todo.select(F.col("url_hash").alias("src_hash"))
-        n, size = table.size(k)
         small = n <= params.broadcast_max_rows and size <= params.broadcast_max_bytes
         found = edges.join(F.broadcast(src) if small else src, "src_hash", "left_semi").select("url_hash", "url", "page_id")
         fresh = dedup_by_hash(found, ("page_id",)).join(table.read(k).select("url_hash"), "url_hash", "left_anti")
         k += 1
-        table.commit(k, fresh.select("url_hash", "url", F.lit(False).alias("completed")), "url_hash")
+        n, size = table.commit(k, fresh.select("url_hash", "url", F.lit(False).alias("completed")), "url_hash")
         yield k
 
 

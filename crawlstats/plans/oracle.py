@@ -230,7 +230,7 @@ def visible_text(html: str) -> str:
 
 def spaced(t: str) -> str:
     commas = f"regexp_replace({t}, {q(text.COMMA_COLON)}, ' \\1', 'g')"
-    return f"regexp_replace({commas}, {q(text.NEGATION)}, '\\1 \\2\\3', 'g')"
+    return f"regexp_replace({commas}, {q(text.NEGATION)}, ' \\1\\2', 'g')"
 
 
 def raw_pieces(t: str) -> str:

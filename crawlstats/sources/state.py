@@ -12,8 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from crawlstats.config import path_exists
 from crawlstats.operators.frontier import STATE_COLUMNS, seed_state
 
 
@@ -24,10 +24,10 @@ class StateStore:
 
     def _commits(self) -> dict[int, int]:
         """version -> base; one small row a commit."""
-        try:
-            rows = self.spark.read.schema("version int, base int").parquet(f"{self.root}/commits").collect()
-        except AnalysisException:  # nothing committed yet
+        path = f"{self.root}/commits"
+        if not path_exists(self.spark, path):
             return {}
+        rows = self.spark.read.schema("version int, base int").parquet(path).collect()
         return {r.version: r.base for r in rows}
 
     def versions(self) -> list[int]:
