@@ -27,8 +27,8 @@ LATIN1 = re.compile(
     f"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
     f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
-#: Learned pre-tokens kept in a worker; at the bound the cache starts anew.
-CACHE_ENTRIES = 200_000
+#: Learned pre-tokens in a generation of a worker's cache.
+CACHE_ENTRIES = 250_000
 
 
 @lru_cache(maxsize=1)
@@ -61,17 +61,22 @@ def prove_whole(spec: str) -> dict[str, int]:
 
 
 class _Cache(dict):
-    """Pre-token -> value; unknown ones are merged, kept up to the bound."""
+    """Pre-token -> value; unknown ones are merged and kept, up to the bound, for two generations after their last use."""
 
     def __init__(self, whole: dict, merge):
         super().__init__(whole)
         self.whole, self.merge, self.limit = whole, merge, len(whole) + CACHE_ENTRIES
+        self.older: dict = {}
 
     def __missing__(self, pre: str):
+        v = self.older.get(pre)
+        if v is None:
+            v = self.merge(pre)
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
             self.update(self.whole)
-        v = self[pre] = self.merge(pre)
+        self[pre] = v
         return v
 
 
