@@ -1,4 +1,4 @@
-"""Summarise the final physical plan of every registered query.
+"""Summarise the final physical plan of every registered query of the crawl operators.
 
 Runs each query at the given scale, then reads the executed adaptive plan:
 shuffles (Exchange), broadcasts, sorts, whole-stage codegen stages, Python
@@ -25,14 +25,14 @@ def summarise(plan: str) -> dict:
         "broadcasts": final.count("BroadcastExchange"),
         "sorts": len(re.findall(r"\bSort \[", final)),
         "codegen": len(set(re.findall(r"\*\((\d+)\)", final))),
-        "python": len(re.findall(r"(?:MapInPandas|ArrowEvalPython|BatchEvalPython)", final)),
+        "python": len(re.findall(r"(?:MapInPandas|MapInArrow|ArrowEvalPython|BatchEvalPython)", final)),
         "reads": sorted(set(re.findall(r"ReadSchema: (struct<[^>]*>)", final))),
         "pushed": sorted(set(p for p in re.findall(r"PushedFilters: \[([^\]]*)\]", final) if p)),
     }
 
 
 def main() -> None:
-    import __spark_entry__ as E
+    from crawlstats.plans import queries as registry
     from crawlstats.session import local_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
@@ -40,7 +40,7 @@ def main() -> None:
     spark = local_session()
     print("| query | shuffles | reused | broadcasts | sorts | codegen stages | python | scans read |")
     print("|---|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in registry.queries().items():
         if only and name not in only:
             continue
         df = fn(spark, sf_dir)
