@@ -19,31 +19,32 @@ from crawlstats.plans.q_links import link_audit_sql
 from crawlstats.plans.queries import _ORACLES, P, pages, register
 from crawlstats.streaming import streams as S
 
-FILES_PER_TRIGGER = 64
+def stage_source(spark: SparkSession, pg: DataFrame) -> tuple[str, int]:
+    """Write the stream's input (pages, then re-deliveries) to the shared folder, a file a split.
 
-
-def stage_source(spark: SparkSession, pg: DataFrame) -> str:
-    """Write the stream's input (pages, then re-deliveries) to the shared folder, a file a split."""
+    Also returns the files of a delivery, which one trigger reads.
+    """
     offset = pg.select(F.max("page_id") + 1).scalar()
     path = shared_dir(spark, "stream-src")
     pg.write.parquet(path)
+    files = max(1, len(spark.read.parquet(path).inputFiles()))
     pg.withColumn("page_id", F.col("page_id") + offset).write.mode("append").parquet(path)
-    return path
+    return path, files
 
 
 def run_report(spark, pg, build) -> DataFrame:
-    src = stage_source(spark, pg)
+    src, files = stage_source(spark, pg)
     out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
-    q = S.write_report(build(S.page_stream(spark, src, FILES_PER_TRIGGER)), out, ckpt)
+    q = S.write_report(build(S.page_stream(spark, src, files)), out, ckpt)
     q.awaitTermination()
     return spark.read.parquet(out)
 
 
 def run_top_words(spark, pg) -> DataFrame:
     """Q3 kept current in update mode: each trigger re-ranks changed words only."""
-    src = stage_source(spark, pg)
+    src, files = stage_source(spark, pg)
     out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
-    counts = S.running_word_counts(S.page_stream(spark, src, FILES_PER_TRIGGER), ENGLISH_STOP_WORDS)
+    counts = S.running_word_counts(S.page_stream(spark, src, files), ENGLISH_STOP_WORDS)
     S.write_top_k_updates(counts, out, ckpt).awaitTermination()
     return S.read_top_k(spark, out)
 
@@ -51,11 +52,11 @@ def run_top_words(spark, pg) -> DataFrame:
 def run_subdomains(spark, pg) -> DataFrame:
     """Q4 as two running aggregates over one source (page counts after dedup,
     first host over all rows); the report joins their small result tables."""
-    src = stage_source(spark, pg)
+    src, files = stage_source(spark, pg)
     outs = []
     for build in (S.running_subdomain_counts, S.running_subdomain_links):
         out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
-        S.write_report(build(S.page_stream(spark, src, FILES_PER_TRIGGER), P.anchor), out, ckpt).awaitTermination()
+        S.write_report(build(S.page_stream(spark, src, files), P.anchor), out, ckpt).awaitTermination()
         outs.append(spark.read.parquet(out))
     counts, links = outs
     return links.join(counts, "subdomain").select("subdomain", "nice_link", "n_pages")
@@ -90,9 +91,9 @@ def q_stream_longest_page(spark, sf_dir):
     """,
 )
 def q_stream_new_urls(spark, sf_dir):
-    src = stage_source(spark, pages(spark, sf_dir))
+    src, files = stage_source(spark, pages(spark, sf_dir))
     out, ckpt = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-ckpt")
-    q = S.write_appends(S.running_new_urls(S.page_stream(spark, src, FILES_PER_TRIGGER), P), out, ckpt)
+    q = S.write_appends(S.running_new_urls(S.page_stream(spark, src, files), P), out, ckpt)
     q.awaitTermination()
     p = url_parts("url")
     # Twins differing only in scheme share a hash; the parts below are fixed by it.
