@@ -96,6 +96,19 @@ def test_probabilities_of_all_next_tokens_sum_to_one():
     assert head + tail + end == pytest.approx(1, abs=1e-5)
 
 
+def test_model_has_its_whole_size():
+    """1,024 frequent words are predicted one by one, from a state of 24 units."""
+    c = Counter({f"w{i}".encode(): 3000 - i for i in range(1500)})
+    kinds = {}
+    for w, n in c.items():
+        k = L.tail_class(w)
+        kinds[k] = (kinds.get(k, (0, 0))[0] + n, kinds.get(k, (0, 0))[1] + 1)
+    v = L.Vocabulary(list(c.items()), kinds, 10)
+    assert v.symbol[:1024].tolist() == list(range(1024)) and not v.share[:1024].any()
+    assert (v.symbol[1024:] >= 1024).all() and v.share[1024:].all()
+    assert v.unigram().tok.shape == (1024, 24)
+
+
 def base_scores(docs):
     split = {d: (t or "").encode().lower().split() for d, t in docs}
     train = [d for d in split if zlib.crc32(str(d).encode()) % 5 != 1]
