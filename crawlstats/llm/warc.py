@@ -18,7 +18,9 @@ ordered capture histories.
 Defined cases: a null payload is an empty one; a null URL has no target header
 and an empty URL key; a row with a null page_id is a response without page id
 in its record id; of repeated rows with the largest page_id each is a
-response; an empty table gives no captures; other columns are not read.
+response; each payload of a page_id that comes with several is a response or
+revisit of its own; an empty table gives no captures; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -93,14 +95,14 @@ def _line(name: str, value: Column) -> Column:
 
 def records(pages: DataFrame, min_bytes: int) -> DataFrame:
     """(value): a WARC record for each page, without the two line ends after it."""
-    pages = pages.withColumn("n", F.octet_length("payload"))
-    kinds = pages.select("page_id", "url", F.sha2(F.col("payload").cast("binary"), 256).alias("same"), "n")
+    pages = pages.withColumn("n", F.octet_length("payload")).withColumn("same", F.sha2(F.col("payload").cast("binary"), 256))
+    kinds = pages.select("page_id", "url", "same", "n")
     kinds = kinds.where((F.col("n") >= min_bytes) & F.col("page_id").isNotNull())
     first = F.max_by(F.struct(F.col("page_id").alias("refers_to"), F.col("url").alias("refers_url")), "page_id")
     firsts = kinds.groupBy("same").agg(first.alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     later = kinds.join(written(firsts, "first-records"), "same").where("page_id <> first.refers_to")
-    later = later.select("page_id", "first.*").distinct()
-    p = pages.join(later, "page_id", "left")
+    later = later.select("page_id", "same", "first.*").distinct()
+    p = pages.join(later, ["page_id", "same"], "left")  # a page_id may come with several payloads
     digest, again = F.concat(F.lit("sha1:"), base32_sha1(F.col("payload"))), F.col("refers_to").isNotNull()
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "), F.col("n").cast("string"), F.lit(END + END)

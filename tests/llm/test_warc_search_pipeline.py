@@ -60,6 +60,15 @@ def test_archives_and_index(spark, pages, least):
     assert {r.url_key for r in rows} >= {"com,example)/a?x=1", "com,example,b:8080)/", "com,example)/", ""}
 
 
+def test_repeated_page_id_with_other_payloads(spark):
+    """Each payload is archived, or refers to an equal one; no row is lost or doubled."""
+    rows = [(5, "A"), (5, "B"), (9, "A"), (6, "C"), (6, "D"), (7, "C"), (8, "D"), (5, "B"), (9, "E"), (None, "A")]
+    rows = [(i, f"http://example.com/{n}", p) for n, (i, p) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = W.archive_and_index(df).collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == expected(rows)
+
+
 def test_archives_are_plain_warc_files(spark, pages):
     path = shared_dir(spark, "warc-test")
     W.write_archives(pages, path)
