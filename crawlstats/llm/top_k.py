@@ -18,10 +18,16 @@ and rows with a null id take no part; a query's own row is any row with its
 id; of a repeated query id the smallest vector asks; a vector only meets
 vectors of its length; ties go to the smaller id, repeated rows are separate
 candidates; an empty table gives an empty result; other columns are not read.
+Components are integers of any size: vectors with large ones (``plain``) are
+scored in Python integers and rank exactly, and a score that no long holds is
+null. A component that overflows a double when scaled ends the job.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -37,14 +43,49 @@ EXACT_FLOAT = 2.0**53
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(vec_id, v array<long>) of the vectors that take part."""
+    """(vec_id, v array<double>) of the vectors that take part; v holds integers."""
     d = pick(vectors, vec_id=id_col, v=vector_col).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("v").cast("array<double>").alias("v")
     )
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
-    return d.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite).select(
-        "vec_id", F.transform("v", lambda x: F.floor(F.lit(float(scale)) * x).cast("long")).alias("v")
-    )
+
+    def whole(x: Column) -> Column:
+        x = F.lit(float(scale)) * x
+        return F.when(F.abs(x) < EXACT_FLOAT, F.floor(x).cast("double")).otherwise(x)  # larger doubles are integers
+
+    return d.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite).select("vec_id", F.transform("v", whole).alias("v"))
+
+
+def plain(x: np.ndarray) -> np.ndarray:
+    """Rows whose products with each other are exact in doubles."""
+    return np.abs(x).max(axis=1, initial=0) < math.sqrt(EXACT_FLOAT / max(1, x.shape[1])) - 1
+
+
+#: Rows that are Python integers at a time.
+INTEGER_ROWS = 1024
+
+
+def integer_top(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[list, list, list]:
+    """(query_id, vec_id, score) as Python integers: per query the k best of each ``INTEGER_ROWS`` candidates."""
+    integers = lambda a: np.array([int(c) for c in a.ravel().tolist()], dtype=object).reshape(a.shape)
+    found: list[tuple[int, int, int]] = []
+    asked = integers(q)
+    for at in range(0, len(ids), INTEGER_ROWS):
+        own, part = ids[at : at + INTEGER_ROWS].tolist(), integers(x[at : at + INTEGER_ROWS])
+        for query, v in zip(query_ids.tolist(), asked):
+            scored = zip((part @ v).tolist() if x.shape[1] else [0] * len(own), own)
+            best = heapq.nsmallest(k, ((-s, i) for s, i in scored if i != query))
+            found += [(query, i, -s) for s, i in best]
+    return tuple(map(list, zip(*found))) if found else ([], [], [])
+
+
+def beyond(s: int) -> tuple[int | None, int, bytes | None]:
+    """(score, side, order) of a score: one that no long holds is on a side of all others, in the order of the bytes."""
+    if -(1 << 63) <= s < 1 << 63:
+        return s, 0, None
+    size = (s.bit_length() + 7) // 8
+    order = size.to_bytes(2, "big") + abs(s).to_bytes(size, "big")
+    return (None, 1, order) if s > 0 else (None, -1, bytes(255 - b for b in order))
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -146,16 +187,29 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_id
     pairs = _blocks(d).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     pairs = pairs.join(query_blocks, ["block", "dims"]).select("dims", "ids", "x", "queries.vec_id", "queries.v")
 
+    def rows(query_ids, vec_ids, scores, side=None, order=None):
+        n = len(query_ids)
+        side, order = side or [0] * n, order or [None] * n
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((query_ids, vec_ids, scores, side, order), kinds)], ["query_id", "vec_id", "score", "side", "order"])
+
     def search(batches):
         for b in batches:
             for dims, ids, x, query_ids, q in zip(*b.columns):
                 ids, dims, asked = np.frombuffer(ids.as_py(), dtype=np.int64), dims.as_py(), q.as_py()
-                lists = SortedLists(ids, np.frombuffer(x.as_py(), dtype=np.int64).reshape(len(ids), dims))
-                asked = np.array(asked, dtype=np.int64).reshape(len(asked), dims)
-                for at in range(0, len(asked), QUERY_BLOCK):
-                    found = lists.top(np.array(query_ids.as_py()[at : at + QUERY_BLOCK], dtype=np.int64), asked[at : at + QUERY_BLOCK], k)
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
-
-    found = map_batches(pairs, search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+                x = np.frombuffer(x.as_py(), dtype=np.float64).reshape(len(ids), dims)
+                asked, asks_ids = np.array(asked, dtype=np.float64).reshape(len(asked), dims), np.array(query_ids.as_py(), dtype=np.int64)
+                small, asks_small = plain(x), plain(asked)
+                lists = SortedLists(ids[small], x[small].astype(np.int64)) if small.any() and asks_small.any() else None
+                own_ids, own = asks_ids[asks_small], asked[asks_small].astype(np.int64)
+                for at in range(0, len(own_ids) if lists else 0, QUERY_BLOCK):
+                    yield rows(*lists.top(own_ids[at : at + QUERY_BLOCK], own[at : at + QUERY_BLOCK], k))
+                for some, by in ((~small, asks_small), (np.ones(len(ids), dtype=bool), ~asks_small)):
+                    if some.any() and by.any():
+                        query, vec, score = integer_top(ids[some], x[some], asks_ids[by], asked[by], k)
+                        if query:
+                            yield rows(query, vec, *map(list, zip(*map(beyond, score))))
+
+    found = map_batches(pairs, search, "query_id long, vec_id long, score long, side int, order binary")
+    best = Window.partitionBy("query_id").orderBy(F.desc("side"), F.desc("order"), F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

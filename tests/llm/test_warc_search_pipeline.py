@@ -146,6 +146,23 @@ def test_top_k(spark, monkeypatch, block):
     assert K.top_k(df.where("false"), F.col("vec_id") % 10 == 0, 5).collect() == []
 
 
+@pytest.mark.parametrize("block", [K.CANDIDATE_BLOCK, 7])
+def test_top_k_beyond_the_exact_range(spark, monkeypatch, block):
+    """Large components rank exactly; a score that no long holds is null."""
+    monkeypatch.setattr(K, "CANDIDATE_BLOCK", block)
+    monkeypatch.setattr(K, "QUERY_BLOCK", 3)
+    r = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in r.standard_normal(8)]) for i in range(60)]
+    rows += [(331, [1e17] * 8), (332, [1e17] * 7 + [2e17]), (333, [-1e17] * 8), (334, [1e300] * 8), (335, [1e17] * 8)]
+    rows += [(340, [1e10] * 8), (341, [float(x) for x in r.standard_normal(8) * 1e8]), (342, [3e6, -3e6] * 4), (350, [1e17, -1e17] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    exp = brute(rows, 10, 40)
+    held = lambda s: s if -(2**63) <= s < 2**63 else None
+    assert {i for _, _, i, s in exp if held(s) is None} > {331, 334} and any(held(s) and abs(s) > 2**53 for *_, s in exp)
+    got = sorted(((x.query_id, x["rank"], x.vec_id, x.score) for x in K.top_k(df, F.col("vec_id") % 10 == 0, 40).collect()), key=lambda x: x[:3])
+    assert got == [(q, n, i, held(s)) for q, n, i, s in exp]
+
+
 def test_bounds_hold_at_every_depth():
     r = np.random.default_rng(1)
     x, q = r.integers(-300, 300, (200, 6)), r.integers(-300, 300, (4, 6))
