@@ -2,13 +2,18 @@
 
 Packing needs only how many items there are of each length, so the search
 runs on at most ``capacity`` counts, whatever the number of items. A step
-takes the largest length left and completes its bin: it enumerates the
+takes the largest length left and completes its bin: it enumerates some of the
 undominated fillings of the rest of the bin, tries them by increasing waste
-and gives one filling to as many bins at once as the counts allow. A branch
-ends when its waste is more than an improvement on the best known solution
-allows. Best-fit decreasing gives the first known solution; the search ends
-when a solution meets the lower bound or ``max_nodes`` steps are spent, and
-keeps the best solution so far.
+and gives one filling to as many bins at once as the counts allow, or to one. A
+branch ends when its waste is more than an improvement on the best known
+solution allows. Best-fit decreasing gives the first known solution; the search
+ends when a solution meets the lower bound, ``max_nodes`` steps are spent or its
+tree is empty, and keeps the best solution so far.
+
+The tree is partial, so an empty one does not prove the best solution optimal:
+of three and more items only the first filling after each leading item that
+wastes less than the best pair is tried, none where a pair fills the room, and
+no number of bins between one and all that the counts allow.
 """
 
 from __future__ import annotations
@@ -88,7 +93,7 @@ def fill_up(counts: np.ndarray, room: int) -> tuple[int, tuple[int, ...]]:
 
 
 def fillings(counts: np.ndarray, room: int, depth: int = 0) -> Iterator[tuple[int, tuple[int, ...]]]:
-    """(waste, lengths) of undominated fillings of ``room``, least waste first within each number of items.
+    """(waste, lengths) of some undominated fillings of ``room``; those of one and two items by increasing waste.
 
     The last item of a filling is always the longest that still fits: a
     shorter one is dominated. A filling whose sum one available item reaches
