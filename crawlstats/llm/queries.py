@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlstats.llm.common import table
+from crawlstats.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -207,3 +207,93 @@ def op1_lm_scoring(spark, sf_dir):
     from crawlstats.llm.lm_scoring import lm_scores
 
     return lm_scores(table(spark, sf_dir, "documents"))
+
+
+#: Conversations in a family, whose first one gives the others their head, and the bound of a head's turns.
+_FAMILY, _HEAD = 20, 4
+
+#: crc32 of a conversation's decimal id, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(1, length(CAST(c AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(c AS VARCHAR), i, 1)) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda v, bit: xor(v >> 1, (v & 1) * 3988292384))
+))"""
+
+
+@register(
+    "op11_conversation_trie",
+    f"""
+    WITH own AS (
+      SELECT c, list(s ORDER BY turn NULLS FIRST, s) AS s, list(w ORDER BY turn NULLS FIRST, s) AS w
+      FROM (
+        SELECT conv_id AS c, turn, len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS w,
+               sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS s
+        FROM conversations WHERE conv_id IS NOT NULL
+      ) GROUP BY c
+    ), h AS (SELECT *, c - c % {_FAMILY} AS base, {_CRC32} % {_HEAD} AS h FROM own),
+    built AS (
+      SELECT h.c, list_concat(coalesce(b.s[1 : h.h], []), h.s[h.h + 1 :]) AS s, list_concat(coalesce(b.w[1 : h.h], []), h.w[h.h + 1 :]) AS w
+      FROM h LEFT JOIN own b ON b.c = h.base
+    ),
+    prefixes AS (
+      SELECT c, d, sha256(array_to_string(s[1 : d], ',')) AS k, sha256(array_to_string(s[1 : d - 1], ',')) AS up, w[d] AS w, d = len(s) AS ends
+      FROM (SELECT c, s, w, unnest(range(0, len(s) + 1)) AS d FROM built)
+    ),
+    nodes AS (
+      SELECT d, k, any_value(up) AS up, min(c) AS c, count(*) AS n, coalesce(any_value(w), 0) AS w,
+             sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends
+      FROM prefixes GROUP BY d, k
+    ),
+    children AS (SELECT d - 1 AS d, up AS k, count(*) AS children FROM nodes WHERE d > 0 GROUP BY ALL),
+    each AS (SELECT nodes.*, coalesce(children, 0) AS children FROM nodes LEFT JOIN children USING (d, k)),
+    below AS (
+      SELECT p.d, p.k, sum((e.n - 1) * e.w) AS saved, count(*) FILTER (WHERE e.children = 0) AS leaves
+      FROM each e JOIN prefixes p ON p.c = e.c AND p.d <= e.d GROUP BY p.d, p.k
+    )
+    SELECT e.c AS conv_id, CAST(e.d AS BIGINT) AS depth, u.c AS parent_conv_id, e.n AS n_convs, e.children AS n_children,
+           CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, e.ends AS ends_sha256
+    FROM each e JOIN below USING (d, k) LEFT JOIN nodes u ON e.d > 0 AND u.d = e.d - 1 AND u.k = e.up
+    """,
+)
+def op11_conversation_trie(spark, sf_dir):
+    from crawlstats.llm.conversation_trie import conversations, trie, with_heads
+
+    convs = conversations(table(spark, sf_dir, "conversations"))
+    return trie(with_heads(convs, _FAMILY, fold("conv_id", _HEAD)))
+
+
+@register(
+    "op13_fill_in_middle",
+    r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+             sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+      FROM documents
+    ),
+    cuts AS (
+      SELECT *, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS r1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS r2,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                  WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+      FROM d
+    ),
+    parts AS (
+      SELECT *, array_to_string(u[1 : least(r1, r2)], '') AS prefix, array_to_string(u[least(r1, r2) + 1 : greatest(r1, r2)], '') AS middle,
+             array_to_string(u[greatest(r1, r2) + 1 :], '') AS suffix
+      FROM cuts
+    )
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+           CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM parts
+    """,
+)
+def op13_fill_in_middle(spark, sf_dir):
+    from crawlstats.llm.fill_in_middle import fill_in_middle, restored
+
+    made = fill_in_middle(table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50)
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"), sha(restored()).alias("restored_sha256")
+    )
