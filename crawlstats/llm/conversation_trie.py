@@ -101,39 +101,63 @@ def with_heads(convs: DataFrame, every: int, head: Column) -> DataFrame:
 def distinct_sequences(convs: DataFrame) -> DataFrame:
     """(path, words, conv, n, ends): each distinct sequence with the smallest id, the number and the hash of its conversations.
 
-    The hash runs over the ids in order, so the ids of equal conversations
-    pass one task; they are streamed in sorted order and never held.
+    The hash runs over the ids in ascending order. A sort by (sequence, id)
+    spreads equal conversations over tasks, which write their ids into pieces
+    of text; only these pieces meet, in order, where they are hashed one after
+    the other and never held.
     """
     symbols = F.transform("turns", lambda t: t["symbol"])
     path = F.unhex(F.array_join(symbols, ""))
     each = written(convs.select("conv_id", path.alias("path"), F.transform("turns", lambda t: t["words"]).alias("words")), "sequences")
     same = each.select(F.sha2("path", 256).alias("same"), "conv_id")
-    ordered = same.repartition("same").sortWithinPartitions("same", "conv_id")
-
-    def digests(batches):
-        now, sha, first, n = None, None, None, 0
-        for batch in batches:
-            out: list[tuple] = []
-            for same, conv in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if same == now:
-                    sha.update(b",%d" % conv)
-                    n += 1
-                    continue
-                if now is not None:
-                    out.append((first, n, sha.hexdigest()))
-                now, sha, first, n = same, hashlib.sha256(b"%d" % conv), conv, 1
-            yield _groups(out)
-        if now is not None:
-            yield _groups([(first, n, sha.hexdigest())])
-
-    groups = map_batches(ordered, digests, "conv_id long, n long, ends string")
+    pieces = map_batches(same.repartitionByRange("same", "conv_id").sortWithinPartitions("same", "conv_id"), _id_pieces, PIECE_DDL)
+    ordered = pieces.repartition("same").sortWithinPartitions("same", "first")
+    groups = map_batches(ordered, _hashed, "conv_id long, n long, ends string")
     return each.join(groups, "conv_id").select("path", "words", F.col("conv_id").alias("conv"), "n", "ends")
 
 
-def _groups(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [(), (), ()]
-    kinds = (("conv_id", pa.int64()), ("n", pa.int64()), ("ends", pa.string()))
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, kinds)], [name for name, _ in kinds])
+PIECE_DDL = "same string, first long, n long, ids string"
+
+
+def _id_pieces(batches) -> Iterator[pa.RecordBatch]:
+    """Within a batch, the ids of each group in ascending order as one text."""
+    for b in batches:
+        same, conv = b.column(0).to_pylist(), b.column(1).to_pylist()
+        starts = [i for i, s in enumerate(same) if i == 0 or s != same[i - 1]]
+        spans = list(zip(starts, [*starts[1:], len(same)]))
+        columns = {
+            "same": pa.array([same[i] for i, _ in spans], pa.string()),
+            "first": pa.array([conv[i] for i, _ in spans], pa.int64()),
+            "n": pa.array([j - i for i, j in spans], pa.int64()),
+            "ids": pa.array([",".join(map(str, conv[i:j])) for i, j in spans], pa.string()),
+        }
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def _hashed(batches) -> Iterator[pa.RecordBatch]:
+    """(smallest id, number, hash) of each group, from its pieces in order."""
+    now, sha, first, total = None, None, None, 0
+    done: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        conv, n, ends = zip(*done) if done else ((), (), ())
+        columns = {"conv_id": pa.array(conv, pa.int64()), "n": pa.array(n, pa.int64()), "ends": pa.array(ends, pa.string())}
+        done.clear()
+        return pa.RecordBatch.from_pydict(columns)
+
+    for b in batches:
+        for same, conv, n, ids in zip(*(c.to_pylist() for c in b.columns)):
+            if same == now:
+                sha.update(b"," + ids.encode())
+                total += n
+                continue
+            if now is not None:
+                done.append((first, total, sha.hexdigest()))
+            now, sha, first, total = same, hashlib.sha256(ids.encode()), conv, n
+        yield batch()
+    if now is not None:
+        done.append((first, total, sha.hexdigest()))
+        yield batch()
 
 
 class Mark:
