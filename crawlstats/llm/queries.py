@@ -297,3 +297,16 @@ def op13_fill_in_middle(spark, sf_dir):
     return made.select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"), sha(restored()).alias("restored_sha256")
     )
+
+
+@register("op12_personal_data")
+def op12_personal_data(spark, sf_dir):
+    from crawlstats.llm.pii import KINDS, personal_data
+
+    found = personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    listed = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    of_kind = lambda kind: F.filter(base, lambda s: s["kind"] == kind)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    digest = F.sha2(listed(base).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, listed(F.col("spans")).alias("spans"))
