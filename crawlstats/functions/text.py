@@ -5,7 +5,8 @@ tokeniser, built only from regex replace/split so it stays in codegen:
 
 1. visible text: comments, ``<script>``/``<style>`` elements and every tag
    become a space (the title's text stays); a ``>`` inside a quoted attribute
-   does not end a tag, and ``<`` before anything but a name is text;
+   does not end a tag, ``<`` before anything but a name is text, and what
+   nothing closes goes on to the end of the page;
 2. named and numeric entities are decoded, each once (``&amp;lt;`` gives
    ``&lt;``); unknown names stay as they are;
 3. ``,`` and ``:`` separate unless a digit follows (``1,000``, ``10:30``), and
@@ -23,13 +24,18 @@ from html.entities import html5, name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Markup that carries no visible text, then any remaining tag.
-INVISIBLE_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-# The inside of a tag after its name: quotes count only as an attribute's value.
+# Markup, scanned from left to right in one pass: a comment, a script or style
+# element, or a tag. Each runs to the end of the page when nothing closes it, and
+# every repeat is possessive, which Java matches in a loop: a tag of any length
+# takes no stack, and no stretch of text is read more than once.
 BLANK = r"[ \t\n\f\r]"
-TAG_REST = rf"""[^>=]*(?:={BLANK}*(?:"[^"]*"|'[^']*')?[^>=]*)*"""
-ANY_TAG = "<[A-Za-z/!?]" + TAG_REST + ">"
-MARKUP = INVISIBLE_MARKUP + "|" + ANY_TAG
+# The inside of a tag after its name: quotes count only as an attribute's value.
+TAG_REST = rf"""[^>=]*+(?:={BLANK}*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+"""
+COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\z))"
+RAW_ELEMENT = "|".join(rf"<{e}(?:(?:{BLANK}|/){TAG_REST})?+(?:\z|>.*?(?:</{e}(?:(?:{BLANK}|/)[^>]*+)?+>|\z))" for e in ("script", "style"))
+ANY_TAG = rf"<[A-Za-z/!?]{TAG_REST}(?:>|\z)"
+INVISIBLE = rf"(?is){COMMENT}|{RAW_ELEMENT}"
+MARKUP = rf"{INVISIBLE}|{ANY_TAG}"
 
 # Entities: a name or a number between '&' and ';'.
 ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
@@ -47,7 +53,7 @@ SEPARATORS = (
     r"\x{00AB}\x{00BB}\x{2018}-\x{201F}\x{2039}\x{203A};@#$%&?!()\[\]{}<>\"*]+"
 )
 # ',' and ':' that separate: no digit follows. The next character is group 1.
-COMMA_COLON = r"[,:]+([^0-9,:]|$)"
+COMMA_COLON = r"(?<![,:])[,:]++([^0-9]|$)"
 # "n't" at the end of a word; groups: it, what follows.
 NEGATION = r"(n't|N'T)([^A-Za-z0-9']|$)"
 TOKEN_START = r"^[A-Za-z0-9]"
@@ -95,7 +101,8 @@ def visible_text(html) -> Column:
 
 def spaced(text) -> Column:
     """The text with separating commas and colons gone and ``n't`` set apart."""
-    t = F.regexp_replace(_col(text), COMMA_COLON, " $1")
+    t = _col(text)
+    t = F.when(t.contains(",") | t.contains(":"), F.regexp_replace(t, COMMA_COLON, " $1")).otherwise(t)
     apart = F.regexp_replace(t, NEGATION, " $1$2")
     return F.when(t.contains("n't") | t.contains("N'T"), apart).otherwise(t)
 

@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from crawlstats.config import written_once
 from crawlstats.functions.scope import Rule, reject_reason
-from crawlstats.functions.text import BLANK, INVISIBLE_MARKUP, TAG_REST, decode_entities
+from crawlstats.functions.text import ANY_TAG, BLANK, INVISIBLE, TAG_REST, decode_entities
 from crawlstats.functions.urls import resolve_href
 from crawlstats.sources.pages import ok_responses
 
-# An anchor tag: group 1 is what follows its name.
-ANCHOR = rf"(?i)<a(?:{BLANK}|/)({TAG_REST})>"
+# Markup with the inside of anchor tags as group 1; an anchor that nothing closes is a tag without.
+ANCHORS = rf"{INVISIBLE}|<a(?:{BLANK}|/)({TAG_REST})>|{ANY_TAG}"
 # An attribute: its name, and a value that is quoted or bare.
 ATTRIBUTE = rf"""[^ \t\n\f\r"'>/=]+(?:{BLANK}*={BLANK}*(?:"[^"]*"|'[^']*'|[^ \t\n\f\r>"'][^ \t\n\f\r>]*))?"""
 # The attribute that holds the link; group 1 is its value.
@@ -39,10 +39,9 @@ def _strip_quotes(v: Column) -> Column:
 
 
 def raw_hrefs(html) -> Column:
-    """Href values of anchor tags outside comments, scripts and styles."""
+    """Href values of anchor tags outside comments, scripts and styles (one scan of the page's markup)."""
     h = F.col(html) if isinstance(html, str) else html
-    visible = F.regexp_replace(h, INVISIBLE_MARKUP, " ")
-    tags = F.regexp_extract_all(visible, F.lit(ANCHOR), 1)
+    tags = F.filter(F.regexp_extract_all(h, F.lit(ANCHORS), 1), lambda t: t != "")
     attribute = lambda t: F.filter(F.regexp_extract_all(t, F.lit(ATTRIBUTE), 0), lambda a: a.rlike(HREF))
     first = F.transform(tags, lambda t: F.regexp_extract(F.try_element_at(attribute(t), F.lit(1)), HREF, 1))
     return F.filter(first, lambda v: v.isNotNull())

@@ -112,13 +112,28 @@ HTML_TAIL = (
 )
 
 
+# An anchor with very many attributes before its href:
+WIDE_TAG = ("<p>wide</p><a", ' a="b>c"', 100_000, ' href="/wide">w</a>')
+# What nothing closes, one for each remainder of the page id: it runs to the end of the page.
+UNCLOSED = ("", '<p>last <a href="/open', "last <!-- <a href=/hidden>gone</a>", "last <script>gone <a href=/hidden>x</a>")
+# ---------------------------------------------------------------------------
+
+
 def html_variants(pages: DataFrame) -> DataFrame:
-    """(page_id, url, html): every page with the hard tail after its HTML."""
-    return pages.select("page_id", "url", F.concat("html", F.lit(HTML_TAIL)).alias("html"))
+    """(page_id, url, html): every page with the hard tail and something unclosed after its HTML, the first with a very wide tag too."""
+    start, attribute, n, end = WIDE_TAG
+    wide = F.concat(F.lit(start), F.repeat(F.lit(attribute), n), F.lit(end))
+    first = pages.select(F.min("page_id")).scalar()
+    unclosed = F.element_at(F.array(*map(F.lit, UNCLOSED)), (F.col("page_id") % len(UNCLOSED) + 1).cast("int"))
+    tail = F.concat(F.lit(HTML_TAIL), F.when(F.col("page_id") == first, wide).otherwise(""), unclosed)
+    return pages.select("page_id", "url", F.concat("html", tail).alias("html"))
 
 
 def html_variants_sql() -> str:
-    return f"(SELECT page_id, url, html || {O.q(HTML_TAIL)} AS html FROM pages)"
+    start, attribute, n, end = WIDE_TAG
+    wide = f"CASE WHEN page_id = (SELECT min(page_id) FROM pages) THEN {O.q(start)} || repeat({O.q(attribute)}, {n}) || {O.q(end)} ELSE '' END"
+    unclosed = f"[{', '.join(map(O.q, UNCLOSED))}][page_id % {len(UNCLOSED)} + 1]"
+    return f"(SELECT page_id, url, html || {O.q(HTML_TAIL)} || {wide} || {unclosed} AS html FROM pages)"
 
 
 def with_status(pages: DataFrame) -> DataFrame:

@@ -199,7 +199,26 @@ def reject_reason(u: str, domains: Sequence[str], profile: str = "full") -> str:
     return f"(CASE {whens} END)"
 
 
-# --- G2, G3, A2 ----------------------------------------------------------------
+# --- G1, G2, G3, A2 --------------------------------------------------------------
+
+# Markup in the SQL engine's terms: these patterns are its own.
+_INSIDE = r"""(?:=[ \t\n\f\r]*"[^"]*"|=[ \t\n\f\r]*'[^']*'|[^>])*"""
+_ELEMENT = r"<{0}(?:[ \t\n\f\r/]" + _INSIDE + r")?(?:\z|>.*?(?:</{0}(?:[ \t\n\f\r/][^>]*)?>|\z))"
+_SCANNED = "(?is)" + "|".join(
+    [r"<!--(?:>|->)", r"<!--.*?(?:-->|--!>|\z)", _ELEMENT.format("script"), _ELEMENT.format("style"), "<[a-z/!?]" + _INSIDE + r"(?:>|\z)"]
+)
+_NAME_VALUE = r"""([^ \t\n\f\r"'>/=]+)(?:[ \t\n\f\r]*=[ \t\n\f\r]*("[^"]*"|'[^']*'|[^ \t\n\f\r>"'][^ \t\n\f\r>]*))?"""
+
+
+def anchor_hrefs(html: str) -> str:
+    """List of the href values of a page's closed anchor tags, quotes and entities as written."""
+    anchor = q(r"(?i)^<a[ \t\n\f\r/]")
+    tags = f"list_filter(regexp_extract_all({html}, {q(_SCANNED)}), lambda t: regexp_matches(t, {anchor}) AND t[-1] = '>')"
+    inside = "substr(t, 3, length(t) - 3)"
+    pairs = f"list_zip(regexp_extract_all({inside}, {q(_NAME_VALUE)}, 1), regexp_extract_all({inside}, {q(_NAME_VALUE)}, 2))"
+    first = f"list_filter({pairs}, lambda p: lower(p[1]) = 'href' AND p[2] <> '')[1][2]"
+    return f"list_filter(list_transform({tags}, lambda t: {first}), lambda v: v IS NOT NULL)"
+
 
 def _entity_text(e: str) -> str:
     keys, values = zip(*text.ENTITY_NAMES.items())
@@ -225,11 +244,11 @@ def decode_entities(t: str) -> str:
 
 
 def visible_text(html: str) -> str:
-    return decode_entities(f"regexp_replace({html}, {q(text.MARKUP)}, ' ', 'g')")
+    return decode_entities(f"regexp_replace({html}, {q(_SCANNED)}, ' ', 'g')")
 
 
 def spaced(t: str) -> str:
-    commas = f"regexp_replace({t}, {q(text.COMMA_COLON)}, ' \\1', 'g')"
+    commas = f"regexp_replace({t}, {q('[,:]+([^0-9,:]|$)')}, ' \\1', 'g')"
     return f"regexp_replace({commas}, {q(text.NEGATION)}, ' \\1\\2', 'g')"
 
 

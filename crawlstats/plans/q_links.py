@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
-from crawlstats.functions.text import INVISIBLE_MARKUP
 from crawlstats.operators import links as L
 from crawlstats.plans import oracle as O
 from crawlstats.plans.queries import P, register, resp
 
 
 def page_links_sql(pages: str = "pages") -> str:
-    strip = f"(CASE WHEN starts_with(v, '\"') OR starts_with(v, '''') THEN regexp_extract(v, {O.q(L.QUOTED)}, 1) ELSE v END)"
-    attributes = f"regexp_extract_all(t, {O.q(L.ATTRIBUTE)})"
-    first = f"list_filter({attributes}, lambda a: regexp_matches(a, {O.q(L.HREF)}))[1]"
+    quoted = "starts_with(v, '\"') OR starts_with(v, '\'\'')"
+    strip = f"(CASE WHEN {quoted} THEN substr(v, 2, length(v) - 2) ELSE v END)"
     return f"""
     SELECT DISTINCT page_id, src, link FROM (
       SELECT page_id, src, {O.resolve_href('src', 'href')} AS link FROM (
         SELECT page_id, src, {O.decode_entities(strip)} AS href FROM (
-          SELECT page_id, src, regexp_extract({first}, {O.q(L.HREF)}, 1) AS v FROM (
-            SELECT page_id, url AS src,
-                   unnest(regexp_extract_all(regexp_replace(html, {O.q(INVISIBLE_MARKUP)}, ' ', 'g'),
-                                             {O.q(L.ANCHOR)}, 1)) AS t
-            FROM {pages}
-          ) WHERE {first} IS NOT NULL
+          SELECT page_id, url AS src, unnest({O.anchor_hrefs('html')}) AS v FROM {pages}
         )
       )
     ) WHERE NOT contains(link, {O.q(L.ACTION_MARKER)})

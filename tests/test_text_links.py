@@ -114,3 +114,101 @@ def test_token_count_equals_token_array_size(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     for r in df.select("t", token_count("t").alias("n"), F.size(tokens("t")).alias("m")).collect():
         assert r.n == r.m, r.t
+
+
+# --- the markup scan ----------------------------------------------------------
+
+SPACE = " \t\n\f\r"
+
+
+def scanned(html):
+    """(text with markup as spaces, insides of closed anchors) by a scan, character by character."""
+    out, anchors, i, n = [], [], 0, len(html)
+
+    def tag_end(j):
+        """Where the tag whose inside starts at j ends: behind its '>', or at the end of the page."""
+        while j < n and html[j] != ">":
+            if html[j] == "=":
+                k = j + 1
+                while k < n and html[k] in SPACE:
+                    k += 1
+                if k < n and html[k] in "\"'" and (close := html.find(html[k], k + 1)) >= 0:
+                    j = close
+            j += 1
+        return (j + 1, True) if j < n else (n, False)
+
+    while i < n:
+        low = html[i : i + 8].lower()
+        if html.startswith("<!--", i):
+            rest = html[i + 4 :]
+            if rest.startswith((">", "->")):
+                i += 4 + rest.index(">") + 1
+            else:
+                ends = [e + len(m) for m in ("-->", "--!>") if (e := rest.find(m)) >= 0]
+                i = min(i + 4 + min(ends), n) if ends else n
+            out.append(" ")
+        elif (name := next((e for e in ("script", "style") if low.startswith("<" + e) and html[i + 1 + len(e) : i + 2 + len(e)] in (*SPACE, "/", ">")), None)):
+            i, closed = tag_end(i + 1 + len(name))
+            while closed and i < n:
+                at = html.lower().find("</" + name, i)
+                if at < 0:
+                    i = n
+                    break
+                i = at + 2 + len(name)
+                if html[i : i + 1] in (*SPACE, "/", ">") and i < n:
+                    end = html.find(">", i)
+                    i = end + 1 if end >= 0 else n
+                    break
+            out.append(" ")
+        elif html[i] == "<" and i + 1 < n and (html[i + 1] in "/!?" or html[i + 1].isascii() and html[i + 1].isalpha()):
+            end, closed = tag_end(i + 2)
+            if closed and low[1] == "a" and html[i + 2] in SPACE + "/":
+                anchors.append(html[i + 3 : end - 1])
+            out.append(" ")
+            i = end
+        else:
+            out.append(html[i])
+            i += 1
+    return "".join(out), [a for a in anchors if a]
+
+
+PIECES = st.sampled_from(
+    ["<", ">", "<a ", "<a/", "</a>", "<p", "<!--", "-->", "--!>", "->", "-", "<script", "</script", "</script>", "<STYLE>", "</style >", "=", "= ", '"', "'", "a", "b=", "href=", "/", "!", " ", "\n", "x", "<!", "<?", "1 < 2", "scripts"]
+)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(PIECES, max_size=14).map("".join), min_size=1, max_size=60))
+def test_markup_scan_equals_a_scan_by_character(spark, pages):
+    from crawlstats.functions.text import MARKUP
+    from crawlstats.operators.links import ANCHORS
+
+    df = spark.createDataFrame([(h,) for h in pages], "h string")
+    anchors = F.filter(F.regexp_extract_all("h", F.lit(ANCHORS), 1), lambda t: t != "")
+    for r in df.select("h", F.regexp_replace("h", MARKUP, " ").alias("t"), anchors.alias("a")).collect():
+        assert (r.t, r.a) == scanned(r.h), r.h
+
+
+def test_pages_with_huge_and_unclosed_markup(spark):
+    wide = " a=b" * 50_000 + ' c="d>e"' * 50_000
+    rows = [
+        (1, f'<a{wide} href="/in">text</a><p>end'),
+        (2, f'<p>one</p><a href="/one">1</a><a href="/two"{wide}'),
+        (3, "<p>two <!-- " + "<a href=/no>x</a>" * 3000),
+        (4, "<p>three <script> " + "<a b=c " * 3000),
+        (5, "four " + "<a b=c " * 100_000),
+        (6, f'<a href="/six">five</a><p{wide}> six <a href="/in-a-tag" <!-- <script>'),
+        (7, "<!--" * 50_000),
+        (8, "nine " + ",:" * 100_000 + "1 ten"),
+        (9, "=\"" * 100_000 + "<b =\" x>eleven"),
+        (10, "<script>" * 50_000 + "</script>twelve"),
+        (11, f"<a{' ' * 200_000}href='/spaces'>thirteen</a>"),
+    ]
+    df = spark.createDataFrame([(i, BASE, h) for i, h in rows], "page_id long, url string, html string")
+    links = {(r.page_id, r.link[len("https://a.example.com") :]) for r in page_links(responses(df)).collect()}
+    assert links == {(1, "/in"), (2, "/one"), (6, "/six"), (6, "/in-a-tag"), (11, "/spaces")}
+    got = {r.page_id: r.t for r in df.select("page_id", page_tokens("html").alias("t")).collect()}
+    assert {i: got[i] for i in (1, 2, 3, 4, 5, 6, 7, 10, 11)} == {
+        1: ["text", "end"], 2: ["one", "1"], 3: ["two"], 4: ["three"], 5: ["four"], 6: ["five", "six"], 7: [], 10: ["twelve"], 11: ["thirteen"]
+    }
+    assert got[8][0] == "nine" and got[8][-1] == "ten" and got[9][-1] == "eleven"
