@@ -27,8 +27,8 @@ LATIN1 = re.compile(
     f"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
     f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
-#: Learned pre-tokens in a generation of a worker's cache.
-CACHE_ENTRIES = 250_000
+#: Learned pre-tokens in a generation of a worker's cache, and the longest one that is kept, in characters.
+CACHE_ENTRIES, CACHED_CHARS = 200_000, 64
 
 
 @lru_cache(maxsize=1)
@@ -73,10 +73,11 @@ class _Cache(dict):
         if v is None:
             v = self.merge(pre)
         if len(self) >= self.limit:
-            self.older = dict(self)
+            self.older = {p: v for p, v in self.items() if p not in self.whole}
             self.clear()
             self.update(self.whole)
-        self[pre] = v
+        if len(pre) <= CACHED_CHARS:
+            self[pre] = v
         return v
 
 
@@ -106,8 +107,7 @@ class WholeTokenBpe:
         )
 
     def _merge(self, pre: str) -> list[int]:
-        letters = self.letters
-        return [t.id for t in self.tok.model.tokenize("".join([letters[b] for b in pre.encode("utf-8")]))]
+        return [t.id for t in self.tok.model.tokenize(pre.encode("utf-8").decode("latin-1").translate(self.letters))]
 
     def pre_tokens(self, text: str) -> list[str]:
         try:
