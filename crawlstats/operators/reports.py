@@ -13,9 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlstats.config import written_once
 from crawlstats.functions.stop_words import ENGLISH_STOP_WORDS
 from crawlstats.functions.text import clean_token, page_token_count, split_words, visible_text
 from crawlstats.functions.urls import nice_link, normalize, page_key, subdomain, url_hash, url_parts
+from crawlstats.operators.sentences import abbreviations, sentence_words
 from crawlstats.sources.pages import ok_responses
 
 TOP_WORDS = 50
@@ -60,18 +62,25 @@ def longest_page(resp: DataFrame) -> DataFrame:
     )
 
 
+def piece_counts(texts: DataFrame, text_col: str = "text", html: bool = False) -> DataFrame:
+    """(raw, n): occurrences of every piece of text between separators, as written.
+
+    Generator and partial aggregate share one codegen stage and combine
+    map-side, so a piece leaves its task once, however frequent.
+    """
+    text = visible_text(text_col) if html else F.col(text_col)
+    return texts.select(F.explode(split_words(text)).alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+
+
 def word_counts(texts: DataFrame, text_col: str = "text", html: bool = False) -> DataFrame:
     """A4: occurrences of every token over all texts (duplicates counted).
 
-    Explodes the raw pieces and cleans each one as a scalar expression, so
-    the generator, filter and projection share one codegen stage; the
-    ``groupBy`` combines map-side before the shuffle, so frequent words never
-    concentrate in one task.
+    Distinct pieces are cleaned, not occurrences; spellings of one token then
+    meet in a second sum.
     """
-    text = visible_text(text_col) if html else F.col(text_col)
-    raw = texts.select(F.explode(split_words(text)).alias("raw"))
-    toks = raw.select(clean_token("raw").alias("token")).where(F.col("token").isNotNull())
-    return toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    pieces = piece_counts(texts, text_col, html)
+    toks = pieces.select(clean_token("raw").alias("token"), "n").where(F.col("token").isNotNull())
+    return toks.groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def remove_stop_words(counts: DataFrame, stop_words: DataFrame) -> DataFrame:
@@ -108,10 +117,16 @@ def top_page_words(spark: SparkSession, resp: DataFrame, k: int = TOP_WORDS, sto
     return top_words(remove_stop_words(counts, stop), k)
 
 
-def top_text_words(spark: SparkSession, docs: DataFrame, text_col: str = "text", k: int = TOP_WORDS, stop_words: DataFrame | None = None) -> DataFrame:
-    """Q3 over plain-text documents (no markup removal)."""
+def top_text_words(
+    spark: SparkSession, docs: DataFrame, text_col: str = "text", k: int = TOP_WORDS, stop_words: DataFrame | None = None, sentences: bool = False
+) -> DataFrame:
+    """Q3 over plain-text documents (no markup removal); with ``sentences`` abbreviations keep their period."""
     stop = stop_words if stop_words is not None else english_stop_words(spark)
-    counts = word_counts(docs.select(text_col), text_col, html=False)
+    if sentences:
+        pieces = written_once(piece_counts(docs.select(text_col), text_col), "pieces")  # read twice
+        counts = sentence_words(pieces, abbreviations(pieces))
+    else:
+        counts = word_counts(docs.select(text_col), text_col)
     return top_words(remove_stop_words(counts, stop), k)
 
 
@@ -150,6 +165,7 @@ __all__: Sequence[str] = (
     "unique_pages",
     "page_token_counts",
     "longest_page",
+    "piece_counts",
     "word_counts",
     "remove_stop_words",
     "top_words",

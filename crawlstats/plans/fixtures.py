@@ -136,6 +136,19 @@ def html_variants_sql() -> str:
     return f"(SELECT page_id, url, html || {O.q(HTML_TAIL)} || {wide} || {unclosed} AS html FROM pages)"
 
 
+# Sentences with abbreviations, after every document's text.
+SENTENCES = " Dr. Ny and Mr. Low met the U.S. team in St. Paul, e.g. today. It ended today. They left. The U.S. side won, as Dr. Ny said."
+
+
+def sentence_documents(docs: DataFrame) -> DataFrame:
+    """(text): every document's text with the sentences."""
+    return docs.select(F.concat("text", F.lit(SENTENCES)).alias("text"))
+
+
+def sentence_documents_sql() -> str:
+    return f"(SELECT text || {O.q(SENTENCES)} AS text FROM documents)"
+
+
 def with_status(pages: DataFrame) -> DataFrame:
     """Pages with a status: of ten ids in a row one is a 404 and one a 606 without body."""
     i = F.col("page_id") % 10

@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from crawlstats.config import TEST_PARAMS
-from crawlstats.operators import reports
+from crawlstats.operators import reports, sentences
+from crawlstats.plans import fixtures as X
 from crawlstats.plans import oracle as O
 from crawlstats.sources.pages import read_table, responses
 
@@ -118,6 +120,55 @@ def q3_top_words_documents(spark, sf_dir):
     return reports.top_text_words(spark, read_table(spark, sf_dir, "documents"))
 
 
+def _periods_sql(table: str) -> str:
+    """CTEs raw, score: words with a final period, their counts and scores."""
+    return f"""
+    raw AS (SELECT raw, count(*) AS n FROM (SELECT unnest({O.raw_pieces('text')}) AS raw FROM {table}) WHERE {O.is_word('raw')} GROUP BY raw),
+    each AS (
+      SELECT lower(CASE WHEN ends THEN raw[:-2] ELSE raw END) AS word, CASE WHEN ends THEN n ELSE 0 END AS y, CASE WHEN ends THEN 0 ELSE n END AS x
+      FROM (SELECT *, raw[-1] = '.' AND raw[-2] <> '.' AS ends FROM raw)
+    ),
+    words AS (SELECT word, CAST(sum(y) AS BIGINT) AS n_with, CAST(sum(x) AS BIGINT) AS n_without FROM each GROUP BY word),
+    rate AS (SELECT least(sum(n_with) / sum(n_with + n_without), 1 - 1e-9) AS p FROM words),
+    score AS (
+      SELECT word, n_with, n_without, -2 * (n_with * ln(p) + n_without * ln(1 - p) - n_with * ln(0.99) - n_without * ln(1 - 0.99))
+             * exp(-m) * (length(word) - m + 1) / CAST(m AS DOUBLE) ** n_without AS score
+      FROM (SELECT *, length(replace(word, '.', '')) AS m FROM words WHERE n_with > 0 AND regexp_matches(word, '[a-z]')), rate
+    )"""
+
+
+@register(
+    "abbreviations",
+    f"""
+    WITH {_periods_sql(X.sentence_documents_sql())}
+    SELECT word, n_with, n_without, score >= 0.3 AS is_abbreviation FROM score
+    """,
+)
+def q_abbreviations(spark, sf_dir):
+    pieces = reports.piece_counts(X.sentence_documents(read_table(spark, sf_dir, "documents")))
+    scored = sentences.period_statistics(pieces)
+    return scored.select("word", "n_with", "n_without", (F.col("score") >= sentences.THRESHOLD).alias("is_abbreviation"))
+
+
+@register(
+    "q3_top_words_sentences",
+    f"""
+    WITH {_periods_sql(X.sentence_documents_sql())},
+    tokens AS (
+      SELECT CASE WHEN raw[-1] = '.' AND raw[-2] <> '.' AND lower(raw[:-2]) IN (SELECT word FROM score WHERE score >= 0.3) THEN lower(raw)
+                  ELSE {O.clean_token('raw')} END AS token, n
+      FROM raw
+    )
+    SELECT token, CAST(sum(n) AS BIGINT) AS n FROM tokens
+    WHERE token NOT IN (SELECT token FROM {O.stop_words_values()})
+    GROUP BY token ORDER BY n DESC, token LIMIT 50
+    """,
+)
+def q3_top_words_sentences(spark, sf_dir):
+    docs = X.sentence_documents(read_table(spark, sf_dir, "documents"))
+    return reports.top_text_words(spark, docs, sentences=True)
+
+
 def subdomains_sql(table: str = "pages") -> str:
     return f"""
     WITH s AS (
