@@ -14,7 +14,8 @@ def robots_gate(urls: DataFrame, rules: DataFrame, *, url_col: str = "url") -> D
     """Add ``allowed``: the longest matching rule of the URL's host decides
     (allow on ties); a host without rules, or a URL no rule matches, is allowed.
 
-    A rule matches the start of path and query (``/search?q=``); a rule
+    A rule matches the start of path and query (``/search?q=``); the empty
+    path of a site's root, which normalised URLs have, is ``/``; a rule
     without a path, as an empty ``Disallow:`` line, matches nothing. Each
     distinct host and path is cut at the lengths that its host's rules have
     and the cuts meet the rules in a plain equi-join on (host, prefix), so no
@@ -22,7 +23,7 @@ def robots_gate(urls: DataFrame, rules: DataFrame, *, url_col: str = "url") -> D
     """
     p = url_parts(url_col)
     query = F.when(p["query"] != "", F.concat(F.lit("?"), p["query"])).otherwise("")
-    keyed = urls.withColumn("_host", p["netloc"]).withColumn("_path", F.concat(p["path"], query))
+    keyed = urls.withColumn("_host", p["netloc"]).withColumn("_path", F.concat(F.when(p["path"] == "", F.lit("/")).otherwise(p["path"]), query))
     rules = rules.where("path_prefix <> ''").select(F.col("host").alias("_host"), F.col("path_prefix").alias("_prefix"), "allow")
     lengths = rules.select("_host", F.length("_prefix").alias("_len")).distinct()
     paths = keyed.select("_host", "_path").distinct()

@@ -78,9 +78,10 @@ def link_audit(
     *,
     max_len: int = 250,
     extra_rules: Sequence[Rule] = (),
+    host_only: bool = False,
 ) -> DataFrame:
-    """F16 + S6: every link with ``is_valid`` and the first rule it failed."""
-    reason = reject_reason(F.col("link"), domains, max_len=max_len, extra_rules=extra_rules)
+    """F16 + S6: every link with ``is_valid`` and the first rule it failed; ``host_only`` as in ``reject_reason``."""
+    reason = reject_reason(F.col("link"), domains, max_len=max_len, extra_rules=extra_rules, host_only=host_only)
     return links.withColumn("reason", reason).withColumn("is_valid", F.col("reason").isNull())
 
 
@@ -96,13 +97,14 @@ def scrape(
     extractor: Extractor | None = None,
     extra_rules: Sequence[Rule] = (),
     max_len: int = 250,
+    host_only: bool = False,
 ) -> DataFrame:
     """G4 + E1: audit of the links a pluggable extractor finds on pages.
 
     ``extractor`` maps responses to (page_id, src, link); default G1.
     """
     links = (extractor or page_links)(resp)
-    return link_audit(links, domains, max_len=max_len, extra_rules=extra_rules)
+    return link_audit(links, domains, max_len=max_len, extra_rules=extra_rules, host_only=host_only)
 
 
 def write_link_audit(audit: DataFrame, path: str) -> None:

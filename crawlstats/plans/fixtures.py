@@ -283,6 +283,20 @@ def seed_pages_sql(buckets) -> str:
     return f"SELECT min(page_id) AS node FROM pages GROUP BY {O.domain_bucket('url', buckets)}"
 
 
+def root_urls(pages: DataFrame) -> DataFrame:
+    """(page_id, url): every page URL, and the root of its site without a path, bare and with a query."""
+    from crawlstats.functions.urls import url_parts
+
+    p = url_parts("url")
+    root = F.concat(p["scheme"], F.lit("://"), p["netloc"])
+    return pages.select("page_id", F.explode(F.array("url", root, F.concat(root, F.lit("?page=1")))).alias("url"))
+
+
+def root_urls_sql() -> str:
+    root = f"{O.scheme('url')} || '://' || {O.netloc('url')}"
+    return f"SELECT page_id, unnest([url, {root}, {root} || '?page=1']) AS url FROM pages"
+
+
 def robots_rules(pages: DataFrame) -> DataFrame:
     """(host, path_prefix, allow) derived from the page hosts.
 

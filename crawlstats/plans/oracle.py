@@ -165,9 +165,16 @@ def repeating_directory(u: str) -> str:
     )
 
 
-def rule_sql(u: str, domains: Sequence[str], profile: str = "full", max_len: int = scope.MAX_URL_LENGTH):
+def out_of_scope(u: str, domains: Sequence[str], guarded: bool, host_only: bool) -> str:
+    if not host_only:
+        return f"NOT regexp_matches({u}, {q(scope.domain_pattern(domains, guarded=guarded))})"
+    host = f"'.' || regexp_replace(regexp_replace(lower({netloc(u)}), '^[^@]*@', ''), ':[0-9]*$', '')"
+    return "NOT (" + " OR ".join(f"ends_with({host}, {q('.' + d.split('/')[0].lower())})" for d in domains) + ")"
+
+
+def rule_sql(u: str, domains: Sequence[str], profile: str = "full", max_len: int = scope.MAX_URL_LENGTH, host_only: bool = False):
     nl = netloc(u)
-    dom = scope.domain_pattern(domains, guarded=(profile == "full"))
+    domain = out_of_scope(u, domains, profile == "full", host_only)
     rules = [
         ("malformed", f"({u} IS NULL OR contains({nl}, '[') <> contains({nl}, ']'))"),
         ("scheme", f"{scheme(u)} NOT IN ('http', 'https')"),
@@ -175,13 +182,13 @@ def rule_sql(u: str, domains: Sequence[str], profile: str = "full", max_len: int
     ]
     if profile == "basic":
         return rules + [
-            ("domain", f"NOT regexp_matches({u}, {q(dom)})"),
+            ("domain", domain),
             ("fragment", f"{fragment(u)} <> ''"),
         ]
     events = " OR ".join(f"contains({u}, {q(m)})" for m in scope.EVENT_MARKERS) or "false"
     return rules + [
         ("query_extension", f"regexp_matches(lower({query(u)}), {q(scope.EXTENSION_PATTERN)})"),
-        ("domain", f"NOT regexp_matches({u}, {q(dom)})"),
+        ("domain", domain),
         ("date", f"regexp_matches({u}, {q(scope.DATE_PATTERN)})"),
         ("event_category", f"({events})"),
         ("fragment", f"{fragment(u)} <> ''"),
@@ -194,8 +201,8 @@ def rule_sql(u: str, domains: Sequence[str], profile: str = "full", max_len: int
     ]
 
 
-def reject_reason(u: str, domains: Sequence[str], profile: str = "full") -> str:
-    whens = " ".join(f"WHEN {cond} THEN {q(name)}" for name, cond in rule_sql(u, domains, profile))
+def reject_reason(u: str, domains: Sequence[str], profile: str = "full", host_only: bool = False) -> str:
+    whens = " ".join(f"WHEN {cond} THEN {q(name)}" for name, cond in rule_sql(u, domains, profile, host_only=host_only))
     return f"(CASE {whens} END)"
 
 

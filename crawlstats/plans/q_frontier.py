@@ -100,9 +100,8 @@ def q_state_counts(spark, sf_dir):
     return FR.state_counts(_state(spark, sf_dir), P)
 
 
-@register(
-    "state_complete",
-    f"""
+def state_complete_sql() -> str:
+    return f"""
     WITH st AS ({X.crawl_state_sql()}),
     done AS (
       SELECT url_hash, min(url) AS url FROM (
@@ -115,14 +114,18 @@ def q_state_counts(spark, sf_dir):
            coalesce(done.url, st.url) AS url,
            (done.url_hash IS NOT NULL) OR coalesce(st.completed, false) AS completed
     FROM st FULL OUTER JOIN done ON st.url_hash = done.url_hash
-    """,
-)
+    """
+
+
+def completions(spark, sf_dir, st):
+    """(url): what was fetched next, all new URLs and the pending ones of the first bucket."""
+    return _new(spark, sf_dir, st).select("url").unionByName(FR.pending(st, P).where(F.col("bucket") == 0).select("url"))
+
+
+@register("state_complete", state_complete_sql())
 def q_state_complete(spark, sf_dir):
     st = _state(spark, sf_dir)
-    done = _new(spark, sf_dir, st).select("url").unionByName(
-        FR.pending(st, P).where(F.col("bucket") == 0).select("url")
-    )
-    return FR.mark_complete(st, done)
+    return FR.mark_complete(st, completions(spark, sf_dir, st))
 
 
 @register(
@@ -180,8 +183,9 @@ def q_size_gate(spark, sf_dir):
     WITH r AS ({X.robots_rules_sql()}),
     u AS (
       SELECT page_id, url, {O.netloc('url')} AS host,
-             {O.path('url')} || CASE WHEN {O.query('url')} <> '' THEN '?' || {O.query('url')} ELSE '' END AS path
-      FROM pages
+             CASE WHEN {O.path('url')} = '' THEN '/' ELSE {O.path('url')} END
+             || CASE WHEN {O.query('url')} <> '' THEN '?' || {O.query('url')} ELSE '' END AS path
+      FROM ({X.root_urls_sql()})
     ),
     m AS (
       SELECT u.page_id, u.url, r.allow, length(r.path_prefix) AS len
@@ -193,7 +197,7 @@ def q_size_gate(spark, sf_dir):
 )
 def q_robots_gate(spark, sf_dir):
     pg = pages(spark, sf_dir)
-    return G.robots_gate(pg.select("page_id", "url"), X.robots_rules(pg))
+    return G.robots_gate(X.root_urls(pg), X.robots_rules(pg))
 
 
 @register(

@@ -21,9 +21,9 @@ def page_links_sql(pages: str = "pages") -> str:
     """
 
 
-def link_audit_sql(extra: str = "") -> str:
+def link_audit_sql(extra: str = "", host_only: bool = False) -> str:
     """``extra``: WHEN branches after those of the built-in rules."""
-    r = O.reject_reason("link", P.domains)[: -len("END)")] + f"{extra} END)"
+    r = O.reject_reason("link", P.domains, host_only=host_only)[: -len("END)")] + f"{extra} END)"
     return f"SELECT page_id, src, link, {r} AS reason, ({r}) IS NULL AS is_valid FROM ({page_links_sql()})"
 
 
@@ -37,6 +37,11 @@ def q_link_audit(spark, sf_dir):
     return L.scrape(resp(spark, sf_dir), P.domains, max_len=P.max_url_length)
 
 
+@register("link_audit_host_only", link_audit_sql(host_only=True))
+def q_link_audit_host_only(spark, sf_dir):
+    return L.scrape(resp(spark, sf_dir), P.domains, max_len=P.max_url_length, host_only=True)
+
+
 @register(
     "valid_links",
     f"SELECT page_id, src, link FROM ({link_audit_sql()}) WHERE is_valid",

@@ -17,8 +17,11 @@ from crawlstats.functions.urls import url_parts
 from crawlstats.plans import oracle as O
 from crawlstats.plans.q_links import link_audit_sql
 from crawlstats.plans.queries import _ORACLES, P, pages, register
+from crawlstats.plans import q_frontier as QF
+from crawlstats.streaming import crawl_state as CS
 from crawlstats.streaming import streams as S
 
+
 def stage_source(spark: SparkSession, pg: DataFrame) -> tuple[str, int]:
     """Write the stream's input (pages, then re-deliveries) to the shared folder, a file a split.
 
@@ -102,6 +105,80 @@ def q_stream_new_urls(spark, sf_dir):
     )
 
 
+# --- the crawl state as events and pages arrive (J5, A7, S4) --------------------
+
+def run_state(spark, deliveries: list[DataFrame]) -> str:
+    """The state's folder after each delivery of events (url, done, ord) was read by a trigger."""
+    src, out, ckpt = (shared_dir(spark, f"stream-{d}") for d in ("events", "state", "ckpt"))
+    for events in deliveries:
+        events.write.mode("append").parquet(src)
+        files = max(1, len(events.sparkSession.read.parquet(src).inputFiles()))
+        stream = spark.readStream.schema("url string, done boolean, ord long").option("maxFilesPerTrigger", files).parquet(src)
+        CS.write_state(stream, P, out, ckpt).awaitTermination()
+    return out
+
+
+def _state_deliveries(spark, sf_dir) -> list[DataFrame]:
+    """The fixture's state as events, then the completions of ``state_complete``, in a query started again."""
+    st = QF._state(spark, sf_dir)
+    loaded = st.select("url", F.col("completed").alias("done"), F.lit(0).cast("long").alias("ord"))
+    done = QF.completions(spark, sf_dir, st).select("url", F.lit(True).alias("done"), F.lit(1).cast("long").alias("ord"))
+    return [loaded, done]
+
+
+@register("stream_state", QF.state_complete_sql())
+def q_stream_state(spark, sf_dir):
+    return CS.read_state(spark, run_state(spark, _state_deliveries(spark, sf_dir)))
+
+
+@register(
+    "stream_state_counts",
+    f"""
+    SELECT count(*) AS total, count(*) FILTER (WHERE NOT completed AND {O.reject_reason('url', P.domains)} IS NULL) AS pending
+    FROM ({QF.state_complete_sql()})
+    """,
+)
+def q_stream_state_counts(spark, sf_dir):
+    return CS.read_counts(spark, run_state(spark, _state_deliveries(spark, sf_dir)))
+
+
+def _crawl_state_sql() -> str:
+    return f"""
+    WITH found AS (
+      SELECT {O.url_hash('url', normalized=True)} AS url_hash, arg_min(url, (page_id, url)) AS url
+      FROM (SELECT page_id, {O.normalize('link')} AS url FROM ({link_audit_sql()}) WHERE is_valid) GROUP BY 1
+    ),
+    done AS (
+      SELECT {O.url_hash('url', normalized=True)} AS url_hash, min(url) AS url FROM (SELECT {O.normalize('url')} AS url FROM pages) GROUP BY 1
+    )
+    SELECT url_hash, url, true AS completed FROM done
+    UNION ALL SELECT url_hash, url, false AS completed FROM found WHERE url_hash NOT IN (SELECT url_hash FROM done)
+    """
+
+
+@register("stream_crawl_state", _crawl_state_sql())
+def q_stream_crawl_state(spark, sf_dir):
+    """The state of a crawl whose pages arrive twice: captured URLs are complete, their other valid links pending."""
+    src, files = stage_source(spark, pages(spark, sf_dir))
+    out, ckpt = shared_dir(spark, "stream-state"), shared_dir(spark, "stream-ckpt")
+    CS.write_state(CS.page_events(S.page_stream(spark, src, files), P), P, out, ckpt).awaitTermination()
+    return CS.read_state(spark, out)
+
+
+@register(
+    "stream_crawl_pending",
+    f"""
+    SELECT url_hash, url, {O.domain_bucket('url', P.buckets)} AS bucket FROM ({_crawl_state_sql()})
+    WHERE NOT completed AND {O.reject_reason('url', P.domains)} IS NULL
+    """,
+)
+def q_stream_crawl_pending(spark, sf_dir):
+    src, files = stage_source(spark, pages(spark, sf_dir))
+    out, ckpt = shared_dir(spark, "stream-state"), shared_dir(spark, "stream-ckpt")
+    CS.write_state(CS.page_events(S.page_stream(spark, src, files), P), P, out, ckpt).awaitTermination()
+    return CS.read_pending(spark, out, P)
+
+
 # The running reports must equal the batch reports: same oracle SQL.
 for _stream, _batch in (
     ("stream_top_words", "q3_top_words"),

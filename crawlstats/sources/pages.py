@@ -107,9 +107,14 @@ def seed_lines(lines: DataFrame, col: str = "seeds") -> DataFrame:
 
 
 def url_file_scan(
-    spark: SparkSession, path: str, domains: Sequence[str], profile: str = "basic", extra_rules: Sequence[Rule] = ()
+    spark: SparkSession,
+    path: str,
+    domains: Sequence[str],
+    profile: str = "basic",
+    extra_rules: Sequence[Rule] = (),
+    host_only: bool = False,
 ) -> DataFrame:
     """S3 + F17: one URL per line of a text file, with its verdict."""
     lines = spark.read.text(path).select(F.col("value").alias("url"))
-    reason = reject_reason(F.col("url"), domains, profile=profile, extra_rules=extra_rules)
+    reason = reject_reason(F.col("url"), domains, profile=profile, extra_rules=extra_rules, host_only=host_only)
     return lines.select("url", reason.isNull().alias("is_valid"), reason.alias("reason"))

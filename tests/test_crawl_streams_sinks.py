@@ -291,3 +291,25 @@ def test_size_gate_prefers_stored_length(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_bytes long")
     got = {r.page_id: (r.status, r.error) for r in responses(pages, size_limit=1_000_000).collect()}
     assert got == {1: (200, None), 2: (606, "FILE TOO LARGE !")}
+
+
+def test_robots_rules_reach_root_urls_without_a_path(spark):
+    rules = [("m.x.com", "/", False), ("n.x.com", "/?q=", False), ("o.x.com", "/a", False)]
+    urls = {"https://m.x.com": False, "https://m.x.com?q=1": False, "https://m.x.com/": False, "https://n.x.com": True, "https://n.x.com?q=1": False, "https://o.x.com": True, "https://o.x.com/a": False}
+    r = spark.createDataFrame(rules, "host string, path_prefix string, allow boolean")
+    got = {x.url: x.allowed for x in G.robots_gate(spark.createDataFrame([(u,) for u in urls], "url string"), r).collect()}
+    assert got == urls
+
+
+def test_host_only_reaches_every_link_job(spark, tmp_dir):
+    html = '<a href="https://a.example.com">root</a><a href="https://evil.test/.example.com/">no</a><a href="https://b.example.com/x">x</a>'
+    resp = responses(spark.createDataFrame([(1, "https://a.example.com/1", html)], "page_id long, url string, html string"))
+    by = lambda df: {r.link for r in df.where("is_valid").collect()}
+    loose, strict = {"https://evil.test/.example.com/", "https://b.example.com/x"}, {"https://a.example.com", "https://b.example.com/x"}
+    assert by(L.scrape(resp, P.domains)) == loose and by(L.scrape(resp, P.domains, host_only=True)) == strict
+    links = L.page_links(resp)
+    assert by(L.link_audit(links, P.domains, host_only=True)) == strict
+    assert {r.link for r in L.valid_links(links, P.domains, host_only=True).collect()} == strict
+    path = os.path.join(tmp_dir, "urls")
+    links.select("link").write.text(path)
+    assert {r.url for r in url_file_scan(spark, path, P.domains, host_only=True).where("is_valid").collect()} == strict
