@@ -24,10 +24,10 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
-def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id long, text string): the two columns, a null text as the empty one."""
-    d = pick(df, doc_id=id_col, text=text_col)
-    return d.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id long, text string) and the columns to ``keep``: a null text as the empty one."""
+    d = pick(df, doc_id=id_col, text=text_col, **{c: c for c in keep})
+    return d.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *keep)
 
 
 def fold(key: str | Column, n: int) -> Column:

@@ -11,15 +11,19 @@ a cell pass the Manhattan bound over all segments and then the exact check.
 
 Rows are combined to distinct fingerprints first, so copies cost nothing.
 A task joins the linked fingerprints of its cells at once and returns one
-link a fingerprint, never all pairs. Cells with more than ``LARGE`` rows,
-where pairs would grow with the square, are settled exactly through the
-values near their fingerprints: two fingerprints are within 3 bits if and only
-if a value is within 1 bit of one and within 2 of the other.
+link a fingerprint, never all pairs. Cells with more than ``LARGE`` rows are
+divided over tasks by four blocks of 16 bits, in one of which near fingerprints
+are equal. Parts that still have more, where pairs would grow with the square,
+are settled exactly through the values near their fingerprints: two
+fingerprints are within 3 bits if and only if a value is within 1 bit of one
+and within 2 of the other.
 
 Defined cases: a null or empty text has fingerprint zero, which links like any
 other; a null id takes part in links, is ignored by component_id, which is
 null only where all ids of a component are; repeated rows give repeated
-results; an empty table gives an empty result; other columns are not read.
+results, and a repeated id with another text is a row with its own component;
+very long texts are hashed whole, ``BLOCK`` shingles at a time; an empty table
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -63,13 +67,20 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp): each row's fingerprint as a signed long."""
+    return _fingerprints(documents(docs, id_col, text_col), shingle_words)
+
+
+def _fingerprints(docs: DataFrame, shingle_words: int) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with ``fp`` in place of the text."""
+    names = [c for c in docs.columns if c != "text"]
 
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t.as_py(), shingle_words) for t in b.column(1).cast(pa.binary())], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            fp = np.array([fingerprint(t.as_py(), shingle_words) for t in b.column("text").cast(pa.binary())], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(fp.view(np.int64))], [*names, "fp"])
 
-    return map_batches(documents(docs, id_col, text_col), run, "doc_id long, fp long")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    return map_batches(docs, run, f"{schema}, fp long")
 
 
 def counts(fp: np.ndarray) -> np.ndarray:
@@ -223,24 +234,46 @@ def near_links(fps: DataFrame) -> DataFrame:
             yield out(stack())
 
     spread_out = map_batches(fps.select("fp"), spread, "cell long, fp long, probe boolean")
-    by_cell = spread_out.repartition("cell").sortWithinPartitions("cell", "probe")
-    return map_batches(by_cell, join, "u long, v long")
+    large = written(spread_out.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LARGE).select("cell"), "large-cells")
+    small = spread_out.join(large, "cell", "left_anti")
+    # Fingerprints within 3 bits are equal in one of four blocks of 16 bits, so the
+    # rows of a large cell that agree in a block can meet apart from the others.
+    block = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.shiftright("fp", 16 * i).bitwiseAND(0xFFFF).alias("bits")) for i in range(4)]))
+    parts = spread_out.join(large, "cell", "left_semi").select("cell", "fp", "probe", block.alias("block"))
+    parts = parts.select(F.xxhash64("cell", "block.i", "block.bits").alias("cell"), "fp", "probe")
+    links = [map_batches(rows.repartition("cell").sortWithinPartitions("cell", "probe"), join, "u long, v long") for rows in (small, parts)]
+    return links[0].union(links[1])
 
 
 def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input's rows, of each component only the one with the smallest id; rows with a null id stay."""
-    near = near_duplicates(docs, id_col=id_col, text_col=text_col)
-    gone = written(near.where("doc_id <> component_id").select(F.col("doc_id").alias("near_copy_id")), "near-copies")
-    return docs.join(gone, docs[id_col].cast("long") == gone["near_copy_id"], "left_anti")
+    """The input's rows, one of each component; rows with a null id all stay.
+
+    The row that stays has the component's smallest id; of several with that
+    id it is the first staged. Rows are told apart by the place they are staged
+    at, so a repeated id with another text is judged by its own component.
+    """
+    staged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("input"))
+    staged = written(staged.withColumn("place", F.monotonically_increasing_id()), "near-rows")
+    texts = staged.select(F.col(f"input.`{id_col}`").alias("doc_id"), F.col(f"input.`{text_col}`").alias("text"), "place")
+    own = written(_fingerprints(documents(texts, keep=("place",)), SHINGLE_WORDS), "fingerprints")
+    near = own.where("doc_id is not null").join(_known(own).where("n_near > 1"), "fp").select("root", "doc_id", "place")
+    near = written(near, "near")
+    keep = near.groupBy("root").agg(F.min(F.struct("doc_id", "place")).alias("keep"))
+    gone = near.join(keep, "root").where(F.col("place") != F.col("keep.place")).select("place")
+    return staged.join(gone, "place", "left_anti").select("input.*")
+
+
+def _known(own: DataFrame) -> DataFrame:
+    """(fp, root, component_id, n_near) of the distinct fingerprints in (doc_id, fp); ``root`` names the component."""
+    distinct = written(own.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
+    star = components(near_links(distinct))
+    root = star.select(F.col("u").alias("fp"), F.col("v").alias("root"))
+    rooted = written(distinct.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    least = written(rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("n_near")), "least")
+    return written(rooted.join(least, "root").select("fp", "root", "component_id", "n_near"), "known")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp, component_id, n_near): each row with the smallest id it reaches; n_near rows share its component."""
     own = written(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words), "fingerprints")
-    distinct = written(own.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
-    star = components(near_links(distinct))
-    root = star.select(F.col("u").alias("fp"), F.col("v").alias("root"))
-    rooted = distinct.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = written(rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("n_near")), "least")
-    known = written(written(rooted, "rooted").join(least, "root").select("fp", "component_id", "n_near"), "known")
-    return own.join(known, "fp").select("doc_id", "fp", "component_id", "n_near")
+    return own.join(_known(own), "fp").select("doc_id", "fp", "component_id", "n_near")

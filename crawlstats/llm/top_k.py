@@ -20,7 +20,8 @@ vectors of its length; ties go to the smaller id, repeated rows are separate
 candidates; an empty table gives an empty result; other columns are not read.
 Components are integers of any size: vectors with large ones (``plain``) are
 scored in Python integers and rank exactly, and a score that no long holds is
-null. A component that overflows a double when scaled ends the job.
+null. A component that overflows a double when scaled is an integer as it is
+and scaled as one.
 """
 
 from __future__ import annotations
@@ -42,18 +43,26 @@ DEPTHS = (0.25, 0.5, 0.75)
 EXACT_FLOAT = 2.0**53
 
 
-def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(vec_id, v array<double>) of the vectors that take part; v holds integers."""
+def taking_part(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(vec_id, v array<double>) of the vectors that take part."""
     d = pick(vectors, vec_id=id_col, v=vector_col).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("v").cast("array<double>").alias("v")
     )
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
+    return d.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite)
 
-    def whole(x: Column) -> Column:
-        x = F.lit(float(scale)) * x
-        return F.when(F.abs(x) < EXACT_FLOAT, F.floor(x).cast("double")).otherwise(x)  # larger doubles are integers
 
-    return d.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite).select("vec_id", F.transform("v", whole).alias("v"))
+def quantised(x: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) as doubles; infinite where that is no double."""
+    with np.errstate(over="ignore"):
+        x = float(scale) * x
+    return np.where(np.abs(x) < EXACT_FLOAT, np.floor(x), x)  # larger doubles are integers
+
+
+def as_integers(x: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) as Python integers."""
+    whole = zip(x.ravel().tolist(), quantised(x, scale).ravel().tolist())
+    return np.array([int(q) if math.isfinite(q) else int(c) * scale for c, q in whole], dtype=object).reshape(x.shape)
 
 
 def plain(x: np.ndarray) -> np.ndarray:
@@ -65,13 +74,12 @@ def plain(x: np.ndarray) -> np.ndarray:
 INTEGER_ROWS = 1024
 
 
-def integer_top(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[list, list, list]:
+def integer_top(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, scale: int = 1) -> tuple[list, list, list]:
     """(query_id, vec_id, score) as Python integers: per query the k best of each ``INTEGER_ROWS`` candidates."""
-    integers = lambda a: np.array([int(c) for c in a.ravel().tolist()], dtype=object).reshape(a.shape)
     found: list[tuple[int, int, int]] = []
-    asked = integers(q)
+    asked = as_integers(q, scale)
     for at in range(0, len(ids), INTEGER_ROWS):
-        own, part = ids[at : at + INTEGER_ROWS].tolist(), integers(x[at : at + INTEGER_ROWS])
+        own, part = ids[at : at + INTEGER_ROWS].tolist(), as_integers(x[at : at + INTEGER_ROWS], scale)
         for query, v in zip(query_ids.tolist(), asked):
             scored = zip((part @ v).tolist() if x.shape[1] else [0] * len(own), own)
             best = heapq.nsmallest(k, ((-s, i) for s, i in scored if i != query))
@@ -177,7 +185,7 @@ def _blocks(d: DataFrame) -> DataFrame:
 
 def top_k(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows of every row that ``is_query`` (on ``vec_id``) selects."""
-    d = quantised(vectors, id_col, vector_col, scale)
+    d = taking_part(vectors, id_col, vector_col)
     asks = d.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dims", F.size("v"))
     asks = written(asks, "queries")
     n_blocks = -(-asks.count() // QUERY_BLOCK) or 1
@@ -199,14 +207,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_id
                 ids, dims, asked = np.frombuffer(ids.as_py(), dtype=np.int64), dims.as_py(), q.as_py()
                 x = np.frombuffer(x.as_py(), dtype=np.float64).reshape(len(ids), dims)
                 asked, asks_ids = np.array(asked, dtype=np.float64).reshape(len(asked), dims), np.array(query_ids.as_py(), dtype=np.int64)
-                small, asks_small = plain(x), plain(asked)
-                lists = SortedLists(ids[small], x[small].astype(np.int64)) if small.any() and asks_small.any() else None
-                own_ids, own = asks_ids[asks_small], asked[asks_small].astype(np.int64)
+                whole, whole_asked = quantised(x, scale), quantised(asked, scale)
+                small, asks_small = plain(whole), plain(whole_asked)
+                lists = SortedLists(ids[small], whole[small].astype(np.int64)) if small.any() and asks_small.any() else None
+                own_ids, own = asks_ids[asks_small], whole_asked[asks_small].astype(np.int64)
                 for at in range(0, len(own_ids) if lists else 0, QUERY_BLOCK):
                     yield rows(*lists.top(own_ids[at : at + QUERY_BLOCK], own[at : at + QUERY_BLOCK], k))
                 for some, by in ((~small, asks_small), (np.ones(len(ids), dtype=bool), ~asks_small)):
                     if some.any() and by.any():
-                        query, vec, score = integer_top(ids[some], x[some], asks_ids[by], asked[by], k)
+                        query, vec, score = integer_top(ids[some], x[some], asks_ids[by], asked[by], k, scale)
                         if query:
                             yield rows(query, vec, *map(list, zip(*map(beyond, score))))
 

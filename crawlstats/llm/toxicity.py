@@ -13,10 +13,12 @@
    text is scored in one pass without a shuffle.
 
 Defined cases: a null or empty text has no terms and gets the score of the
-bias; a null id is scored, never learned from; of a doc_id labelled twice
-the larger label counts; a tie of terms goes to the smaller one; without
-labels, or with one class only, all scores are that share (0.5 if none); an
-empty table gives an empty result; other columns are not read.
+bias; a null id is scored, never learned from; labels other than 0 and 1 are
+no labels; of a doc_id labelled twice the larger label counts, of one with
+several texts the smallest text is learned from; a tie of terms goes to the
+smaller one; very long texts are read whole; without labels, or with one class
+only, all scores are that share (0.5 if none); an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -84,14 +86,15 @@ class Reader:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, folds: int, held: int) -> DataFrame:
-    """(label, text) of the labelled training rows; at most ``SAMPLE_ROWS`` ids, so their join may broadcast them."""
-    known = labels.where((fold("doc_id", folds) != held) & F.col("doc_id").isNotNull() & F.col("label").isNotNull())
+    """(label, text) of the labelled training rows, one for each id; at most ``SAMPLE_ROWS`` ids, so their join may broadcast them."""
+    known = labels.where((fold("doc_id", folds) != held) & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     n = known.count()
     share = min(1.0, SAMPLE_ROWS / max(n, 1))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     picked = known.where(place < int(share * (1 << 30)))
-    return written(docs.join(F.broadcast(picked), "doc_id").select("label", "text"), "toxicity-sample")
+    one = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.first("label").cast("int").alias("label"), F.min("text").alias("text"))
+    return written(one.select("label", "text"), "toxicity-sample")
 
 
 def _terms(sample: DataFrame, toxic: int, clean: int) -> tuple[list[str], list[str]]:
@@ -212,7 +215,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held: int = 0)
 
 def _learned(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held: int):
     known = pick(labels, doc_id=id_col, label=label_col)
-    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").try_cast("long").alias("label"))
     found = learn(documents(docs, id_col, text_col), known, folds=folds, held=held)
     return docs.sparkSession.sparkContext.broadcast(found)
 

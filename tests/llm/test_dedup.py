@@ -115,6 +115,33 @@ def test_near_duplicates(spark, hard_documents, no_documents):
     assert 7 not in stay and 2 in stay and 3 not in stay and stay.count(None) == 2
 
 
+def test_one_per_group_goes_by_row(spark):
+    """A repeated id with another text belongs to another component; one row of a component stays."""
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, a), (6, a), (6, b), (1, a), (7, b), (None, a), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = sorted(((r.doc_id, r.text) for r in S.one_per_group(docs).collect()), key=str)
+    assert left == sorted([(1, a), (6, b), (None, a), (3, None)], key=str)
+
+
+def test_large_cells_are_divided(spark, monkeypatch):
+    """Every cell as a large one: links by brute force."""
+    monkeypatch.setattr(S, "LARGE", 0)
+    r = random.Random(11)
+    fps = [r.getrandbits(64) for _ in range(40)]
+    for f in list(fps):
+        for n in (1, 2, 3, 4):
+            g = f
+            for bit in r.sample(range(64), n):
+                g ^= 1 << bit
+            fps.append(g)
+    signed = [(f - 2**64 if f >= 2**63 else f,) for f in set(fps)]
+    links = S.near_links(spark.createDataFrame(signed, "fp long")).collect()
+    got = roots([(x.u % 2**64, x.v % 2**64) for x in links], set(fps))
+    near = [(f, g) for f in set(fps) for g in set(fps) if f < g and bin(f ^ g).count("1") <= 3]
+    assert got == roots(near, set(fps))
+
+
 def test_components_of_chains_stars_and_loops(spark):
     r = random.Random(1)
     pairs = [(i, i + 1) for i in range(200)] + [(500, i) for i in range(501, 560)] + [(7000, 7000)]

@@ -213,6 +213,26 @@ def test_toxicity_of_hard_cases(spark, hard_documents, no_documents):
     assert left.columns == hard_documents.columns and left.count() == hard_documents.count()
 
 
+def test_labels_outside_0_and_1_are_none(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF0001}/labels.parquet").selectExpr("doc_id", "cast(toxic as long) toxic")
+    a = sorted((r.doc_id, r.score) for r in T.toxicity(docs, labels).collect())
+    odd = labels.selectExpr("doc_id", "cast(-1 as bigint) toxic").union(docs.selectExpr("doc_id", "if(doc_id % 2 = 0, 2L, null)"))
+    few = labels.selectExpr("doc_id", "5000000000 toxic")
+    assert sorted((r.doc_id, r.score) for r in T.toxicity(docs, labels.union(odd).union(few)).collect()) == a
+    assert {r.score for r in T.toxicity(docs, odd).collect()} == {0.5}
+
+
+def test_a_document_repeated_many_times_is_learned_once(spark):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF0001}/labels.parquet").select("doc_id", "toxic")
+    i = next(r.doc_id for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5)
+    many = docs.union(docs.where(f"doc_id = {i}").selectExpr("doc_id", "text", "explode(sequence(1, 100000)) n").select("doc_id", "text"))
+    assert T._sample(many, labels.withColumnRenamed("toxic", "label"), 5, 0).count() <= labels.count()
+    a = {r.doc_id: r.score for r in T.toxicity(docs, labels).collect()}
+    assert {r.doc_id: r.score for r in T.toxicity(many, labels).distinct().collect()} == a
+
+
 def test_terms_ignore_outer_punctuation():
     assert T.word_terms("(word).") == ("word",)
     assert T.word_terms("longword!") == ("longword", "long*", "longw*", "longwo*")

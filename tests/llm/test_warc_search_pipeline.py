@@ -163,6 +163,19 @@ def test_top_k_beyond_the_exact_range(spark, monkeypatch, block):
     assert got == [(q, n, i, held(s)) for q, n, i, s in exp]
 
 
+def test_top_k_of_components_that_overflow(spark):
+    rows = [(0, [1.0, 0.5]), (1, [1e308, 1e308]), (2, [-1.7e308, 1.7e308]), (3, [2.0, 1e306]), (4, [0.25, 3.0]), (10, [1.7e308, -1e308])]
+    scaled = lambda v: [int(np.floor(1024 * x)) if abs(1024 * x) < 2**53 else int(1024 * x) if np.isfinite(1024 * x) else int(x) * 1024 for x in v]
+    exp = []
+    for q, v in rows:
+        if q % 10 == 0:
+            found = sorted((-sum(a * b for a, b in zip(scaled(v), scaled(w))), i) for i, w in rows if i != q)
+            exp += [(q, n, i, -s if abs(s) < 2**63 else None) for n, (s, i) in enumerate(found, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = sorted(tuple(r) for r in K.top_k(df, F.col("vec_id") % 10 == 0, 10).collect())
+    assert got == sorted(exp)
+
+
 def test_bounds_hold_at_every_depth():
     r = np.random.default_rng(1)
     x, q = r.integers(-300, 300, (200, 6)), r.integers(-300, 300, (4, 6))
