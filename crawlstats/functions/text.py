@@ -24,6 +24,8 @@ from html.entities import html5, name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crawlstats.functions.urls import let
+
 # Markup, scanned from left to right in one pass: a comment, a script or style
 # element, or a tag. Each runs to the end of the page when nothing closes it, and
 # every repeat is possessive, which Java matches in a loop: a tag of any length
@@ -87,11 +89,13 @@ def entity_text(entity: Column) -> Column:
 
 def decode_entities(text) -> Column:
     """Every entity replaced once: the text between entities, zipped with what they stand for."""
-    t = _col(text)
-    between = F.split(t, ENTITY, -1)
-    found = F.transform(F.regexp_extract_all(t, F.lit(ENTITY), 0), entity_text)
-    joined = F.zip_with(between, found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    return F.when(t.contains("&"), F.array_join(joined, "")).otherwise(t)
+    def decoded(t: Column) -> Column:
+        between = F.split(t, ENTITY, -1)
+        found = F.transform(F.regexp_extract_all(t, F.lit(ENTITY), 0), entity_text)
+        joined = F.zip_with(between, found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+        return F.when(t.contains("&"), F.array_join(joined, "")).otherwise(t)
+
+    return let(_col(text), decoded)
 
 
 def visible_text(html) -> Column:
@@ -101,10 +105,9 @@ def visible_text(html) -> Column:
 
 def spaced(text) -> Column:
     """The text with separating commas and colons gone and ``n't`` set apart."""
-    t = _col(text)
-    t = F.when(t.contains(",") | t.contains(":"), F.regexp_replace(t, COMMA_COLON, " $1")).otherwise(t)
-    apart = F.regexp_replace(t, NEGATION, " $1$2")
-    return F.when(t.contains("n't") | t.contains("N'T"), apart).otherwise(t)
+    commas = lambda t: F.when(t.contains(",") | t.contains(":"), F.regexp_replace(t, COMMA_COLON, " $1")).otherwise(t)
+    apart = lambda t: F.when(t.contains("n't") | t.contains("N'T"), F.regexp_replace(t, NEGATION, " $1$2")).otherwise(t)
+    return let(let(_col(text), commas), apart)
 
 
 def split_words(text) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlstats.config import written_once
@@ -69,20 +69,25 @@ def piece_counts(texts: DataFrame, text_col: str = "text", html: bool = False) -
     map-side, so a piece leaves its task once, however frequent.
     """
     text = visible_text(text_col) if html else F.col(text_col)
-    return texts.select(F.explode(split_words(text)).alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+    return pieces_of(texts.select(split_words(text).alias("pieces")))
 
 
-def word_counts(texts: DataFrame, text_col: str = "text", html: bool = False) -> DataFrame:
-    """A4: occurrences of every token over all texts (duplicates counted).
+def pieces_of(texts: DataFrame) -> DataFrame:
+    """(raw, n) of texts that are split already, from ``pieces``."""
+    return texts.select(F.explode("pieces").alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
 
-    Distinct pieces are cleaned, not occurrences; spellings of one token then
-    meet in a second sum.
-    """
-    pieces = piece_counts(texts, text_col, html)
+
+def clean_counts(pieces: DataFrame) -> DataFrame:
+    """(token, n) from (raw, n): distinct pieces are cleaned, not occurrences; spellings of one token meet in a second sum."""
     toks = pieces.select(clean_token("raw").alias("token"), "n").where(F.col("token").isNotNull())
     return toks.groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def word_counts(texts: DataFrame, text_col: str = "text", html: bool = False) -> DataFrame:
+    """A4: occurrences of every token over all texts (duplicates counted)."""
+    return clean_counts(piece_counts(texts, text_col, html))
+
+
 def remove_stop_words(counts: DataFrame, stop_words: DataFrame) -> DataFrame:
     """Drop stop words from the per-token counts.
 
@@ -97,24 +102,32 @@ def top_words(counts: DataFrame, k: int = TOP_WORDS) -> DataFrame:
     return counts.orderBy(F.col("n").desc(), F.col("token").asc()).limit(k)
 
 
-def first_captures(resp: DataFrame) -> DataFrame:
-    """One status-200 response of each URL hash, the one with the smallest page_id.
+def later_captures(resp: DataFrame) -> DataFrame:
+    """(page_id, url) of status-200 responses whose URL hash has one with a smaller page_id.
 
-    Only ids and URLs are shuffled to find the later captures; these are few
-    beside the pages, and an anti join drops them.
+    Only ids and URLs are shuffled to find them; they are few beside the pages.
     """
-    ok = ok_responses(resp)
-    ids = ok.select("page_id", url_hash("url").alias("url_hash"))
+    ids = ok_responses(resp).select("page_id", "url", url_hash("url").alias("url_hash"))
     first = ids.groupBy("url_hash").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = ids.join(first, "url_hash").where("page_id <> first").select("page_id")
-    return ok.join(later, "page_id", "left_anti")
+    return ids.join(first, "url_hash").where("page_id <> first").select("page_id", "url").distinct()
+
+
+def first_captures(resp: DataFrame, *values: Column) -> DataFrame:
+    """One status-200 response of each URL hash, the one with the smallest page_id: all its columns, or ``values`` of it.
+
+    ``values`` are made before the later captures are taken out, so where
+    these are too many to broadcast, both sides shuffle without the HTML.
+    """
+    ok = ok_responses(resp)
+    ok = ok.select("page_id", "url", *values) if values else ok
+    return ok.join(later_captures(resp), ["page_id", "url"], "left_anti")
 
 
 def top_page_words(spark: SparkSession, resp: DataFrame, k: int = TOP_WORDS, stop_words: DataFrame | None = None) -> DataFrame:
     """Q3 over HTML pages: status 200, visible text, stop words removed."""
     stop = stop_words if stop_words is not None else english_stop_words(spark)
-    counts = word_counts(first_captures(resp).select("html"), "html", html=True)
-    return top_words(remove_stop_words(counts, stop), k)
+    pages = first_captures(resp, split_words(visible_text("html")).alias("pieces"))
+    return top_words(remove_stop_words(clean_counts(pieces_of(pages)), stop), k)
 
 
 def top_text_words(
@@ -169,6 +182,7 @@ __all__: Sequence[str] = (
     "word_counts",
     "remove_stop_words",
     "top_words",
+    "later_captures",
     "first_captures",
     "top_page_words",
     "top_text_words",

@@ -122,8 +122,9 @@ UNCLOSED = ("", '<p>last <a href="/open', "last <!-- <a href=/hidden>gone</a>",
 def html_variants(pages: DataFrame) -> DataFrame:
     """(page_id, url, html): every page with the hard tail and something unclosed after its HTML, the first with a very wide tag too."""
     start, attribute, n, end = WIDE_TAG
-    wide = F.concat(F.lit(start), F.repeat(F.lit(attribute), n), F.lit(end))
     first = pages.select(F.min("page_id")).scalar()
+    # The number comes from the row, so that no plan holds the whole tag as a literal.
+    wide = F.concat(F.lit(start), F.repeat(F.lit(attribute), F.when(F.col("page_id") == first, n).otherwise(0)), F.lit(end))
     unclosed = F.element_at(F.array(*map(F.lit, UNCLOSED)), (F.col("page_id") % len(UNCLOSED) + 1).cast("int"))
     tail = F.concat(F.lit(HTML_TAIL), F.when(F.col("page_id") == first, wide).otherwise(""), unclosed)
     return pages.select("page_id", "url", F.concat("html", tail).alias("html"))

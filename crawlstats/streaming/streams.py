@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -43,10 +43,16 @@ def page_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1,
     return responses(files, size_limit)
 
 
-def distinct_captures(pages: DataFrame) -> DataFrame:
-    """One status-200 capture of a page: a later one of the same URL hash is dropped."""
-    ok = ok_responses(pages).withColumn("url_hash", url_hash("url"))
-    return ok.dropDuplicates(["url_hash"]).drop("url_hash")
+def distinct_captures(pages: DataFrame, value: Column) -> DataFrame:
+    """(value) of one status-200 capture of a page: a later one of the same URL hash is dropped.
+
+    ``value`` is made in the page's own row first, so the shuffle by URL hash
+    holds what is counted, never the HTML. The capture that arrives first
+    stays; the batch reports keep the one with the smallest id, which differs
+    only where a page was captured again with other content.
+    """
+    ok = ok_responses(pages).select(url_hash("url").alias("url_hash"), value.alias("value"))
+    return ok.dropDuplicates(["url_hash"]).select("value")
 
 
 def running_unique_pages(pages: DataFrame) -> DataFrame:
@@ -77,10 +83,9 @@ def running_word_counts(pages: DataFrame, stop_words: Sequence[str]) -> DataFram
     on a fixed list), since a stream-static anti join cannot follow a
     streaming aggregation.
     """
-    raw = distinct_captures(pages).select(F.explode(split_words(visible_text("html"))).alias("raw"))
-    toks = raw.select(clean_token("raw").alias("token")).where(
-        F.col("token").isNotNull() & ~F.col("token").isin(list(stop_words))
-    )
+    kept = list(stop_words)
+    words = F.filter(F.transform(split_words(visible_text("html")), clean_token), lambda w: w.isNotNull() & ~w.isin(kept))
+    toks = distinct_captures(pages, words).select(F.explode("value").alias("token"))
     return toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -171,7 +176,7 @@ def running_subdomain_links(pages: DataFrame, anchor: str) -> DataFrame:
 
 def running_new_urls(pages: DataFrame, params: CrawlParams) -> DataFrame:
     """R2: every valid discovered URL once, keyed by its hash (append mode)."""
-    links = distinct_captures(pages).select(F.explode(link_array("url", "html")).alias("link"))
+    links = distinct_captures(pages, link_array("url", "html")).select(F.explode("value").alias("link"))
     reason = reject_reason(
         F.col("link"), params.domains, max_len=params.max_url_length, extra_rules=params.extra_rules, host_only=params.host_only
     )

@@ -70,3 +70,39 @@ def test_rounds_keep_their_sizes_and_ignore_the_uncommitted(spark, tmp_dir):
     assert t.last() == 0 and t.read(0).count() == 5
     assert t.commit(1, spark.range(2).select(F.col("id").alias("node")), "node") == (2, 2)
     assert t.read(1).count() == 7 and t.one(1).count() == 2
+
+
+def _exchanged(plan: str) -> list[str]:
+    """The output columns of what each exchange shuffles (formatted plan)."""
+    return re.findall(r"\) Exchange\s*\nInput \[\d+\]: \[(.*?)\]", plan)
+
+
+def test_streams_shuffle_no_html(spark, tmp_dir):
+    from crawlstats.config import TEST_PARAMS as P
+    from crawlstats.functions.stop_words import ENGLISH_STOP_WORDS
+    from crawlstats.streaming import streams as S
+
+    pages = spark.read.parquet(f"{SF0001}/pages.parquet")
+    pages.write.parquet(tmp_dir + "/src")
+    stream = S.page_stream(spark, tmp_dir + "/src")
+    for df in (S.running_word_counts(stream, ENGLISH_STOP_WORDS), S.running_new_urls(stream, P)):
+        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        inputs = _exchanged(plan)
+        assert inputs and all("html" not in i for i in inputs), plan
+
+
+def test_word_count_of_recaptured_pages_shuffles_no_html(spark):
+    pages = spark.read.parquet(f"{SF0001}/pages.parquet")
+    twice = pages.unionByName(pages.withColumn("page_id", F.col("page_id") + 1000))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from crawlstats.operators import reports as R
+
+        df = R.top_page_words(spark, responses(twice))
+        assert df.collect() == R.top_page_words(spark, responses(pages)).collect()
+        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        inputs = _exchanged(plan)
+        assert inputs and all("html" not in i for i in inputs)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
