@@ -33,12 +33,16 @@ def _state(spark, sf_dir):
     return X.crawl_state(pages(spark, sf_dir))
 
 
-def _new(spark, sf_dir, st=None):
+def candidates(spark, sf_dir):
+    """(page_id, url): every valid link of a page, and scheme twins of the pages."""
     pg = pages(spark, sf_dir)
-    st = st if st is not None else X.crawl_state(pg)
     valid = L.valid_links(L.page_links(responses(pg)), P.domains, max_len=P.max_url_length)
-    cand = valid.select("page_id", F.col("link").alias("url")).unionByName(X.scheme_twins(pg))
-    return FR.new_urls(cand, st, P.buckets, order=("page_id",))
+    return valid.select("page_id", F.col("link").alias("url")).unionByName(X.scheme_twins(pg))
+
+
+def _new(spark, sf_dir, st=None):
+    st = st if st is not None else _state(spark, sf_dir)
+    return FR.new_urls(candidates(spark, sf_dir), st, P.buckets, order=("page_id",))
 
 
 def _frontier(spark, sf_dir):
@@ -48,7 +52,7 @@ def _frontier(spark, sf_dir):
 
 # --- SQL side -------------------------------------------------------------------
 
-def _new_sql() -> str:
+def new_urls_sql() -> str:
     return f"""
     SELECT url_hash, url, {O.domain_bucket('url', P.buckets)} AS bucket FROM (
       SELECT url_hash, arg_min(url, (page_id, url)) AS url FROM (
@@ -73,12 +77,12 @@ def _pending_sql() -> str:
 
 
 def _frontier_sql() -> str:
-    return f"SELECT * FROM ({_pending_sql()}) UNION ALL SELECT * FROM ({_new_sql()})"
+    return f"SELECT * FROM ({_pending_sql()}) UNION ALL SELECT * FROM ({new_urls_sql()})"
 
 
 # --- queries ------------------------------------------------------------------
 
-@register("frontier_new_urls", _new_sql())
+@register("frontier_new_urls", new_urls_sql())
 def q_frontier_new_urls(spark, sf_dir):
     return _new(spark, sf_dir)
 
@@ -105,7 +109,7 @@ def state_complete_sql() -> str:
     WITH st AS ({X.crawl_state_sql()}),
     done AS (
       SELECT url_hash, min(url) AS url FROM (
-        SELECT url_hash, url FROM ({_new_sql()})
+        SELECT url_hash, url FROM ({new_urls_sql()})
         UNION ALL
         SELECT url_hash, url FROM ({_pending_sql()}) WHERE bucket = 0
       ) GROUP BY url_hash

@@ -20,10 +20,12 @@ from crawlstats.operators import links as L
 from crawlstats.operators import reports
 from crawlstats.plans import fixtures as X
 from crawlstats.plans import oracle as O
+from crawlstats.plans import q_frontier as QF
 from crawlstats.plans import q_streams as QS
 from crawlstats.plans.q_links import link_audit_sql, page_links_sql
 from crawlstats.plans.queries import P, longest_page_sql, page_words_sql, pages, register, resp, subdomains_sql
 from crawlstats.sources import sinks
+from crawlstats.sources.bucketed_state import BucketedState
 from crawlstats.sources.pages import responses, seed_lines, url_file_scan
 from crawlstats.sources.state import StateStore
 from crawlstats.streaming import streams as S
@@ -68,6 +70,27 @@ def q_state_store(spark, sf_dir):
     return StateStore(spark, root).read()
 
 
+def _bucketed_state(spark, sf_dir) -> BucketedState:
+    store = BucketedState(spark, shared_dir(spark, "bucketed-state"), buckets=16)
+    store.start(QF._state(spark, sf_dir))
+    return store
+
+
+@register("state_bucketed_new_urls", QF.new_urls_sql())
+def q_state_bucketed_new_urls(spark, sf_dir):
+    """J1 against the bucketed state: the filter tells most new URLs, hits meet the buckets."""
+    return _bucketed_state(spark, sf_dir).new_urls(QF.candidates(spark, sf_dir), P.buckets, order=("page_id",))
+
+
+@register("state_bucketed_complete", QF.state_complete_sql())
+def q_state_bucketed_complete(spark, sf_dir):
+    """J5 as an append of completed rows, read after a compaction of both versions."""
+    store = _bucketed_state(spark, sf_dir)
+    store.complete(QF.completions(spark, sf_dir, store.read()))
+    store.compact()
+    return store.read()
+
+
 # --- S6, S7, S8 ----------------------------------------------------------------------
 
 @register(
