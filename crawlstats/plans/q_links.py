@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from crawlstats.operators import links as L
+from crawlstats.operators.page_function import call_pages
 from crawlstats.plans import oracle as O
 from crawlstats.plans.queries import P, register, resp
 
@@ -48,3 +49,33 @@ def q_link_audit_host_only(spark, sf_dir):
 )
 def q_valid_links(spark, sf_dir):
     return L.valid_links(L.page_links(resp(spark, sf_dir)), P.domains, max_len=P.max_url_length)
+
+
+@register(
+    "crawl_page_function",
+    f"""
+    SELECT page_id, src, link, NULL::VARCHAR AS failure FROM ({page_links_sql('(SELECT * FROM pages WHERE NOT contains(url, chr(63)))')})
+    UNION ALL
+    SELECT page_id, url AS src, NULL AS link, 'ValueError: a query' AS failure FROM pages WHERE contains(url, chr(63))
+    """,
+)
+def q_crawl_page_function(spark, sf_dir):
+    """A page function that reads anchors with the standard library and fails on URLs with a query."""
+
+    def anchors(url, resp):
+        from html.parser import HTMLParser
+        from urllib.parse import urljoin
+
+        found = []
+
+        class Reader(HTMLParser):
+            def handle_starttag(self, tag, attrs):
+                if tag == "a" and dict(attrs).get("href"):
+                    found.append(urljoin(url, dict(attrs)["href"]))
+
+        if "?" in url:
+            raise ValueError("a query")
+        Reader().feed(resp.raw_response.content.decode("utf-8"))
+        return [link for link in found if "do=" not in link]
+
+    return call_pages(resp(spark, sf_dir), anchors)
