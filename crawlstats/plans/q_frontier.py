@@ -16,10 +16,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from crawlstats.config import shared_dir
 from crawlstats.operators import crawl as C
 from crawlstats.operators import frontier as FR
 from crawlstats.operators import gates as G
 from crawlstats.operators import links as L
+from crawlstats.operators.clocks import Clocks
 from crawlstats.plans import fixtures as X
 from crawlstats.plans import oracle as O
 from crawlstats.plans.q_links import link_audit_sql
@@ -145,6 +147,23 @@ def q_fetch_list(spark, sf_dir):
     return FR.fetch_list(_frontier(spark, sf_dir), P.delay)
 
 
+@register(
+    "fetch_lists_clocked",
+    f"""
+    SELECT url, bucket, rn, CAST((rn - 1) % 2 AS INTEGER) AS worker, CAST((rn - 1) // 2 * {P.delay} AS DOUBLE) AS earliest_s FROM (
+      SELECT url, bucket, row_number() OVER (PARTITION BY bucket ORDER BY list, url_hash, url) AS rn
+      FROM (SELECT *, 1 AS list FROM ({_pending_sql()}) UNION ALL SELECT *, 2 AS list FROM ({new_urls_sql()}))
+    )
+    """,
+)
+def q_fetch_lists_clocked(spark, sf_dir):
+    """Two lists in a row, the pending URLs and then the new ones, for two workers a bucket."""
+    st = _state(spark, sf_dir)
+    clocks = Clocks(spark, shared_dir(spark, "clocks"))
+    first = clocks.next_list(FR.pending(st, P), P.delay, workers=2)
+    return first.unionByName(clocks.next_list(_new(spark, sf_dir, st), P.delay, workers=2))
+
+
 @register(
     "captured_lookup",
     f"""

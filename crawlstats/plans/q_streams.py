@@ -16,10 +16,14 @@ from crawlstats.functions.stop_words import ENGLISH_STOP_WORDS
 from crawlstats.functions.urls import url_parts
 from crawlstats.plans import oracle as O
 from crawlstats.plans.q_links import link_audit_sql
-from crawlstats.plans.queries import _ORACLES, P, pages, register
+from crawlstats.operators import reports
+from crawlstats.plans.queries import _ORACLES, P, _top_words_sql, pages, register, subdomains_sql
+from crawlstats.sources.pages import responses
 from crawlstats.plans import q_frontier as QF
 from crawlstats.streaming import crawl_state as CS
+from crawlstats.streaming import line_sinks as LS
 from crawlstats.streaming import streams as S
+from crawlstats.streaming import summaries as SU
 
 
 def stage_source(spark: SparkSession, pg: DataFrame) -> tuple[str, int]:
@@ -179,6 +183,77 @@ def q_stream_crawl_pending(spark, sf_dir):
     return CS.read_pending(spark, out, P)
 
 
+# --- bounded summaries and line sinks -------------------------------------------
+
+def page_files(spark, pg) -> tuple[DataFrame, str]:
+    """A stream that reads the pages in four triggers, and a checkpoint for it."""
+    src = shared_dir(spark, "stream-src")
+    pg.repartition(4, "page_id").write.parquet(src)
+    return S.page_stream(spark, src, 1), shared_dir(spark, "stream-ckpt")
+
+
+@register(
+    "stream_page_lines",
+    f"""
+    WITH a AS ({link_audit_sql()}), lines AS (
+      SELECT 'visited' AS file, regexp_replace(url, '#.*$', '') AS line FROM pages
+      UNION ALL SELECT 'valid' AS file, link AS line FROM a WHERE is_valid
+      UNION ALL SELECT 'rejected' AS file, unnest(['From: ' || src, link]) AS line FROM a WHERE NOT is_valid
+    )
+    SELECT file, line FROM lines
+    """,
+)
+def q_stream_page_lines(spark, sf_dir):
+    stream, ckpt = page_files(spark, pages(spark, sf_dir))
+    out = shared_dir(spark, "page-lines")
+    LS.write_page_lines(stream, P, out, ckpt).awaitTermination()
+    return LS.read_lines(spark, out)
+
+
+#: Words that the summary of the registered query keeps.
+HEAVY_WORDS = 2000
+
+
+@register(
+    "stream_heavy_words",
+    f"SELECT token, n, true AS within FROM ({_top_words_sql('pages', O.visible_text('html'))})",
+)
+def q_stream_heavy_words(spark, sf_dir):
+    """The true top words, each with whether its count lies within the bounds of the stream's summary."""
+    pg = pages(spark, sf_dir)
+    stream, ckpt = page_files(spark, pg)
+    out, stop = shared_dir(spark, "heavy-words"), reports.english_stop_words(spark)
+    SU.write_heavy_words(stream, stop, out, ckpt, size=HEAVY_WORDS).awaitTermination()
+    top = reports.top_words(reports.remove_stop_words(reports.word_counts(responses(pg), "html", html=True), stop))
+    found = top.join(SU.read_heavy_words(spark, out), "token", "left")
+    within = F.coalesce(F.col("n").between(F.col("lower"), F.col("upper")), F.lit(False))
+    return found.select("token", "n", within.alias("within"))
+
+
+@register(
+    "stream_page_sketches",
+    f"""
+    SELECT '' AS name, count(DISTINCT {O.page_key(O.normalize('url'))}) AS n_pages, true AS within FROM pages
+    UNION ALL SELECT subdomain AS name, n_pages, true AS within FROM ({subdomains_sql()})
+    """,
+)
+def q_stream_page_sketches(spark, sf_dir):
+    """Q1 and Q4 exactly, each with whether the stream's merged sketch is within its stated error."""
+    pg = pages(spark, sf_dir)
+    stream, ckpt = page_files(spark, pg)
+    estimates = []
+    for anchor in (None, P.anchor):
+        out = shared_dir(spark, "sketches")
+        SU.write_sketches(stream, out, ckpt if anchor else shared_dir(spark, "stream-ckpt"), anchor).awaitTermination()
+        estimates.append(SU.estimates(SU.read_sketches(spark, out)).withColumnRenamed("n_pages", "estimate"))
+    resp = responses(pg)
+    exact = reports.unique_pages(resp).select(F.lit("").alias("name"), F.col("unique_pages").alias("n_pages"))
+    exact = exact.unionByName(reports.subdomain_pages(resp, P.anchor).select(F.col("subdomain").alias("name"), "n_pages"))
+    found = exact.join(estimates[0].unionByName(estimates[1]), "name", "left")
+    close = F.abs(F.col("estimate") - F.col("n_pages")) <= F.greatest(F.lit(1.0), SU.relative_error() * F.col("n_pages"))
+    return found.select("name", "n_pages", F.coalesce(close, F.lit(False)).alias("within"))
+
+
 # The running reports must equal the batch reports: same oracle SQL.
 for _stream, _batch in (
     ("stream_top_words", "q3_top_words"),
