@@ -105,20 +105,22 @@ class Gru:
         logits[np.arange(len(target)), target] -= 1
         return logits
 
-    def _by_class(self, kind: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    def _by_class(self, kind: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """The rows of head classes in the order of their class, and where each class begins among them."""
         head = np.flatnonzero(kind < self.heads)
         order = head[np.argsort(kind[head], kind="stable")]
-        cut = np.searchsorted(kind[order], np.arange(self.heads + 1))
-        for c in range(self.heads):
-            if cut[c] < cut[c + 1]:
-                yield c, order[cut[c] : cut[c + 1]]
+        return order, np.searchsorted(kind[order], np.arange(self.heads + 1)).tolist()
 
     def log_probs(self, h: np.ndarray, kind: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Natural-log probabilities of tokens by class and place in a head class, given states."""
         lp = self._log_prob(h @ self.out + self.out_bias, kind)
-        for c, rows in self._by_class(kind):
-            own = slice(c * self.size, (c + 1) * self.size)
-            lp[rows] += self._log_prob(h[rows] @ self.tok[own].T + self.tok_bias[own], place[rows])
+        rows, cut = self._by_class(kind)
+        part, at, more = h[rows], place[rows], np.zeros(len(rows), lp.dtype)
+        for c in range(self.heads):
+            own, own_rows = slice(c * self.size, (c + 1) * self.size), slice(cut[c], cut[c + 1])
+            if cut[c] < cut[c + 1]:
+                more[own_rows] = self._log_prob(part[own_rows] @ self.tok[own].T + self.tok_bias[own], at[own_rows])
+        lp[rows] += more
         return lp
 
     # --- learning --------------------------------------------------------------------
@@ -137,12 +139,15 @@ class Gru:
         dh = d @ self.out.T
         grads = {"out": flat.T @ d, "out_bias": np.ones(len(d), d.dtype) @ d}
         tok, tok_bias = np.zeros_like(self.tok), np.zeros_like(self.tok_bias)
-        for c, rows in self._by_class(kind):
-            members = slice(c * self.size, (c + 1) * self.size)
-            part = flat[rows]
-            e = self._error(part @ self.tok[members].T + self.tok_bias[members], place[rows])
-            dh[rows] += e @ self.tok[members]
-            tok[members], tok_bias[members] = e.T @ part, e.sum(axis=0)
+        rows, cut = self._by_class(kind)
+        part, down, at = flat[rows], np.empty((len(rows), n), flat.dtype), place[rows]
+        for c in range(self.heads):
+            members, own_rows = slice(c * self.size, (c + 1) * self.size), slice(cut[c], cut[c + 1])
+            if cut[c] < cut[c + 1]:
+                e = self._error(part[own_rows] @ self.tok[members].T + self.tok_bias[members], at[own_rows])
+                np.matmul(e, self.tok[members], out=down[own_rows])
+                tok[members], tok_bias[members] = e.T @ part[own_rows], e.sum(axis=0)
+        dh[rows] += down
         grads |= {"tok": tok, "tok_bias": tok_bias}
         dh = dh.reshape(steps, lanes, n)
         # What a step's gradient is multiplied by on its way to the gates.

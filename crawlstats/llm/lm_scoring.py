@@ -6,11 +6,15 @@
    such a class a word's share is its smoothed count, and unknown words share
    one place. A dictionary of at most ``DICTIONARY`` frequent words is
    broadcast; rarer words meet their counts in a join.
+   Words are split, counted and looked up a batch at a time by Arrow kernels.
 2. Documents are encoded once, as symbols of the network, in a written table.
 3. The network (``gru``) starts as the unigram model. All training documents
-   are dealt to ``ROUNDS`` rounds; in a round each task trains a copy on its
-   documents by truncated backpropagation, and the copies are averaged, by
-   tokens, in two steps of a shuffle by parameter block.
+   are dealt to ``ROUNDS`` rounds by a hash of their symbols; in a round each
+   task trains a copy on its documents by truncated backpropagation, its state
+   carried across windows, and the copies are averaged, by tokens, in two steps
+   of a shuffle by parameter block. Counts, dictionary, base and rounds do not
+   depend on the cluster; which documents share a task and so a copy does, and
+   with it the trained parameters.
 4. Every whole document is scored: its state is carried across windows from
    its first word to its end.
 
@@ -20,7 +24,8 @@ size.
 
 Defined cases: a null or empty text is the end token alone; a null id is in
 the fold of the empty text; repeated rows are scored, and learned from, each;
-equal counts go in the order of the words; without training documents the base
+equal counts go in the order of the words, and at the dictionary's end by a
+hash of the word; without training documents the base
 is 0 for each token and the classes are equally likely; an empty table gives an
 empty result; long texts are one lane of many windows; other columns are not
 read.
@@ -30,16 +35,15 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlstats.llm.common import documents, fold, map_batches, words, written
+from crawlstats.llm.common import documents, fold, map_batches, written
 from crawlstats.llm.gru import LANES, Gru, lanes, windows
 
 HEADS, SIZE, TAILS, HIDDEN = 16, 64, 64, 24
@@ -47,12 +51,10 @@ HEAD = HEADS * SIZE
 END = HEAD + TAILS  # the symbol that ends a document, and begins it
 DICTIONARY = 1 << 18
 ROUNDS = 3
-#: Training reads longer documents as several, so that lanes end together; scoring never does.
-STRETCH = 4096
+#: Documents of more tokens share lanes with their like, as lanes end with the longest.
+LONG = 4096
 #: Tokens of documents that a task runs through the network at a time.
 GATHERED = 3 << 19
-#: Distinct words that a task counts before it passes them on.
-COUNTED = 500_000
 #: Parameters in a block, and parts of the first averaging step.
 PARAMETERS, SALTS = 1 << 14, 32
 OUTER = b".,;:!?\"'()|&"
@@ -62,6 +64,40 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(word.rstrip(OUTER)[-2:] or word[-2:]) % TAILS
 
 
+_OUTER = np.isin(np.arange(256), list(OUTER))
+_ONE_BYTE = np.array([zlib.crc32(bytes([b])) % TAILS for b in range(256)], dtype=np.int16)
+_TWO_BYTES = np.array([zlib.crc32(bytes([a, b])) % TAILS for a in range(256) for b in range(256)], dtype=np.int16)
+
+
+def tail_classes(words: pa.Array) -> np.ndarray:
+    """``tail_class`` of every word."""
+    n = len(words)
+    words = words.cast(pa.binary())
+    if not n:
+        return np.zeros(0, dtype=np.int16)
+    offset = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + n + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2], dtype=np.uint8)
+    start, end = offset[:-1], offset[1:].copy()
+    on = np.flatnonzero(end > start)
+    while len(on):
+        on = on[_OUTER[data[end[on] - 1]]]
+        end[on] -= 1
+        on = on[end[on] > start[on]]
+    end = np.where(end > start, end, offset[1:])  # nothing but outer characters
+    last = data[end - 1].astype(np.int64)
+    return np.where(end - start > 1, _TWO_BYTES[data[np.maximum(end - 2, start)].astype(np.int64) * 256 + last], _ONE_BYTE[last])
+
+
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of a batch of texts, lower-cased, and how many each text has."""
+    lists = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(texts))
+    flat, size = lists.flatten(), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    some = pa.compute.greater(pa.compute.binary_length(flat), 0)  # white space at an end leaves an empty piece
+    text = np.repeat(np.arange(len(size)), size)
+    size = np.bincount(text, weights=some.to_numpy(zero_copy_only=False), minlength=len(size)).astype(np.int64)
+    return flat.filter(some), size
+
+
 def blank() -> Gru:
     return Gru(END + 1, HEADS + TAILS + 1, HEADS, SIZE, HIDDEN)
 
@@ -103,49 +139,60 @@ class Vocabulary:
         return g
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return words(text.lower())
-
-
 def word_counts(train: DataFrame) -> DataFrame:
     """(word, kind, n) over the whole texts of ``train``, written."""
 
-    def out(c: Counter):
-        own = list(c)
-        for at in range(0, len(own), 1 << 16):
-            part = own[at : at + (1 << 16)]
-            columns = (pa.array(part, pa.binary()), pa.array([tail_class(w) for w in part], pa.int32()), pa.array([c[w] for w in part], pa.int64()))
-            yield pa.RecordBatch.from_arrays(list(columns), ["word", "kind", "n"])
-
     def run(batches):
-        c: Counter = Counter()
         for b in batches:
-            for t in b.column(0).cast(pa.binary()):
-                c.update(tokens(t.as_py()))
-                if len(c) >= COUNTED:
-                    yield from out(c)
-                    c.clear()
-        yield from out(c)
+            found = split(b.column(0))[0].value_counts()
+            own = found.field("values")
+            columns = [own.cast(pa.binary()), pa.array(tail_classes(own), pa.int32()), found.field("counts").cast(pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "kind", "n"])
 
     counted = map_batches(train.select("text"), run, "word binary, kind int, n long")
     return written(counted.groupBy("word").agg(F.first("kind").alias("kind"), F.sum("n").alias("n")), "word-counts")
 
 
-def vocabulary(counts: DataFrame, n_docs: int) -> tuple[Vocabulary, int]:
-    """The vocabulary, and the count that a word needs to be in its dictionary."""
+#: Hash places among which words of one count are divided at the dictionary's end.
+PLACES = 1 << 16
+
+
+def _first(sizes: list[tuple[int, int]], room: int) -> tuple[int, int]:
+    """Of (key, size) in order: how many fit into ``room`` one after the other, and the room they leave."""
+    for i, (_, v) in enumerate(sizes):
+        if v > room:
+            return i, room
+        room -= v
+    return len(sizes), room
+
+
+def in_dictionary(counts: DataFrame) -> Column:
+    """The condition on (word, n) of the ``DICTIONARY`` most frequent words.
+
+    Counts are narrowed down by histograms: eighths of powers of two, then the
+    counts within one of these, then hash places of the words with one count.
+    """
+    sized = lambda key, rows: rows.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("v"))
+    listed = lambda df, down: sorted(((r.k, r.v) for r in df.collect()), reverse=down)
+    step, place = F.floor(F.log2("n") * 8).cast("int"), F.pmod(F.xxhash64("word"), F.lit(PLACES)).cast("int")
+    steps = listed(sized(step, counts), True)  # at most 8 * 64
+    i, room = _first(steps, DICTIONARY)
+    if i == len(steps):
+        return F.lit(True)
+    at = steps[i][0]
+    own = listed(sized(F.col("n"), counts.where(step == at)), True)  # few counts where words are many, few words where counts are many
+    i, room = _first(own, room)
+    n = own[i][0]
+    places = listed(sized(place, counts.where(F.col("n") == n)), False)
+    i, _ = _first(places, room)
+    return (F.col("n") > n) | ((F.col("n") == n) & (place < places[i][0]))
+
+
+def vocabulary(counts: DataFrame, frequent: Column, n_docs: int) -> Vocabulary:
+    """The vocabulary, with the words that ``frequent`` selects as its dictionary."""
     kinds = {r.kind: (r.n, r.v) for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    step = F.floor(F.log2("n") * 8).cast("int")
-    by_step = sorted(((r.s, r.v) for r in counts.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("v")).collect()), reverse=True)
-    least, held = None, 0
-    for s, v in by_step:  # at most 8 * 64 steps
-        held += v
-        if held > DICTIONARY:
-            break
-        least = s
-    if least is None:
-        return Vocabulary([], kinds, n_docs), 1 << 62
-    frequent = counts.where(step >= least).select("word", "n").collect()  # at most DICTIONARY rows
-    return Vocabulary([(bytes(r.word), r.n) for r in frequent], kinds, n_docs), min(r.n for r in frequent)
+    rows = counts.where(frequent).select("word", "n").collect()  # at most DICTIONARY rows
+    return Vocabulary([(bytes(r.word), r.n) for r in rows], kinds, n_docs)
 
 
 class Flat:
@@ -159,17 +206,9 @@ class Flat:
         self.kind = np.where(head, self.symbol // SIZE, np.where(self.symbol < END, HEADS + self.symbol - HEAD, HEADS + TAILS)).astype(np.int16)
         self.place = np.where(head, self.symbol % SIZE, 0).astype(np.int16)
 
-    def in_lanes(self, stretch: int = 0):
-        """(place of each token in lane order, input, first of its document, kind, place in its class, tokens of each lane).
-
-        With ``stretch`` a longer document is several of at most so many tokens.
-        """
+    def in_lanes(self):
+        """(place of each token in lane order, input, first of its document, kind, place in its class, tokens of each lane)."""
         start, length = self.start, self.length
-        if stretch:
-            parts = -(-length // stretch)
-            nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-            start = np.repeat(start, parts) + nth * stretch
-            length = np.minimum(np.repeat(length, parts) - nth * stretch, stretch)
         order, total = lanes(length, LANES)
         size = length[order]
         begin = np.cumsum(size) - size
@@ -177,12 +216,12 @@ class Flat:
         first = np.zeros(len(at), dtype=bool)
         first[begin] = True
         before = self.symbol[at - 1]
-        before[np.isin(at, self.start, assume_unique=True)] = END
+        before[first] = END
         return at, before, first, self.kind[at], self.place[at], total
 
 
 def train_on(g: Gru, flat: Flat, memory: dict) -> None:
-    _, before, first, kind, place, total = flat.in_lanes(STRETCH)
+    _, before, first, kind, place, total = flat.in_lanes()
     h = np.zeros((len(total), g.hidden), np.float32)
     for on, at, live in windows(total):
         h = g.learn(before[at], first[at] & live, h[:on], kind[at], place[at], live.astype(np.float32), memory)
@@ -224,14 +263,14 @@ def averaged(copies: DataFrame) -> np.ndarray | None:
 
 
 class Gathered:
-    """Documents held back until they fill the lanes; of whole ones long ones wait for each other, as lanes end with the longest."""
+    """Documents held back until they fill the lanes; long ones wait for each other."""
 
-    def __init__(self, use, whole: bool):
-        self.use, self.whole, self.held = use, whole, ([], [])
+    def __init__(self, use):
+        self.use, self.held = use, ([], [])
         self.tokens = [0, 0]
 
     def add(self, key, symbols: np.ndarray) -> list:
-        kind = int(self.whole and len(symbols) > STRETCH)
+        kind = int(len(symbols) > LONG)
         self.held[kind].append((key, symbols))
         self.tokens[kind] += len(symbols)
         return self._flush(kind) if self.tokens[kind] >= GATHERED else []
@@ -260,7 +299,7 @@ def train(encoded: DataFrame, v: Vocabulary) -> Gru:
             g, m = (blank().set_vector(s) for s in (state[:size], state[size:]))
             memory = {n: getattr(m, n) for n in g.NAMES}
             seen = 0
-            gathered = Gathered(lambda flat: train_on(g, flat, memory), whole=False)
+            gathered = Gathered(lambda flat: train_on(g, flat, memory))
             for b in batches:
                 for s in b.column(0):
                     own = np.frombuffer(s.as_py(), dtype=np.int16)
@@ -277,7 +316,7 @@ def train(encoded: DataFrame, v: Vocabulary) -> Gru:
         return run
 
     for r in range(ROUNDS):
-        own = encoded.where(F.pmod(F.xxhash64("doc_id", "row"), F.lit(ROUNDS)) == r).select("symbols")
+        own = encoded.where(F.pmod(F.xxhash64("symbols"), F.lit(ROUNDS)) == r).select("symbols")
         shared = spark.sparkContext.broadcast(state)
         mean = averaged(map_batches(own, learner(shared), "block int, salt int, n long, v binary"))
         if mean is not None:
@@ -291,34 +330,38 @@ def encode(docs: DataFrame, v: Vocabulary) -> DataFrame:
 
     def run(batches):
         v = shared.value
-        index, known_end = v.index, int(v.docs > 0)
+        known_end, dictionary = int(v.docs > 0), pa.array(list(v.index), pa.binary()).cast(pa.string())
+        columns = ["doc_id", "n_tokens", "n_known", "base", "share", "rare", "symbols"]
         for b in batches:
             if not b.num_rows:
                 continue
-            out, rare_words, rare_kinds, rare_n, rare_stop = [], [], [], [], [0]
-            for t in b.column(1).cast(pa.binary()):
-                own = tokens(t.as_py())
-                found = np.fromiter(map(index.get, own, repeat(-1)), np.int64, len(own))
-                unknown = np.flatnonzero(found < 0)
-                symbol = np.full(len(own) + 1, END, dtype=np.int16)
-                if len(v.symbol):
-                    symbol[:-1] = v.symbol[found]
-                if len(unknown):
-                    rare = [own[i] for i in unknown.tolist()]
-                    count = Counter(rare)
-                    kind = {w: tail_class(w) for w in count}
-                    symbol[unknown] = [HEAD + kind[w] for w in rare]
-                    rare_words += kind
-                    rare_kinds += kind.values()
-                    rare_n += count.values()
-                    found = found[found >= 0]
-                rare_stop.append(len(rare_words))
-                out.append((len(symbol), len(found) + known_end, v.base[found].sum() + v.base_end, v.share[found].sum(), symbol.tobytes()))
-            size, known, base, share, symbols = zip(*out)
-            words_ = [pa.array(rare_words, pa.binary()), pa.array(rare_kinds, pa.int32()), pa.array(rare_n, pa.int64())]
-            rare = pa.ListArray.from_arrays(pa.array(rare_stop, pa.int32()), pa.StructArray.from_arrays(words_, ["word", "kind", "n"]))
-            columns = [b.column(0), pa.array(size, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(share, pa.float64()), rare, pa.array(symbols, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "n_known", "base", "share", "rare", "symbols"])
+            n = b.num_rows
+            own, size = split(b.column(1))
+            doc = np.repeat(np.arange(n), size)
+            found = pa.compute.index_in(own, value_set=dictionary).fill_null(-1).to_numpy(zero_copy_only=False)
+            unknown = np.flatnonzero(found < 0)
+            rare = own.take(pa.array(unknown)).dictionary_encode()
+            code, kind = rare.indices.to_numpy(zero_copy_only=False).astype(np.int64), tail_classes(rare.dictionary)
+            # Symbols of all documents one after the other, each with its end.
+            symbols = np.full(len(found) + n, END, dtype=np.int16)
+            place = np.arange(len(found)) + doc
+            if len(v.symbol):
+                symbols[place] = v.symbol[found]
+            symbols[place[unknown]] = HEAD + kind[code]
+            stop = np.cumsum(size + 1) * 2
+            packed = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.r_[0, stop].astype(np.int32)), pa.py_buffer(symbols)])
+            in_it = found >= 0
+            summed = lambda values: np.bincount(doc[in_it], weights=values[found[in_it]], minlength=n).astype(np.float64)  # noqa: E731, B023
+            # Each rare word of a document once, with its times.
+            width = max(1, len(kind))
+            pair, times = np.unique(doc[unknown] * width + code, return_counts=True)
+            word = rare.dictionary.take(pa.array(pair % width)).cast(pa.binary())
+            rows = pa.StructArray.from_arrays([word, pa.array(kind[pair % width], pa.int32()), pa.array(times, pa.int64())], ["word", "kind", "n"])
+            ends = np.searchsorted(pair // width, np.arange(n), side="right")
+            rares = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), rows)
+            known = np.bincount(doc[in_it], minlength=n) + known_end
+            arrays = [b.column(0), pa.array(size + 1), pa.array(known.astype(np.int64)), pa.array(summed(v.base) + v.base_end), pa.array(summed(v.share)), rares, packed]
+            yield pa.RecordBatch.from_arrays(arrays, columns)
 
     kind = "doc_id long, n_tokens long, n_known long, base double, share double, rare array<struct<word: binary, kind: int, n: bigint>>, symbols binary"
     return written(map_batches(docs, run, kind).withColumn("row", F.monotonically_increasing_id()), "encoded")
@@ -330,7 +373,7 @@ def network_scores(encoded: DataFrame, g: Gru) -> DataFrame:
 
     def run(batches):
         g = blank().set_vector(shared.value)
-        gathered = Gathered(lambda flat: log10_scores(g, flat), whole=True)
+        gathered = Gathered(lambda flat: log10_scores(g, flat))
 
         def out(done):
             for rows, lp in done:
@@ -350,11 +393,12 @@ def lm_scores(docs: DataFrame, *, folds: int = 5, held: int = 1, id_col: str = "
     held_out = fold("doc_id", folds) == held
     known = d.where(~held_out)
     counts = word_counts(known)
-    v, least = vocabulary(counts, known.count())
+    frequent = in_dictionary(counts)
+    v = vocabulary(counts, frequent, known.count())
     encoded = encode(d, v)
     scored = network_scores(encoded, train(encoded.where(~held_out), v))
     rare = encoded.select("row", F.inline("rare")).withColumnRenamed("n", "times")
-    met = rare.join(counts.where(F.col("n") < least).select("word", "n"), "word", "left")
+    met = rare.join(counts.where(~frequent).select("word", "n"), "word", "left")
     c = F.coalesce("n", F.lit(0))
     below = F.element_at(F.array(*[F.lit(float(x)) for x in np.log10(v.tail_mass)]), F.col("kind") + 1)
     more = met.groupBy("row").agg(

@@ -75,6 +75,58 @@ def test_scores_do_not_depend_on_lanes_or_windows(monkeypatch):
     assert together == pytest.approx(alone, rel=1e-4)
 
 
+def test_scores_equal_a_pass_step_by_step():
+    """One document after the other, one token after the other, in plain numbers."""
+    r = np.random.default_rng(4)
+    g = L.blank()
+    for n in g.NAMES:
+        setattr(g, n, (r.standard_normal(getattr(g, n).shape) * 0.4).astype(np.float32))
+    emb, rec, out, out_bias, tok, tok_bias = (getattr(g, n).astype(np.float64) for n in g.NAMES)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    log_softmax = lambda x: x - x.max() - np.log(np.exp(x - x.max()).sum())
+    docs = [np.append(r.integers(0, L.END, n), L.END).astype(np.int16) for n in (0, 3, 40, 300)]
+    n, want = g.hidden, []
+    for doc in docs:
+        h, before, total = np.zeros(n), L.END, 0.0
+        for s in doc.tolist():
+            gx, gh = emb[before], h @ rec
+            z, q = sigmoid(gx[:n] + gh[:n]), sigmoid(gx[n : 2 * n] + gh[n : 2 * n])
+            new = np.tanh(gx[2 * n :] + q * gh[2 * n :])
+            h = (1 - z) * new + z * h
+            kind = s // L.SIZE if s < L.HEAD else L.HEADS + s - L.HEAD if s < L.END else L.HEADS + L.TAILS
+            total += log_softmax(h @ out + out_bias)[kind]
+            if s < L.HEAD:
+                own = slice(kind * L.SIZE, (kind + 1) * L.SIZE)
+                total += log_softmax(tok[own] @ h + tok_bias[own])[s % L.SIZE]
+            before = s
+        want.append(total / math.log(10))
+    assert L.log10_scores(g, L.Flat(docs)) == pytest.approx(want, rel=1e-4)
+
+
+def test_words_of_a_batch():
+    import pyarrow as pa
+
+    texts = ["", " ", " A b\x0b C ", "one", "Ab\x1cÉé \u00a0 x", "...  '' .a a. \u4e2d."]
+    flat, size = L.split(pa.array(texts))
+    want = [t.encode().lower().split() for t in texts]
+    assert size.tolist() == [len(w) for w in want]
+    assert flat.cast(pa.binary()).to_pylist() == [w for ws in want for w in ws]
+    words = [w for ws in want for w in ws] + [b"(.", b"x", b"xy", b"\xc3\xa9.", b"."]
+    assert L.tail_classes(pa.array(words, pa.binary())).tolist() == [L.tail_class(w) for w in words]
+    assert L.tail_classes(pa.array(words, pa.binary()).slice(3, 4)).tolist() == [L.tail_class(w) for w in words[3:7]]
+
+
+def test_the_dictionary_is_cut_by_word(spark, monkeypatch):
+    rows = [(f"w{i}".encode(), 5) for i in range(300)] + [(f"v{i}".encode(), 40 + i % 3) for i in range(30)]
+    counts = spark.createDataFrame(rows, "word binary, n long")
+    for bound in (10, 25, 100, 330, 1000):
+        monkeypatch.setattr(L, "DICTIONARY", bound)
+        got = sorted(r.n for r in counts.where(L.in_dictionary(counts)).collect())
+        assert bound - 3 <= len(got) <= bound or len(got) == 330 <= bound
+        assert got == sorted((n for _, n in rows), reverse=True)[: len(got)][::-1]
+    assert counts.where("false").where(L.in_dictionary(counts.where("false"))).count() == 0
+
+
 def test_probabilities_of_all_next_tokens_sum_to_one():
     c = Counter({f"w{i}".encode(): 3000 - i for i in range(1500)})
     kinds = {}
