@@ -120,7 +120,8 @@ def anchors(docs: DataFrame, window: int) -> DataFrame:
 def _texts(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """(a, q, n, text, i, w): the words of each wanted snippet; for large shards the digest of each of its windows."""
     by_doc = wanted.groupBy("k", "h").agg(F.collect_list(F.struct("a", "q", "n", "place", "large")).alias("own"))
-    joined = _keyed(docs).join(by_doc, ["k", "h"]).select("text", "own")
+    # Rows that are equal in id and text hold the same snippets: one of them speaks for all.
+    joined = _keyed(docs).select("k", "h", "text").join(by_doc, ["k", "h"]).dropDuplicates(["k", "h"]).select("text", "own")
 
     def run(batches):
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary())

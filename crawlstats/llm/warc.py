@@ -11,16 +11,20 @@ Reading: archives are decompressed and parsed as a stream. Payload length and
 digest of a response are measured on its bytes; a revisit has them in its
 headers. Each archive becomes one capture run, locally sorted by URL key,
 timestamp and page_id, in the shared folder. The runs are dealt out by ranges
-of that whole key, so the captures of one URL may span tasks, and each range
-merges its runs with a loser tree: the parts, in order, are the globally
-ordered capture histories.
+of that whole key, so the captures of one URL may span tasks. A range takes
+each archive's captures as ascending runs, begins a new run wherever the order
+breaks (an archive's run may have been read by several tasks), keeps what does
+not fit into ``HELD_BYTES`` in files of its own, and merges the runs with a
+loser tree: the parts, in order, are the globally ordered capture histories.
 
 Defined cases: a null payload is an empty one; a null URL has no target header
 and an empty URL key; a row with a null page_id is a response without page id
 in its record id; of repeated rows with the largest page_id each is a
 response; each payload of a page_id that comes with several is a response or
-revisit of its own; an empty table gives no captures; other columns are not
-read.
+revisit of its own; payloads of more than ``SMALL_BYTES`` are in archives with
+fewer records, so that an archive holds about ``ARCHIVE_BYTES`` at most; page
+ids that are ``SPAN`` apart share a date; an empty table gives no captures;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,11 +32,14 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import tempfile
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+import pyarrow.ipc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +47,11 @@ from pyspark.sql import functions as F
 from crawlstats.llm.common import map_batches, pick, scratch, written
 
 END = "\r\n"
-RECORDS_PER_FILE = 4096
+#: Bytes of an archive before compression, and of a payload of which it holds ``RECORDS_PER_FILE``.
+ARCHIVE_BYTES, RECORDS_PER_FILE = 1 << 30, 4096
+SMALL_BYTES = ARCHIVE_BYTES // RECORDS_PER_FILE
+#: Bytes of captures that a range keeps in memory; more go to files of the task.
+HELD_BYTES = 64 << 20
 #: Captures without a date of their own count seconds from here (2024-01-01T00:00:00Z) by page_id.
 FIRST_SECOND = 1_704_067_200
 SPAN = 1 << 28
@@ -123,19 +134,27 @@ def records(pages: DataFrame, min_bytes: int) -> DataFrame:
         _line("Content-Length", F.octet_length(block).cast("string")),
         F.lit(END),
     )
-    return p.select(F.concat(head, block).alias("value"))
+    return p.select(F.concat(head, block).alias("value"), "n")
 
 
 def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0) -> None:
-    """Compressed archives of all pages, at most ``RECORDS_PER_FILE`` records each, as files in ``path``."""
+    """Compressed archives of all pages as files in ``path``, of bounded records and bytes."""
     p = pick(pages, page_id=id_col, url=url_col, payload=payload_col)
     p = p.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("payload").cast("string"), F.lit("")).alias("payload"),
     )
-    out = records(p, min_bytes).write.option("lineSep", END + END).option("compression", "gzip")
-    out.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    # Sizes of payloads, in powers of two from the small ones up: one write for each there is.
+    half = lambda n: F.greatest(F.ceil(F.log2(F.greatest(n, F.lit(1)) / SMALL_BYTES)), F.lit(0)).cast("int")
+    sizes = [r.size for r in p.select(half(F.octet_length("payload")).alias("size")).distinct().collect()]  # at most 13
+    out = records(p, min_bytes)
+    for size in sorted(sizes):
+        own = out.where(half(F.col("n")) == size).select("value") if len(sizes) > 1 else out.select("value")
+        own = own.write.mode("append").option("lineSep", END + END).option("compression", "gzip")
+        own.option("maxRecordsPerFile", max(1, RECORDS_PER_FILE >> size)).text(path)
+    if not sizes:
+        out.select("value").write.mode("append").text(path)
 
 
 # --- reading -------------------------------------------------------------------
@@ -281,28 +300,73 @@ class LoserTree:
             self._play(w)
 
 
+class Runs:
+    """Ascending runs of captures as they come in, in memory up to a bound, then in files."""
+
+    def __init__(self, folder: str, held_bytes: int):
+        self.folder, self.held_bytes = folder, held_bytes
+        self.runs: list[list] = []  # of each run: batches in memory, its file's writer, its last key
+        self.open: dict[str, int] = {}  # archive -> its run that may go on
+        self.bytes = 0
+
+    def add(self, captures: pa.RecordBatch) -> None:
+        keys = [run_order(r) for r in zip(*[c.to_pylist() for c in captures.columns])]
+        start = 0
+        for i in range(1, len(keys) + 1):
+            if i == len(keys) or keys[i][3] != keys[start][3] or keys[i] < keys[i - 1]:
+                self._append(keys[start], keys[i - 1], captures.slice(start, i - start))
+                start = i
+        if self.bytes > self.held_bytes:
+            self._to_files()
+
+    def _append(self, first: tuple, last: tuple, captures: pa.RecordBatch) -> None:
+        at = self.open.get(first[3])
+        if at is None or self.runs[at][2] > first:
+            at = self.open[first[3]] = len(self.runs)
+            self.runs.append([[], None, last])
+        run = self.runs[at]
+        run[0].append(captures)
+        run[2] = last
+        self.bytes += captures.get_total_buffer_size()
+
+    def _to_files(self) -> None:
+        for i, run in enumerate(self.runs):
+            if run[0]:
+                run[1] = run[1] or pa.ipc.new_stream(f"{self.folder}/{i}", SCHEMA)
+                for b in run[0]:
+                    run[1].write_batch(b)
+                run[0] = []
+        self.bytes = 0
+
+    def _rows(self, i: int) -> Iterator[tuple]:
+        held, writer, _ = self.runs[i]
+        batches = held
+        if writer is not None:
+            writer.close()
+            batches = chain(pa.ipc.open_stream(pa.memory_map(f"{self.folder}/{i}")), held)
+        for b in batches:
+            yield from zip(*[c.to_pylist() for c in b.columns])
+
+    def merged(self) -> Iterator[tuple]:
+        return iter(LoserTree([self._rows(i) for i in range(len(self.runs))], run_order))
+
+
 def merge_runs(runs: DataFrame) -> DataFrame:
     """The captures in global order: ``part`` and ``nth`` within it give the place."""
 
     def merge(batches):
-        # The blocks of a shuffle keep the order of their rows, so each archive's rows are still sorted.
-        own: dict[str, list[pa.RecordBatch]] = {}
-        for b in batches:
-            archive = b.column(8).to_pylist()
-            start = 0
-            for i in range(1, len(archive) + 1):
-                if i == len(archive) or archive[i] != archive[start]:
-                    own.setdefault(archive[start], []).append(b.slice(start, i - start))
-                    start = i
-        rows = lambda parts: (r for p in parts for r in zip(*[c.to_pylist() for c in p.columns]))
-        part, nth, held = TaskContext.get().partitionId(), 0, []
         schema = SCHEMA.append(pa.field("part", pa.int32())).append(pa.field("nth", pa.int64()))
-        for capture in LoserTree([rows(p) for p in own.values()], run_order):
-            held.append((*capture, part, nth))
-            nth += 1
-            if len(held) == 1 << 13:
-                yield _batch(held, schema)
-                held = []
+        part, nth, held = TaskContext.get().partitionId(), 0, []
+        with tempfile.TemporaryDirectory() as folder:
+            own = Runs(folder, HELD_BYTES)
+            for b in batches:
+                own.add(pa.RecordBatch.from_arrays(b.columns, schema=SCHEMA))
+            for capture in own.merged():
+                held.append((*capture, part, nth))
+                nth += 1
+                if len(held) == 1 << 13:
+                    yield _batch(held, schema)
+                    held = []
         if held:
             yield _batch(held, schema)
 

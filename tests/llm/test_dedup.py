@@ -214,6 +214,22 @@ def test_overlapping_passages_by_brute_force(spark, monkeypatch, shard):
     assert got == dict(enumerate(repeated(texts, 35)))
 
 
+def test_a_document_repeated_many_times_gives_each_snippet_once(spark):
+    """Copies equal in id and text count for the windows, but only one of them sends its snippets."""
+    text, other = " ".join(f"w{i}" for i in range(60)), "x " + " ".join(f"w{i}" for i in range(5, 55)) + " y"
+    rows = spark.range(100_000).selectExpr("7L as doc_id").crossJoin(spark.createDataFrame([(text,)], "text string"))
+    docs = rows.union(spark.createDataFrame([(8, other)], "doc_id long, text string"))
+    sent = []
+    real = D._texts
+    try:
+        D._texts = lambda *a: sent.append(real(*a)) or sent[0]
+        got = {(r.doc_id, r.n_words, r.n_removed, r.kept) for r in D.remove_repeats(docs).distinct().collect()}
+    finally:
+        D._texts = real
+    assert got == {(7, 60, 60, ""), (8, 52, 50, "x y")}
+    assert sent[0].count() < 100
+
+
 def test_documents_keep_their_columns(spark, hard_documents):
     left = D.without_repeats(hard_documents)
     assert left.columns == hard_documents.columns

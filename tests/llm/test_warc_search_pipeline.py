@@ -112,6 +112,63 @@ def test_one_hot_url_spans_ranges(spark):
     assert [(r.url_key, r.page_id) for r in got] == sorted((r.url_key, r.page_id) for r in got) and len(got) == 3000
 
 
+def captures(rng, archive, n):
+    own = [(f"key{rng.randrange(9)}", f"2024{rng.randrange(5)}", rng.choice([None, *range(20)]), "u", "response", 1, "d", None, archive, i) for i in range(n)]
+    return sorted(own, key=W.run_order)
+
+
+@pytest.mark.parametrize("bound", [1, 4000, 1 << 30])
+def test_runs_that_arrive_in_pieces(tmp_path, bound):
+    """Pieces of an archive's run in any order, in memory and in files."""
+    rng = random.Random(bound)
+    runs, every, pieces = W.Runs(str(tmp_path), bound), [], []
+    for a in range(7):
+        rows = captures(rng, f"archive{a}", rng.randrange(60))
+        every += rows
+        cuts = sorted(rng.randrange(len(rows) + 1) for _ in range(3))
+        pieces += [p for p in (rows[i:j] for i, j in zip([0, *cuts], [*cuts, len(rows)])) if p]
+    rng.shuffle(pieces)
+    joined = [r for p in pieces for r in p]
+    for at in range(0, len(joined), 11):  # batches that end inside a piece
+        runs.add(W._batch(joined[at : at + 11], W.SCHEMA))
+    assert list(runs.merged()) == sorted(every, key=W.run_order)
+    assert bound > 1 or list(tmp_path.iterdir())
+
+
+def test_a_run_split_over_map_tasks_is_merged_in_order(spark, pages):
+    """Every row group of the runs is a split of its own, read by tasks in any order."""
+    rows = spark.range(30_000).selectExpr("id as page_id", "concat('http://h', pmod(hash(id), 500), '.example.com/') as url", "'x' as html")
+    path = shared_dir(spark, "warc-split")
+    W.write_archives(rows.coalesce(1), path)
+    runs = W.read_runs(spark, path).collect()
+    small = shared_dir(spark, "small-runs")
+    ordered = spark.createDataFrame(runs, W.CAPTURE).coalesce(1)
+    ordered.write.option("parquet.block.size", 64 << 10).option("parquet.page.size", 8 << 10).option("parquet.block.size.row.check.min", 100).parquet(small)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(32 << 10))
+    try:
+        split = spark.read.schema(W.CAPTURE).parquet(small)
+        assert split.rdd.getNumPartitions() > 4
+        got = sorted(W.merge_runs(split).collect(), key=lambda r: (r.part, r.nth))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(r.url_key, r.timestamp, r.page_id) for r in got] == sorted((r.url_key, r.timestamp, r.page_id) for r in got) and len(got) == 30_000
+
+
+def test_large_payloads_have_archives_of_fewer_records(spark, monkeypatch):
+    monkeypatch.setattr(W, "SMALL_BYTES", 100)
+    monkeypatch.setattr(W, "RECORDS_PER_FILE", 8)
+    rows = spark.range(64).selectExpr("id as page_id", "concat('http://h', id, '.example.com/') as url", "repeat('x', cast(if(id < 32, 50, 50 * id) as int)) as html")
+    path = shared_dir(spark, "warc-sizes")
+    W.write_archives(rows.coalesce(1), path)
+    total = 0
+    for f in spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).collect():
+        sizes = [r[5] for r in W.parse_archive("a", f.content)]
+        total += len(sizes)
+        assert len(sizes) <= 8 and (max(sizes) <= 100 or (len(sizes) - 1) * max(sizes) < 8 * 2 * 100)
+    assert total == 64
+
+
 def test_no_pages(spark, pages):
     assert W.archive_and_index(pages.where("false")).collect() == []
 
