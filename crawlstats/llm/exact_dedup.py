@@ -22,13 +22,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlstats.llm.common import SPACE_CLASS, scratch, written
 
-#: Bytes of staged files that one micro-batch reads.
-BATCH_BYTES = 512 << 20
+#: Bytes of staged files that one micro-batch reads, at least, and micro-batches of a run, about.
+BATCH_BYTES, TRIGGERS = 512 << 20, 100
+#: Bytes of staged files for each state store; there are as many as shuffle partitions at most.
+STORE_BYTES = 16 << 20
 #: Set for the stream only.
 STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -55,14 +57,28 @@ def stage(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column]
     return written(d, "contents")
 
 
-def digest_states(staged: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """(digest, keep, n): the state of every digest at the end of the stream."""
+def _bytes_of(spark: SparkSession, path: str) -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def digest_states(staged: DataFrame, batch_bytes: int | None = None) -> DataFrame:
+    """(digest, keep, n): the state of every digest at the end of the stream.
+
+    Every micro-batch commits every store, so without ``batch_bytes`` their
+    number stays about ``TRIGGERS`` however large the input, and a small input
+    has few stores.
+    """
     spark = staged.sparkSession
     out, checkpoint = scratch(spark, "states"), scratch(spark, "states-checkpoint")
     kind = dict(staged.dtypes)["digest"]
     source = sorted({f.rpartition("/")[0] for f in staged.inputFiles()})
-    before = {k: spark.conf.get(k, None) for k in STREAM_CONF}
-    for k, v in STREAM_CONF.items():
+    total = sum(_bytes_of(spark, folder) for folder in source)
+    batch_bytes = batch_bytes or max(BATCH_BYTES, total // TRIGGERS)
+    stores = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, -(-total // STORE_BYTES)))
+    conf = STREAM_CONF | {"spark.sql.shuffle.partitions": str(stores)}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
         spark.conf.set(k, v)
     try:
         for folder in source:  # the one folder that `stage` wrote; none for an empty table without files
@@ -103,7 +119,7 @@ def collisions(staged: DataFrame, states: DataFrame) -> DataFrame:
     return written(unlike, "unlike").distinct()  # written first, so that the join may split a frequent digest
 
 
-def classify(staged: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def classify(staged: DataFrame, batch_bytes: int | None = None) -> DataFrame:
     """Every staged row: doc_id, digest, locator, keep_id, group_size, kept."""
     states = written(digest_states(staged, batch_bytes), "digests")
     found = staged.select("doc_id", "digest", "locator").join(states, "digest")
@@ -131,7 +147,7 @@ def exact_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     digest: Callable[[Column], Column] = sha256,
-    batch_bytes: int = BATCH_BYTES,
+    batch_bytes: int | None = None,
 ) -> DataFrame:
     """One row per document: the document that stays for its text, the group's size, whether this row is it.
 
@@ -141,7 +157,7 @@ def exact_dedup(
     return classify(stage(docs, id_col, text_col, digest, rows=False), batch_bytes)
 
 
-def distinct_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def distinct_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int | None = None) -> DataFrame:
     """The input's rows that stay, with all their columns."""
     staged = stage(docs, id_col, text_col, sha256, rows=True)
     gone = classify(staged, batch_bytes).where(~F.col("kept")).select("locator")

@@ -279,3 +279,17 @@ def test_state_is_kept_across_batches_and_conf_is_restored(spark):
     rows = X.exact_dedup(both, batch_bytes=1).collect()  # a file a batch
     assert all(r.keep_id < 10_000 and r.group_size % 2 == 0 for r in rows) and len(rows) == 2 * docs.count()
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_triggers_and_stores_go_by_the_input(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text").repartition(6)
+    staged = X.stage(docs, "doc_id", "text", X.sha256, rows=False)
+    states = X.digest_states(staged)
+    (folder,) = {f.rpartition("/")[0].rpartition("/")[0] for f in states.inputFiles()}
+    assert len({f.rpartition("/")[0] for f in states.inputFiles()}) == 1  # one small input, one micro-batch
+    assert states.count() == staged.select("digest").distinct().count()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    monkeypatch.setattr(X, "BATCH_BYTES", 1)
+    monkeypatch.setattr(X, "TRIGGERS", 3)
+    batches = {f.rpartition("/")[0] for f in X.digest_states(staged).inputFiles()}
+    assert 2 <= len(batches) <= 6 and folder
