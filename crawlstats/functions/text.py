@@ -48,12 +48,14 @@ ENTITY_NAMES = {f"&{n};": html5[f"{n};"] for n in sorted(name2codepoint)} | {"&a
 C1 = {n: c for n in range(128, 160) if (c := bytes([n]).decode("cp1252", "ignore"))}
 REPLACEMENT = "\uFFFD"
 
-# Token separators: whitespace (spelled out so Java and RE2 agree) and
-# punctuation that never belongs to a word.
-SEPARATORS = (
-    r"[\t\n\x0B\f\r \x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-    r"\x{00AB}\x{00BB}\x{2018}-\x{201F}\x{2039}\x{203A};@#$%&?!()\[\]{}<>\"*]+"
+# Token separators: all of Unicode's white space, quotes, and punctuation that never belongs to a word.
+# The separators beyond ASCII are looked for in characters beyond ASCII only.
+WIDE_SEPARATORS = (
+    r"\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+    r"\x{00AB}\x{00BB}\x{2018}-\x{201F}\x{2039}\x{203A}"
 )
+SEPARATOR = rf"[\t\n\x0B\f\r ;@#$%&?!()\[\]{{}}<>\"*[\x{{0080}}-\x{{3000}}&&[{WIDE_SEPARATORS}]]]"
+SEPARATORS = SEPARATOR + "++"
 # ',' and ':' that separate: no digit follows. The next character is group 1.
 COMMA_COLON = r"(?<![,:])[,:]++([^0-9]|$)"
 # "n't" at the end of a word; groups: it, what follows.
@@ -115,16 +117,22 @@ def split_words(text) -> Column:
     return F.split(spaced(text), SEPARATORS, -1)
 
 
+def _trimmed(r: Column) -> Column:
+    """A word in lower case without what trails it; few words have a quote or a final period."""
+    trails = r.endswith(".") | r.contains("'")
+    return F.lower(F.when(trails, F.regexp_replace(r, TRAILING, "")).otherwise(r))
+
+
 def clean_token(raw) -> Column:
     """F18 + lower-casing for one raw piece; null when it is not a word."""
     r = _col(raw)
-    return F.when(r.rlike(TOKEN_START), F.lower(F.regexp_replace(r, TRAILING, "")))
+    return F.when(r.rlike(TOKEN_START), _trimmed(r))
 
 
 def tokens(text) -> Column:
     """Array of tokens of a plain text, duplicates kept, in order."""
     raw = F.filter(split_words(text), lambda x: x.rlike(TOKEN_START))
-    return F.transform(raw, lambda x: F.lower(F.regexp_replace(x, TRAILING, "")))
+    return F.transform(raw, _trimmed)
 
 
 def page_tokens(html) -> Column:
@@ -138,7 +146,7 @@ def token_count(text) -> Column:
     A token starts where a word character follows the start or a separator,
     so counting those starts equals ``size(tokens(text))``; null text gives 0.
     """
-    starts = r"(?:^|" + SEPARATORS[:-1] + r")[A-Za-z0-9]"
+    starts = rf"(?:^|{SEPARATOR})[A-Za-z0-9]"
     return F.coalesce(F.regexp_count(spaced(text), F.lit(starts)), F.lit(0)).cast("long")
 
 

@@ -259,8 +259,11 @@ def spaced(t: str) -> str:
     return f"regexp_replace({commas}, {q(text.NEGATION)}, ' \\1\\2', 'g')"
 
 
+_SEPARATORS = r"""[\s\v\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"\x{AB}\x{BB}\x{2018}-\x{201F}\x{2039}\x{203A};@#$%&?!()\[\]{}<>*]+"""
+
+
 def raw_pieces(t: str) -> str:
-    return f"regexp_split_to_array({spaced(t)}, {q(text.SEPARATORS)})"
+    return f"regexp_split_to_array({spaced(t)}, {q(_SEPARATORS)})"
 
 
 def clean_token(raw: str) -> str:

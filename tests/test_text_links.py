@@ -116,6 +116,15 @@ def test_token_count_equals_token_array_size(spark, texts):
         assert r.n == r.m, r.t
 
 
+def test_separators_are_these_characters(spark):
+    from crawlstats.functions.text import SEPARATOR
+
+    points = [i for i in range(1, 0x11000) if not 0xD800 <= i <= 0xDFFF]
+    df = spark.createDataFrame([(i, chr(i)) for i in points], "i int, c string").where(F.col("c").rlike(rf"^{SEPARATOR}$"))
+    wide = [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xAB, 0xBB, *range(0x2018, 0x2020), 0x2039, 0x203A]
+    assert {r.i for r in df.collect()} == {*map(ord, "\t\n\x0b\f\r ;@#$%&?!()[]{}<>\"*"), *wide}
+
+
 # --- the markup scan ----------------------------------------------------------
 
 SPACE = " \t\n\f\r"
