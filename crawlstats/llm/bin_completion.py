@@ -2,22 +2,23 @@
 
 Packing needs only how many items there are of each length, so the search
 runs on at most ``capacity`` counts, whatever the number of items. A step
-takes the largest length left and completes its bin: it enumerates some of the
-undominated fillings of the rest of the bin, tries them by increasing waste
-and gives one filling to as many bins at once as the counts allow, or to one. A
-branch ends when its waste is more than an improvement on the best known
-solution allows. Best-fit decreasing gives the first known solution; the search
-ends when a solution meets the lower bound, ``max_nodes`` steps are spent or its
-tree is empty, and keeps the best solution so far.
-
-The tree is partial, so an empty one does not prove the best solution optimal:
-of three and more items only the first filling after each leading item that
-wastes less than the best pair is tried, none where a pair fills the room, and
-no number of bins between one and all that the counts allow.
+takes the largest length left and completes its bin: it enumerates the
+undominated fillings of the rest of the bin and gives each to a number of bins
+at once, first as many as the counts and the bound allow, at last every number
+down to one. A branch ends when its waste is more than an improvement on the
+best known solution allows. Best-fit decreasing gives the first known solution;
+the search ends when a solution meets the lower bound, its tree is empty (then
+the best solution is optimal) or ``max_nodes`` fillings have been looked at, and
+keeps the best solution so far.
+
+A filling is dominated by one that holds more, or that holds a longer item in
+place of one of its own. Fillings of more than ``ENUMERATED_ITEMS`` items are
+completed longest item first, without others of that kind.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -92,48 +93,77 @@ def fill_up(counts: np.ndarray, room: int) -> tuple[int, tuple[int, ...]]:
     return room, tuple(items)
 
 
-def fillings(counts: np.ndarray, room: int, depth: int = 0) -> Iterator[tuple[int, tuple[int, ...]]]:
-    """(waste, lengths) of some undominated fillings of ``room``; those of one and two items by increasing waste.
+def fillings(counts: np.ndarray, room: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+    """(waste, lengths) of the undominated fillings of ``room``: of one and two items by increasing waste, then larger ones.
 
     The last item of a filling is always the longest that still fits: a
-    shorter one is dominated. A filling whose sum one available item reaches
-    within the room is dominated by that item. Fillings of three and more
-    items are built only after those of one and two have been tried.
+    shorter one is dominated.
     """
     there = np.flatnonzero(counts[: room + 1])
     there = there[there > 0]
     if not len(there):
         yield room, ()
         return
-    if depth >= ENUMERATED_ITEMS:
-        yield fill_up(counts, room)
-        return
     longest = int(there[-1])
-    yield room - longest, (longest,)
+    if longest == room:
+        yield 0, (longest,)
+        return  # any other filling of the room can take the place of this item
     fit = np.zeros(room + 1, dtype=np.int64)  # fit[x]: the longest available length of at most x
     fit[there] = there
     fit = np.maximum.accumulate(fit)
     a = there[::-1]
     b = fit[np.minimum(a, room - a)]
     b = np.where((b == a) & (counts[a] < 2), fit[np.maximum(b - 1, 0)], b)
-    good = (b > 0) & (a + b > longest)
+    good = b > 0
     order = np.argsort(room - a[good] - b[good], kind="stable")
     pairs = list(zip(a[good][order].tolist(), b[good][order].tolist()))
+    if not dominated(counts, room - longest, (longest,)):
+        yield room - longest, (longest,)
     for x, y in pairs:
-        yield room - x - y, (x, y)
-    if pairs and sum(pairs[0]) == room:
-        return  # nothing wastes less
-    least = room - max(longest, sum(pairs[0]) if pairs else 0)
-    for x in a.tolist():  # three and more: after x, complete the rest the same way
-        rest = counts.copy()
-        rest[x] -= 1
-        rest[x + 1 :] = 0
-        for waste, more in fillings(rest, room - x, depth + 1):
-            if len(more) >= 2 and waste < least:
-                yield waste, (x, *more)
-                if not waste:
-                    return
-                break
+        if not dominated(counts, room - x - y, (x, y)):
+            yield room - x - y, (x, y)
+    if pairs:
+        yield from larger(there.tolist(), counts, room)
+
+
+def dominated(counts: np.ndarray, waste: int, filling: tuple[int, ...]) -> bool:
+    """Whether an item that is left fits in, or fits in the place of a shorter one."""
+    left = counts[: max(filling) + waste + 1].copy()
+    for x in filling:
+        left[x] -= 1
+    there = np.flatnonzero(left[1:] > 0) + 1
+    if len(there) and there[0] <= waste:
+        return True
+    return any(len(there) and (i := np.searchsorted(there, x, side="right")) < len(there) and there[i] <= x + waste for x in set(filling))
+
+
+def larger(there: list[int], counts: np.ndarray, room: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+    """Undominated fillings of three and more items, in descending order of their items; ``there`` ascends."""
+    left = {x: int(counts[x]) for x in there}
+
+    def grow(rest: int, upto: int, chosen: list[int]) -> Iterator[tuple[int, tuple[int, ...]]]:
+        if len(chosen) >= ENUMERATED_ITEMS:
+            own = np.zeros(rest + 1, dtype=np.int64)
+            for x in there[: upto + 1]:
+                if x <= rest:
+                    own[x] = left[x]
+            waste, more = fill_up(own, rest)
+            yield waste, (*chosen, *more)
+            return
+        for i in range(min(upto, bisect_right(there, rest) - 1), -1, -1):
+            x = there[i]
+            if not left[x]:
+                continue
+            left[x] -= 1
+            chosen.append(x)
+            if next((y for y in there if left[y]), room) <= rest - x:  # something still fits
+                yield from grow(rest - x, i, chosen)
+            elif len(chosen) > 2 and not dominated(counts, rest - x, tuple(chosen)):
+                yield rest - x, tuple(chosen)
+            chosen.pop()
+            left[x] += 1
+
+    yield from grow(room, len(there) - 1, [])
 
 
 def solve(counts: np.ndarray, max_nodes: int = 20_000) -> list[Pattern]:
@@ -151,38 +181,45 @@ def solve(counts: np.ndarray, max_nodes: int = 20_000) -> list[Pattern]:
         there = np.flatnonzero(left)
         return int(there[-1]) if len(there) and there[-1] else 0
 
-    def open_step() -> None:
+    def room_for(w: int, most: int) -> int:
+        """Bins that a filling of this waste may get."""
+        return min(most, ((best_bins - 1) * cap - total - waste) // w) if w else most
+
+    def choices() -> Iterator[tuple[int, tuple, int]]:
+        """(waste, filling, bins): every filling for as many bins as it may get, then for fewer."""
         top = largest()
         rest = left.copy()
         rest[top] -= 1
-        todo.append(((w, (top, *f)) for w, f in fillings(rest, cap - top)))
-
-    open_step()
+        for fewer in (False, True):
+            for w, more in fillings(rest, cap - top):
+                lengths = (top, *more)
+                filling = tuple(sorted(((x, lengths.count(x)) for x in set(lengths)), reverse=True))
+                most = room_for(w, min(int(left[x]) // k for x, k in filling))
+                for n in range(most - 1, 0, -1) if fewer else (max(most, 0),):
+                    yield w, filling, n if n <= room_for(w, n) else 0
+
+    todo.append(choices())
     while todo and best_bins > bound and nodes < max_nodes:
-        step = next(todo[-1], None)
-        if len(path) == len(todo):  # take back the filling tried before at this step
+        if len(path) == len(todo):  # take back what was tried before at this step
             filling, n, w = path.pop()
             for length, k in filling:
                 left[length] += k * n
             waste -= w * n
+        step = next(todo[-1], None)
         if step is None:
             todo.pop()
             continue
         nodes += 1
-        w, lengths = step
-        filling = tuple(sorted(((x, lengths.count(x)) for x in set(lengths)), reverse=True))
-        n = min(int(left[x]) // k for x, k in filling)
-        if waste + w * n > (best_bins - 1) * cap - total:
-            n = 1  # not that often, but perhaps once
-            if waste + w > (best_bins - 1) * cap - total:
-                path.append((filling, 0, 0))
-                continue
+        w, filling, n = step
+        if not n:  # it wastes more than is left for an improvement
+            path.append((filling, 0, 0))
+            continue
         for length, k in filling:
             left[length] -= k * n
         waste += w * n
         path.append((filling, n, w))
         if largest():
-            open_step()
+            todo.append(choices())
         else:
             bins = sum(n for _, n, _ in path)
             if bins < best_bins:

@@ -105,6 +105,26 @@ def test_bin_completion_is_optimal_on_small_cases(items, cap):
     assert B.lower_bound(counts) <= bins == fewest(sorted(items, reverse=True), cap)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_bin_completion_is_optimal_on_random_cases(seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(1250):
+        cap = int(rng.choice([10, 12, 14, 20, 54, 100, 1024]))
+        low, high = int(rng.choice([1, cap // 8 + 1, cap // 5])), int(rng.choice([cap, cap // 2, cap // 3]))
+        items = rng.integers(low, max(low, high) + 1, rng.integers(1, 14))
+        if rng.random() < 0.4:  # few lengths, many times
+            items = rng.choice(items[:3], len(items))
+        counts = np.bincount(items, minlength=cap + 1)
+        patterns = B.solve(counts)
+        assert (used(patterns, cap) == counts).all()
+        assert sum(n for _, n in patterns) == fewest(sorted(items.tolist(), reverse=True), cap), (cap, sorted(items.tolist()))
+
+
+def test_bin_completion_gives_a_filling_to_some_of_the_bins_it_could_have():
+    counts = np.bincount([10, 12, 10, 11, 11, 10, 12, 10, 11, 11], minlength=55)
+    assert sum(n for _, n in B.solve(counts)) == 2
+
+
 @pytest.mark.parametrize("low,high,cap", [(1, 1024, 1024), (300, 700, 1024), (1, 3, 1024), (1024, 1024, 1024), (1, 40, 100)])
 def test_bin_completion_on_many_items(low, high, cap):
     counts = np.bincount(np.random.default_rng(1).integers(low, high + 1, 20000), minlength=cap + 1)
