@@ -1,17 +1,18 @@
 """Exact top-k inner products by no-random-access aggregation.
 
-Candidates are cut into blocks. In a block there is one list per dimension,
-sorted by that component; a query reads it from its high end where its own
-component is positive and from its low end where it is negative. A round reads
-all lists to a depth, in order, for all queries of a block at once. What has
-been read of a candidate gives its partial score; for the rest the last value
-read bounds it from above and the list's far end from below. A candidate whose
-upper bound is below the k-th lower bound cannot qualify. When few are left,
-or the lists are read, their final scores are computed, and the k best of
-each block are merged per query.
-
-The stated query set meets all rows block by block: a pair of blocks is one
-row of an equi-join on the number of the query block.
+Candidates stay where they are read and are cut into blocks there. In a block
+there is one list per dimension, sorted by that component; a query reads it
+from its high end where its own component is positive and from its low end
+where it is negative. A round of the block reads all lists to a depth, in
+order, for all queries of a block at once. What has been read of a candidate
+gives its partial score; for the rest the last value read bounds it from above
+and the list's far end from below. A candidate whose upper bound is below the
+k-th lower bound, or below the k-th score that the task has found for the query
+so far, cannot qualify. When few are left, or the lists are read, their final
+scores are computed and merged into the query's running list of the k best.
+
+The stated queries come to the candidates in rounds of about ``ROUND_BYTES``,
+each a broadcast; only the k best of each query and task are shuffled.
 
 Defined cases: vectors that are null, or hold null or non-finite components,
 and rows with a null id take no part; a query's own row is any row with its
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ from crawlstats.llm.common import map_batches, pick, written
 
 CANDIDATE_BLOCK = 8192
 QUERY_BLOCK = 512
+#: Bytes of queries that a round brings to all candidates.
+ROUND_BYTES = 16 << 20
 #: Depths of the rounds, as shares of the lists.
 DEPTHS = (0.25, 0.5, 0.75)
 EXACT_FLOAT = 2.0**53
@@ -121,19 +125,18 @@ class SortedLists:
         """Lower and upper bounds of all scores (candidates x queries) after ``depth`` entries of each list."""
         n = len(self.ids)
         lower = upper = 0
-        for part, read, frontier, far in (
-            (np.maximum(q, 0), self.place >= n - depth, self.sorted[n - depth], self.sorted[0]),
-            (np.minimum(q, 0), self.place < depth, self.sorted[depth - 1], self.sorted[-1]),
+        for part, read, frontier, far, bounded in (
+            (np.maximum(q, 0), self.place >= n - depth, self.sorted[n - depth], self.sorted[0], np.maximum),
+            (np.minimum(q, 0), self.place < depth, self.sorted[depth - 1], self.sorted[-1], np.minimum),
         ):
-            seen = product(np.where(read, self.x, 0), part.T)
-            unread = (~read).astype(np.int64)
-            upper = upper + seen + product(unread, (part * frontier).T)
-            lower = lower + seen + product(unread, (part * far).T)
+            # What is not read lies beyond the last value read, what is read does not.
+            upper = upper + product(bounded(self.x, frontier), part.T)
+            lower = lower + product(np.where(read, self.x, far), part.T)
         return lower, upper
 
-    def top(self, query_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query_id, vec_id, score) of the k best candidates of each query."""
-        n = len(self.ids)
+    def into(self, best: Best, k: int) -> None:
+        """Merge this block's candidates into the lists of the k best of each query."""
+        n, q, query_ids = len(self.ids), best.q, best.ids
         few = max(4 * k, n // 64)
         alive = self.ids[:, None] != query_ids[None, :]
         todo = np.arange(len(query_ids))
@@ -144,81 +147,131 @@ class SortedLists:
             lower, upper = self.bounds(q[todo], depth)
             lower = np.where(alive[:, todo], lower, -np.inf)
             kth = np.partition(lower, n - k, axis=0)[n - k]  # n > 4 k here
-            alive[:, todo] &= upper >= kth
+            alive[:, todo] &= upper >= np.maximum(kth, best.least[todo])
             todo = todo[alive[:, todo].sum(axis=0) > few]
-        out_q, out_v, out_s = [], [], []
         scores = dict(zip(todo.tolist(), product(self.x, q[todo].T).T))  # lists read to their end
-        for j, query in enumerate(query_ids.tolist()):
+        for j in range(len(query_ids)):
             left = np.flatnonzero(alive[:, j])
             s = scores[j][left] if j in scores else product(self.x[left], q[j][:, None])[:, 0]
-            if len(left) > k:
-                least = np.partition(s, len(s) - k)[len(s) - k]
-                keep = s >= least
-                left, s = left[keep], s[keep]
-            best = np.argsort(-s, kind="stable")[:k]  # rows are in the order of their ids
-            out_q.append(np.full(len(best), query, dtype=np.int64))
-            out_v.append(self.ids[left[best]])
-            out_s.append(s[best].astype(np.int64))
-        return np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
-
-
-def _blocks(d: DataFrame) -> DataFrame:
-    """(dims, ids, x): candidates of one length, up to ``CANDIDATE_BLOCK`` of a task's in a row."""
-
-    def cut(batches):
-        for b in batches:
-            ids, v = b.column(0).to_numpy(), b.column(1)
-            size = pa.compute.list_value_length(v).to_numpy(zero_copy_only=False)
-            flat, start = v.flatten().to_numpy(), np.r_[0, np.cumsum(size)]
-            for dims in np.unique(size):
-                rows = np.flatnonzero(size == dims)
-                for at in range(0, len(rows), CANDIDATE_BLOCK):
-                    own = rows[at : at + CANDIDATE_BLOCK]
-                    x = flat[(start[own][:, None] + np.arange(dims)).ravel()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(dims)], pa.int32()), pa.array([ids[own].tobytes()]), pa.array([x.tobytes()])],
-                        ["dims", "ids", "x"],
-                    )
-
-    return map_batches(d, cut, "dims int, ids binary, x binary")
+            best.add(j, s.astype(np.int64), self.ids[left], k)
+
+
+class Best:
+    """A block of queries with the k best candidates that a task has found for each."""
+
+    def __init__(self, query_ids: np.ndarray, q: np.ndarray):
+        self.ids, self.q = query_ids, q
+        self.found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, dtype=np.int64),) * 2] * len(query_ids)
+        #: Score below which no candidate qualifies.
+        self.least = np.full(len(query_ids), -np.inf)
+
+    def add(self, j: int, scores: np.ndarray, ids: np.ndarray, k: int) -> None:
+        s, i = (np.concatenate(c) for c in zip(self.found[j], (scores, ids)))
+        if len(s) > k:
+            keep = s >= np.partition(s, len(s) - k)[len(s) - k]
+            s, i = s[keep], i[keep]
+        order = np.lexsort((i, -s))[:k]
+        self.found[j] = s[order], i[order]
+        if len(order) == k:
+            self.least[j] = s[order[-1]]
+
+
+def _by_length(ids: np.ndarray, v: pa.ListArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(dims, ids, x) of the vectors of each length."""
+    size = pa.compute.list_value_length(v).to_numpy(zero_copy_only=False)
+    flat, start = v.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(size)]
+    for dims in np.unique(size).tolist():
+        rows = np.flatnonzero(size == dims)
+        yield dims, ids[rows], flat[(start[rows][:, None] + np.arange(dims)).ravel()].reshape(len(rows), dims)
+
+
+class Round:
+    """The queries of a round in a task, and what has been found for them."""
+
+    def __init__(self, asked: list[tuple[int, list[float]]], k: int, scale: int):
+        self.k, self.scale = k, scale
+        #: dims -> query blocks of exact products; ids and vectors of the others
+        self.blocks: dict[int, list[Best]] = {}
+        self.large: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.plain: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        #: candidates that wait for their block to fill
+        self.held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        if not asked:
+            return
+        ids, v = zip(*asked)
+        for dims, own, x in _by_length(np.array(ids, dtype=np.int64), pa.array(v, pa.list_(pa.float64()))):
+            whole = quantised(x, scale)
+            small = plain(whole)
+            self.large[dims], self.plain[dims] = (own[~small], x[~small]), (own[small], x[small])
+            q = whole[small].astype(np.int64)
+            self.blocks[dims] = [Best(own[small][a : a + QUERY_BLOCK], q[a : a + QUERY_BLOCK]) for a in range(0, len(q), QUERY_BLOCK)]
+
+    def add(self, ids: np.ndarray, v: pa.ListArray) -> list[tuple]:
+        """Take candidates; rows (query_id, vec_id, score as an integer) of products that doubles do not hold."""
+        out = []
+        for dims, own, x in _by_length(ids, v):
+            if dims not in self.blocks:
+                continue
+            whole = quantised(x, self.scale)
+            small = plain(whole)
+            for some, (asks, q) in ((~small, self.plain[dims]), (np.ones(len(own), dtype=bool), self.large[dims])):
+                if some.any() and len(asks):
+                    out += zip(*integer_top(own[some], x[some], asks, q, self.k, self.scale))
+            held = self.held.setdefault(dims, [])
+            held.append((own[small], whole[small].astype(np.int64)))
+            if sum(len(i) for i, _ in held) >= CANDIDATE_BLOCK:
+                self.settle(dims)
+        return out
+
+    def settle(self, dims: int) -> None:
+        ids, x = (np.concatenate(c) for c in zip(*self.held.pop(dims)))
+        for at in range(0, len(ids), CANDIDATE_BLOCK):
+            lists = SortedLists(ids[at : at + CANDIDATE_BLOCK], x[at : at + CANDIDATE_BLOCK])
+            for best in self.blocks[dims]:
+                lists.into(best, self.k)
+
+    def end(self) -> Iterator[tuple[list, list, list]]:
+        """(query_id, vec_id, score) of the k best, a query block at a time."""
+        for dims in list(self.held):
+            self.settle(dims)
+        for blocks in self.blocks.values():
+            for best in blocks:
+                size = [len(s) for s, _ in best.found]
+                if sum(size):
+                    s, i = (np.concatenate(c) for c in zip(*best.found))
+                    yield np.repeat(best.ids, size).tolist(), i.tolist(), s.tolist()
+
+
+FOUND = {"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64(), "side": pa.int32(), "order": pa.binary()}
+
+
+def _rows(query_ids: list, vec_ids: list, scores: list) -> pa.RecordBatch:
+    columns = (query_ids, vec_ids, *zip(*map(beyond, scores)))
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, FOUND.values())], list(FOUND))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows of every row that ``is_query`` (on ``vec_id``) selects."""
     d = taking_part(vectors, id_col, vector_col)
-    asks = d.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dims", F.size("v"))
-    asks = written(asks, "queries")
-    n_blocks = -(-asks.count() // QUERY_BLOCK) or 1
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int")
-    # A block holds QUERY_BLOCK queries on average.
-    query_blocks = asks.groupBy(block.alias("block"), "dims").agg(F.collect_list(F.struct("vec_id", "v")).alias("queries"))
-    pairs = _blocks(d).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    pairs = pairs.join(query_blocks, ["block", "dims"]).select("dims", "ids", "x", "queries.vec_id", "queries.v")
-
-    def rows(query_ids, vec_ids, scores, side=None, order=None):
-        n = len(query_ids)
-        side, order = side or [0] * n, order or [None] * n
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((query_ids, vec_ids, scores, side, order), kinds)], ["query_id", "vec_id", "score", "side", "order"])
-
-    def search(batches):
-        for b in batches:
-            for dims, ids, x, query_ids, q in zip(*b.columns):
-                ids, dims, asked = np.frombuffer(ids.as_py(), dtype=np.int64), dims.as_py(), q.as_py()
-                x = np.frombuffer(x.as_py(), dtype=np.float64).reshape(len(ids), dims)
-                asked, asks_ids = np.array(asked, dtype=np.float64).reshape(len(asked), dims), np.array(query_ids.as_py(), dtype=np.int64)
-                whole, whole_asked = quantised(x, scale), quantised(asked, scale)
-                small, asks_small = plain(whole), plain(whole_asked)
-                lists = SortedLists(ids[small], whole[small].astype(np.int64)) if small.any() and asks_small.any() else None
-                own_ids, own = asks_ids[asks_small], whole_asked[asks_small].astype(np.int64)
-                for at in range(0, len(own_ids) if lists else 0, QUERY_BLOCK):
-                    yield rows(*lists.top(own_ids[at : at + QUERY_BLOCK], own[at : at + QUERY_BLOCK], k))
-                for some, by in ((~small, asks_small), (np.ones(len(ids), dtype=bool), ~asks_small)):
-                    if some.any() and by.any():
-                        query, vec, score = integer_top(ids[some], x[some], asks_ids[by], asked[by], k, scale)
-                        if query:
-                            yield rows(query, vec, *map(list, zip(*map(beyond, score))))
-
-    found = map_batches(pairs, search, "query_id long, vec_id long, score long, side int, order binary")
+    spark = d.sparkSession
+    asks = written(d.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
+    size = asks.agg(F.coalesce(F.sum(8 * F.size("v") + 8), F.lit(0))).first()[0]
+    rounds = max(1, -(-size // ROUND_BYTES))
+    found = None
+    for r in range(rounds):
+        own = asks.where(F.pmod(F.xxhash64("vec_id"), F.lit(rounds)) == r).collect()  # about ROUND_BYTES
+        shared = spark.sparkContext.broadcast([(x.vec_id, x.v) for x in own])
+
+        def search(batches, shared=shared):
+            now = Round(shared.value, k, scale)
+            for b in batches:
+                if more := now.add(b.column(0).to_numpy(), b.column(1)):
+                    yield _rows(*map(list, zip(*more)))
+            for rows in now.end():
+                yield _rows(*rows)
+
+        part = written(map_batches(d, search, "query_id long, vec_id long, score long, side int, order binary"), "found")
+        found = part if found is None else found.unionByName(part)
+        shared.unpersist()
     best = Window.partitionBy("query_id").orderBy(F.desc("side"), F.desc("order"), F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -192,6 +192,7 @@ def brute(rows, every, k):
 def test_top_k(spark, monkeypatch, block):
     monkeypatch.setattr(K, "CANDIDATE_BLOCK", block)
     monkeypatch.setattr(K, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(K, "ROUND_BYTES", 16 << 20 if block > 7 else 200)  # many rounds
     r = np.random.default_rng(4)
     rows = [(i, [float(x) for x in r.standard_normal(8)]) for i in range(120)]
     rows += [(200 + i, rows[3][1]) for i in range(30)]  # ties
@@ -220,6 +221,36 @@ def test_top_k_beyond_the_exact_range(spark, monkeypatch, block):
     assert got == [(q, n, i, held(s)) for q, n, i, s in exp]
 
 
+@pytest.mark.parametrize("candidates,queries", [(8192, 512), (16, 3), (50, 1)])
+def test_running_lists_over_blocks(monkeypatch, candidates, queries):
+    """Blocks of a task one after the other, with what was found before as a bound."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(K, "CANDIDATE_BLOCK", candidates)
+    monkeypatch.setattr(K, "QUERY_BLOCK", queries)
+    r = np.random.default_rng(8)
+    rows = [(i, r.standard_normal(6).round(1).tolist()) for i in range(300)]  # many ties
+    asked = [x for x in rows if x[0] % 25 == 0]
+    now = K.Round(asked, 4, 10)
+    for at in range(0, 300, 37):
+        part = rows[at : at + 37]
+        assert now.add(np.array([i for i, _ in part]), pa.array([v for _, v in part], pa.list_(pa.float64()))) == []
+    got = sorted((q, -s, i) for b in now.end() for q, i, s in zip(*b))
+    whole = {i: np.floor(10 * np.array(v)).astype(int) for i, v in rows}
+    want = []
+    for q, _ in asked:
+        want += [(q, *x) for x in sorted((-int(whole[q] @ w), i) for i, w in whole.items() if i != q)[:4]]
+    assert got == sorted(want)
+
+
+def test_candidates_are_not_shuffled(spark):
+    df = spark.range(500).selectExpr("id as vec_id", "array(cast(id as double), 1.0D) as embedding")
+    out = K.top_k(df, F.col("vec_id") % 100 == 0, 3)
+    assert len(out.collect()) == 15
+    files = spark.read.parquet(*{f.rpartition("/")[0] for f in out.inputFiles()})
+    assert files.count() <= 5 * 3 * spark.sparkContext.defaultParallelism  # k rows of a query and task
+
+
 def test_top_k_of_components_that_overflow(spark):
     rows = [(0, [1.0, 0.5]), (1, [1e308, 1e308]), (2, [-1.7e308, 1.7e308]), (3, [2.0, 1e306]), (4, [0.25, 3.0]), (10, [1.7e308, -1e308])]
     scaled = lambda v: [int(np.floor(1024 * x)) if abs(1024 * x) < 2**53 else int(1024 * x) if np.isfinite(1024 * x) else int(x) * 1024 for x in v]
