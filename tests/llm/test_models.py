@@ -265,6 +265,132 @@ def test_toxicity_of_hard_cases(spark, hard_documents, no_documents):
     assert left.columns == hard_documents.columns and left.count() == hard_documents.count()
 
 
+def plain_label_model(votes, start, rounds=25):
+    """Posteriors of the label model, in plain loops over rows and voters."""
+    n, m = len(votes), len(votes[0])
+    post, weight = list(start), [1.0] * m
+    for _ in range(rounds):
+        prior = (sum(post) + 1) / (n + 2)
+        log_p = []
+        for side, right in ((0, 0), (1, 2)):
+            p = [x if side else 1 - x for x in post]
+            rows = []
+            for v in range(m):
+                c = [sum(w for w, r in zip(p, votes) if r[v] == vote) for vote in (-1, 0, 1)]
+                if v == 0:
+                    c[right] += n
+                rows.append([math.log((x + 1) / (sum(c) + 3)) for x in c])
+            log_p.append(rows)
+        shared = [[0.0] * m for _ in range(m)]
+        for side in (0, 1):
+            p = [x if side else 1 - x for x in post]
+            total = sum(p)
+            if total < 2:
+                continue
+            mean = [sum(w * r[v] for w, r in zip(p, votes)) / total for v in range(m)]
+            cov = [[sum(w * (r[a] - mean[a]) * (r[b] - mean[b]) for w, r in zip(p, votes)) / total for b in range(m)] for a in range(m)]
+            sd = [math.sqrt(max(cov[a][a], 1e-12)) for a in range(m)]
+            for a in range(m):
+                for b in range(m):
+                    shared[a][b] += (cov[a][b] / (sd[a] * sd[b])) ** 2 * total / n
+        for a in range(m):
+            shared[a][a] = 1.0
+        weight = [1 / sum(row) for row in shared]
+        weight[0] = 1.0
+        new = []
+        for r in votes:
+            z = math.log(prior) - math.log(1 - prior) + sum((log_p[1][v][r[v] + 1] - log_p[0][v][r[v] + 1]) * weight[v] for v in range(m))
+            new.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+        done = max(abs(x - y) for x, y in zip(new, post)) < 1e-4
+        post = new
+        if done:
+            break
+    return post
+
+
+def plain_weights(rows, target, width):
+    """The logistic regression, one row and feature at a time."""
+    positive, n = sum(target), len(rows)
+    cost = [t / max(2 * positive, 1e-9) + (1 - t) / max(2 * (n - positive), 1e-9) for t in target]
+    w, m, s = ([0.0] * (width + 1) for _ in range(3))
+    for t in range(1, 301):
+        g = [1e-4 * x for x in w]
+        g[width] = 0.0
+        for features, y, c in zip(rows, target, cost):
+            z = max(-30.0, min(30.0, sum(w[f] for f in features) + w[width]))
+            err = c * (1 / (1 + math.exp(-z)) - y)
+            for f in (*features, width):
+                g[f] += err
+        for i in range(width + 1):
+            m[i] = 0.9 * m[i] + 0.1 * g[i]
+            s[i] = 0.99 * s[i] + 0.01 * g[i] * g[i]
+            w[i] -= 0.1 * (m[i] / (1 - 0.9**t)) / (math.sqrt(s[i] / (1 - 0.99**t)) + 1e-9)
+    return w
+
+
+def plain_toxicity(docs, labels):
+    """{doc_id: score}: terms, voters, posteriors and classifier, without Spark and numpy."""
+    train = sorted((i, y) for i, y in labels.items() if zlib.crc32(str(i).encode()) % 5)
+    n_of = Counter(y for _, y in train)
+    terms_of = {i: {t for w in docs[i].lower().split() for t in T.word_terms(w)} for i, _ in train}
+    by = {y: Counter(t for i, z in train if z == y for t in terms_of[i]) for y in (0, 1)}
+    strength = {}
+    for t in by[0].keys() | by[1].keys():
+        a, b = by[1][t], by[0][t]
+        if a + b >= T.LEAST_DOCUMENTS:
+            strength[t] = (math.log((a + 0.5) / (n_of[1] + 1)) - math.log((b + 0.5) / (n_of[0] + 1))) * math.sqrt(a + b)
+    toxic = sorted((t for t in strength if strength[t] > 0), key=lambda t: (-strength[t], t))[: T.TERMS // 2]
+    clean = sorted((t for t in strength if strength[t] < 0), key=lambda t: (strength[t], t))[: T.TERMS // 2]
+    terms = toxic + clean
+
+    def features(text):
+        own = {t for w in text.lower().split() for t in T.word_terms(w)}
+        return [i for i, t in enumerate(terms) if t in own] + [len(terms) + k for k, p in enumerate(T.PATTERNS) if p.search(text)]
+
+    rows = [features(docs[i]) for i, _ in train]
+    left, chosen = [{f for f in r if f < len(toxic)} for r, (_, y) in zip(rows, train) if y == 1], []
+    while left and len(chosen) < T.TOXIC_VOTERS:
+        n = Counter(f for r in left for f in r)
+        if not n:
+            break
+        chosen.append(min(n, key=lambda f: (-n[f], f)))
+        left = [r for r in left if chosen[-1] not in r]
+    votes = []
+    for r, (_, y) in zip(rows, train):
+        hits = sum(f < len(toxic) for f in r)
+        own = [2 * y - 1, *(int(f in r) for f in chosen)]
+        own += [-int(len(toxic) + k in r) for k in range(min(T.CLEAN_VOTERS, len(clean)))]
+        own += [int(len(terms) + k in r) for k in range(len(T.PATTERNS))]
+        votes.append([*own, int(hits >= 2), 0 if hits else -1])
+    post = plain_label_model(votes, [float(y) for _, y in train])
+    w = plain_weights(rows, post, len(terms) + len(T.PATTERNS))
+    out = {}
+    for i, text in docs.items():
+        z = max(-30.0, min(30.0, w[-1] + sum(w[f] for f in features(text))))
+        out[i] = 1 / (1 + math.exp(-z))
+    return out
+
+
+def test_toxicity_equals_a_plain_rebuild(spark):
+    r = np.random.default_rng(12)
+    bad, good = ["idiots", "stupidly", "hateful", "you"], ["kindly", "garden", "music"]
+    docs, labels = {}, {}
+    for i in range(70):
+        y = int(i % 3 == 0)
+        own = [*r.choice(bad if y else good, 2), *r.choice(["the", "house", "river", "walks", "green"], 6), *(["!!!!"] if y and r.random() < 0.5 else [])]
+        docs[i] = " ".join(own).capitalize() + ("" if r.random() < 0.8 else " STUPID" if y else " Music.")
+        labels[i] = y if r.random() < 0.95 else 1 - y
+    docs[70] = ""
+    d = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    known = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    got = {x.doc_id: x.score for x in T.toxicity(d, known).collect()}
+    want = plain_toxicity(docs, labels)
+    assert got.keys() == want.keys()
+    for i in got:
+        assert got[i] == pytest.approx(want[i], rel=1e-4, abs=1e-6), docs[i]
+    assert sum((got[i] > 0.5) == bool(y) for i, y in labels.items()) > 60
+
+
 def test_labels_outside_0_and_1_are_none(spark):
     docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{SF0001}/labels.parquet").selectExpr("doc_id", "cast(toxic as long) toxic")
