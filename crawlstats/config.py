@@ -49,6 +49,8 @@ class CrawlParams:
 TEST_PARAMS = CrawlParams(size_limit=6000)
 
 _LOCAL_ROOT: dict[str, str] = {}
+#: Folders that jobs made for themselves, by application.
+_MADE: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
@@ -68,7 +70,21 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
         sc.setCheckpointDir(root)
     if name is None:
         return root
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    _MADE.setdefault(sc.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every folder that ``shared_dir`` made for this application.
+
+    Only for callers that have written their results elsewhere: results are
+    lazy and read these folders until then. Roots that a caller names (a
+    crawl, a state, a stream's output) are never among them.
+    """
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

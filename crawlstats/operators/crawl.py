@@ -17,10 +17,11 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from crawlstats.config import CrawlParams, ensure_checkpoint_dir, path_exists, shared_dir
+from crawlstats.config import CrawlParams, ensure_checkpoint_dir, shared_dir
 from crawlstats.operators.frontier import STATE_COLUMNS, dedup_by_hash, keyed, pending, scope_rule, seed_state, small_enough
 from crawlstats.operators.gates import robots_gate
 from crawlstats.operators.links import Extractor, page_links
+from crawlstats.sources.commits import CommitLog
 
 NOT_CAPTURED = "not captured"
 
@@ -75,13 +76,10 @@ class Rounds:
 
     def __init__(self, spark: SparkSession, root: str, schema: str):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.log = CommitLog(spark, f"{self.root}/commits", "round int, n long, bytes long")
 
     def _commits(self) -> dict[int, tuple[int, int]]:
-        path = f"{self.root}/commits"
-        if not path_exists(self.spark, path):
-            return {}
-        rows = self.spark.read.schema("round int, n long, bytes long").parquet(path).collect()  # one row a round
-        return {r["round"]: (r["n"], r["bytes"]) for r in rows}
+        return {r["round"]: (r["n"], r["bytes"]) for r in self.log.rows()}
 
     def last(self) -> int | None:
         return max(self._commits(), default=None)
@@ -96,7 +94,7 @@ class Rounds:
         df = df.observe(seen, F.count(F.lit(1)).alias("n"), size.alias("bytes"))
         df.write.mode("overwrite").parquet(f"{self.root}/rounds/round={k}")
         n, size = seen.get["n"], seen.get["bytes"]
-        self.spark.createDataFrame([(k, n, size)], "round int, n long, bytes long").coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        self.log.append(k, n, size)
         return n, size
 
     def read(self, upto: int) -> DataFrame:

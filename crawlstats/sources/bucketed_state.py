@@ -26,9 +26,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlstats.config import path_exists, written_once
+from crawlstats.config import written_once
 from crawlstats.functions.urls import domain_bucket
 from crawlstats.operators.frontier import STATE_COLUMNS, dedup_by_hash, keyed, seed_state
+from crawlstats.sources.commits import CommitLog
 
 COMMITS = "version int, generation int, writer string, blocks long, buckets int"
 ROWS = "url_hash string, url string, completed boolean, version int, writer string"
@@ -79,23 +80,19 @@ class BucketedState:
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.log = CommitLog(spark, f"{self.root}/commits", COMMITS)
 
     # --- commits --------------------------------------------------------------
 
     def commits(self) -> list[Commit]:
         """All commits, by version and generation."""
-        path = f"{self.root}/commits"
-        if not path_exists(self.spark, path):
-            return []
-        rows = self.spark.read.schema(COMMITS).parquet(path).collect()  # one small row a commit
-        return sorted((Commit(*r) for r in rows), key=lambda c: (c.generation, c.version))
+        return sorted((Commit(*r) for r in self.log.rows()), key=lambda c: (c.generation, c.version))
 
     def latest(self) -> Commit | None:
         return max(self.commits(), key=lambda c: (c.generation, c.version), default=None)
 
     def _record(self, c: Commit) -> Commit:
-        row = [(c.version, c.generation, c.writer, c.blocks, c.buckets)]
-        self.spark.createDataFrame(row, COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        self.log.append(c.version, c.generation, c.writer, c.blocks, c.buckets)
         return c
 
     # --- tables -----------------------------------------------------------------

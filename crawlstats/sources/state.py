@@ -13,22 +13,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlstats.config import path_exists
 from crawlstats.operators.frontier import STATE_COLUMNS, seed_state
+from crawlstats.sources.commits import CommitLog
 
 
 class StateStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = CommitLog(spark, f"{self.root}/commits", "version int, base int")
 
     def _commits(self) -> dict[int, int]:
-        """version -> base; one small row a commit."""
-        path = f"{self.root}/commits"
-        if not path_exists(self.spark, path):
-            return {}
-        rows = self.spark.read.schema("version int, base int").parquet(path).collect()
-        return {r.version: r.base for r in rows}
+        """version -> base."""
+        return {r.version: r.base for r in self.log.rows()}
 
     def versions(self) -> list[int]:
         """Committed versions, ascending."""
@@ -58,8 +55,7 @@ class StateStore:
         last = max(commits, default=None)
         v = 0 if last is None else last + 1
         changes.select(*STATE_COLUMNS).write.mode("overwrite").parquet(f"{self.root}/v={v:06d}")
-        row = [(v, v if base or last is None else commits[last])]
-        self.spark.createDataFrame(row, "version int, base int").coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        self.log.append(v, v if base or last is None else commits[last])
         return v
 
     def start(self, seeds: DataFrame, restart: bool = False) -> DataFrame:

@@ -50,3 +50,19 @@ def test_query_matches_oracle(spark, name):
     idx = [rel.columns.index(c) for c in cols]
     exp = sorted(tuple(str(row[i]) for i in idx) for row in exp_rows)
     assert got == exp
+
+
+def test_scratch_can_be_released(spark):
+    import os
+
+    from crawlstats import config
+
+    kept = config._MADE.pop(spark.sparkContext.applicationId, [])  # folders of other tests
+    try:
+        E.queries()["state_store"](spark, SF0001).collect()
+        made = list(config._MADE[spark.sparkContext.applicationId])
+        assert made and all(os.path.isdir(p) for p in made)
+        config.release(spark)
+        assert not any(os.path.exists(p) for p in made)
+    finally:
+        config._MADE[spark.sparkContext.applicationId] = kept
