@@ -98,7 +98,7 @@ class Slots:
         return self.first_bin[i] + b, self.at[i] + slot * self.length[i]
 
 
-def pack(cut: DataFrame, capacity: int, max_nodes: int = 20_000) -> DataFrame:
+def pack(cut: DataFrame, capacity: int, max_nodes: int = 200_000) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``, in as few sequences as the search finds."""
     spark = cut.sparkSession
     by_part = cut.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))

@@ -8,8 +8,9 @@ at once, first as many as the counts and the bound allow, at last every number
 down to one. A branch ends when its waste is more than an improvement on the
 best known solution allows. Best-fit decreasing gives the first known solution;
 the search ends when a solution meets the lower bound, its tree is empty (then
-the best solution is optimal) or ``max_nodes`` fillings have been looked at, and
-keeps the best solution so far.
+the best solution is optimal) or ``max_nodes`` steps are spent, on fillings
+tried or on items put together while enumerating them, and keeps the best
+solution so far.
 
 A filling is dominated by one that holds more, or that holds a longer item in
 place of one of its own. Fillings of more than ``ENUMERATED_ITEMS`` items are
@@ -93,7 +94,18 @@ def fill_up(counts: np.ndarray, room: int) -> tuple[int, tuple[int, ...]]:
     return room, tuple(items)
 
 
-def fillings(counts: np.ndarray, room: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+class Steps:
+    """Steps that the search may still take."""
+
+    def __init__(self, left: int):
+        self.left = left
+
+    def take(self) -> bool:
+        self.left -= 1
+        return self.left >= 0
+
+
+def fillings(counts: np.ndarray, room: int, steps: Steps) -> Iterator[tuple[int, tuple[int, ...]]]:
     """(waste, lengths) of the undominated fillings of ``room``: of one and two items by increasing waste, then larger ones.
 
     The last item of a filling is always the longest that still fits: a
@@ -120,10 +132,12 @@ def fillings(counts: np.ndarray, room: int) -> Iterator[tuple[int, tuple[int, ..
     if not dominated(counts, room - longest, (longest,)):
         yield room - longest, (longest,)
     for x, y in pairs:
+        if not steps.take():
+            return
         if not dominated(counts, room - x - y, (x, y)):
             yield room - x - y, (x, y)
     if pairs:
-        yield from larger(there.tolist(), counts, room)
+        yield from larger(there.tolist(), counts, room, steps)
 
 
 def dominated(counts: np.ndarray, waste: int, filling: tuple[int, ...]) -> bool:
@@ -137,7 +151,7 @@ def dominated(counts: np.ndarray, waste: int, filling: tuple[int, ...]) -> bool:
     return any(len(there) and (i := np.searchsorted(there, x, side="right")) < len(there) and there[i] <= x + waste for x in set(filling))
 
 
-def larger(there: list[int], counts: np.ndarray, room: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+def larger(there: list[int], counts: np.ndarray, room: int, steps: Steps) -> Iterator[tuple[int, tuple[int, ...]]]:
     """Undominated fillings of three and more items, in descending order of their items; ``there`` ascends."""
     left = {x: int(counts[x]) for x in there}
 
@@ -154,6 +168,8 @@ def larger(there: list[int], counts: np.ndarray, room: int) -> Iterator[tuple[in
             x = there[i]
             if not left[x]:
                 continue
+            if not steps.take():
+                return
             left[x] -= 1
             chosen.append(x)
             if next((y for y in there if left[y]), room) <= rest - x:  # something still fits
@@ -166,7 +182,7 @@ def larger(there: list[int], counts: np.ndarray, room: int) -> Iterator[tuple[in
     yield from grow(room, len(there) - 1, [])
 
 
-def solve(counts: np.ndarray, max_nodes: int = 20_000) -> list[Pattern]:
+def solve(counts: np.ndarray, max_nodes: int = 200_000) -> list[Pattern]:
     """Patterns that hold every item; ``counts[l]`` items of length l, capacity ``len(counts) - 1``."""
     counts = np.asarray(counts, dtype=np.int64)
     cap, total = len(counts) - 1, int((counts * np.arange(len(counts))).sum())
@@ -174,7 +190,7 @@ def solve(counts: np.ndarray, max_nodes: int = 20_000) -> list[Pattern]:
         return []
     best = best_fit_decreasing(counts)
     best_bins, bound = sum(n for _, n in best), lower_bound(counts)
-    left, path, waste, nodes = counts.copy(), [], 0, 0
+    left, path, waste, steps = counts.copy(), [], 0, Steps(max_nodes)
     todo: list[Iterator] = []  # the fillings still to try, for each step of the path
 
     def largest() -> int:
@@ -191,7 +207,7 @@ def solve(counts: np.ndarray, max_nodes: int = 20_000) -> list[Pattern]:
         rest = left.copy()
         rest[top] -= 1
         for fewer in (False, True):
-            for w, more in fillings(rest, cap - top):
+            for w, more in fillings(rest, cap - top, steps):
                 lengths = (top, *more)
                 filling = tuple(sorted(((x, lengths.count(x)) for x in set(lengths)), reverse=True))
                 most = room_for(w, min(int(left[x]) // k for x, k in filling))
@@ -199,7 +215,7 @@ def solve(counts: np.ndarray, max_nodes: int = 20_000) -> list[Pattern]:
                     yield w, filling, n if n <= room_for(w, n) else 0
 
     todo.append(choices())
-    while todo and best_bins > bound and nodes < max_nodes:
+    while todo and best_bins > bound and steps.take():
         if len(path) == len(todo):  # take back what was tried before at this step
             filling, n, w = path.pop()
             for length, k in filling:
@@ -209,7 +225,6 @@ def solve(counts: np.ndarray, max_nodes: int = 20_000) -> list[Pattern]:
         if step is None:
             todo.pop()
             continue
-        nodes += 1
         w, filling, n = step
         if not n:  # it wastes more than is left for an improvement
             path.append((filling, 0, 0))
