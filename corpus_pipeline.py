@@ -4,6 +4,13 @@ Each stage gets all that the one before kept, is written as Parquet and read
 again. All stages but the last return the columns of ``documents``. A stage
 that begins deletes the scratch tables of the one before, whose result has
 been written by then.
+
+Defined cases, for every stage: a null text is an empty one, and stays null
+where its row stays unchanged; rows with a null id are judged by their text
+like others, and stay in the SimHash stage; a repeated id with another text is
+a row of its own; of equal rows exact dedup keeps one; very long texts are
+read whole; an empty table gives an empty table; further columns, whatever
+their names, are carried through but the last stage, which returns its pieces.
 """
 
 from __future__ import annotations
