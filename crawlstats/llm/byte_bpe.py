@@ -28,7 +28,7 @@ LATIN1 = re.compile(
     f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
 #: Learned pre-tokens in a generation of a worker's cache, and the longest one that is kept, in characters.
-CACHE_ENTRIES, CACHED_CHARS = 200_000, 64
+CACHE_ENTRIES, CACHED_CHARS = 350_000, 64
 
 
 @lru_cache(maxsize=1)
