@@ -117,12 +117,16 @@ def q_visited_lines(spark, sf_dir):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
+def _line_sql(line: str, *columns: str) -> str:
+    return f"printf({O.q(line)}, {', '.join(columns)})"
+
+
 @register(
     "report_lines",
     f"""
-    SELECT 'Q2' AS report, 'Longest Page: ' || url || ', length: ' || n_tokens AS line FROM ({longest_page_sql()})
-    UNION ALL SELECT 'Q3' AS report, token || ': ' || n AS line FROM ({page_words_sql()})
-    UNION ALL SELECT 'Q4' AS report, nice_link || ', ' || n_pages || ' + ' AS line FROM ({subdomains_sql()})
+    SELECT 'Q2' AS report, {_line_sql(sinks.LONGEST_PAGE_LINE, 'url', 'n_tokens')} AS line FROM ({longest_page_sql()})
+    UNION ALL SELECT 'Q3' AS report, {_line_sql(sinks.TOP_WORD_LINE, 'token', 'n')} AS line FROM ({page_words_sql()})
+    UNION ALL SELECT 'Q4' AS report, {_line_sql(sinks.SUBDOMAIN_LINE, 'nice_link', 'n_pages')} AS line FROM ({subdomains_sql()})
     """,
 )
 def q_report_lines(spark, sf_dir):
