@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -73,7 +74,26 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_CONF))
     if not 0 < now <= BATCH_BYTES:
         spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(_tidied(fn), schema)
+
+
+def _tidied(fn: Callable) -> Callable:
+    """``fn`` that gives the memory it freed back to the system when its task ends.
+
+    A Python worker lives on for tasks of other operators, and the largest
+    batch of one would stay with it otherwise.
+    """
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim is not None:
+                trim(0)
+
+    return run
 
 
 #: Folders that operators made in the shared folder, by application.
