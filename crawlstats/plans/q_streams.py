@@ -8,6 +8,8 @@ the batch query over ``pages``, so the oracle SQL is the batch SQL.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -185,11 +187,21 @@ def q_stream_crawl_pending(spark, sf_dir):
 
 # --- bounded summaries and line sinks -------------------------------------------
 
+#: Triggers in which ``page_files`` delivers the pages.
+TRIGGERS = 4
+
+
 def page_files(spark, pg) -> tuple[DataFrame, str]:
-    """A stream that reads the pages in four triggers, and a checkpoint for it."""
+    """A stream that reads the pages in four triggers, and a checkpoint for it.
+
+    A file has few row groups, and a row group is read by one task. So a
+    trigger gets as many files as the pages have splits, not a single one
+    that grows with them.
+    """
     src = shared_dir(spark, "stream-src")
-    pg.repartition(4, "page_id").write.parquet(src)
-    return S.page_stream(spark, src, 1), shared_dir(spark, "stream-ckpt")
+    pg.repartition(TRIGGERS * max(1, pg.rdd.getNumPartitions()), "page_id").write.parquet(src)
+    files = len(spark.read.parquet(src).inputFiles())
+    return S.page_stream(spark, src, max(1, math.ceil(files / TRIGGERS))), shared_dir(spark, "stream-ckpt")
 
 
 @register(

@@ -13,6 +13,7 @@ from crawlstats.operators import frontier as FR
 from crawlstats.operators import links as L
 from crawlstats.operators import reports as R
 from crawlstats.operators.clocks import Clocks
+from crawlstats.plans import q_streams as QS
 from crawlstats.sources import sinks as K
 from crawlstats.sources.pages import responses
 from crawlstats.streaming import line_sinks as LS
@@ -64,6 +65,36 @@ def test_heavy_words_of_a_stream_that_stops_and_goes_on(spark, tmp_dir):
     assert all(w in found for w in top)
 
 
+def test_a_trigger_reads_its_pages_in_several_tasks(spark, tmp_dir):
+    """Four triggers, whatever the number of pages, and no page twice; a trigger's files grow in number."""
+    src = os.path.join(tmp_dir, "pages")
+    pages = spark.range(0, 3000, 1, 6).select(F.col("id").alias("page_id"), F.lit("https://a.example.com/").alias("url"), F.lit("<p>x</p>").alias("html"))
+    pages.write.parquet(src)
+    pg = spark.read.parquet(src)
+    splits = pg.rdd.getNumPartitions()
+    assert splits > 1
+    stream, ckpt = QS.page_files(spark, pg)
+    seen, ids = [], []
+
+    def trigger(batch, i):
+        rows = batch.select("page_id", F.spark_partition_id().alias("task")).collect()
+        seen.append(len({r.task for r in rows}))
+        ids.extend(r.page_id for r in rows)
+
+    stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(trigger).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 4 and min(seen) > 1
+    assert sorted(ids) == list(range(3000))
+
+
+def test_few_pages_or_none_make_a_stream(spark, tmp_dir):
+    for n in (0, 1, 5):
+        pg = spark.range(n).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lit(None).cast("string").alias("html"))
+        stream, ckpt = QS.page_files(spark, pg)
+        ids = []
+        stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(lambda b, i: ids.extend(r.page_id for r in b.collect())).trigger(availableNow=True).start().awaitTermination()
+        assert sorted(ids) == list(range(n))
+
+
 def test_merged_sketches_equal_the_sketch_of_all(spark, tmp_dir):
     ids = spark.range(60_000)
     pages = ids.select("id", F.concat(F.lit("https://h"), F.col("id") % 7, F.lit(".example.com/"), F.col("id") % 50_000).alias("url"))
