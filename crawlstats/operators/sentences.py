@@ -74,10 +74,14 @@ def abbreviations(pieces: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def sentence_words(pieces: DataFrame, known: DataFrame) -> DataFrame:
     """A4 with sentence ends: (token, n); an abbreviation of ``known`` (word) keeps its period.
 
-    The join is over distinct pieces; Spark broadcasts the abbreviations where their size allows.
+    The join is over distinct pieces that end in a period; Spark broadcasts
+    the abbreviations where their size allows. All others would have the same
+    null key in it, and where it shuffles one task would sort them all.
     """
     ends = F.col("raw").rlike(FINAL_PERIOD)
-    word = F.when(ends, F.lower(F.substring("raw", F.lit(1), F.length("raw") - 1)))
-    keyed = pieces.withColumn("word", word).join(known.select("word", F.lit(True).alias("kept")), "word", "left")
+    word = F.lower(F.substring("raw", F.lit(1), F.length("raw") - 1))
+    keyed = pieces.where(ends).withColumn("word", word).join(known.select("word", F.lit(True).alias("kept")), "word", "left")
     token = F.when(F.col("kept"), F.lower("raw")).otherwise(clean_token("raw"))
-    return keyed.select(token.alias("token"), "n").where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("n"))
+    plain = pieces.where(~ends).select(clean_token("raw").alias("token"), "n")
+    both = keyed.select(token.alias("token"), "n").unionByName(plain)
+    return both.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("n"))

@@ -79,3 +79,28 @@ def test_word_counts_shuffle_distinct_pieces_only(spark):
     assert split_words("x") is not None
     plan = reports.word_counts(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_count") > plan.index("partial_sum")  # the tree prints the top first
+
+
+def test_only_pieces_that_end_in_a_period_are_joined(spark):
+    """The others have no word to look up: with one null key for all, a single task would sort them."""
+    rows = [(f"w{i}", 1) for i in range(1000)] + [("Dr.", 5), ("dr.", 2), ("End.", 3), ("w7.", 4), ("...", 1), ("'x", 1)]
+    pieces = spark.createDataFrame(rows, "raw string, n long")
+    known = spark.createDataFrame([("dr",), ("u.s",)], "word string")
+    confs = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        df = sentences.sentence_words(pieces, known)
+        got = {r.token: r.n for r in df.collect()}
+        plan = [df._jdf.queryExecution().executedPlan()]
+        for node in plan:
+            plan += [node.children().apply(i) for i in range(node.children().size())]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {f"w{i}": 1 for i in range(1000)} | {"dr.": 7, "end": 3, "w7": 5}
+    side = next(n for n in plan if n.nodeName() == "SortMergeJoin").children().apply(0)
+    while side.nodeName() != "Exchange":
+        side = side.children().apply(0)
+    assert side.metrics().apply("shuffleRecordsWritten").value() == 4
